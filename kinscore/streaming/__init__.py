@@ -1,0 +1,7 @@
+"""Streaming.
+
+The scored workload is a daily batch with a two-day lag: it has no watermark, window,
+state or late-data logic, so nothing here is a streaming operator. The batch job is
+written so it can be driven per day (``as_of`` is a parameter, history is appended per
+``date_rec`` partition).
+"""
