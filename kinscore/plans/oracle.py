@@ -414,3 +414,129 @@ def all_oracle_sql(cfg: JobConfig | None = None) -> dict[str, str]:
         "label_balance": q_label_balance(cfg),
         "class_weights": q_class_weights(cfg),
     }
+
+
+# ---------------------------------------------------------------------------------------
+# scoring and selection operators (fixture scores derived from `embeddings`)
+
+_L1 = "list_reduce(list_transform(list_zip(c.v, p.v), lambda x: abs(x[1] - x[2])), lambda a, b: a + b)"
+
+
+def _embedding_ctes(scale: float | None) -> list[str]:
+    v = "CAST(embedding AS DOUBLE[])"
+    if scale is not None:
+        v = f"list_transform({v}, lambda x: x * CAST({scale!r} AS DOUBLE))"
+    return [
+        f"e AS (SELECT vec_id AS user_id, {v} AS v, label FROM embeddings)",
+        f"""knn AS (SELECT c.user_id, min({_L1}) AS knn_dist, 1 - min({_L1}) AS knn_score
+  FROM (SELECT * FROM e WHERE label <> 0) c, (SELECT * FROM e WHERE label = 0) p GROUP BY c.user_id)""",
+    ]
+
+
+def q_nearest_l1(cfg):
+    ctes = ",\n".join(_embedding_ctes(None))
+    return f"WITH {ctes}\nSELECT user_id AS vec_id, knn_dist, knn_score FROM knn"
+
+
+def _scores_ctes(scale, n_rec, thresholds) -> list[str]:
+    ctes = _embedding_ctes(scale)
+    ctes.append(
+        """scores AS (SELECT e.user_id, coalesce(knn.knn_score, -10.0)::DOUBLE AS knn_score,
+  e.v[1] * CAST(5.0 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS logreg_score,
+  e.v[2] * CAST(5.0 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS xgb_score
+  FROM e LEFT JOIN knn USING (user_id))"""
+    )
+    tops = []
+    for m in ("knn", "logreg", "xgb"):
+        tops.append(
+            f"""SELECT user_id, '{m}' AS model FROM (
+    SELECT user_id, row_number() OVER (ORDER BY {m}_score DESC, user_id) AS rn
+    FROM scores WHERE {m}_score > {float(thresholds[m])!r}) WHERE rn <= {n_rec}"""
+        )
+    ctes.append("tagged AS (" + "\n  UNION ALL\n  ".join(tops) + ")")
+    ctes.append("voted AS (SELECT user_id FROM tagged GROUP BY user_id HAVING count(DISTINCT model) >= 2)")
+    ctes.append(
+        f"quota AS (SELECT greatest(0, CAST(trunc(({n_rec} - (SELECT count(*) FROM voted)) / 3.0) AS BIGINT)) AS k)"
+    )
+    fills = []
+    for m in ("knn", "logreg", "xgb"):
+        fills.append(
+            f"""SELECT user_id FROM (
+    SELECT user_id, row_number() OVER (ORDER BY {m}_score DESC, user_id) AS rn
+    FROM scores WHERE {m}_score > {float(thresholds[m])!r} AND user_id NOT IN (SELECT user_id FROM voted))
+    WHERE rn <= (SELECT k FROM quota)"""
+        )
+    ctes.append("fills AS (" + "\n  UNION ALL\n  ".join(fills) + ")")
+    return ctes
+
+
+def q_top_k(cfg):
+    from .scoring_checks import FIXTURE_N_REC, FIXTURE_SCALE, FIXTURE_THRESHOLDS
+
+    ctes = ",\n".join(_scores_ctes(FIXTURE_SCALE, FIXTURE_N_REC, FIXTURE_THRESHOLDS))
+    return f"WITH {ctes}\nSELECT user_id, model FROM tagged"
+
+
+def q_vote(cfg):
+    from .scoring_checks import FIXTURE_N_REC, FIXTURE_SCALE, FIXTURE_THRESHOLDS
+
+    ctes = ",\n".join(_scores_ctes(FIXTURE_SCALE, FIXTURE_N_REC, FIXTURE_THRESHOLDS))
+    return f"WITH {ctes}\nSELECT user_id FROM voted"
+
+
+def q_quota_fill(cfg):
+    from .scoring_checks import FIXTURE_N_REC, FIXTURE_SCALE, FIXTURE_THRESHOLDS
+
+    ctes = ",\n".join(_scores_ctes(FIXTURE_SCALE, FIXTURE_N_REC, FIXTURE_THRESHOLDS))
+    return f"WITH {ctes}\nSELECT user_id FROM voted UNION SELECT user_id FROM fills"
+
+
+def q_exclude_recent(cfg):
+    from .scoring_checks import HISTORY_DAYS, HISTORY_TODAY
+
+    return with_adapters(
+        cfg,
+        f"""history AS (SELECT user_id, CAST(ts AS DATE) AS date_rec FROM events WHERE event_type = 'purchase')""",
+        body=f"""SELECT user_id, external_id FROM population
+WHERE user_id NOT IN (SELECT user_id FROM history
+                      WHERE date_rec > {_minus(HISTORY_TODAY, HISTORY_DAYS)} AND user_id IS NOT NULL)""",
+    )
+
+
+def q_log_features(cfg):
+    # the dataset's column list is data-driven; apply the formula through COLUMNS(*)
+    feats = "COLUMNS(* EXCLUDE (user_id, external_id, is_asd, was_asd, asd_others))"
+    return with_adapters(
+        cfg,
+        *dataset_ctes(cfg),
+        body=f"""SELECT user_id, external_id, is_asd, was_asd, asd_others,
+       CASE WHEN {feats} > -1 THEN log10(1 + {feats}) ELSE 0 END
+FROM dataset""",
+    )
+
+
+def q_standardize(cfg):
+    labels = "'user_id', 'external_id', 'is_asd', 'was_asd', 'asd_others'"
+    inner = with_adapters(
+        cfg,
+        *dataset_ctes(cfg),
+        f"""picked AS (SELECT user_id, COLUMNS(lambda c: c NOT IN ({labels}) AND NOT c LIKE '%{cfg.click_suffix}')
+  FROM dataset)""",
+        "long AS (UNPIVOT picked ON COLUMNS(* EXCLUDE (user_id)) INTO NAME feature VALUE x)",
+        "st AS (SELECT feature, avg(x) AS m, stddev_pop(x) AS s FROM long GROUP BY feature)",
+        body="SELECT user_id, feature, (x - m) / coalesce(nullif(s, 0), 1) AS z FROM long JOIN st USING (feature)",
+    )
+    return f"PIVOT ({inner}) ON feature USING first(z) GROUP BY user_id"
+
+
+def scoring_oracle_sql(cfg: JobConfig | None = None) -> dict[str, str]:
+    cfg = cfg or driver_config()
+    return {
+        "nearest_l1": q_nearest_l1(cfg),
+        "top_k_per_score": q_top_k(cfg),
+        "vote_two_of_three": q_vote(cfg),
+        "quota_fill": q_quota_fill(cfg),
+        "exclude_recent": q_exclude_recent(cfg),
+        "log_features": q_log_features(cfg),
+        "standardize": q_standardize(cfg),
+    }
