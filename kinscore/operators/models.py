@@ -1,11 +1,29 @@
-"""Learning and scoring operators (L1-L8) on ``pyspark.ml``."""
+"""Learning and scoring operators (L1-L8) on ``pyspark.ml``.
+
+* L1 split and folds come from a hash of the user id, so they are stable across
+  partitionings and need no global ordering (no single-task window over a class).
+* L2 L1-penalised logistic regression: Spark minimises the weighted *mean* log-loss, so the
+  penalty of ``C·Σ w·loss + |β|₁`` becomes ``regParam = 1 / (C·Σw)``.
+* L4 grid search is one ``CrossValidator`` whose parameter maps couple ``weightCol`` with the
+  matching ``regParam``; fits run in parallel threads.
+* L5 boosted trees are ``GBTClassifier``; it has no L1 leaf penalty, counts rows instead of
+  hessian for the child minimum and samples features per node (compare by F1, not score).
+* L7 cross-fit: each half is scored by the model trained on the other half.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from dataclasses import dataclass
+
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+WEIGHTINGS = ("none", "ten_to_one", "balanced")
+
 
 def class_weight_table(df: DataFrame, label: str) -> DataFrame:
     """L3: per-class weights. balanced = n / (2·n_class); ten_to_one = {1: 10, 0: 1}."""
@@ -17,3 +35,125 @@ def class_weight_table(df: DataFrame, label: str) -> DataFrame:
         (total.cast("double") / (F.lit(2.0) * F.col("n"))).alias("balanced_weight"),
         F.when(F.col("label") == 1, 10.0).otherwise(1.0).alias("ten_to_one_weight"),
     )
+
+
+def hash_bucket(key: str, seed: int, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets)).cast("int")
+
+
+def add_split_columns(df: DataFrame, key: str, seed: int, folds: int) -> DataFrame:
+    """L1: ``half`` ∈ {0, 1} (50/50 split) and ``fold`` ∈ [0, folds) from independent hashes."""
+    return df.withColumn("half", hash_bucket(key, seed, 2)).withColumn("fold", hash_bucket(key, seed + 1, folds))
+
+
+def add_weight_columns(df: DataFrame, label: str = "label") -> tuple[DataFrame, dict[str, float]]:
+    """One weight column per weighting and the total weight of each (for regParam)."""
+    counts = {int(r[0]): r[1] for r in df.groupBy(F.col(label).cast("int")).count().collect()}
+    n = sum(counts.values())
+    n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
+    bal_pos = n / (2.0 * n_pos) if n_pos else 0.0
+    bal_neg = n / (2.0 * n_neg) if n_neg else 0.0
+    out = (
+        df.withColumn("w_none", F.lit(1.0))
+        .withColumn("w_ten_to_one", F.when(F.col(label) == 1, 10.0).otherwise(1.0))
+        .withColumn("w_balanced", F.when(F.col(label) == 1, bal_pos).otherwise(bal_neg))
+    )
+    totals = {
+        "none": float(n),
+        "ten_to_one": 10.0 * n_pos + n_neg,
+        "balanced": bal_pos * n_pos + bal_neg * n_neg,
+    }
+    return out, totals
+
+
+def logistic(c_value: float, weighting: str, total_weight: float, seed: int = 17) -> LogisticRegression:
+    """L2 with the penalty scaled to Spark's mean-loss objective."""
+    return LogisticRegression(
+        featuresCol="features",
+        labelCol="label",
+        weightCol=f"w_{weighting}",
+        elasticNetParam=1.0,
+        regParam=1.0 / (c_value * max(total_weight, 1e-12)),
+        standardization=False,
+        maxIter=200,
+        family="binomial",
+    )
+
+
+def f1_evaluator() -> MulticlassClassificationEvaluator:
+    """F1 of the positive class (Spark's plain ``f1`` is class-weighted)."""
+    return MulticlassClassificationEvaluator(
+        labelCol="label", predictionCol="prediction", metricName="fMeasureByLabel", metricLabel=1.0
+    )
+
+
+@dataclass
+class GridResult:
+    rows: list[tuple[float, str, float]]  # (C, weighting, mean F1)
+    best_c: float
+    best_weighting: str
+    best_f1: float
+
+
+def grid_search_logreg(
+    train: DataFrame, totals: dict, c_grid, weightings, folds: int, parallelism: int = 4
+) -> GridResult:
+    """L4: mean F1 over ``folds`` for every (C, weighting); ties keep the first setting.
+
+    ``train`` carries label, features, fold and the ``w_*`` columns. Σw of a training fold
+    is taken as ``(folds-1)/folds`` of the total."""
+    est = LogisticRegression(featuresCol="features", labelCol="label")
+    maps, settings = [], []
+    for c in c_grid:
+        for w in weightings:
+            tw = totals[w] * (folds - 1) / folds
+            lr = logistic(c, w, tw)
+            maps.append({est.weightCol: lr.getWeightCol(), est.regParam: lr.getRegParam(),
+                         est.elasticNetParam: 1.0, est.standardization: False, est.maxIter: 200})
+            settings.append((c, w))
+    cv = CrossValidator(
+        estimator=est,
+        estimatorParamMaps=maps,
+        evaluator=f1_evaluator(),
+        foldCol="fold",
+        parallelism=parallelism,
+    )
+    model = cv.fit(train)
+    rows = [(c, w, float(m)) for (c, w), m in zip(settings, model.avgMetrics)]
+    best = max(range(len(rows)), key=lambda i: (rows[i][2], -i))
+    return GridResult(rows, rows[best][0], rows[best][1], rows[best][2])
+
+
+def gbt(params: dict, seed: int = 17) -> GBTClassifier:
+    return GBTClassifier(featuresCol="features", labelCol="label", seed=seed, **params)
+
+
+def cv_f1(train: DataFrame, estimator, folds: int) -> float:
+    """Mean F1 over hash folds for one estimator setting (the tree grid has one point)."""
+    cv = CrossValidator(
+        estimator=estimator, estimatorParamMaps=[{}], evaluator=f1_evaluator(), foldCol="fold", parallelism=1
+    )
+    return float(cv.fit(train).avgMetrics[0])
+
+
+def positive_probability(pred: DataFrame, name: str) -> DataFrame:
+    return pred.select("user_id", vector_to_array("probability")[1].alias(name))
+
+
+@dataclass
+class CrossFit:
+    scores: DataFrame  # user_id, <name>
+    f1_first: float  # model of half 0 on half 1
+    f1_second: float  # model of half 1 on half 0
+
+
+def cross_fit(train: DataFrame, make_estimator, name: str) -> CrossFit:
+    """Two fits; every row is scored by the model that did not see it."""
+    halves = [train.where(F.col("half") == h) for h in (0, 1)]
+    m0 = make_estimator().fit(halves[0])
+    m1 = make_estimator().fit(halves[1])
+    p1 = m0.transform(halves[1])  # half 1 scored by the model of half 0
+    p0 = m1.transform(halves[0])
+    ev = f1_evaluator()
+    scores = positive_probability(p0, name).unionByName(positive_probability(p1, name))
+    return CrossFit(scores, float(ev.evaluate(p1)), float(ev.evaluate(p0)))
