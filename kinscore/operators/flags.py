@@ -39,3 +39,28 @@ def managed_by_others(t: Tables, cfg: JobConfig, population) -> DataFrame:
     """FE3 ``asd_others``: another team on or after ``as_of``, population only (null team dropped)."""
     md = t.manager_days.where(not_contains_ci("team", cfg.team_pattern) & since("event_date", cfg.as_of))
     return _flag(md, "asd_others", population)
+
+
+def manager_flags(t: Tables, cfg: JobConfig, population) -> DataFrame:
+    """FE1-FE3 in one pass over the snapshot, restricted to the population.
+
+    Equal to the three separate flags once they are left-joined onto the population (the
+    dataset's use): a user gets 1 where any snapshot row satisfies the flag's predicate."""
+    pop = as_population(population)
+    match = contains_ci("team", cfg.team_pattern)
+    other = not_contains_ci("team", cfg.team_pattern)
+    md = t.manager_days.where(F.col("user_id").isNotNull()).select(
+        "user_id",
+        F.coalesce(match & on_day("event_date", cfg.as_of), F.lit(False)).alias("f1"),
+        F.coalesce(match, F.lit(False)).alias("f2"),
+        F.coalesce(other & since("event_date", cfg.as_of), F.lit(False)).alias("f3"),
+    )
+
+    def aggregate(d: DataFrame) -> DataFrame:
+        return d.groupBy("user_id").agg(
+            F.max(F.col("f1").cast("double")).alias("is_asd"),
+            F.max(F.col("f2").cast("double")).alias("was_asd"),
+            F.max(F.col("f3").cast("double")).alias("asd_others"),
+        )
+
+    return pop.scope(md, aggregate)

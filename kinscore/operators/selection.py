@@ -57,7 +57,11 @@ class Selection:
 
 
 def select_users(df: DataFrame, thresholds: dict, n_rec: int, key: str = "user_id") -> Selection:
-    """Vote, quota, per-model fill on the remaining users, union (R:709-801)."""
+    """Vote, quota, per-model fill on the remaining users, union.
+
+    ``df`` is read by six top-k passes: it is persisted (memory, spilling to disk; a lost
+    block is recomputed from its lineage)."""
+    df = df.persist()
     voted_ids = vote(tagged_top_lists(df, thresholds, n_rec, key), key).cache()
     n_voted = voted_ids.count()
     k = quota(n_rec, n_voted)

@@ -74,9 +74,7 @@ def build_dataset(
     assert_unique_names([*KEY_COLUMNS, *LABEL_COLUMNS, *features])
 
     frames = [
-        flags.managed_on_date(t, cfg, pop),
-        flags.managed_ever(t, cfg, pop),
-        flags.managed_by_others(t, cfg, pop),
+        flags.manager_flags(t, cfg, pop),
         pay.payment_features(pay_family, cfg),
         act.activation_family(t, cfg, pop),
         act.snapshot_other_items(t, cfg, pop),

@@ -151,6 +151,50 @@ def class_weights_q(spark, sf_dir):
     return class_weight_table(feature_assembly_q(spark, sf_dir), "is_asd")
 
 
+def _training(spark, sf_dir):
+    from .recommend import training_frame
+
+    t, cfg, pop = _setup(spark, sf_dir)
+    ds = build_dataset(t, cfg, pop)
+    train, totals, _ = training_frame(ds, cfg)
+    return ds, cfg, train, totals
+
+
+def grid_search_q(spark, sf_dir):
+    """L4 (rows-only): mean cross-validated F1 per (C, weighting)."""
+    from .recommend import logistic_scores
+
+    _, cfg, train, totals = _training(spark, sf_dir)
+    grid, _ = logistic_scores(train, totals, cfg)
+    return spark.createDataFrame(grid.rows, "C double, weighting string, f1 double")
+
+
+def crossfit_logreg_q(spark, sf_dir):
+    """L2 + L7 (rows-only): cross-fitted logistic score per user."""
+    from .recommend import logistic_scores
+
+    _, cfg, train, totals = _training(spark, sf_dir)
+    _, fit = logistic_scores(train, totals, cfg)
+    return fit.scores
+
+
+def crossfit_trees_q(spark, sf_dir):
+    """L5 + L7 (rows-only): cross-fitted boosted-tree score per user."""
+    from .recommend import tree_scores
+
+    _, cfg, train, _ = _training(spark, sf_dir)
+    _, fit = tree_scores(train, cfg, with_cv=False)
+    return fit.scores
+
+
+def recommend_list_q(spark, sf_dir):
+    """The job's output list (rows-only): 14 columns, no history yet."""
+    from .recommend import recommend
+
+    t, cfg, pop = _setup(spark, sf_dir)
+    return recommend(build_dataset(t, cfg, pop), cfg, with_tree_cv=False).rows
+
+
 QUERIES = {
     "active_population": active_population_q,
     "flag_managed_on_date": flag_on_date_q,
@@ -173,4 +217,8 @@ QUERIES = {
     "feature_assembly": feature_assembly_q,
     "label_balance": label_balance_q,
     "class_weights": class_weights_q,
+    "grid_search": grid_search_q,
+    "crossfit_logreg": crossfit_logreg_q,
+    "crossfit_trees": crossfit_trees_q,
+    "recommend_list": recommend_list_q,
 }
