@@ -35,19 +35,19 @@ def activation_family(t: Tables, cfg: JobConfig, population) -> DataFrame:
         & (raw < F.lit(as_of + dt.timedelta(days=1)))
         & F.col("activation_type").isin(list(cfg.paid_activation_types))
     ).select("item_id", F.to_date(raw).alias("day"))
-    items = (
+    # the item dimension is restricted to the population before it meets the fact
+    items = pop.semi(
         t.items.select("item_id", "user_id", "category_id")
         .join(category_ids_with_cat(t, [cfg.activation_cat_id]), "category_id", "left_semi")
         .select("item_id", "user_id")
     )
     conds = _bucket_conditions(F.col("day"), as_of)
-    joined = acts.join(items, "item_id", "inner")
-
-    def aggregate(df: DataFrame) -> DataFrame:
-        # count(ci.item_id) per bucket: item_id is the join key, never null here
-        return df.groupBy("user_id").agg(*[F.count(F.when(c, F.col("item_id"))).alias(n) for n, c in conds.items()])
-
-    return pop.scope(joined, aggregate)
+    # count(ci.item_id) per bucket: item_id is the join key, never null here
+    return (
+        acts.join(items, "item_id", "inner")
+        .groupBy("user_id")
+        .agg(*[F.count(F.when(c, F.col("item_id"))).alias(n) for n, c in conds.items()])
+    )
 
 
 def bucket_feature(family: DataFrame, name: str) -> DataFrame:
@@ -68,17 +68,15 @@ def snapshot_other_items(t: Tables, cfg: JobConfig, population) -> DataFrame:
     the excluded categories (``NOT IN`` subquery; a null category never qualifies)."""
     pop = as_population(population)
     excluded = category_ids_with_cat(t, cfg.excluded_snapshot_cat_ids)
-    items = (
+    items = pop.semi(
         t.items.where(F.col("category_id").isNotNull())
         .select("item_id", "user_id", "category_id")
         .join(excluded, "category_id", "left_anti")
         .select("item_id", "user_id")
     )
     snap = t.item_days.where(on_day(F.to_date("event_date"), cfg.as_of)).select("item_id")
-    joined = snap.join(items, "item_id", "inner")
-
-    def aggregate(df: DataFrame) -> DataFrame:
-        return df.groupBy("user_id").agg(F.count("item_id").alias("other_vertical_items_end_date"))
-
-    out = pop.scope(joined, aggregate)
-    return out.select("user_id", F.col("other_vertical_items_end_date").cast("double"))
+    return (
+        snap.join(items, "item_id", "inner")
+        .groupBy("user_id")
+        .agg(F.count("item_id").cast("double").alias("other_vertical_items_end_date"))
+    )
