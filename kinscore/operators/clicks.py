@@ -5,17 +5,20 @@ events by a broadcast semi join (the catalog's size is bounded by the catalog, n
 clickstream), counted per (user, eid) with map-side partial aggregation, and only then
 given names and pivoted. The pivot gets its value list explicitly (no extra distinct job
 inside ``pivot``); by default the list is the events actually seen, as in the original job,
-and ``all_catalog=True`` fixes the schema to the whole catalog.
+and ``all_catalog=True`` fixes the schema to the whole catalog. The small per-(user, event)
+counts are persisted, so the discovery does not rescan the clickstream.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..functions.predicates import closed_window
 from ..functions.text import assert_unique_names, slug
+from ..sources.catalog import MAX_CATALOG_ROWS
 from ..sources.tables import Tables
 from .population import as_population
 
@@ -52,13 +55,18 @@ def click_feature_names(t: Tables, cfg: JobConfig, counts: DataFrame | None = No
     src = catalog_names(t, cfg)
     if counts is not None:
         src = src.join(counts.select("eid").distinct(), "eid", "left_semi")
-    names = sorted(r[0] for r in src.select("feature").distinct().collect())
+    rows = src.select("feature").distinct().limit(MAX_CATALOG_ROWS + 1).collect()
+    if len(rows) > MAX_CATALOG_ROWS:
+        raise ValueError(f"more than {MAX_CATALOG_ROWS} click features: catalog too large to pivot")
+    names = sorted(r[0] for r in rows)
     assert_unique_names(names)
     return names
 
 
 def click_pivot(t: Tables, cfg: JobConfig, population, all_catalog: bool = False) -> tuple[DataFrame, list[str]]:
-    counts = click_counts(t, cfg, population)
+    """The counts per (user, event) are small (users × events seen) and read twice, by the
+    name discovery and by the pivot, so they are persisted instead of rescanning clicks."""
+    counts = click_counts(t, cfg, population).persist(StorageLevel.MEMORY_AND_DISK)
     names = click_feature_names(t, cfg, None if all_catalog else counts)
     named = counts.join(F.broadcast(catalog_names(t, cfg)), "eid", "inner")
     wide = named.groupBy("user_id").pivot("feature", names).agg(F.sum("cnt"))

@@ -1,24 +1,28 @@
 """Payment-event family: FE11 count_items_180, FE12 count_payments_180, FE13 service counts,
 FE15 attr1 counts, FE16 attr2 counts.
 
-All of them read the same relation: payment events of the last ``long_days`` days joined
-to live jobs items owned by the population. Two aggregates read it:
+All of them read one relation: payment events of the last ``long_days`` days joined to live
+jobs items owned by the population. It is scanned once and reduced to a persisted level-1
+aggregate keyed by (user_id, item_id, attr1, attr2, operation_id) holding the revenue-row
+count, a revenue flag and one flag per service subtype. Everything else reads that:
 
+* value discovery for FE15/FE16 (the dynamic columns) — a small job on the persisted rows
+  instead of a second scan of the fact;
 * item branch, grouped by user: ``count(distinct item_id)`` (FE11, every event) and one
-  conditional row count per discovered attr1/attr2 value (FE15/FE16, revenue events);
-* operation branch, revenue events only, grouped first by (user_id, operation_id) then by
-  user: distinct operations (FE12) and distinct operations per service subtype (FE13),
-  again without an Expand per distinct aggregate.
-
-The event fact is joined as it is scanned (pruned to five columns, window pushed into the
-scan): the population's items are usually small enough for AQE's runtime broadcast, so the
-fact is not shuffled before the aggregates, whose partial stage collapses hot users and
-items map-side. When the items side is large, the join is a sort-merge join whose hot
-item partitions AQE may split, because the aggregate that follows re-shuffles on the user.
+  conditional sum of revenue rows per discovered attr1/attr2 value (FE15/FE16);
+* operation branch, grouped by (user_id, operation_id) then by user: distinct revenue
+  operations (FE12) and distinct operations per service subtype (FE13), exact and without
+  an Expand per distinct aggregate.
+
+The join that feeds level 1: the population's items are usually small enough for AQE's
+runtime broadcast, so the fact is not shuffled before the partial aggregate, which collapses
+hot users and items map-side. When the items side is large it is a sort-merge join whose hot
+item partitions AQE may split (the aggregate re-shuffles on its own keys anyway).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,25 +50,43 @@ def events_of_population(t: Tables, cfg: JobConfig, population) -> DataFrame:
     return events.join(items, "item_id", "inner")
 
 
-def discover_attr_values(events: DataFrame) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
-    """FE15/FE16 value discovery over revenue events: (value, slug) pairs, sorted.
+def level_one(events: DataFrame, cfg: JobConfig) -> DataFrame:
+    """(user_id, item_id, attr1, attr2, operation_id) → n_rev, any_rev, s_<i> flags."""
+    rev = F.coalesce(F.col("is_revenue") == F.lit(True), F.lit(False))
+    return events.groupBy("user_id", "item_id", "attr1", "attr2", "operation_id").agg(
+        F.count(F.when(rev, F.lit(1))).alias("n_rev"),
+        F.max(rev.cast("int")).alias("any_rev"),
+        *[
+            F.max((rev & (F.col("subtype") == F.lit(s))).cast("int")).alias(f"s_{i}")
+            for i, s in enumerate(cfg.services)
+        ],
+    )
+
 
-    One job returns two bounded sets; attr1 keeps every non-null value, attr2 also skips
-    empty strings (semantics note 6: null is skipped in both)."""
-    rev = events.where(F.col("is_revenue") == F.lit(True))
-    row = rev.agg(
-        F.collect_set(F.when(F.col("attr1").isNotNull(), F.struct("attr1", slug("attr1").alias("s")))).alias("a1"),
-        F.collect_set(
-            F.when(
-                F.col("attr2").isNotNull() & (F.col("attr2") != ""), F.struct("attr2", slug("attr2").alias("s"))
+def discover_attr_values(level1: DataFrame) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
+    """FE15/FE16 value discovery over revenue rows: (value, slug) pairs, sorted.
+
+    One job for both attributes. attr1 keeps every non-null value, attr2 also skips empty
+    strings (semantics note 6: null is skipped in both). At most ``MAX_ATTR_VALUES + 1``
+    values per attribute reach the driver: more than the limit fails the run instead of
+    pulling an unbounded set."""
+    rev = level1.where(F.col("n_rev") > 0)
+    both = (
+        rev.where(F.col("attr1").isNotNull())
+        .select(F.lit(1).alias("k"), F.col("attr1").alias("v"))
+        .unionByName(
+            rev.where(F.col("attr2").isNotNull() & (F.col("attr2") != "")).select(
+                F.lit(2).alias("k"), F.col("attr2").alias("v")
             )
-        ).alias("a2"),
-    ).first()
-    a1 = sorted((r[0], r[1]) for r in (row["a1"] or []))
-    a2 = sorted((r[0], r[1]) for r in (row["a2"] or []))
+        )
+        .distinct()
+    )
+    rows = both.select("k", "v", slug("v").alias("s")).limit(2 * MAX_ATTR_VALUES + 2).collect()
+    a1 = sorted((r["v"], r["s"]) for r in rows if r["k"] == 1)
+    a2 = sorted((r["v"], r["s"]) for r in rows if r["k"] == 2)
     for vals in (a1, a2):
         if len(vals) > MAX_ATTR_VALUES:
-            raise ValueError(f"{len(vals)} attribute values exceed the limit {MAX_ATTR_VALUES}")
+            raise ValueError(f"more than {MAX_ATTR_VALUES} attribute values: not a column set")
     return a1, a2
 
 
@@ -74,27 +96,26 @@ def attr_columns(cfg: JobConfig, a1, a2) -> tuple[list[str], list[str]]:
     return c1, c2
 
 
-def item_branch(events: DataFrame, cfg: JobConfig, a1, a2) -> DataFrame:
+def item_branch(level1: DataFrame, cfg: JobConfig, a1, a2) -> DataFrame:
     c1, c2 = attr_columns(cfg, a1, a2)
-    rev = F.col("is_revenue") == F.lit(True)
 
     def count_rows(attr, value):
-        return F.count(F.when(rev & (F.col(attr) == F.lit(value)), F.lit(1)))
+        return F.sum(F.when(F.col(attr) == F.lit(value), F.col("n_rev")).otherwise(0)).cast("long")
 
-    return events.groupBy("user_id").agg(
+    return level1.groupBy("user_id").agg(
         F.countDistinct("item_id").alias("count_items_180"),
         *[count_rows("attr1", v).alias(c) for (v, _), c in zip(a1, c1)],
         *[count_rows("attr2", v).alias(c) for (v, _), c in zip(a2, c2)],
     )
 
 
-def operation_branch(events: DataFrame, cfg: JobConfig) -> DataFrame:
-    services = list(cfg.services)
+def operation_branch(level1: DataFrame, cfg: JobConfig) -> DataFrame:
     scols = service_columns(cfg)
+    n = len(cfg.services)
     per_op = (
-        events.where(F.col("is_revenue") == F.lit(True))
+        level1.where(F.col("any_rev") == 1)
         .groupBy("user_id", "operation_id")
-        .agg(*[F.max((F.col("subtype") == F.lit(s)).cast("int")).alias(f"s_{i}") for i, s in enumerate(services)])
+        .agg(*[F.max(f"s_{i}").alias(f"s_{i}") for i in range(n)])
     )
     return per_op.groupBy("user_id").agg(
         F.count("operation_id").alias("count_payments_180"),
@@ -110,14 +131,13 @@ def payment_event_family(t: Tables, cfg: JobConfig, population, attr_values=None
     """Returns (per-user frame, attr1 values, attr2 values).
 
     Per-user frame: count_items_180, attr counts, count_payments_180 (null when the user had
-    no revenue event), service counts and ``has_<service>`` flags."""
-    events = events_of_population(t, cfg, population)
-    a1, a2 = attr_values if attr_values is not None else discover_attr_values(events)
+    no revenue event), service counts and ``has_<service>`` flags. The level-1 aggregate is
+    persisted (memory, spilling to disk; a lost block is recomputed from its lineage)."""
+    level1 = level_one(events_of_population(t, cfg, population), cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    a1, a2 = attr_values if attr_values is not None else discover_attr_values(level1)
     c1, c2 = attr_columns(cfg, a1, a2)
-    assert_unique_names(
-        ["count_items_180", "count_payments_180", *service_columns(cfg), *c1, *c2]
-    )
-    joined = item_branch(events, cfg, a1, a2).join(operation_branch(events, cfg), "user_id", "left")
+    assert_unique_names(["count_items_180", "count_payments_180", *service_columns(cfg), *c1, *c2])
+    joined = item_branch(level1, cfg, a1, a2).join(operation_branch(level1, cfg), "user_id", "left")
     return joined, a1, a2
 
 

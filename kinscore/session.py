@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
+    if not spark.sparkContext.master.startswith("local"):
+        # a folder on the driver's disk is not visible to executors: require the shared one
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
     local = tempfile.mkdtemp(prefix="kinscore-ckpt-", dir=os.environ.get("KINSCORE_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
