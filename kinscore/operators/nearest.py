@@ -62,19 +62,17 @@ def nearest_positive(
         .groupBy("block")
         .agg(F.collect_list(vec).alias("pos"))
     )
+    # each candidate gets one row per block id; the id is a real join key (a generated
+    # column), so even a single block is a hash join on it, not a nested-loop join
+    cand = candidates.select(key, vec, F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
     if single:
         # one block of proven size: broadcast it, candidates stay where they are
-        joined = candidates.select(key, vec, F.lit(0).alias("block")).join(F.broadcast(blocks), "block")
+        joined = cand.join(F.broadcast(blocks), "block")
     else:
         # many blocks: candidates × blocks rows, spread over ``salt`` so that no task holds
         # every candidate of a block; each block row is replicated once per salt value
         salts = salt_buckets or int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cand = candidates.select(
-            key,
-            vec,
-            F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
-            F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(salts)).cast("int").alias("salt"),
-        )
+        cand = cand.withColumn("salt", F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(salts)).cast("int"))
         salted = blocks.select("block", "pos", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
         joined = cand.join(salted, ["block", "salt"])
     per_block = joined.select(
