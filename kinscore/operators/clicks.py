@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..config import JobConfig
 from ..functions.predicates import closed_window
 from ..functions.text import assert_unique_names, slug
-from ..sources.catalog import MAX_CATALOG_ROWS
+from ..sources.catalog import MAX_CATALOG_ROWS, checked_catalog
 from ..sources.tables import Tables
 from .population import as_population
 
@@ -31,10 +31,11 @@ def catalog_names(t: Tables, cfg: JobConfig) -> DataFrame:
 def click_counts(t: Tables, cfg: JobConfig, population) -> DataFrame:
     """(user_id, eid, cnt) for population users, catalog events, last ``click_days`` days."""
     pop = as_population(population)
+    catalog = checked_catalog(t.event_catalog)
     clicks = (
         t.clicks.where(closed_window("event_date", cfg.click_as_of, cfg.click_days))
         .select("user_id", "eid")
-        .join(F.broadcast(t.event_catalog.select("eid").distinct()), "eid", "left_semi")
+        .join(F.broadcast(catalog.select("eid").distinct()), "eid", "left_semi")
     )
 
     def aggregate(df: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def training_frame(ds: Dataset, cfg: JobConfig) -> tuple[DataFrame, dict, list[s
     return weighted.checkpoint(eager=True), totals, feats
 
 
-def logistic_scores(train: DataFrame, totals: dict, cfg: JobConfig, parallelism: int = 4):
+def logistic_scores(train: DataFrame, totals: dict, cfg: JobConfig, parallelism: int = 9):
     grid = M.grid_search_logreg(
         train, totals, cfg.logreg_c_grid, cfg.logreg_weightings, cfg.cv_folds, parallelism
     )
@@ -83,10 +83,12 @@ def recommend(
     history: DataFrame | None = None,
     today: dt.date | None = None,
     with_tree_cv: bool = True,
-    parallelism: int = 4,
+    parallelism: int = 9,
 ) -> Recommendation:
     today = today or dt.date.today()
     train, totals, feats = training_frame(ds, cfg)
+    # scorers run one after the other: each already submits concurrent fits (grid
+    # parallelism, the two cross-fit halves); stacking more threads measured slower
     grid, lr_fit = logistic_scores(train, totals, cfg, parallelism)
     tree_cv, gbt_fit = tree_scores(train, cfg, with_tree_cv)
     knn = knn_scores(ds, cfg)

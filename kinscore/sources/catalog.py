@@ -54,6 +54,14 @@ def load_event_catalog(spark: SparkSession, path: str, fmt: str = "csv") -> Data
     return df
 
 
+def checked_catalog(catalog: DataFrame) -> DataFrame:
+    """The catalog is broadcast into the clickstream join: prove its size first."""
+    n = catalog.limit(MAX_CATALOG_ROWS + 1).count()
+    if n > MAX_CATALOG_ROWS:
+        raise ValueError(f"event catalog has more than {MAX_CATALOG_ROWS} rows; too large to broadcast")
+    return catalog
+
+
 def catalog_problems(catalog: DataFrame) -> DataFrame:
     """One row per violated catalog invariant: duplicate name, eid or sort_key, or null eid."""
     checks = []
