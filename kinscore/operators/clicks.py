@@ -64,10 +64,14 @@ def click_feature_names(t: Tables, cfg: JobConfig, counts: DataFrame | None = No
     return names
 
 
-def click_pivot(t: Tables, cfg: JobConfig, population, all_catalog: bool = False) -> tuple[DataFrame, list[str]]:
+def click_pivot(
+    t: Tables, cfg: JobConfig, population, all_catalog: bool = False, keep: list | None = None
+) -> tuple[DataFrame, list[str]]:
     """The counts per (user, event) are small (users × events seen) and read twice, by the
     name discovery and by the pivot, so they are persisted instead of rescanning clicks."""
     counts = click_counts(t, cfg, population).persist(StorageLevel.MEMORY_AND_DISK)
+    if keep is not None:
+        keep.append(counts)
     names = click_feature_names(t, cfg, None if all_catalog else counts)
     named = counts.join(F.broadcast(catalog_names(t, cfg)), "eid", "inner")
     wide = named.groupBy("user_id").pivot("feature", names).agg(F.sum("cnt"))

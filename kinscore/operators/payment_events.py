@@ -127,13 +127,17 @@ def operation_branch(level1: DataFrame, cfg: JobConfig) -> DataFrame:
     )
 
 
-def payment_event_family(t: Tables, cfg: JobConfig, population, attr_values=None) -> tuple[DataFrame, list, list]:
+def payment_event_family(
+    t: Tables, cfg: JobConfig, population, attr_values=None, keep: list | None = None
+) -> tuple[DataFrame, list, list]:
     """Returns (per-user frame, attr1 values, attr2 values).
 
     Per-user frame: count_items_180, attr counts, count_payments_180 (null when the user had
     no revenue event), service counts and ``has_<service>`` flags. The level-1 aggregate is
     persisted (memory, spilling to disk; a lost block is recomputed from its lineage)."""
     level1 = level_one(events_of_population(t, cfg, population), cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    if keep is not None:
+        keep.append(level1)  # the caller unpersists once the result is written
     a1, a2 = attr_values if attr_values is not None else discover_attr_values(level1)
     c1, c2 = attr_columns(cfg, a1, a2)
     assert_unique_names(["count_items_180", "count_payments_180", *service_columns(cfg), *c1, *c2])

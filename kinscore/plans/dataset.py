@@ -11,7 +11,7 @@ attr2 values, click events, user-defined features.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +51,13 @@ FIXED_HEAD = (
 class Dataset:
     df: DataFrame
     spec: DatasetSpec
+    cached: list = field(default_factory=list)  # persisted intermediates of ``df``
+
+    def release(self) -> None:
+        """Unpersist the intermediates once ``df`` has been written or no longer read."""
+        for frame in self.cached:
+            frame.unpersist()
+        self.cached = []
 
 
 def build_dataset(
@@ -62,10 +69,11 @@ def build_dataset(
 ) -> Dataset:
     pop = as_population(population if population is not None else active_population(t, cfg))
 
+    cached: list = []
     pay_family = pay.payments_family(t, cfg, pop)
-    pe_family, a1, a2 = pev.payment_event_family(t, cfg, pop)
+    pe_family, a1, a2 = pev.payment_event_family(t, cfg, pop, keep=cached)
     attr1_cols, attr2_cols = pev.attr_columns(cfg, a1, a2)
-    clicks_wide, click_cols = clk.click_pivot(t, cfg, pop, all_catalog=all_click_events)
+    clicks_wide, click_cols = clk.click_pivot(t, cfg, pop, all_catalog=all_click_events, keep=cached)
 
     services = pev.service_columns(cfg)
     tariffs = pay.tariff_columns(cfg)
@@ -87,4 +95,4 @@ def build_dataset(
     spec = DatasetSpec(
         keys=list(KEY_COLUMNS), labels=list(LABEL_COLUMNS), features=features, click_features=click_cols
     )
-    return Dataset(filled.select(*[F.col(f"`{c}`") for c in spec.columns]), spec)
+    return Dataset(filled.select(*[F.col(f"`{c}`") for c in spec.columns]), spec, cached)

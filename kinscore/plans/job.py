@@ -12,6 +12,7 @@ import datetime as dt
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..operators.assemble import DatasetSpec
@@ -27,14 +28,16 @@ def collect_dataset(spark: SparkSession, t: Tables, cfg: JobConfig, out_root: st
     pop = materialize_population(active_population(t, cfg))
     ds = build_dataset(t, cfg, pop)
     sinks.write_dataset(ds.df, f"{out_root}/dataset")
+    ds.release()
+    # later stages read the written table, not the feature plan
     stored = Dataset(spark.read.parquet(f"{out_root}/dataset"), ds.spec)
-    counts = stored.df.groupBy().agg(
-        {"user_id": "count"}
-    ).first()[0], stored.df.where("is_asd = 1").count()
+    balance = stored.df.agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("is_asd") == 1, 1)).alias("asd")
+    ).first()
     comment = {
-        "dataset_length": counts[0],
-        "asd": counts[1],
-        "non_asd": counts[0] - counts[1],
+        "dataset_length": balance["n"],
+        "asd": balance["asd"],
+        "non_asd": balance["n"] - balance["asd"],
         "duration": f"{time.time() - start:.1f}s",
     }
     sinks.append_run_log(spark, f"{out_root}/runlog", "lookalike", "collect_dataset", comment)
