@@ -50,6 +50,9 @@ def get_recommendations(
     start = time.time()
     today = today or dt.date.today()
     history = sinks.read_history(spark, f"{out_root}/recommendations")
+    if history is not None:
+        # a retried run must not see its own day's partition (the write replaces it)
+        history = history.where(F.col("date_rec") != F.lit(today))
     rec = recommend(ds, cfg, history, today)
     sinks.write_last_list(rec.rows, f"{out_root}/rec_last")
     last = spark.read.parquet(f"{out_root}/rec_last")
