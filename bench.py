@@ -74,7 +74,11 @@ def main():
 
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": times, "sf": sf}))
+    print(
+        json.dumps(
+            {"metric": "total_query_time", "value": total, "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}
+        )
+    )
 
 
 if __name__ == "__main__":

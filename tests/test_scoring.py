@@ -22,14 +22,14 @@ def _vectors(spark, arr, offset=0):
     return spark.createDataFrame(rows, "user_id long, vec array<double>")
 
 
-@pytest.mark.parametrize("block_rows", [4096, 3])
-def test_nearest_matches_brute_force(spark, block_rows):
+@pytest.mark.parametrize("block_rows,method", [(4096, "auto"), (4096, "arrays"), (3, "auto")])
+def test_nearest_matches_brute_force(spark, block_rows, method):
     rng = np.random.default_rng(5)
     pos = rng.normal(size=(11, 6))
     cand = rng.normal(size=(40, 6))
     want = {i: np.abs(cand[i] - pos).sum(axis=1).min() for i in range(len(cand))}
     got = nearest_positive(
-        _vectors(spark, cand), _vectors(spark, pos, 1000), block_rows=block_rows, salt_buckets=4
+        _vectors(spark, cand), _vectors(spark, pos, 1000), block_rows=block_rows, salt_buckets=4, method=method
     ).collect()
     assert len(got) == len(cand)
     for r in got:
