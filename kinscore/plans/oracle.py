@@ -378,6 +378,18 @@ FROM dataset""",
     )
 
 
+def q_run_log_comment(cfg):
+    return with_adapters(
+        cfg,
+        *dataset_ctes(cfg),
+        body="""SELECT 'lookalike' AS task, 'collect_dataset' AS operation,
+       CAST(json_object('dataset_length', count(*),
+                        'asd', count(*) FILTER (WHERE is_asd = 1),
+                        'non_asd', count(*) FILTER (WHERE is_asd = 0)) AS VARCHAR) AS comment
+FROM dataset""",
+    )
+
+
 def q_class_weights(cfg):
     return with_adapters(
         cfg,
@@ -413,6 +425,7 @@ def all_oracle_sql(cfg: JobConfig | None = None) -> dict[str, str]:
         "feature_assembly": q_dataset(cfg),
         "label_balance": q_label_balance(cfg),
         "class_weights": q_class_weights(cfg),
+        "run_log_comment": q_run_log_comment(cfg),
     }
 
 

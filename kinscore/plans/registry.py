@@ -145,6 +145,13 @@ def label_balance_q(spark, sf_dir):
     )
 
 
+def run_log_comment_q(spark, sf_dir):
+    """The dataset stage's run-log row (JSON built with ``to_json``)."""
+    from ..sources.sinks import balance_log_row
+
+    return balance_log_row(feature_assembly_q(spark, sf_dir), "lookalike", "collect_dataset")
+
+
 def class_weights_q(spark, sf_dir):
     from ..operators.models import class_weight_table
 
@@ -217,6 +224,7 @@ QUERIES = {
     "feature_assembly": feature_assembly_q,
     "label_balance": label_balance_q,
     "class_weights": class_weights_q,
+    "run_log_comment": run_log_comment_q,
     "grid_search": grid_search_q,
     "crossfit_logreg": crossfit_logreg_q,
     "crossfit_trees": crossfit_trees_q,

@@ -63,5 +63,20 @@ def run_log_row(spark: SparkSession, task: str, operation: str, comment: dict) -
     )
 
 
+def balance_log_row(dataset: DataFrame, task: str, operation: str) -> DataFrame:
+    """S8 for the dataset stage, computed in Spark: one row whose JSON comment holds the row
+    count and the label balance (A10, F15 ``to_json``); no driver round trip."""
+    counts = dataset.agg(
+        F.count(F.lit(1)).alias("dataset_length"),
+        F.count(F.when(F.col("is_asd") == 1, 1)).alias("asd"),
+        F.count(F.when(F.col("is_asd") == 0, 1)).alias("non_asd"),
+    )
+    return counts.select(
+        F.lit(task).alias("task"),
+        F.lit(operation).alias("operation"),
+        F.to_json(F.struct("dataset_length", "asd", "non_asd")).alias("comment"),
+    )
+
+
 def append_run_log(spark: SparkSession, path: str, task: str, operation: str, comment: dict) -> None:
     run_log_row(spark, task, operation, comment).coalesce(1).write.mode("append").parquet(path)
