@@ -19,16 +19,21 @@ from ..functions.predicates import closed_window, false_or_null, is_false, is_tr
 from ..sources.tables import Tables
 
 
+# a category dimension (hundreds to thousands of rows) is broadcast only below this count
+MAX_BROADCAST_CATEGORIES = 1_000_000
+
+
 def jobs_category_ids(t: Tables, cfg: JobConfig) -> DataFrame:
-    """Categories in the jobs vertical/slug (J4 subquery)."""
-    c = t.categories
+    """Categories in the jobs vertical/slug (J4 subquery); broadcast behind a checked count."""
+    c = t.small("categories", MAX_BROADCAST_CATEGORIES)
     return c.where((F.col("vertical") == cfg.jobs_vertical) & (F.col("slug") == cfg.jobs_slug)).select(
         "category_id"
     )
 
 
 def category_ids_with_cat(t: Tables, cat_ids) -> DataFrame:
-    return t.categories.where(F.col("cat_id").isin(list(cat_ids))).select("category_id")
+    c = t.small("categories", MAX_BROADCAST_CATEGORIES)
+    return c.where(F.col("cat_id").isin(list(cat_ids))).select("category_id")
 
 
 def live_jobs_items(t: Tables, cfg: JobConfig) -> DataFrame:
@@ -104,10 +109,15 @@ class Population:
         return df.join(F.broadcast(ids) if self.small else ids, key, "left_semi")
 
     def scope(self, fact: DataFrame, aggregate) -> DataFrame:
-        """``aggregate`` must group by ``user_id``."""
+        """``aggregate`` must group by ``user_id``.
+
+        The large-population path joins the aggregate to the distinct population ids with an
+        *inner* join: Catalyst pushes a left-semi join below an aggregate on its grouping key
+        (which would shuffle every fact row by user before any map-side reduction), but not
+        an inner join. With unique ids both keep exactly the population's groups."""
         if self.small:
             return aggregate(self.semi(fact))
-        return self.semi(aggregate(fact))
+        return aggregate(fact).join(self.ids.distinct(), "user_id", "inner")
 
 
 def as_population(pop) -> Population:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # logical schema every source must provide (FIXTURES.md §1)
 SCHEMAS = {
@@ -52,6 +53,17 @@ class Tables:
     clicks: DataFrame
     event_catalog: DataFrame
 
+    def small(self, name: str, max_rows: int) -> DataFrame:
+        """Table ``name`` with a broadcast hint when it has at most ``max_rows`` rows.
+
+        The row count is checked once per table (a ``limit`` job over that table only) and
+        remembered; above the bound the table is returned unhinted and AQE decides."""
+        cache = self.__dict__.setdefault("_small", {})
+        if name not in cache:
+            cache[name] = getattr(self, name).limit(max_rows + 1).count() <= max_rows
+        df = getattr(self, name)
+        return F.broadcast(df) if cache[name] else df
+
     def validate(self) -> "Tables":
         for name, cols in SCHEMAS.items():
             have = set(getattr(self, name).columns)
