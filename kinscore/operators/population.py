@@ -72,10 +72,6 @@ def active_population(t: Tables, cfg: JobConfig) -> DataFrame:
     return non_test_users(t).join(owners, "user_id", "inner").select("user_id", "external_id").distinct()
 
 
-def population_ids(population: DataFrame) -> DataFrame:
-    return population.select("user_id")
-
-
 class Population:
     """The population plus what we know about its size.
 

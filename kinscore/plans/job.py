@@ -15,7 +15,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
-from ..operators.assemble import DatasetSpec
 from ..operators.population import active_population, materialize_population
 from ..sources import sinks
 from ..sources.tables import Tables
@@ -68,5 +67,3 @@ def run_job(spark: SparkSession, t: Tables, cfg: JobConfig, out_root: str, today
     ds = collect_dataset(spark, t, cfg, out_root)
     return get_recommendations(spark, ds, cfg, out_root, today)
 
-
-__all__ = ["collect_dataset", "get_recommendations", "run_job", "DatasetSpec"]
