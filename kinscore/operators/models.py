@@ -67,6 +67,11 @@ def add_weight_columns(df: DataFrame, label: str = "label") -> tuple[DataFrame,
     return out, totals
 
 
+# solver limits of the original fit (its library defaults): 100 iterations, tolerance 1e-4
+LOGREG_MAX_ITER = 100
+LOGREG_TOL = 1e-4
+
+
 def logistic(c_value: float, weighting: str, total_weight: float, seed: int = 17) -> LogisticRegression:
     """L2 with the penalty scaled to Spark's mean-loss objective."""
     return LogisticRegression(
@@ -76,7 +81,8 @@ def logistic(c_value: float, weighting: str, total_weight: float, seed: int = 17
         elasticNetParam=1.0,
         regParam=1.0 / (c_value * max(total_weight, 1e-12)),
         standardization=False,
-        maxIter=200,
+        maxIter=LOGREG_MAX_ITER,
+        tol=LOGREG_TOL,
         family="binomial",
     )
 
@@ -126,8 +132,16 @@ def grid_search_logreg(
         for w in weightings:
             tw = totals[w] * (folds - 1) / folds
             lr = logistic(c, w, tw)
-            maps.append({est.weightCol: lr.getWeightCol(), est.regParam: lr.getRegParam(),
-                         est.elasticNetParam: 1.0, est.standardization: False, est.maxIter: 200})
+            maps.append(
+                {
+                    est.weightCol: lr.getWeightCol(),
+                    est.regParam: lr.getRegParam(),
+                    est.elasticNetParam: 1.0,
+                    est.standardization: False,
+                    est.maxIter: LOGREG_MAX_ITER,
+                    est.tol: LOGREG_TOL,
+                }
+            )
             settings.append((c, w))
     cv = CrossValidator(
         estimator=est,

@@ -42,6 +42,14 @@ def vector_of(cols: list[str]) -> Column:
     return F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
 
 
+def _has_context(df: DataFrame) -> bool:
+    """Broadcast variables need a SparkContext (not available to a Spark Connect client)."""
+    try:
+        return df.sparkSession.sparkContext is not None
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def _numpy_nearest(candidates: DataFrame, positives: DataFrame, key: str, vec: str) -> DataFrame:
     """Single bounded block: ship it once per executor (broadcast variable) and compute each
     Arrow batch of candidates against it with numpy; dimensions are summed in index order,
@@ -93,7 +101,7 @@ def nearest_positive(
             key, F.lit(None).cast("double").alias("knn_dist"), F.lit(None).cast("double").alias("knn_score")
         )
     single = n_pos <= block_rows and n_pos * dims <= MAX_BROADCAST_CELLS
-    if single and method in ("auto", "numpy"):
+    if single and method in ("auto", "numpy") and _has_context(candidates):
         return _numpy_nearest(candidates, positives, key, vec)
     n_blocks = 1 if single else 2 * max(1, math.ceil(n_pos / block_rows))
     blocks = (
