@@ -73,7 +73,11 @@ def main():
         timed("recommend", lambda: run(recommend(state["ds"], cfg, with_tree_cv=False).rows))
 
     total = round(sum(times.values()), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(
         json.dumps(
             {"metric": "total_query_time", "value": total, "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}
