@@ -124,3 +124,15 @@ def test_history_append_is_idempotent_per_day(spark):
     assert json.loads(row["comment"]) == {"a": 1}
     with pytest.raises(ValueError):
         sinks.run_log_row(spark, "t", "op", {"x": "y" * 2000})
+
+
+def test_history_read_prunes_partitions(spark):
+    root = tempfile.mkdtemp(prefix="kinscore-test-", dir="/tmp")
+    rows = spark.createDataFrame([(1, 0.5)], "user_id long, knn_score double")
+    for day in (dt.date(2023, 1, 1), dt.date(2024, 1, 1)):
+        sinks.append_history(rows, f"{root}/h", day)
+    hist = sinks.read_history(spark, f"{root}/h")
+    recent = exclude_recent(spark.createDataFrame([(1,), (2,)], "user_id long"), hist, dt.date(2024, 1, 2), 180)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_rec" in plan and "date_rec" in plan
+    assert sorted(r[0] for r in recent.collect()) == [2]
