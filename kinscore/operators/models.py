@@ -4,8 +4,8 @@
   partitionings and need no global ordering (no single-task window over a class).
 * L2 L1-penalised logistic regression: Spark minimises the weighted *mean* log-loss, so the
   penalty of ``C·Σ w·loss + |β|₁`` becomes ``regParam = 1 / (C·Σw)``.
-* L4 grid search is one ``CrossValidator`` whose parameter maps couple ``weightCol`` with the
-  matching ``regParam``; fits run in parallel threads.
+* L4 grid search: 9 settings × 3 hash folds as concurrent fits; balanced weights and the
+  penalty scale come from each training fold, as in the original's cross-validated search.
 * L5 boosted trees are ``GBTClassifier``; it has no L1 leaf penalty, counts rows instead of
   hessian for the child minimum and samples features per node (compare by F1, not score).
 * L7 cross-fit: each half is scored by the model trained on the other half.
@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,45 +112,65 @@ def f1_evaluator() -> PositiveF1:
 
 @dataclass
 class GridResult:
-    rows: list[tuple[float, str, float]]  # (C, weighting, mean F1)
+    rows: list[tuple[float, str, float]]  # (C, weighting, mean F1 over folds)
     best_c: float
     best_weighting: str
     best_f1: float
 
 
-def grid_search_logreg(
-    train: DataFrame, totals: dict, c_grid, weightings, folds: int, parallelism: int = 4
-) -> GridResult:
-    """L4: mean F1 over ``folds`` for every (C, weighting); ties keep the first setting.
-
-    ``train`` carries label, features, fold and the ``w_*`` columns. Σw of a training fold
-    is taken as ``(folds-1)/folds`` of the total."""
-    est = LogisticRegression(featuresCol="features", labelCol="label")
-    maps, settings = [], []
-    for c in c_grid:
-        for w in weightings:
-            tw = totals[w] * (folds - 1) / folds
-            lr = logistic(c, w, tw)
-            maps.append(
-                {
-                    est.weightCol: lr.getWeightCol(),
-                    est.regParam: lr.getRegParam(),
-                    est.elasticNetParam: 1.0,
-                    est.standardization: False,
-                    est.maxIter: LOGREG_MAX_ITER,
-                    est.tol: LOGREG_TOL,
-                }
-            )
-            settings.append((c, w))
-    cv = CrossValidator(
-        estimator=est,
-        estimatorParamMaps=maps,
-        evaluator=f1_evaluator(),
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    model = cv.fit(train)
-    rows = [(c, w, float(m)) for (c, w), m in zip(settings, model.avgMetrics)]
+def _fold_weights(train: DataFrame, folds: int) -> dict[int, dict]:
+    """Per training fold k (rows with ``fold != k``): balanced weights and the total weight of
+    each weighting, from one small aggregate of (fold, label) counts."""
+    counts = {(int(r[0]), int(r[1])): r[2] for r in train.groupBy("fold", F.col("label").cast("int")).count().collect()}
+    out = {}
+    for k in range(folds):
+        n_pos = sum(n for (f, lab), n in counts.items() if f != k and lab == 1)
+        n_neg = sum(n for (f, lab), n in counts.items() if f != k and lab == 0)
+        n = n_pos + n_neg
+        bal_pos = n / (2.0 * n_pos) if n_pos else 0.0
+        bal_neg = n / (2.0 * n_neg) if n_neg else 0.0
+        out[k] = {
+            "bal": (bal_pos, bal_neg),
+            "totals": {"none": float(n), "ten_to_one": 10.0 * n_pos + n_neg, "balanced": bal_pos * n_pos + bal_neg * n_neg},
+        }
+    return out
+
+
+def grid_search_logreg(train: DataFrame, c_grid, weightings, folds: int, parallelism: int = 9) -> GridResult:
+    """L4: mean F1 over ``folds`` hash folds for every (C, weighting), as a grid search with
+    3-fold cross-validation does it: the balanced weights and the penalty scale
+    ``1 / (C·Σw)`` come from each training fold's own labels. The ``len(grid) × folds`` fits
+    run as concurrent Spark jobs; ties keep the first setting in grid order (C outer)."""
+    per_fold = _fold_weights(train, folds)
+    settings = [(c, w) for c in c_grid for w in weightings]
+    ev = f1_evaluator()
+    # each fold's training and validation rows are read by every setting: cache them once
+    fold_train, fold_valid = {}, {}
+    for k in range(folds):
+        bal_pos, bal_neg = per_fold[k]["bal"]
+        fold_train[k] = (
+            train.where(F.col("fold") != k)
+            .withColumn("w_balanced", F.when(F.col("label") == 1, bal_pos).otherwise(bal_neg))
+            .cache()
+        )
+        fold_valid[k] = train.where(F.col("fold") == k).cache()
+
+    def run(task):
+        (c, w), k = task
+        model = logistic(c, w, per_fold[k]["totals"][w]).fit(fold_train[k])
+        return (c, w), ev.evaluate(model.transform(fold_valid[k]))
+
+    tasks = [(s, k) for k in range(folds) for s in settings]
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            results = list(pool.map(run, tasks))
+    finally:
+        for frame in (*fold_train.values(), *fold_valid.values()):
+            frame.unpersist()
+    scores: dict = {}
+    for key, f1 in results:
+        scores.setdefault(key, []).append(f1)
+    rows = [(c, w, float(sum(scores[(c, w)]) / folds)) for c, w in settings]
     best = max(range(len(rows)), key=lambda i: (rows[i][2], -i))
     return GridResult(rows, rows[best][0], rows[best][1], rows[best][2])
 
@@ -160,12 +179,17 @@ def gbt(params: dict, seed: int = 17) -> GBTClassifier:
     return GBTClassifier(featuresCol="features", labelCol="label", seed=seed, **params)
 
 
-def cv_f1(train: DataFrame, estimator, folds: int) -> float:
-    """Mean F1 over hash folds for one estimator setting (the tree grid has one point)."""
-    cv = CrossValidator(
-        estimator=estimator, estimatorParamMaps=[{}], evaluator=f1_evaluator(), foldCol="fold", parallelism=1
-    )
-    return float(cv.fit(train).avgMetrics[0])
+def cv_f1(train: DataFrame, make_estimator, folds: int, parallelism: int = 3) -> float:
+    """Mean F1 over the hash folds for one estimator setting (the tree grid has one
+    point, used only for the log); the fold fits run as concurrent Spark jobs."""
+    ev = f1_evaluator()
+
+    def run(k):
+        model = make_estimator().fit(train.where(F.col("fold") != k))
+        return ev.evaluate(model.transform(train.where(F.col("fold") == k)))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return float(sum(pool.map(run, range(folds))) / folds)
 
 
 def positive_probability(pred: DataFrame, name: str) -> DataFrame:
@@ -179,13 +203,25 @@ class CrossFit:
     f1_second: float  # model of half 1 on half 0
 
 
-def cross_fit(train: DataFrame, make_estimator, name: str) -> CrossFit:
+def fit_logistic_on(df: DataFrame, c_value: float, weighting: str):
+    """Fit L2 on ``df`` with balanced weights and Σw taken from ``df``'s own labels."""
+    counts = {int(r[0]): r[1] for r in df.groupBy(F.col("label").cast("int")).count().collect()}
+    n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
+    n = n_pos + n_neg
+    bal_pos = n / (2.0 * n_pos) if n_pos else 0.0
+    bal_neg = n / (2.0 * n_neg) if n_neg else 0.0
+    totals = {"none": float(n), "ten_to_one": 10.0 * n_pos + n_neg, "balanced": bal_pos * n_pos + bal_neg * n_neg}
+    fitted = df.withColumn("w_balanced", F.when(F.col("label") == 1, bal_pos).otherwise(bal_neg))
+    return logistic(c_value, weighting, totals[weighting]).fit(fitted)
+
+
+def cross_fit(train: DataFrame, fit_half, name: str) -> CrossFit:
     """Two fits (run as concurrent Spark jobs); every row is scored by the model that
-    did not see it."""
+    did not see it. ``fit_half(df)`` returns a model fitted on ``df``."""
     halves = [train.where(F.col("half") == h) for h in (0, 1)]
     with ThreadPoolExecutor(max_workers=2) as pool:
-        f0 = pool.submit(lambda: make_estimator().fit(halves[0]))
-        f1 = pool.submit(lambda: make_estimator().fit(halves[1]))
+        f0 = pool.submit(fit_half, halves[0])
+        f1 = pool.submit(fit_half, halves[1])
         m0, m1 = f0.result(), f1.result()
     p1 = m0.transform(halves[1])  # half 1 scored by the model of half 0
     p0 = m1.transform(halves[0])

@@ -49,20 +49,17 @@ def training_frame(ds: Dataset, cfg: JobConfig) -> tuple[DataFrame, dict, list[s
     return weighted.checkpoint(eager=True), totals, feats
 
 
-def logistic_scores(train: DataFrame, totals: dict, cfg: JobConfig, parallelism: int = 9):
-    grid = M.grid_search_logreg(
-        train, totals, cfg.logreg_c_grid, cfg.logreg_weightings, cfg.cv_folds, parallelism
-    )
-    half_total = {k: v / 2.0 for k, v in totals.items()}
+def logistic_scores(train: DataFrame, cfg: JobConfig, parallelism: int = 9):
+    grid = M.grid_search_logreg(train, cfg.logreg_c_grid, cfg.logreg_weightings, cfg.cv_folds, parallelism)
     fit = M.cross_fit(
-        train, lambda: M.logistic(grid.best_c, grid.best_weighting, half_total[grid.best_weighting]), "logreg_score"
+        train, lambda half: M.fit_logistic_on(half, grid.best_c, grid.best_weighting), "logreg_score"
     )
     return grid, fit
 
 
 def tree_scores(train: DataFrame, cfg: JobConfig, with_cv: bool = True):
-    cv = M.cv_f1(train, M.gbt(cfg.gbt_params, cfg.seed), cfg.cv_folds) if with_cv else None
-    fit = M.cross_fit(train, lambda: M.gbt(cfg.gbt_params, cfg.seed), "xgb_score")
+    cv = M.cv_f1(train, lambda: M.gbt(cfg.gbt_params, cfg.seed), cfg.cv_folds) if with_cv else None
+    fit = M.cross_fit(train, lambda half: M.gbt(cfg.gbt_params, cfg.seed).fit(half), "xgb_score")
     return cv, fit
 
 
@@ -89,7 +86,7 @@ def recommend(
     train, totals, feats = training_frame(ds, cfg)
     # scorers run one after the other: each already submits concurrent fits (grid
     # parallelism, the two cross-fit halves); stacking more threads measured slower
-    grid, lr_fit = logistic_scores(train, totals, cfg, parallelism)
+    grid, lr_fit = logistic_scores(train, cfg, parallelism)
     tree_cv, gbt_fit = tree_scores(train, cfg, with_tree_cv)
     knn = knn_scores(ds, cfg)
 

@@ -172,7 +172,7 @@ def grid_search_q(spark, sf_dir):
     from .recommend import logistic_scores
 
     _, cfg, train, totals = _training(spark, sf_dir)
-    grid, _ = logistic_scores(train, totals, cfg)
+    grid, _ = logistic_scores(train, cfg)
     return spark.createDataFrame(grid.rows, "C double, weighting string, f1 double")
 
 
@@ -181,7 +181,7 @@ def crossfit_logreg_q(spark, sf_dir):
     from .recommend import logistic_scores
 
     _, cfg, train, totals = _training(spark, sf_dir)
-    _, fit = logistic_scores(train, totals, cfg)
+    _, fit = logistic_scores(train, cfg)
     return fit.scores
 
 

@@ -41,9 +41,9 @@ def test_weights(train):
 
 def test_grid_and_cross_fit(spark, train):
     df, totals = train
-    grid = M.grid_search_logreg(df, totals, (0.1, 1.0), ("none", "balanced"), 3, parallelism=2)
+    grid = M.grid_search_logreg(df, (0.1, 1.0), ("none", "balanced"), 3, parallelism=4)
     assert len(grid.rows) == 4 and grid.best_f1 > 0.5  # majority baseline F1 of class 1 is 0
-    fit = M.cross_fit(df, lambda: M.logistic(grid.best_c, grid.best_weighting, totals[grid.best_weighting] / 2), "s")
+    fit = M.cross_fit(df, lambda half: M.fit_logistic_on(half, grid.best_c, grid.best_weighting), "s")
     scores = fit.scores
     assert scores.count() == 240 and scores.select("user_id").distinct().count() == 240
     assert fit.f1_first > 0.5 and fit.f1_second > 0.5
@@ -56,9 +56,10 @@ def test_trees_cross_fit(spark, train):
     df, _ = train
     params = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.7,
               "featureSubsetStrategy": "0.5", "minInstancesPerNode": 10}
-    fit = M.cross_fit(df, lambda: M.gbt(params), "xgb_score")
+    fit = M.cross_fit(df, lambda half: M.gbt(params).fit(half), "xgb_score")
     assert fit.scores.count() == 240
     assert fit.f1_first > 0.5
+    assert M.cv_f1(df, lambda: M.gbt(params), 3) > 0.5
 
 
 def test_class_weight_table(spark):
