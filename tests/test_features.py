@@ -137,3 +137,34 @@ def test_dataset_one_row_per_user_and_zero_fill(spark):
     assert sorted(pdf["user_id"]) == [1, 3]
     assert not pdf.isnull().values.any()
     assert list(pdf.columns[:5]) == ["user_id", "external_id", "is_asd", "was_asd", "asd_others"]
+
+
+def test_production_parameters_and_cyrillic_columns(spark):
+    import datetime as dt
+
+    from kinscore.config import production_config
+
+    as_of = dt.date(2024, 3, 31)
+    cfg = production_config(as_of)
+    cats = [(11, "Jobs", "vakansii", 250006), (12, "Jobs", "rezume", 250004), (13, "Other", "x", 1)]
+    users = [(1, 501, False), (2, 502, False)]
+    items = [
+        (100, 1, 11, False, "Продавец-консультант", "Полный день"),
+        (101, 1, 11, False, "Водитель", None),
+        (200, 2, 11, False, "Водитель", "Сменный график"),
+    ]
+    t0 = dt.datetime(2024, 3, 20)
+    pe = [
+        (100, t0, True, "XL", "a1"),
+        (101, t0, True, "max single", "a2"),
+        (200, t0, True, "XL", "a3"),
+    ]
+    t = make_tables(spark, users=users, items=items, categories=cats, payment_events=pe)
+    ds = build_dataset(t, cfg)
+    cols = ds.df.columns
+    # the soft sign maps to "_" (fixed letter map), the hyphen is dropped
+    for name in ("prodaveckonsul_tant", "voditel_", "polnyy_den_", "smennyy_grafik", "XL", "max_single", "tariff_ext_Job_ASD"):
+        assert name in cols, name
+    rows = {r["user_id"]: r for r in ds.df.collect()}
+    assert rows[1]["voditel_"] == 1.0 and rows[1]["prodaveckonsul_tant"] == 1.0 and rows[1]["max_single"] == 1.0
+    assert rows[2]["smennyy_grafik"] == 1.0 and rows[2]["XL"] == 1.0
