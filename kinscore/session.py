@@ -19,6 +19,8 @@ SCALE_CONF = {
     # split a hot join partition even when that costs an extra shuffle: the fact ⋈ items
     # joins feed aggregates keyed by item_id, which would otherwise forbid the split
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # let AQE coalesce / re-plan the output of persisted intermediates too
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
