@@ -18,24 +18,28 @@ from pyspark.sql import functions as F
 from ..config import JobConfig
 from ..functions.predicates import closed_window
 from ..functions.text import assert_unique_names, slug
-from ..sources.catalog import MAX_CATALOG_ROWS, checked_catalog
+from ..sources.catalog import MAX_CATALOG_ROWS
 from ..sources.tables import Tables
 from .population import as_population
 
 
 def catalog_names(t: Tables, cfg: JobConfig) -> DataFrame:
-    """(eid, feature) with feature = slug(name) + suffix; the CASE of the original as a join."""
-    return t.event_catalog.select("eid", F.concat(slug("name"), F.lit(cfg.click_suffix)).alias("feature"))
+    """(eid, feature) with feature = slug(name) + suffix; the CASE of the original as a
+    (broadcast, size-checked) join."""
+    return t.small("event_catalog", MAX_CATALOG_ROWS).select(
+        "eid", F.concat(slug("name"), F.lit(cfg.click_suffix)).alias("feature")
+    )
 
 
 def click_counts(t: Tables, cfg: JobConfig, population) -> DataFrame:
     """(user_id, eid, cnt) for population users, catalog events, last ``click_days`` days."""
     pop = as_population(population)
-    catalog = checked_catalog(t.event_catalog)
+    # broadcast behind the catalog's row count, checked once per run
+    catalog = t.small("event_catalog", MAX_CATALOG_ROWS)
     clicks = (
         t.clicks.where(closed_window("event_date", cfg.click_as_of, cfg.click_days))
         .select("user_id", "eid")
-        .join(F.broadcast(catalog.select("eid").distinct()), "eid", "left_semi")
+        .join(catalog.select("eid").distinct(), "eid", "left_semi")
     )
 
     def aggregate(df: DataFrame) -> DataFrame:
@@ -46,7 +50,7 @@ def click_counts(t: Tables, cfg: JobConfig, population) -> DataFrame:
 
 def named_click_counts(t: Tables, cfg: JobConfig, population) -> DataFrame:
     """(user_id, feature, cnt): counts with the event's column name (P12 via broadcast join)."""
-    return click_counts(t, cfg, population).join(F.broadcast(catalog_names(t, cfg)), "eid", "inner").select(
+    return click_counts(t, cfg, population).join(catalog_names(t, cfg), "eid", "inner").select(
         "user_id", "feature", F.col("cnt").cast("double").alias("cnt")
     )
 
@@ -56,10 +60,8 @@ def click_feature_names(t: Tables, cfg: JobConfig, counts: DataFrame | None = No
     src = catalog_names(t, cfg)
     if counts is not None:
         src = src.join(counts.select("eid").distinct(), "eid", "left_semi")
-    rows = src.select("feature").distinct().limit(MAX_CATALOG_ROWS + 1).collect()
-    if len(rows) > MAX_CATALOG_ROWS:
-        raise ValueError(f"more than {MAX_CATALOG_ROWS} click features: catalog too large to pivot")
-    names = sorted(r[0] for r in rows)
+    # bounded by the catalog, whose size click_counts has checked
+    names = sorted(r[0] for r in src.select("feature").distinct().collect())
     assert_unique_names(names)
     return names
 
@@ -73,6 +75,6 @@ def click_pivot(
     if keep is not None:
         keep.append(counts)
     names = click_feature_names(t, cfg, None if all_catalog else counts)
-    named = counts.join(F.broadcast(catalog_names(t, cfg)), "eid", "inner")
+    named = counts.join(catalog_names(t, cfg), "eid", "inner")
     wide = named.groupBy("user_id").pivot("feature", names).agg(F.sum("cnt"))
     return wide.select("user_id", *[F.col(f"`{n}`").cast("double").alias(n) for n in names]), names

@@ -67,9 +67,9 @@ def discover_attr_values(level1: DataFrame) -> tuple[list[tuple[str, str]], list
     """FE15/FE16 value discovery over revenue rows: (value, slug) pairs, sorted.
 
     One job for both attributes. attr1 keeps every non-null value, attr2 also skips empty
-    strings (semantics note 6: null is skipped in both). At most ``MAX_ATTR_VALUES + 1``
-    values per attribute reach the driver: more than the limit fails the run instead of
-    pulling an unbounded set."""
+    strings (semantics note 6: null is skipped in both). The distinct values are counted
+    first (two rows reach the driver); more than ``MAX_ATTR_VALUES`` fails the run instead of
+    pulling an unbounded set. Both jobs read the persisted level-1 frame."""
     rev = level1.where(F.col("n_rev") > 0)
     both = (
         rev.where(F.col("attr1").isNotNull())
@@ -81,12 +81,12 @@ def discover_attr_values(level1: DataFrame) -> tuple[list[tuple[str, str]], list
         )
         .distinct()
     )
-    rows = both.select("k", "v", slug("v").alias("s")).limit(2 * MAX_ATTR_VALUES + 2).collect()
+    sizes = {r["k"]: r["n"] for r in both.groupBy("k").count().withColumnRenamed("count", "n").collect()}
+    if max(sizes.values(), default=0) > MAX_ATTR_VALUES:
+        raise ValueError(f"more than {MAX_ATTR_VALUES} attribute values: not a column set")
+    rows = both.select("k", "v", slug("v").alias("s")).collect()
     a1 = sorted((r["v"], r["s"]) for r in rows if r["k"] == 1)
     a2 = sorted((r["v"], r["s"]) for r in rows if r["k"] == 2)
-    for vals in (a1, a2):
-        if len(vals) > MAX_ATTR_VALUES:
-            raise ValueError(f"more than {MAX_ATTR_VALUES} attribute values: not a column set")
     return a1, a2
 
 
