@@ -13,6 +13,7 @@ Only hyper-parameters, class counts, the vote size and log metrics reach the dri
 from __future__ import annotations
 
 import datetime as dt
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
@@ -28,6 +29,9 @@ from ..session import ensure_checkpoint_dir
 from .dataset import Dataset
 
 
+TRAIN_ROWS_PER_PARTITION = 50_000
+
+
 @dataclass
 class Recommendation:
     rows: DataFrame  # the 14 output columns
@@ -44,9 +48,14 @@ def training_frame(ds: Dataset, cfg: JobConfig) -> tuple[DataFrame, dict, list[s
     )
     split = M.add_split_columns(vec, "user_id", cfg.seed, cfg.cv_folds)
     weighted, totals = M.add_weight_columns(split)
-    # every fit iterates over this frame: cut its lineage once in the reliable checkpoint dir
+    # every fit iterates over this frame (one task per partition per iteration), so it gets
+    # about TRAIN_ROWS_PER_PARTITION rows per partition. A repartition (one shuffle of a
+    # frame with one row per user) rather than coalesce, which would pull the reduced
+    # parallelism into the upstream join stage.
+    parts = max(1, math.ceil(totals["none"] / TRAIN_ROWS_PER_PARTITION))
+    # cut its lineage once in the reliable checkpoint dir
     ensure_checkpoint_dir(weighted.sparkSession)
-    return weighted.checkpoint(eager=True), totals, feats
+    return weighted.repartition(parts, "user_id").checkpoint(eager=True), totals, feats
 
 
 def logistic_scores(train: DataFrame, cfg: JobConfig, parallelism: int = 9):
