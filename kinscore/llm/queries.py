@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from kinscore.llm.common import table
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.substring_dedup import substring_dedup
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup(docs, keep_clean=False).drop("text")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinscore.llm.quality_rules import quality_rules
 
@@ -27,5 +34,5 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_quality_rules, op9_simhash_dedup)
+    f.__name__: f for f in (op6_substring_dedup, op7_quality_rules, op9_simhash_dedup)
 }
