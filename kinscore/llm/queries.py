@@ -26,6 +26,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text")
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.source_mixing import plan_mix
+
+    plan = plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mix = F.col("__mix")
+    taken = mix["size"] * F.size(mix["copies"])
+    return plan.select(
+        "doc_id", mix["size"].alias("size"), mix["source_size"].alias("source_size"),
+        mix["target"].alias("target"), taken.cast("long").alias("taken"),
+    )
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinscore.llm.simhash_dedup import simhash_components
 
@@ -34,5 +46,5 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_substring_dedup, op7_quality_rules, op9_simhash_dedup)
+    f.__name__: f for f in (op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup)
 }
