@@ -74,8 +74,9 @@ def require(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"columns missing: {missing}")
 
 
-def with_text(df: DataFrame, like: DataFrame, new_text: Column, text: str = "text") -> DataFrame:
-    """The columns of ``like`` out of ``df``, with a new text and an ``n_chars`` that follows it."""
+def with_text(df: DataFrame, like: DataFrame, new_text: Column, text: str = "text", *more: Column) -> DataFrame:
+    """The columns of ``like`` out of ``df``, with a new text and an ``n_chars`` that follows it,
+    and ``more`` behind them."""
     cols = []
     for f in like.schema.fields:
         if f.name == text:
@@ -84,4 +85,4 @@ def with_text(df: DataFrame, like: DataFrame, new_text: Column, text: str = "tex
             cols.append(F.length(new_text).cast(f.dataType).alias("n_chars"))
         else:
             cols.append(F.col(f"`{f.name}`"))
-    return df.select(*cols)
+    return df.select(*cols, *more)

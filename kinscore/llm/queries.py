@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from kinscore.llm.common import table
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.sentencepiece_codec import sentencepiece_codec
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_codec(docs, fields=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinscore.llm.substring_dedup import substring_dedup
 
@@ -46,5 +53,5 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup)
+    f.__name__: f for f in (op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup)
 }
