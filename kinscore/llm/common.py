@@ -62,10 +62,15 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
             yield batch.slice(start)
 
 
-def arrow_schema(df: DataFrame) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(df.schema)
+def worker_cache(name: str, make):
+    """An object that outlives a task in a Python worker that Spark uses again."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("_kinscore_worker_cache", types.ModuleType("_kinscore_worker_cache"))
+    if name not in held.__dict__:
+        held.__dict__[name] = make()
+    return held.__dict__[name]
 
 
 def require(df: DataFrame, *columns: str) -> None:

@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from kinscore.llm.common import table
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.token_shards import token_shards
+
+    return token_shards(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinscore.llm.sentencepiece_codec import sentencepiece_codec
 
@@ -53,5 +59,5 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup)
+    f.__name__: f for f in (op3_token_shards, op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup)
 }
