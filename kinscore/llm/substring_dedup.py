@@ -2,31 +2,34 @@
 
 A window is ``WINDOW`` consecutive words; a window is a duplicate when the same words also
 start in a document with a smaller id. Documents are parsed greedily into factors (longest
-matches) of reference blocks; factors of a window or more are duplicate spans, and windows
+matches) of reference blocks; factors of a window or more are duplicate spans, and the windows
 that cross the boundary of two factors are looked up one by one.
 
 Which blocks can hold a window of a document? Every window names one *anchor*: of its
 ``WINDOW - GRAM + 1`` grams of ``GRAM`` words the one with the smallest hash. Equal windows name
-equal anchors, so a reference block holds the snippets of all documents around
-one anchor, and a document is parsed against the blocks of its anchors; no other
-block can match. Neighbouring windows mostly share an anchor, so there is about one anchor per five words.
-
-1. *Anchor census*: (anchor, id) pairs, one per document, partially aggregated; anchors of one
-   document only are done with. The rest are joined back to their documents.
-2. *Reference blocks*: the snippet around a shared anchor spans all windows that name it (13 to 21
-   words). Equal snippets are merged by a partial aggregate (smallest and largest id), so a
-   passage in a third of all documents is one row. A block is streamed in the order of ids, its
-   windows are indexed as they come, and each snippet is factored against the index so far.
-   An anchor in more than ``block_docs`` documents gives blocks of one window each instead, which are
-   one row after merging: no block outgrows a task.
-3. The smallest id of each window goes back to the snippets' documents by an equi-join that adaptive
-   execution may split; documents then cut the covered words.
-
-The words themselves are compared in the blocks (hashes only route them).
+equal anchors, so a reference block holds what all documents have around one anchor, and
+a document is parsed against the blocks of its anchors; no other block can match.
+Neighbouring windows mostly share an anchor: there is about one anchor for five windows.
+
+1. One row per anchor of a document: the anchor's hash, the document, and its *snippet*, the
+   run of windows that name the anchor, each as ``KEY_BYTES`` bytes of its hash. One exchange by
+   anchor brings a block together.
+2. A block is streamed in the order of ids. Each snippet is factored against the index of the
+   snippets before it (a factor grows while the windows go on as in the reference), then
+   its own new windows are indexed. Duplicate windows leave as one bit each.
+3. The bits are gathered by document, and the documents cut the covered words.
+
+An anchor in a large part of all documents would crowd one task. A look at one document in
+``LOOK`` finds such anchors; it decides only on how rows are dealt, never on
+the result. Windows of a crowded anchor become rows of their own, dealt by window and salt:
+of the documents in one salt all but the smallest have a smaller one beside them; the
+smallest of each salt (at most ``SALTS`` rows a window) are compared in a second, small exchange.
+
+Windows are compared by hash: the anchor's 64 bits and ``8 * KEY_BYTES`` bits of the window.
 
 Cases: null, empty and short texts have no window and stay as they are; a null id is neither a
 reference nor cut; rows with the same id do not cut each other (no id is smaller) and are each
-judged; text is never truncated, a very long text takes memory in
+judged by their own text; text is never truncated, a very long text takes memory in
 proportion to itself; extra columns pass through; an empty table gives none.
 """
 
@@ -37,16 +40,24 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinscore.llm.common import require, saved, slices, texts_of, with_text
+from kinscore.llm.common import require, scratch_path, slices, texts_of, with_text
 
 WINDOW = 13
 GRAM = 5
-#: documents of an anchor up to which its snippets form one block
-BLOCK_DOCS = 4096
+#: bytes of a window's hash that travel beside the 8 bytes of its anchor
+KEY_BYTES = 5
+#: one document in LOOK is looked at for crowded anchors
+LOOK = 8
+#: an anchor is crowded if a task saw it in so many of those documents
+CROWD = 16
+#: anchors dealt by window at most, the most crowded first (8 bytes each, sent to every task)
+CROWDED_ANCHORS = 100_000
+SALTS = 64
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,204 +78,204 @@ def gram_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return g
 
 
-def anchors(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(words: list[bytes], window: int = WINDOW, gram: int = GRAM):
     """(anchor hash, first window, one past the last window) of every run of windows that
-    names the same anchor."""
+    names the same anchor, and the hashes of all windows."""
     if len(words) < window:
         none = np.zeros(0, np.int64)
-        return none, none, none
-    g = gram_hashes(word_hashes(words), gram)
+        return none, none, none, np.zeros(0, np.uint64)
+    h = word_hashes(words)
+    g = gram_hashes(h, gram)
     width = window - gram + 1
     at = np.lib.stride_tricks.sliding_window_view(g, width).argmin(axis=1) + np.arange(len(g) - width + 1)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return g[at[first]].view(np.int64), first, np.r_[first[1:], len(at)]
+    return g[at[first]].view(np.int64), first, np.r_[first[1:], len(at)], gram_hashes(h, window)
 
 
-def _window_key(words: list[bytes]) -> int:
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - 2**63
+def factor_bits(snippets: list[tuple[int, bytes]], size: int = KEY_BYTES) -> list[int]:
+    """Parse the snippets of one block, (id, window keys) in the order of ids.
 
-
-def parse_block(rows: list[tuple[int, bytes]], window: int = WINDOW) -> list[list[int]]:
-    """Factor the snippets of one block, given as (smallest id, words) in the order of ids.
-
-    Per snippet and window: the smallest id of a document with that window, the snippet's own
-    included."""
+    Per snippet the bits of its windows that a smaller id has. A window's first entry in the index
+    has the smallest id, so the index answers for every earlier document."""
     index: dict[bytes, tuple[int, list[bytes], int]] = {}
     found = []
-    for own, snippet in rows:
-        words = snippet.split(b" ")
-        n = len(words) - window + 1
-        keys = [b" ".join(words[i : i + window]) for i in range(n)]
-        least = [own] * n
-        at = 0  # the next word to factor
-        look = 0  # the next window to look up: those before it are known
-        while at < n or look < n:
-            # windows that cross the boundary at ``at``
-            while look < min(at, n):
-                hit = index.get(keys[look])
-                if hit:
-                    least[look] = hit[0]
-                look += 1
-            if at >= n:
-                break
-            hit = index.get(keys[at])
-            if hit is None or hit[0] == own:
-                at += 1  # a literal word: no earlier document has this window
-                look = max(look, at)
-                continue
-            earlier, ref, r = hit
-            length = window
-            while at + length < len(words) and r + length < len(ref) and words[at + length] == ref[r + length]:
-                length += 1
-            for i in range(at, at + length - window + 1):
-                least[i] = earlier
-            look = at + length - window + 1
-            at += length
-        for i, key in enumerate(keys):
-            index.setdefault(key, (own, words, i))
-        found.append(least)
+    for own, packed in snippets:
+        keys = [packed[i : i + size] for i in range(0, len(packed), size)]
+        n, i, bits = len(keys), 0, 0
+        new = []
+        while i < n:
+            hit = index.get(keys[i])
+            if hit is None:
+                new.append(i)  # a literal
+                i += 1
+            elif hit[0] == own:
+                i += 1
+            else:
+                # the longest factor from here: every window in it is a duplicate
+                _, ref, r = hit
+                while i < n and r < len(ref) and keys[i] == ref[r]:
+                    bits |= 1 << i
+                    i, r = i + 1, r + 1
+                # windows behind it cross its boundary until the next factor starts: looked up singly
+        for i in new:
+            index.setdefault(keys[i], (own, keys, i))
+        found.append(bits)
     return found
 
 
+def crowded_anchors(known: DataFrame, window: int, gram: int, look: int, crowd: int) -> np.ndarray:
+    def count(batches):
+        seen: list[np.ndarray] = []
+
+        def out():
+            a, n = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.int64),) * 2
+            seen.clear()
+            hot = n >= crowd
+            return pa.RecordBatch.from_arrays([pa.array(a[hot], pa.int64()), pa.array(n[hot])], ["anchor", "n"])
+
+        for batch in slices(batches):
+            seen += [np.unique(anchors(t.split(), window, gram)[0]) for t in texts_of(batch)]
+            if sum(map(len, seen)) > 2_000_000:
+                yield out()
+        yield out()
+
+    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(look)) == 0).select("text")
+    hot = sample.mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.max("n").alias("n"))
+    rows = hot.orderBy(F.desc("n"), "anchor").limit(CROWDED_ANCHORS).collect()
+    return np.array(sorted(r.anchor for r in rows), np.int64)
+
+
 def duplicate_windows(
-    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block_docs: int = BLOCK_DOCS
+    docs: DataFrame,
+    window: int = WINDOW,
+    gram: int = GRAM,
+    look: int = LOOK,
+    crowd: int = CROWD,
 ) -> DataFrame:
-    """(doc_id, text_hash, starts, bits): the duplicate windows of each document that has any; bit
-    i beside start s marks window s + i. ``docs`` has doc_id (long) and text; the hash of the
-    text tells rows apart that repeat an id."""
+    """(doc_id, at, bits): the duplicate windows of each document that has any. ``at`` holds the
+    32-bit hash of the row's text (which tells rows apart that repeat an id) above the number
+    of a window, and bit i marks the i-th window from there. ``docs`` has doc_id (long) and text."""
     if window - gram >= 62:
         raise ValueError("a snippet's windows must fit the bits of a long")
     known = docs.where("doc_id is not null").select("doc_id", "text")
-    hashed = known.withColumn("text_hash", F.xxhash64("text"))
-
-    def census(batches):
-        for batch in slices(batches):
-            ids, found = [], []
-            for i, t in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                a = np.unique(anchors(t.split(), window, gram)[0])
-                ids.append(np.full(len(a), i, np.int64))
-                found.append(a)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found)), pa.array(np.concatenate(ids))], ["anchor", "doc_id"]
-            )
-
-    named = known.mapInArrow(census, "anchor long, doc_id long")
-    shared = (
-        named.groupBy("anchor")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
-        .where("low < high")
-        .select("anchor", (F.col("n") > block_docs).alias("hot"))
-    )
-    # per document the shared anchors, the hot ones apart
-    of_doc = (
-        named.join(shared, "anchor")
-        .groupBy("doc_id")
-        .agg(
-            F.collect_list(F.when(~F.col("hot"), F.col("anchor"))).alias("cool"),
-            F.collect_list(F.when(F.col("hot"), F.col("anchor"))).alias("hot"),
-        )
-    )
-    of_doc = saved(of_doc)
-    routed = hashed.join(of_doc, "doc_id")
+    crowded = crowded_anchors(known, window, gram, look, crowd)
 
     def snippets(batches):
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["block", "doc_id", "at", "keys"]
         for batch in slices(batches):
-            out: list[tuple[int, int, int, int, bytes]] = []
-            cols = [batch.column(c) for c in ("doc_id", "text_hash", "cool", "hot")]
-            for i, text in enumerate(texts_of(batch)):
-                row = tuple(c[i].as_py() for c in cols[:2])
-                cool, hot = (np.asarray(c[i].values, np.int64) for c in cols[2:])
-                words = text.split()
-                key, start, stop = anchors(words, window, gram)
-                for j in np.flatnonzero(np.isin(key, cool)).tolist():
-                    a, b = int(start[j]), int(stop[j])
-                    out.append((int(key[j]), *row, a, b" ".join(words[a : b + window - 1])))
-                for j in np.flatnonzero(np.isin(key, hot)).tolist() if len(hot) else ():
-                    for a in range(int(start[j]), int(stop[j])):
-                        own = words[a : a + window]
-                        out.append((_window_key(own), *row, a, b" ".join(own)))
-            cols = zip(*out, strict=True) if out else ((),) * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                ["block", "doc_id", "text_hash", "start", "snippet"],
+            block, ids, at, sizes, keys = [], [], [], [], []
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
+                key, start, stop, h = anchors(text.split(), window, gram)
+                if not len(key):
+                    continue
+                row = np.uint64(xxhash.xxh32_intdigest(text) << 32).view(np.int64)
+                raw = h.view(np.uint8).reshape(-1, 8)
+                apart = np.isin(key, crowded) if len(crowded) else np.zeros(len(key), bool)
+                if apart.any():
+                    salt = np.uint64(xxhash.xxh32_intdigest(str(doc)) % SALTS)
+                    wins = np.concatenate([np.arange(a, b) for a, b in zip(start[apart], stop[apart], strict=True)])
+                    block.append(((h[wins] ^ (salt + np.uint64(1))) * _MULT).view(np.int64))
+                    at.append(row + wins)
+                    ids.append(np.full(len(wins), doc, np.int64))
+                    sizes.append(np.full(len(wins), 8, np.int64))
+                    keys.append(raw[wins].ravel())
+                    plain = np.repeat(~apart, stop - start)
+                    key, start, stop, raw = key[~apart], start[~apart], stop[~apart], raw[plain]
+                block.append(key)
+                at.append(row + start)
+                ids.append(np.full(len(key), doc, np.int64))
+                sizes.append((stop - start) * KEY_BYTES)
+                keys.append(raw[:, :KEY_BYTES].ravel())
+            if not block:
+                continue
+            ends = np.r_[0, np.cumsum(np.concatenate(sizes))].astype(np.int32)
+            body = np.ascontiguousarray(np.concatenate(keys))
+            packed = pa.Array.from_buffers(
+                pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(body.tobytes())]
             )
-
-    placed = routed.mapInArrow(snippets, "block long, doc_id long, text_hash long, start int, snippet binary")
-    merged = placed.groupBy("block", "snippet").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+            fixed = [pa.array(np.concatenate(x)) for x in (block, ids, at)]
+            yield pa.RecordBatch.from_arrays([*fixed, packed], names)
 
     def factor(batches):
-        block, rows = None, []
-
-        def done():
-            for (low, snippet, high), least in zip(rows, parse_block([r[:2] for r in rows], window), strict=True):
-                if min(least) < high:
-                    yield block, xxhash.xxh3_64_intdigest(snippet) - 2**63, least
-
-        def out(found):
-            cols = zip(*found, strict=True) if found else ((),) * 3
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["block", "print", "least"]
-            )
+        import pyarrow.compute as pc
+
+        names = ["doc_id", "at", "bits", "tie"]
+        held, last, first = None, None, None  # rows of the block at hand; crowded window at hand, its first id
+
+        def parsed(t, complete: int):
+            """Rows of the blocks in the first ``complete`` rows that hold more than one document."""
+            block, ids = t.column("block").to_numpy()[:complete], t.column("doc_id").to_numpy()[:complete]
+            at, keys = t.column("at").to_numpy(), t.column("keys")
+            edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if complete else np.zeros(1, int)
+            out = []
+            for i in np.flatnonzero(ids[edge[:-1]] != ids[edge[1:] - 1]).tolist():
+                x, y = int(edge[i]), int(edge[i + 1])
+                bits = factor_bits(list(zip(ids[x:y].tolist(), keys[x:y].to_pylist(), strict=True)))
+                out += [(d, a, m, None) for d, a, m in zip(ids[x:y].tolist(), at[x:y].tolist(), bits, strict=True) if m]
+            cols = zip(*out, strict=True) if out else ((),) * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
         for batch in batches:
-            found = []
-            for b, low, snippet, high in zip(
-                *(batch.column(c).to_pylist() for c in ("block", "low", "snippet", "high")), strict=True
-            ):
-                if b != block:
-                    if len(rows) > 1 or (rows and rows[0][0] < rows[0][2]):
-                        found += done()
-                    block, rows = b, []
-                rows.append((low, snippet, high))
-            yield out(found)
-        if rows:
-            yield out(list(done()))
-
-    blocks = merged.repartition("block").sortWithinPartitions("block", "low", "snippet")
-    least = blocks.mapInArrow(factor, "block long, print long, least array<long>")
-
-    def prints(batches):
-        for batch in batches:
-            found = [xxhash.xxh3_64_intdigest(s) - 2**63 for s in batch.column("snippet").to_pylist()]
-            rest = ["doc_id", "text_hash", "start"]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), pa.array(found, pa.int64()), *map(batch.column, rest)], ["block", "print", *rest]
-            )
-
-    occurs = placed.mapInArrow(prints, "block long, print long, doc_id long, text_hash long, start int")
-    flags = occurs.join(least, ["block", "print"]).where(F.array_min("least") < F.col("doc_id"))
-    # one bit per duplicate window of the snippet
-    bits = F.expr("aggregate(least, struct(0L as m, 0 as i), (s, x) -> struct("
-                  "s.m | if(x < doc_id, shiftleft(1L, s.i), 0L) as m, s.i + 1 as i), s -> s.m)")
-    marked = flags.select("doc_id", "text_hash", "start", bits.alias("bits"))
-    return marked.groupBy("doc_id", "text_hash").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("bits").alias("bits")
-    )
-
-
-def _windows_of(starts: np.ndarray, bits: np.ndarray, width: int) -> np.ndarray:
-    hit = (bits[:, None] >> np.arange(width)) & 1
-    at = starts[:, None] + np.arange(width)
-    return np.unique(at[hit.astype(bool)])
-
-
-def cut(text: bytes, windows: np.ndarray, window: int = WINDOW) -> tuple[int, int, list[bytes], bytes]:
+            if not batch.num_rows:
+                continue
+            single = pc.equal(pc.binary_length(batch.column("keys")), 8)
+            if pc.any(single).as_py():  # windows of crowded anchors: all but the first id have a smaller one
+                t = batch.filter(single)
+                block, ids = t.column("block").to_numpy(), t.column("doc_id").to_numpy()
+                edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+                least = ids[edge].copy()
+                if last == block[0]:
+                    least[0] = first
+                last, first = block[-1], least[-1]
+                tied = np.repeat(least, np.diff(np.r_[edge, len(block)])) == ids
+                window = np.frombuffer(b"".join(t.column("keys").to_pylist()), np.int64)
+                bits = pa.array(np.ones(len(ids), np.int64))
+                yield pa.RecordBatch.from_arrays([*(t.column(c) for c in names[:2]), bits, pa.array(window, mask=~tied)], names)
+                batch = batch.filter(pc.invert(single))
+            t = pa.concat_batches([held, batch]) if held is not None else batch
+            if t.num_rows:
+                block = t.column("block").to_numpy()
+                start = np.flatnonzero(block != block[-1])
+                cut = int(start[-1]) + 1 if len(start) else 0
+                yield parsed(t, cut)
+                held = t.slice(cut)
+        if held is not None:
+            yield parsed(held, held.num_rows)
+
+    placed = known.mapInArrow(snippets, "block long, doc_id long, at long, keys binary")
+    blocks = placed.repartition("block").sortWithinPartitions("block", "doc_id")
+    path = scratch_path(docs.sparkSession, "substring-bits")
+    blocks.mapInArrow(factor, "doc_id long, at long, bits long, tie long").write.parquet(path)
+    bits = docs.sparkSession.read.parquet(path)
+    sure = bits.where("tie is null").drop("tie")
+    ties = bits.where("tie is not null")
+    first = ties.groupBy("tie").agg(F.min("doc_id").alias("first"))
+    lost = ties.join(first, "tie").where("doc_id > first").select("doc_id", "at", "bits")
+    return sure.unionByName(lost)
+
+
+def _windows_of(at: np.ndarray, bits: np.ndarray, text: bytes, width: int) -> np.ndarray:
+    """The windows of this text among those of all rows with its id."""
+    own = (at >> 32) & 0xFFFFFFFF == xxhash.xxh32_intdigest(text)
+    at, bits = at[own] & 0xFFFFFFFF, bits[own]
+    hit = ((bits[:, None] >> np.arange(width)) & 1).astype(bool)
+    return np.unique((at[:, None] + np.arange(width))[hit])
+
+
+def cut(text: bytes, windows: np.ndarray, window: int = WINDOW, clean: bool = True):
     """(words, removed words, kept words, text without the covered words)."""
     words = text.split()
     n = len(words)
+    if not len(windows):
+        return n, 0, words, text
     step = np.zeros(n + 1, np.int64)
     np.add.at(step, windows, 1)
     np.add.at(step, windows + window, -1)
     gone = np.cumsum(step)[:n] > 0
-    removed = int(gone.sum())
-    if not removed:
-        return n, 0, words, text
-    kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+    kept = [words[i] for i in np.flatnonzero(~gone).tolist()]
     # kept runs keep their own blanks; what was cut leaves one space
     pieces, at, run = [], 0, None
-    for w, g in zip(words, gone.tolist(), strict=True):
+    for w, g in zip(words, gone.tolist(), strict=True) if clean else ():
         a = text.index(w, at)
         at = a + len(w)
         if g:
@@ -275,7 +286,7 @@ def cut(text: bytes, windows: np.ndarray, window: int = WINDOW) -> tuple[int, in
             run = (run[0] if run else a, at)
     if run is not None:
         pieces.append(text[run[0] : run[1]])
-    return n, removed, kept, b" ".join(pieces)
+    return n, int(gone.sum()), kept, b" ".join(pieces)
 
 
 _FIELDS = [
@@ -292,7 +303,8 @@ def substring_dedup(
     text: str = "text",
     window: int = WINDOW,
     gram: int = GRAM,
-    block_docs: int = BLOCK_DOCS,
+    look: int = LOOK,
+    crowd: int = CROWD,
     prefix: str = "",
     keep_clean: bool = True,
 ) -> DataFrame:
@@ -300,14 +312,33 @@ def substring_dedup(
     space) and ``clean_text``; names led by ``prefix``, which replace columns that clash."""
     require(docs, doc_id, text)
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    windows = duplicate_windows(plain, window, gram, block_docs)
+    found = duplicate_windows(plain, window, gram, look, crowd)
+    by_doc = found.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.collect_list("at").alias("__at"), F.collect_list("bits").alias("__bits")
+    )
     fields = [T.StructField(prefix + f.name, f.dataType) for f in (_FIELDS if keep_clean else _FIELDS[:-1])]
     names = {f.name for f in fields}
     passed = [c for c in docs.columns if c not in names]
     needed = docs.select(*dict.fromkeys([*passed, doc_id, text]))
-    found = windows.toDF("__id", "__hash", "__starts", "__bits")
-    same = (F.col(f"`{doc_id}`").cast("long") == F.col("__id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__hash"))
-    joined = needed.join(found, same, "left").drop("__id", "__hash")
+    # the text crosses the exchange of the join compressed
+    slim = T.StructType([T.StructField("__text", T.BinaryType()), *(f for f in needed.schema if f.name != text)])
+
+    def shrink(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out = to_arrow_schema(slim)
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in slices(batches, text):
+            raw = batch.column(text).cast(pa.binary()).to_pylist()
+            own = pa.array([None if t is None else pack(t) for t in raw], pa.binary())
+            rest = [batch.column(f.name).cast(f.type) for f in out if f.name != "__text"]
+            yield pa.RecordBatch.from_arrays([own, *rest], schema=out)
+
+    joined = (
+        needed.mapInArrow(shrink, slim)
+        .join(by_doc, F.col(f"`{doc_id}`").cast("long") == F.col("__id"), "left")
+        .drop("__id")
+    )
     schema = T.StructType([docs.schema[c] for c in passed] + fields)
 
     def run(batches):
@@ -315,24 +346,28 @@ def substring_dedup(
 
         out = to_arrow_schema(schema)
         none = np.zeros(0, np.int64)
-        for batch in slices(batches, text):
-            rows = []
-            starts, bits = batch.column("__starts"), batch.column("__bits")
-            for i, t in enumerate(texts_of(batch, text)):
-                at = none
-                if starts[i].is_valid:
-                    at = _windows_of(*(np.asarray(x[i].values, np.int64) for x in (starts, bits)), window - gram + 1)
-                n, removed, kept, clean = cut(t, at, window)
-                rows.append((n, removed, hashlib.sha256(b" ".join(kept)).hexdigest(), clean if removed else None))
-            cols = list(zip(*rows, strict=True))
-            own = [pa.array(c, out.field(f.name).type) for f, c in zip(fields[:3], cols[:3], strict=True)]
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in slices(batches, "__text", 1 << 20):
+            rows, texts = [], []
+            at, bits = batch.column("__at"), batch.column("__bits")
+            for i, t in enumerate(batch.column("__text").to_pylist()):
+                t = None if t is None else unpack(t)
+                windows = none
+                if t and at[i].is_valid:
+                    windows = _windows_of(
+                        *(np.asarray(x[i].values, np.int64) for x in (at, bits)), t, window - gram + 1
+                    )
+                n, removed, kept, clean = cut(t or b"", windows, window, keep_clean)
+                rows.append((n, removed, hashlib.sha256(b" ".join(kept)).hexdigest()))
+                texts.append((t, clean if removed else t))
+            own = dict(zip((f.name for f in fields), zip(*rows, strict=True), strict=False))
+            own = {f.name: pa.array(own[f.name], out.field(f.name).type) for f in fields[:3]}
             if keep_clean:
-                texts = batch.column(text).to_pylist()
-                clean = [t if c is None else c.decode() for t, c in zip(texts, cols[3], strict=True)]
-                own.append(pa.array(clean, out.field(fields[3].name).type))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).cast(out.field(c).type) for c in passed] + own, schema=out
-            )
+                own[fields[3].name] = pa.array([c for _, c in texts], pa.binary()).cast(pa.string())
+            if text in passed:
+                own[text] = pa.array([t for t, _ in texts], pa.binary()).cast(pa.string())
+            cols = [own[f.name] if f.name in own else batch.column(f.name) for f in out]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, out, strict=True)], schema=out)
 
     return joined.mapInArrow(run, schema)
 

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from kinscore.llm.substring_dedup import parse_block, substring_dedup, without_repeats
+from kinscore.llm.substring_dedup import factor_bits, substring_dedup, without_repeats
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -56,11 +56,11 @@ def corpus(seed=1, n=60):
     return rows
 
 
-@pytest.mark.parametrize("block_docs", [4096, 3])
+@pytest.mark.parametrize("crowd", [16, 2])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_matches_brute_force(docs_of, block_docs, seed):
+def test_matches_brute_force(docs_of, crowd, seed):
     rows = corpus(seed)
-    got = substring_dedup(docs_of(rows), block_docs=block_docs).collect()
+    got = substring_dedup(docs_of(rows), look=1, crowd=crowd).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows)
     for r in got:  # the cleaned text holds exactly the kept words
         assert hashlib.sha256(" ".join(WORD.findall(r.clean_text or "")).encode()).hexdigest() == r.kept_sha256
@@ -71,22 +71,18 @@ def test_few_words_in_the_vocabulary(docs_of):
     """Many equal grams and anchors: runs, ties of the anchor hash and self-overlap."""
     rng = random.Random(9)
     rows = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(0, 60)))) for i in range(80)]
-    got = substring_dedup(docs_of(rows), block_docs=16).collect()
+    got = substring_dedup(docs_of(rows), look=2, crowd=4).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows)
 
 
 def test_factors_and_boundaries():
-    a, b = [f"a{i}".encode() for i in range(20)], [f"b{i}".encode() for i in range(20)]
-    rows = [
-        (1, b" ".join(a)),
-        (2, b" ".join(b)),
-        (3, b" ".join(a[10:] + b[:10])),  # only the snippet of 4 repeats this seam
-        (4, b" ".join(a + b)),
-    ]
-    got = parse_block(rows)
-    assert got[0] == [1] * 8 and got[2] == [3] * 8
-    # windows 0-7 in document 1, 10-17 (the seam) in document 3, 20-27 in document 2
-    assert got[3] == [1] * 8 + [4] * 2 + [3] * 8 + [4] * 2 + [2] * 8
+    def pack(text):
+        return b"".join(c.encode().ljust(5) for c in text)
+
+    # letters are windows: 1 has a-h, 2 has p-w; 4 reads both, with windows between them that only
+    # 3 has (the seam), so that factors meet without a gap
+    rows = [(1, pack("abcdefgh")), (2, pack("pqrstuvw")), (3, pack("ghXpq")), (4, pack("abcdefghXpqrZ")), (4, pack("Zab"))]
+    assert factor_bits(rows) == [0, 0, 0b11011, 0b0111111111111, 0b110]
 
 
 def test_stage_output(docs_of):
