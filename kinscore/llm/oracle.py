@@ -3,3 +3,29 @@
 from __future__ import annotations
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op1_chat_trees"] = r"""
+WITH every AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), escaped AS (
+    SELECT *,
+        length(regexp_replace(replace(role, '\', '\\'),
+            '([<\[])(\||s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\])', '\1\\\2', 'g')) AS role_chars,
+        length(regexp_replace(replace(text, '\', '\\'),
+            '([<\[])(\||s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\])', '\1\\\2', 'g')) AS text_chars
+    FROM every
+), learnt AS (
+    SELECT conv_id, string_agg(text, '' ORDER BY turn, role, text) AS loss
+    FROM every WHERE role = 'assistant' GROUP BY conv_id
+), whole AS (
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        CAST(sum(24 + role_chars + text_chars) AS BIGINT) AS formatted_chars
+    FROM escaped GROUP BY conv_id
+)
+SELECT w.conv_id, w.n_turns, w.turns_sha256,
+    CAST(length(coalesce(loss, '')) AS BIGINT) AS loss_chars, sha256(coalesce(loss, '')) AS loss_sha256, w.formatted_chars
+FROM whole w LEFT JOIN learnt l ON l.conv_id IS NOT DISTINCT FROM w.conv_id
+"""

@@ -11,6 +11,29 @@ from pyspark.sql import functions as F
 from kinscore.llm.common import table
 
 
+def op1_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.chat_trees import format_paths, masked_text, read_turns, turns_as_trees
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    rows = rows.unionByName(
+        spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
+    )
+    found = format_paths(turns_as_trees(rows))
+    found = found.withColumns({
+        "turns": read_turns(F.col("formatted")), "learnt": masked_text(F.col("formatted"), F.col("loss_mask"))
+    })
+    whole = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return found.select(
+        F.col("tree").try_cast("long").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinscore.llm.token_shards import token_shards
 
@@ -59,5 +82,5 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_shards, op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup)
+    f.__name__: f for f in (op1_chat_trees, op3_token_shards, op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup)
 }
