@@ -81,6 +81,13 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.hnsw_search import nearest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_trees, op3_token_shards, op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup)
+    f.__name__: f for f in (op1_chat_trees, op3_token_shards, op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup, op10_hnsw_search)
 }

@@ -53,8 +53,8 @@ GRAM = 5
 KEY_BYTES = 5
 #: one document in LOOK is looked at for crowded anchors
 LOOK = 8
-#: an anchor is crowded if a task saw it in so many of those documents
-CROWD = 16
+#: an anchor is crowded if so many of those documents have it
+CROWD = 64
 #: anchors dealt by window at most, the most crowded first (8 bytes each, sent to every task)
 CROWDED_ANCHORS = 100_000
 SALTS = 64
@@ -124,23 +124,14 @@ def factor_bits(snippets: list[tuple[int, bytes]], size: int = KEY_BYTES) -> lis
 
 
 def crowded_anchors(known: DataFrame, window: int, gram: int, look: int, crowd: int) -> np.ndarray:
-    def count(batches):
-        seen: list[np.ndarray] = []
-
-        def out():
-            a, n = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.int64),) * 2
-            seen.clear()
-            hot = n >= crowd
-            return pa.RecordBatch.from_arrays([pa.array(a[hot], pa.int64()), pa.array(n[hot])], ["anchor", "n"])
-
+    def once(batches):
         for batch in slices(batches):
-            seen += [np.unique(anchors(t.split(), window, gram)[0]) for t in texts_of(batch)]
-            if sum(map(len, seen)) > 2_000_000:
-                yield out()
-        yield out()
+            found = [np.unique(anchors(t.split(), window, gram)[0]) for t in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64())], ["anchor"])
 
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(look)) == 0).select("text")
-    hot = sample.mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.max("n").alias("n"))
+    hot = sample.mapInArrow(once, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot.where(F.col("n") >= crowd)
     rows = hot.orderBy(F.desc("n"), "anchor").limit(CROWDED_ANCHORS).collect()
     return np.array(sorted(r.anchor for r in rows), np.int64)
 
