@@ -34,6 +34,12 @@ def op1_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.toxicity_pu import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinscore.llm.token_shards import token_shards
 
@@ -89,5 +95,5 @@ def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_trees, op3_token_shards, op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup, op10_hnsw_search)
+    f.__name__: f for f in (op1_chat_trees, op2_toxicity_pu, op3_token_shards, op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup, op10_hnsw_search)
 }
