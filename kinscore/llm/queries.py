@@ -53,6 +53,12 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec(docs, fields=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinscore.llm.substring_dedup import substring_dedup
 
@@ -95,5 +101,5 @@ def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_trees, op2_toxicity_pu, op3_token_shards, op4_sentencepiece, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup, op10_hnsw_search)
+    f.__name__: f for f in (op1_chat_trees, op2_toxicity_pu, op3_token_shards, op4_sentencepiece, op5_language_id, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup, op10_hnsw_search)
 }
