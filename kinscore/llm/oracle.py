@@ -29,3 +29,87 @@ SELECT w.conv_id, w.n_turns, w.turns_sha256,
     CAST(length(coalesce(loss, '')) AS BIGINT) AS loss_chars, sha256(coalesce(loss, '')) AS loss_sha256, w.formatted_chars
 FROM whole w LEFT JOIN learnt l ON l.conv_id IS NOT DISTINCT FROM w.conv_id
 """
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+#: the line rules restate kinscore.llm.quality_rules with its lists
+_NAV = "home about contact login logout menu search next previous prev back top share print faq help sitemap register subscribe signup sign cart account"
+_BOILERPLATE = (
+    "all rights reserved|terms of use|terms of service|privacy policy|cookie policy|uses cookies|"
+    "enable javascript|click here to|subscribe to our newsletter|lorem ipsum"
+)
+
+ORACLE_SQL["op7_quality_rules"] = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), words AS (
+    SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
+    FROM (SELECT rid, {_WORDS.format("text")} AS ws FROM docs)
+), per_word AS (
+    SELECT rid, count(*) AS n_words, sum(length(w)) AS word_chars FROM words GROUP BY rid
+), windows AS (
+    SELECT rid, pos, w AS w1, lead(w, 1) OVER s AS w2, lead(w, 2) OVER s AS w3
+    FROM words WINDOW s AS (PARTITION BY rid ORDER BY pos)
+), twice AS (
+    SELECT rid, pos FROM windows WHERE w3 IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, w1, w2, w3) > 1
+), repeated AS (
+    SELECT rid, count(DISTINCT pos + k) AS n FROM twice, unnest([0, 1, 2]) AS t(k) GROUP BY rid
+), lines AS (
+    SELECT rid, unnest(ls) AS line, generate_subscripts(ls, 1) AS place
+    FROM (SELECT rid, string_split(text, chr(10)) AS ls FROM docs)
+), cut AS (
+    SELECT rid, line, place, {_WORDS.format("line")} AS ws FROM lines
+), judged AS (
+    SELECT rid, row_number() OVER (PARTITION BY rid, line ORDER BY place) > 1 AS dup,
+        list_sum([length(x) FOR x IN ws]) AS chars,
+        100 * (length(line) - length(regexp_replace(line, '[!-/:-@\[-`{{-~]', '', 'g')))
+            > 15 * list_sum([length(x) FOR x IN ws])
+        OR (len([x FOR x IN ws IF x IN ('|', '>', '/', '»', '•')]) >= 3
+            AND 100 * len([x FOR x IN ws IF x IN ('|', '>', '/', '»', '•')]) >= 20 * len(ws))
+        OR (len(ws) <= 8 AND 2 * len([x FOR x IN ws IF list_contains(string_split('{_NAV}', ' '), lower(x))]) > len(ws))
+        OR regexp_matches(lower(line), '{_BOILERPLATE}') AS fails
+    FROM cut WHERE len(ws) > 0
+), per_line AS (
+    SELECT rid, count_if(dup) AS n_dup, count_if(fails) AS n_fail,
+        coalesce(sum(chars) FILTER (WHERE NOT fails), 0) AS kept_chars
+    FROM judged GROUP BY rid
+), base AS (
+    SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(n_dup, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+        coalesce(n_words, 0) < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed,
+        coalesce(n_fail, 0) AS n_removed_lines, coalesce(kept_chars, 0) AS kept_chars
+    FROM docs d LEFT JOIN per_word USING (rid) LEFT JOIN repeated r USING (rid) LEFT JOIN per_line USING (rid)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+    CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+    CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+    CAST(n_removed_lines AS BIGINT) AS n_removed_lines, CAST(kept_chars AS BIGINT) AS kept_chars,
+    NOT base_failed AND 100 * kept_chars >= 50 * word_chars AS kept
+FROM base
+"""
+
+ORACLE_SQL["op6_substring_dedup"] = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), words AS (
+    SELECT rid, doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
+    FROM (SELECT rid, doc_id, {_WORDS.format("text")} AS ws FROM docs)
+), windows AS (
+    SELECT rid, doc_id, pos,
+        list(w) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS win
+    FROM words
+), duplicate AS (
+    SELECT rid, pos FROM windows WHERE len(win) = 13 QUALIFY min(doc_id) OVER (PARTITION BY win) < doc_id
+), covered AS (
+    SELECT DISTINCT rid, pos + k AS pos FROM duplicate, range(13) AS t(k)
+), kept AS (
+    SELECT rid, count(*) AS n, string_agg(w, ' ' ORDER BY pos) AS text
+    FROM words ANTI JOIN covered USING (rid, pos) GROUP BY rid
+), counted AS (
+    SELECT rid, count(*) AS n FROM words GROUP BY rid
+)
+SELECT d.doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_words,
+    CAST(coalesce(c.n, 0) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN counted c USING (rid) LEFT JOIN kept k USING (rid)
+"""
