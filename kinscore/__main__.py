@@ -29,7 +29,7 @@ def main(argv=None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--tables", help="root folder of the nine input tables (parquet)")
     src.add_argument("--driver-sf", help="folder of the driver's TPC-H-like parquet tables")
-    ap.add_argument("--catalog", help="event catalog file (csv with header: name,description,sort_key,eid)")
+    ap.add_argument("--catalog", help="event catalog file (.csv with header, .json lines or .parquet: name, description, sort_key, eid)")
     ap.add_argument("--out", required=True, help="output root (shared storage on a cluster)")
     ap.add_argument("--as-of", type=dt.date.fromisoformat, help="reference day (default: today - 2)")
     ap.add_argument("--today", type=dt.date.fromisoformat, help="day stamped on the history rows")
@@ -42,10 +42,9 @@ def main(argv=None) -> None:
         tables = driver_tables(spark, args.driver_sf)
         cfg = driver_config()
     else:
-        tables = read_parquet_tables(spark, args.tables)
+        catalog = load_event_catalog(spark, args.catalog) if args.catalog else None
+        tables = read_parquet_tables(spark, args.tables, catalog)
         cfg = production_config(args.as_of)
-        if args.catalog:
-            tables.event_catalog = load_event_catalog(spark, args.catalog)
     if args.n_rec:
         cfg = cfg.with_(n_rec=args.n_rec)
 

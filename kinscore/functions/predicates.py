@@ -32,12 +32,6 @@ def closed_window(c, as_of: dt.date, days: int) -> Column:
     return (c >= F.lit(days_before(as_of, days))) & (c <= F.lit(as_of))
 
 
-def half_open_window(c, as_of: dt.date, near_days: int, far_days: int) -> Column:
-    """``c >= as_of - far_days and c < as_of - near_days``."""
-    c = _col(c)
-    return (c >= F.lit(days_before(as_of, far_days))) & (c < F.lit(days_before(as_of, near_days)))
-
-
 def on_day(c, day: dt.date) -> Column:
     """Snapshot equality."""
     return _col(c) == F.lit(day)

@@ -8,8 +8,6 @@ slug collisions (``assert_unique_names``).
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,13 +30,6 @@ def underscore_spaces(name: str) -> str:
     return name.replace(" ", "_")
 
 
-def slug_py(value: str) -> str:
-    """Driver-side twin of ``slug`` for fixed names known before the job starts."""
-    s = re.sub(KEEP_CLASS, "", str(value).lower())
-    s = s.translate(str.maketrans(CYRILLIC, LATIN))
-    return re.sub(" +", "_", s)
-
-
 def assert_unique_names(names: list[str]) -> None:
     """Column names are case-insensitive in Spark: fail clearly on any collision."""
     seen: dict[str, str] = {}

@@ -50,10 +50,6 @@ def activation_family(t: Tables, cfg: JobConfig, population) -> DataFrame:
     )
 
 
-def bucket_feature(family: DataFrame, name: str) -> DataFrame:
-    return family.where(F.col(name) > 0).select("user_id", F.col(name).cast("double").alias(name))
-
-
 def activation_buckets_long(family: DataFrame) -> DataFrame:
     parts = [F.struct(F.lit(b).alias("feature"), F.col(b).alias("cnt")) for b in BUCKETS]
     return (

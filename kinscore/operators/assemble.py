@@ -39,6 +39,8 @@ class FeatureSpec:
         cols = df.columns
         if sorted(cols) != sorted(["user_id", self.name]):
             raise ValueError(f"feature {self.name}: expected columns (user_id, {self.name}), got {cols}")
+        if not duplicate_keys(df).isEmpty():
+            raise ValueError(f"feature {self.name}: more than one row for a user")
         return df.select("user_id", F.col(self.name).cast("double").alias(self.name))
 
 
@@ -87,8 +89,3 @@ def zero_fill(df: DataFrame, columns: list[str]) -> DataFrame:
             for c in df.columns
         ]
     )
-
-
-def features_by_suffix(columns: list[str], suffix: str, keep: bool) -> list[str]:
-    """Columns whose name ends (``keep``) or does not end with ``suffix``."""
-    return [c for c in columns if c.endswith(suffix) == keep]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..config import JobConfig
 from ..functions.predicates import closed_window
 from ..functions.text import assert_unique_names, slug
-from ..sources.catalog import MAX_CATALOG_ROWS
+from ..sources.catalog import MAX_CATALOG_ROWS, checked_catalog
 from ..sources.tables import Tables
 from .population import as_population
 
@@ -60,7 +60,7 @@ def click_feature_names(t: Tables, cfg: JobConfig, counts: DataFrame | None = No
     src = catalog_names(t, cfg)
     if counts is not None:
         src = src.join(counts.select("eid").distinct(), "eid", "left_semi")
-    # bounded by the catalog, whose size click_counts has checked
+    checked_catalog(t.event_catalog)  # one column per event: a larger catalog fails here, before the collect
     names = sorted(r[0] for r in src.select("feature").distinct().collect())
     assert_unique_names(names)
     return names

@@ -11,42 +11,14 @@ from ..sources.tables import Tables
 from .population import as_population
 
 
-def _flag(df: DataFrame, name: str, population=None) -> DataFrame:
-    # distinct() plans a partial aggregate first, so a user with many snapshot rows
-    # contributes one row per task to the shuffle
-    ids = df.select("user_id").where(F.col("user_id").isNotNull())
+FLAGS = ("is_asd", "was_asd", "asd_others")
 
-    def aggregate(d: DataFrame) -> DataFrame:
-        return d.distinct()
-
-    out = aggregate(ids) if population is None else as_population(population).scope(ids, aggregate)
-    return out.withColumn(name, F.lit(1.0))
-
-
-def managed_on_date(t: Tables, cfg: JobConfig, population=None) -> DataFrame:
-    """FE1 ``is_asd``: team matches on ``as_of``. The original query is not restricted to the
-    population; pass ``population`` to drop other users early when the flag is joined onto it."""
-    md = t.manager_days.where(contains_ci("team", cfg.team_pattern) & on_day("event_date", cfg.as_of))
-    return _flag(md, "is_asd", population)
-
-
-def managed_ever(t: Tables, cfg: JobConfig, population=None) -> DataFrame:
-    """FE2 ``was_asd``: team matches on any date."""
-    return _flag(t.manager_days.where(contains_ci("team", cfg.team_pattern)), "was_asd", population)
 
+def manager_flags(t: Tables, cfg: JobConfig, population=None) -> DataFrame:
+    """FE1-FE3 in one pass over the snapshot: (user_id, is_asd, was_asd, asd_others), 1.0 where
+    some snapshot row satisfies the flag's predicate, else 0.0.
 
-def managed_by_others(t: Tables, cfg: JobConfig, population) -> DataFrame:
-    """FE3 ``asd_others``: another team on or after ``as_of``, population only (null team dropped)."""
-    md = t.manager_days.where(not_contains_ci("team", cfg.team_pattern) & since("event_date", cfg.as_of))
-    return _flag(md, "asd_others", population)
-
-
-def manager_flags(t: Tables, cfg: JobConfig, population) -> DataFrame:
-    """FE1-FE3 in one pass over the snapshot, restricted to the population.
-
-    Equal to the three separate flags once they are left-joined onto the population (the
-    dataset's use): a user gets 1 where any snapshot row satisfies the flag's predicate."""
-    pop = as_population(population)
+    Restricted to ``population`` where one is given (the dataset's use)."""
     match = contains_ci("team", cfg.team_pattern)
     other = not_contains_ci("team", cfg.team_pattern)
     md = t.manager_days.where(F.col("user_id").isNotNull()).select(
@@ -57,10 +29,13 @@ def manager_flags(t: Tables, cfg: JobConfig, population) -> DataFrame:
     )
 
     def aggregate(d: DataFrame) -> DataFrame:
-        return d.groupBy("user_id").agg(
-            F.max(F.col("f1").cast("double")).alias("is_asd"),
-            F.max(F.col("f2").cast("double")).alias("was_asd"),
-            F.max(F.col("f3").cast("double")).alias("asd_others"),
-        )
+        # partial aggregation: a user with many snapshot rows is one row per task in the shuffle
+        flags = zip(("f1", "f2", "f3"), FLAGS, strict=True)
+        return d.groupBy("user_id").agg(*[F.max(F.col(f).cast("double")).alias(name) for f, name in flags])
+
+    return aggregate(md) if population is None else as_population(population).scope(md, aggregate)
+
 
-    return pop.scope(md, aggregate)
+def flagged(flags: DataFrame, name: str) -> DataFrame:
+    """(user_id, 1.0) for the users that have the flag."""
+    return flags.where(F.col(name) == 1).select("user_id", name)

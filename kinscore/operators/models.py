@@ -1,10 +1,10 @@
 """Learning and scoring operators (L1-L8) on ``pyspark.ml``.
 
-* L1 split and folds come from a hash of the user id, so they are stable across
-  partitionings and need no global ordering (no single-task window over a class).
+* L1 split and folds come from hashes of the user id, so they are stable across
+  partitionings; the folds are stratified by label without a single-task window over a class.
 * L2 L1-penalised logistic regression: Spark minimises the weighted *mean* log-loss, so the
   penalty of ``C·Σ w·loss + |β|₁`` becomes ``regParam = 1 / (C·Σw)``.
-* L4 grid search: 9 settings × 3 hash folds as concurrent fits; balanced weights and the
+* L4 grid search: 9 settings × 3 stratified folds as concurrent fits; balanced weights and the
   penalty scale come from each training fold, as in the original's cross-validated search.
 * L5 boosted trees are ``GBTClassifier``; it has no L1 leaf penalty, counts rows instead of
   hessian for the child minimum and samples features per node (compare by F1, not score).
@@ -41,29 +41,44 @@ def hash_bucket(key: str, seed: int, buckets: int):
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets)).cast("int")
 
 
-def add_split_columns(df: DataFrame, key: str, seed: int, folds: int) -> DataFrame:
-    """L1: ``half`` ∈ {0, 1} (50/50 split) and ``fold`` ∈ [0, folds) from independent hashes."""
-    return df.withColumn("half", hash_bucket(key, seed, 2)).withColumn("fold", hash_bucket(key, seed + 1, folds))
+STRATUM_BUCKETS = 4096
 
 
-def add_weight_columns(df: DataFrame, label: str = "label") -> tuple[DataFrame, dict[str, float]]:
-    """One weight column per weighting and the total weight of each (for regParam)."""
-    counts = {int(r[0]): r[1] for r in df.groupBy(F.col(label).cast("int")).count().collect()}
-    n = sum(counts.values())
-    n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
-    bal_pos = n / (2.0 * n_pos) if n_pos else 0.0
-    bal_neg = n / (2.0 * n_neg) if n_neg else 0.0
-    out = (
-        df.withColumn("w_none", F.lit(1.0))
-        .withColumn("w_ten_to_one", F.when(F.col(label) == 1, 10.0).otherwise(1.0))
-        .withColumn("w_balanced", F.when(F.col(label) == 1, bal_pos).otherwise(bal_neg))
+def add_split_columns(df: DataFrame, key: str, seed: int, folds: int, label: str = "label") -> DataFrame:
+    """L1 and the folds of L4/L6: ``half`` in {0, 1} by a hash of the key, and ``fold`` in
+    [0, folds) stratified by ``label``: the rows of a class, in the order of a hash, are dealt to the
+    folds in turn, so every fold holds its share of each class to within one row.
+
+    The place of a row is the number of rows in the buckets before its own (a small table per
+    class and bucket) plus its place in the bucket, so no task ranks a whole class."""
+    hashed = df.withColumn("half", hash_bucket(key, seed, 2)).withColumn(
+        "stratum_bucket", hash_bucket(key, seed + 1, STRATUM_BUCKETS)
     )
+    before = Window.partitionBy(label).orderBy("stratum_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = hashed.groupBy(label, "stratum_bucket").count()
+    offsets = sizes.select(label, "stratum_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy(label, "stratum_bucket").orderBy(F.xxhash64(F.col(key), F.lit(seed + 2)), key)
+    ranked = hashed.withColumn("place", F.row_number().over(inside) - 1).join(offsets, [label, "stratum_bucket"])
+    fold = F.pmod(F.col("place") + F.col("offset"), F.lit(folds)).cast("int")
+    return ranked.withColumn("fold", fold).select(*df.columns, "half", "fold")
+
+
+def class_counts(df: DataFrame, label: str = "label") -> tuple[int, int]:
+    """(rows of class 1, rows of class 0)."""
+    counts = {int(r[0]): r[1] for r in df.groupBy(F.col(label).cast("int")).count().collect()}
+    return counts.get(1, 0), counts.get(0, 0)
+
+
+def weight_totals(n_pos: int, n_neg: int) -> tuple[tuple[float, float], dict[str, float]]:
+    """Balanced weights of class 1 and 0, and the total weight of each weighting (for regParam)."""
+    n = n_pos + n_neg
+    balanced = (n / (2.0 * n_pos) if n_pos else 0.0, n / (2.0 * n_neg) if n_neg else 0.0)
     totals = {
         "none": float(n),
         "ten_to_one": 10.0 * n_pos + n_neg,
-        "balanced": bal_pos * n_pos + bal_neg * n_neg,
+        "balanced": balanced[0] * n_pos + balanced[1] * n_neg,
     }
-    return out, totals
+    return balanced, totals
 
 
 # solver limits of the original fit (its library defaults): 100 iterations, tolerance 1e-4
@@ -118,55 +133,40 @@ class GridResult:
     best_f1: float
 
 
-def _fold_weights(train: DataFrame, folds: int) -> dict[int, dict]:
+def _fold_weights(train: DataFrame, folds: int) -> dict[int, tuple]:
     """Per training fold k (rows with ``fold != k``): balanced weights and the total weight of
     each weighting, from one small aggregate of (fold, label) counts."""
     counts = {(int(r[0]), int(r[1])): r[2] for r in train.groupBy("fold", F.col("label").cast("int")).count().collect()}
-    out = {}
-    for k in range(folds):
-        n_pos = sum(n for (f, lab), n in counts.items() if f != k and lab == 1)
-        n_neg = sum(n for (f, lab), n in counts.items() if f != k and lab == 0)
-        n = n_pos + n_neg
-        bal_pos = n / (2.0 * n_pos) if n_pos else 0.0
-        bal_neg = n / (2.0 * n_neg) if n_neg else 0.0
-        out[k] = {
-            "bal": (bal_pos, bal_neg),
-            "totals": {"none": float(n), "ten_to_one": 10.0 * n_pos + n_neg, "balanced": bal_pos * n_pos + bal_neg * n_neg},
-        }
-    return out
+    return {
+        k: weight_totals(*(sum(n for (f, lab), n in counts.items() if f != k and lab == y) for y in (1, 0)))
+        for k in range(folds)
+    }
 
 
 def grid_search_logreg(train: DataFrame, c_grid, weightings, folds: int, parallelism: int = 9) -> GridResult:
-    """L4: mean F1 over ``folds`` hash folds for every (C, weighting), as a grid search with
+    """L4: mean F1 over ``folds`` stratified folds for every (C, weighting), as a grid search with
     3-fold cross-validation does it: the balanced weights and the penalty scale
     ``1 / (C·Σw)`` come from each training fold's own labels. The ``len(grid) × folds`` fits
-    run as concurrent Spark jobs; ties keep the first setting in grid order (C outer)."""
+    run as concurrent Spark jobs over one cached frame, of which each reads its fold's rows;
+    ties keep the first setting in grid order (C outer)."""
     per_fold = _fold_weights(train, folds)
     settings = [(c, w) for c in c_grid for w in weightings]
     ev = f1_evaluator()
-    # each fold's training and validation rows are read by every setting: cache them once
-    fold_train, fold_valid = {}, {}
-    for k in range(folds):
-        bal_pos, bal_neg = per_fold[k]["bal"]
-        fold_train[k] = (
-            train.where(F.col("fold") != k)
-            .withColumn("w_balanced", F.when(F.col("label") == 1, bal_pos).otherwise(bal_neg))
-            .cache()
-        )
-        fold_valid[k] = train.where(F.col("fold") == k).cache()
+    cached = train.persist()
 
     def run(task):
         (c, w), k = task
-        model = logistic(c, w, per_fold[k]["totals"][w]).fit(fold_train[k])
-        return (c, w), ev.evaluate(model.transform(fold_valid[k]))
+        (pos, neg), totals = per_fold[k]
+        part = cached.where(F.col("fold") != k).withColumn("w_balanced", F.when(F.col("label") == 1, pos).otherwise(neg))
+        model = logistic(c, w, totals[w]).fit(part)
+        return (c, w), ev.evaluate(model.transform(cached.where(F.col("fold") == k)))
 
     tasks = [(s, k) for k in range(folds) for s in settings]
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             results = list(pool.map(run, tasks))
     finally:
-        for frame in (*fold_train.values(), *fold_valid.values()):
-            frame.unpersist()
+        cached.unpersist()
     scores: dict = {}
     for key, f1 in results:
         scores.setdefault(key, []).append(f1)
@@ -179,17 +179,17 @@ def gbt(params: dict, seed: int = 17) -> GBTClassifier:
     return GBTClassifier(featuresCol="features", labelCol="label", seed=seed, **params)
 
 
-def cv_f1(train: DataFrame, make_estimator, folds: int, parallelism: int = 3) -> float:
-    """Mean F1 over the hash folds for one estimator setting (the tree grid has one
-    point, used only for the log); the fold fits run as concurrent Spark jobs."""
+def cv_f1(train: DataFrame, make_estimator, folds: int, parallelism: int = 3) -> list[float]:
+    """F1 on each fold for one estimator setting (the tree grid has one point, used only
+    for the log); the fold fits run as concurrent Spark jobs."""
     ev = f1_evaluator()
 
     def run(k):
         model = make_estimator().fit(train.where(F.col("fold") != k))
-        return ev.evaluate(model.transform(train.where(F.col("fold") == k)))
+        return float(ev.evaluate(model.transform(train.where(F.col("fold") == k))))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return float(sum(pool.map(run, range(folds))) / folds)
+        return list(pool.map(run, range(folds)))
 
 
 def positive_probability(pred: DataFrame, name: str) -> DataFrame:
@@ -205,13 +205,8 @@ class CrossFit:
 
 def fit_logistic_on(df: DataFrame, c_value: float, weighting: str):
     """Fit L2 on ``df`` with balanced weights and Σw taken from ``df``'s own labels."""
-    counts = {int(r[0]): r[1] for r in df.groupBy(F.col("label").cast("int")).count().collect()}
-    n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
-    n = n_pos + n_neg
-    bal_pos = n / (2.0 * n_pos) if n_pos else 0.0
-    bal_neg = n / (2.0 * n_neg) if n_neg else 0.0
-    totals = {"none": float(n), "ten_to_one": 10.0 * n_pos + n_neg, "balanced": bal_pos * n_pos + bal_neg * n_neg}
-    fitted = df.withColumn("w_balanced", F.when(F.col("label") == 1, bal_pos).otherwise(bal_neg))
+    (pos, neg), totals = weight_totals(*class_counts(df))
+    fitted = df.withColumn("w_balanced", F.when(F.col("label") == 1, pos).otherwise(neg))
     return logistic(c_value, weighting, totals[weighting]).fit(fitted)
 
 

@@ -1,166 +1,116 @@
 """Payment-event family: FE11 count_items_180, FE12 count_payments_180, FE13 service counts,
 FE15 attr1 counts, FE16 attr2 counts.
 
-All of them read one relation: payment events of the last ``long_days`` days joined to live
-jobs items owned by the population. It is scanned once and reduced to a persisted level-1
-aggregate keyed by (user_id, item_id, attr1, attr2, operation_id) holding the revenue-row
-count, a revenue flag and one flag per service subtype. Everything else reads that:
-
-* value discovery for FE15/FE16 (the dynamic columns) — a small job on the persisted rows
-  instead of a second scan of the fact;
-* item branch, grouped by user: ``count(distinct item_id)`` (FE11, every event) and one
-  conditional sum of revenue rows per discovered attr1/attr2 value (FE15/FE16);
-* operation branch, grouped by (user_id, operation_id) then by user: distinct revenue
-  operations (FE12) and distinct operations per service subtype (FE13), exact and without
-  an Expand per distinct aggregate.
-
-The join that feeds level 1: the population's items are usually small enough for AQE's
-runtime broadcast, so the fact is not shuffled before the partial aggregate, which collapses
-hot users and items map-side. When the items side is large it is a sort-merge join whose hot
-item partitions AQE may split (the aggregate re-shuffles on its own keys anyway).
+All of them read payment events of the last ``long_days`` days on live jobs items owned by the
+population, at two small grains:
+
+* item grain (FE11, FE15, FE16): the events are counted per item *before* they meet the item
+  dimension, so a hot item is one row per task in the shuffle and one row in the join. The
+  result (user, item, attr1, attr2, n_rev) is checkpointed: value discovery and both
+  branches read it, and it is as small as the population's items.
+* operation grain (FE12, FE13): revenue events joined to the items, reduced to one row per
+  (user, operation) with a flag per service subtype, then per user: distinct counts, exact and
+  without an Expand. The aggregate's keys differ from the join's, so there is an exchange
+  between them and adaptive execution may split a hot item's join partition.
+
+FE15/FE16 group by (user, value) and pivot to the values seen; the long form is available
+for consumers that do not want columns, and nothing caps the number of values.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..functions.predicates import closed_window
 from ..functions.text import assert_unique_names, slug, underscore_spaces
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
 from .population import as_population, live_jobs_items
 
-# guard on discovered attribute values, same order as Spark's own pivot limit
-MAX_ATTR_VALUES = 10_000
+ATTRS = ("attr1", "attr2")
 
 
 def service_columns(cfg: JobConfig) -> list[str]:
     return [underscore_spaces(s) for s in cfg.services]
 
 
-def events_of_population(t: Tables, cfg: JobConfig, population) -> DataFrame:
-    """(user_id, item_id, attr1, attr2, operation_id, is_revenue, subtype) over the window."""
-    pop = as_population(population)
-    events = t.payment_events.where(closed_window("event_time", cfg.as_of, cfg.long_days)).select(
-        "item_id", "operation_id", "is_revenue", "subtype"
-    )
-    items = pop.semi(live_jobs_items(t, cfg)).select("item_id", "user_id", "attr1", "attr2")
-    return events.join(items, "item_id", "inner")
+def _events(t: Tables, cfg: JobConfig) -> DataFrame:
+    rev = F.coalesce(F.col("is_revenue") == F.lit(True), F.lit(False))
+    window = t.payment_events.where(closed_window("event_time", cfg.as_of, cfg.long_days))
+    return window.select("item_id", "operation_id", "subtype", rev.alias("rev"))
 
 
-def level_one(events: DataFrame, cfg: JobConfig) -> DataFrame:
-    """(user_id, item_id, attr1, attr2, operation_id) → n_rev, any_rev, s_<i> flags."""
-    rev = F.coalesce(F.col("is_revenue") == F.lit(True), F.lit(False))
-    return events.groupBy("user_id", "item_id", "attr1", "attr2", "operation_id").agg(
-        F.count(F.when(rev, F.lit(1))).alias("n_rev"),
-        F.max(rev.cast("int")).alias("any_rev"),
-        *[
-            F.max((rev & (F.col("subtype") == F.lit(s))).cast("int")).alias(f"s_{i}")
-            for i, s in enumerate(cfg.services)
-        ],
-    )
+def _items(t: Tables, cfg: JobConfig, population) -> DataFrame:
+    return as_population(population).semi(live_jobs_items(t, cfg)).select("item_id", "user_id", *ATTRS)
 
 
-def discover_attr_values(level1: DataFrame) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
-    """FE15/FE16 value discovery over revenue rows: (value, slug) pairs, sorted.
-
-    One job for both attributes. attr1 keeps every non-null value, attr2 also skips empty
-    strings (semantics note 6: null is skipped in both). The distinct values are counted
-    first (two rows reach the driver); more than ``MAX_ATTR_VALUES`` fails the run instead of
-    pulling an unbounded set. Both jobs read the persisted level-1 frame."""
-    rev = level1.where(F.col("n_rev") > 0)
-    both = (
-        rev.where(F.col("attr1").isNotNull())
-        .select(F.lit(1).alias("k"), F.col("attr1").alias("v"))
-        .unionByName(
-            rev.where(F.col("attr2").isNotNull() & (F.col("attr2") != "")).select(
-                F.lit(2).alias("k"), F.col("attr2").alias("v")
-            )
-        )
-        .distinct()
-    )
-    sizes = {r["k"]: r["n"] for r in both.groupBy("k").count().withColumnRenamed("count", "n").collect()}
-    if max(sizes.values(), default=0) > MAX_ATTR_VALUES:
-        raise ValueError(f"more than {MAX_ATTR_VALUES} attribute values: not a column set")
-    rows = both.select("k", "v", slug("v").alias("s")).collect()
-    a1 = sorted((r["v"], r["s"]) for r in rows if r["k"] == 1)
-    a2 = sorted((r["v"], r["s"]) for r in rows if r["k"] == 2)
-    return a1, a2
+def item_grain(t: Tables, cfg: JobConfig, population) -> DataFrame:
+    """(user_id, item_id, attr1, attr2, n_rev) for every item with a payment event."""
+    per_item = _events(t, cfg).groupBy("item_id").agg(F.count(F.when(F.col("rev"), 1)).alias("n_rev"))
+    grain = per_item.join(_items(t, cfg, population), "item_id", "inner")
+    ensure_checkpoint_dir(grain.sparkSession)
+    return grain.checkpoint(eager=True)
 
 
-def attr_columns(cfg: JobConfig, a1, a2) -> tuple[list[str], list[str]]:
-    c1 = [cfg.attr1_prefix + s for _, s in a1]
-    c2 = [cfg.attr2_prefix + s for _, s in a2]
-    return c1, c2
+def item_counts(grain: DataFrame) -> DataFrame:
+    """FE11: (user_id, count_items_180)."""
+    return grain.groupBy("user_id").agg(F.countDistinct("item_id").alias("count_items_180"))
 
 
-def item_branch(level1: DataFrame, cfg: JobConfig, a1, a2) -> DataFrame:
-    c1, c2 = attr_columns(cfg, a1, a2)
+def attr_counts(grain: DataFrame, cfg: JobConfig, attr: str) -> DataFrame:
+    """FE15/FE16 in long form: (user_id, feature, cnt) over revenue rows; null and empty values are
+    skipped (semantics note 6), the feature is prefix + slug of the value."""
+    prefix = getattr(cfg, f"{attr}_prefix")
+    rows = grain.where((F.col("n_rev") > 0) & F.col(attr).isNotNull() & (F.col(attr) != ""))
+    counted = rows.groupBy("user_id", F.col(attr).alias("value")).agg(F.sum("n_rev").cast("double").alias("cnt"))
+    return counted.select("user_id", F.concat(F.lit(prefix), slug("value")).alias("feature"), "cnt", "value")
 
-    def count_rows(attr, value):
-        return F.sum(F.when(F.col(attr) == F.lit(value), F.col("n_rev")).otherwise(0)).cast("long")
 
-    return level1.groupBy("user_id").agg(
-        F.countDistinct("item_id").alias("count_items_180"),
-        *[count_rows("attr1", v).alias(c) for (v, _), c in zip(a1, c1)],
-        *[count_rows("attr2", v).alias(c) for (v, _), c in zip(a2, c2)],
-    )
+def attr_features(counts: DataFrame) -> list[str]:
+    """Column names of the values seen, in the order of the values. They become columns, so the
+    driver has to know them; two values with one slug fail (they would share a column)."""
+    rows = counts.select("value", "feature").distinct().collect()
+    names = [r["feature"] for r in sorted(rows, key=lambda r: r["value"])]
+    if "" in names:
+        raise ValueError("an attribute value has no letters or digits: give the family a prefix")
+    assert_unique_names(names)
+    return names
 
 
-def operation_branch(level1: DataFrame, cfg: JobConfig) -> DataFrame:
-    scols = service_columns(cfg)
-    n = len(cfg.services)
-    per_op = (
-        level1.where(F.col("any_rev") == 1)
+def operation_branch(t: Tables, cfg: JobConfig, population) -> DataFrame:
+    """FE12, FE13: (user_id, count_payments_180, one column per service)."""
+    flags = [(F.col("subtype") == F.lit(s)).cast("int").alias(f"s_{i}") for i, s in enumerate(cfg.services)]
+    paid = _events(t, cfg).where("rev and operation_id is not null").select("item_id", "operation_id", *flags)
+    per_operation = (
+        paid.join(_items(t, cfg, population).select("item_id", "user_id"), "item_id", "inner")
         .groupBy("user_id", "operation_id")
-        .agg(*[F.max(f"s_{i}").alias(f"s_{i}") for i in range(n)])
+        .agg(F.count(F.lit(1)).alias("n"), *[F.max(f"s_{i}").alias(f"s_{i}") for i in range(len(cfg.services))])
     )
-    return per_op.groupBy("user_id").agg(
+    return per_operation.groupBy("user_id").agg(
         F.count("operation_id").alias("count_payments_180"),
-        *[
-            F.sum(F.when(F.col("operation_id").isNotNull(), F.col(f"s_{i}")).otherwise(0)).cast("long").alias(c)
-            for i, c in enumerate(scols)
-        ],
-        *[F.max(F.coalesce(F.col(f"s_{i}"), F.lit(0))).alias(f"has_{c}") for i, c in enumerate(scols)],
+        *[F.sum(F.coalesce(f"s_{i}", F.lit(0))).cast("long").alias(c) for i, c in enumerate(service_columns(cfg))],
     )
 
 
-def payment_event_family(
-    t: Tables, cfg: JobConfig, population, attr_values=None, keep: list | None = None
-) -> tuple[DataFrame, list, list]:
-    """Returns (per-user frame, attr1 values, attr2 values).
-
-    Per-user frame: count_items_180, attr counts, count_payments_180 (null when the user had
-    no revenue event), service counts and ``has_<service>`` flags. The level-1 aggregate is
-    persisted (memory, spilling to disk; a lost block is recomputed from its lineage)."""
-    level1 = level_one(events_of_population(t, cfg, population), cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    if keep is not None:
-        keep.append(level1)  # the caller unpersists once the result is written
-    a1, a2 = attr_values if attr_values is not None else discover_attr_values(level1)
-    c1, c2 = attr_columns(cfg, a1, a2)
-    assert_unique_names(["count_items_180", "count_payments_180", *service_columns(cfg), *c1, *c2])
-    joined = item_branch(level1, cfg, a1, a2).join(operation_branch(level1, cfg), "user_id", "left")
-    return joined, a1, a2
-
-
-def count_feature(family: DataFrame, name: str) -> DataFrame:
-    return family.where(F.col(name).isNotNull()).select("user_id", F.col(name).cast("double").alias(name))
-
-
-def long_counts(family: DataFrame, columns: list[str], has_prefix: str | None) -> DataFrame:
-    """(user_id, feature, cnt) for every (user, column) that had rows in the original query."""
-    if not columns:
-        return family.select("user_id", F.lit(None).cast("string").alias("feature"), F.lit(0.0).alias("cnt")).where(
-            F.lit(False)
-        )
-    parts = []
-    for c in columns:
-        present = F.col(f"{has_prefix}{c}") == 1 if has_prefix else F.col(c) > 0
-        parts.append(F.struct(F.lit(c).alias("feature"), F.col(c).alias("cnt"), present.alias("present")))
-    return (
-        family.select("user_id", F.explode(F.array(*parts)).alias("x"))
-        .where("x.present")
-        .select("user_id", "x.feature", F.col("x.cnt").cast("double").alias("cnt"))
-    )
+def payment_event_family(t: Tables, cfg: JobConfig, population) -> tuple[list[DataFrame], list[str], list[str]]:
+    """(frames keyed by user_id, attr1 columns, attr2 columns) for the assembled dataset."""
+    grain = item_grain(t, cfg, population)
+    frames, columns = [item_counts(grain), operation_branch(t, cfg, population)], []
+    for attr in ATTRS:
+        counts = attr_counts(grain, cfg, attr)
+        names = attr_features(counts)
+        columns.append(names)
+        if names:
+            frames.append(counts.groupBy("user_id").pivot("feature", names).agg(F.sum("cnt")))
+    assert_unique_names(["count_items_180", "count_payments_180", *service_columns(cfg), *columns[0], *columns[1]])
+    return frames, columns[0], columns[1]
+
+
+def long_counts(family: DataFrame, columns: list[str]) -> DataFrame:
+    """(user_id, feature, cnt) of the columns that are not zero."""
+    parts = [F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("cnt")) for c in columns]
+    if not parts:
+        return family.select("user_id", F.lit("").alias("feature"), F.lit(0.0).alias("cnt")).where(F.lit(False))
+    return family.select("user_id", F.inline(F.array(*parts))).where("cnt > 0")

@@ -96,39 +96,11 @@ def payments_family(t: Tables, cfg: JobConfig, population) -> DataFrame:
                 .alias(c)
                 for i, c in enumerate(tcols)
             ],
-            *[F.max(f"t_{i}").alias(f"has_{c}") for i, c in enumerate(tcols)],
         )
 
     return pop.scope(fact, aggregate)
 
 
-def sum_feature(family: DataFrame, name: str) -> DataFrame:
-    """Rows of one sum feature as the original staging table held them: (user_id, value)."""
-    return family.where(F.col(f"n_{name}") > 0).select("user_id", F.col(name).cast("double").alias(name))
-
-
-def tariff_counts_long(family: DataFrame, cfg: JobConfig) -> DataFrame:
-    """FE14 rows in long form: (user_id, feature, cnt) for each (user, tariff) that had rows."""
-    tcols = tariff_columns(cfg)
-    if not tcols:
-        return family.select("user_id", F.lit(None).cast("string").alias("feature"), F.lit(0.0).alias("cnt")).where(
-            F.lit(False)
-        )
-    stacked = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("feature"), F.col(c).alias("cnt"), F.col(f"has_{c}").alias("has"))
-                for c in tcols
-            ]
-        )
-    ).alias("x")
-    return (
-        family.select("user_id", stacked)
-        .where("x.has = 1")
-        .select("user_id", "x.feature", F.col("x.cnt").cast("double").alias("cnt"))
-    )
-
-
 def payment_features(family: DataFrame, cfg: JobConfig) -> DataFrame:
     """Wide form for the dataset: (user_id, sums as double, tariff counts as double)."""
     return family.select(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
-from ..functions.predicates import closed_window, false_or_null, is_false, is_true
+from ..functions.predicates import closed_window, is_false, is_true
 from ..sources.tables import Tables
 
 
@@ -45,21 +45,18 @@ def live_jobs_items(t: Tables, cfg: JobConfig) -> DataFrame:
     )
 
 
-def non_test_users(t: Tables) -> DataFrame:
-    """J5 ``user_id not in (select user_id from users where is_test)``.
-
-    ``user_id`` is the key of the user dimension, so the anti join against the same table
-    is the row filter ``not is_test or is_test is null``; this saves two shuffles of the
-    dimension. Null user ids are dropped (they never join)."""
-    return t.users.where(false_or_null("is_test") & F.col("user_id").isNotNull()).select(
-        "user_id", "external_id"
-    )
-
-
 def test_user_ids(t: Tables) -> DataFrame:
     return t.users.where(is_true("is_test") & F.col("user_id").isNotNull()).select("user_id")
 
 
+def non_test_users(t: Tables) -> DataFrame:
+    """J5 ``user_id not in (select user_id from users where is_test)``: an anti join, since a
+    user may have several rows and one test row excludes the user. Null user ids are dropped
+    (they never join), so the null-aware form is not needed."""
+    known = t.users.where(F.col("user_id").isNotNull()).select("user_id", "external_id")
+    return known.join(test_user_ids(t), "user_id", "left_anti")
+
+
 def active_population(t: Tables, cfg: JobConfig) -> DataFrame:
     paid_items = (
         t.payment_events.where(

@@ -60,6 +60,14 @@ class Dataset:
         self.cached = []
 
 
+def long_form(ds: "Dataset") -> DataFrame:
+    """(user_id, external_id, feature, value): one row per user and label or feature."""
+    pairs = [
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value")) for c in [*ds.spec.labels, *ds.spec.features]
+    ]
+    return ds.df.select(*KEY_COLUMNS, F.inline(F.array(*pairs)))
+
+
 def build_dataset(
     t: Tables,
     cfg: JobConfig,
@@ -71,8 +79,7 @@ def build_dataset(
 
     cached: list = []
     pay_family = pay.payments_family(t, cfg, pop)
-    pe_family, a1, a2 = pev.payment_event_family(t, cfg, pop, keep=cached)
-    attr1_cols, attr2_cols = pev.attr_columns(cfg, a1, a2)
+    pe_frames, attr1_cols, attr2_cols = pev.payment_event_family(t, cfg, pop)
     clicks_wide, click_cols = clk.click_pivot(t, cfg, pop, all_catalog=all_click_events, keep=cached)
 
     services = pev.service_columns(cfg)
@@ -86,7 +93,7 @@ def build_dataset(
         pay.payment_features(pay_family, cfg),
         act.activation_family(t, cfg, pop),
         act.snapshot_other_items(t, cfg, pop),
-        pe_family.select("user_id", "count_items_180", "count_payments_180", *services, *attr1_cols, *attr2_cols),
+        *pe_frames,
         clicks_wide,
         *[e.build(t, cfg, pop) for e in extra],
     ]

@@ -30,16 +30,9 @@ def collect_dataset(spark: SparkSession, t: Tables, cfg: JobConfig, out_root: st
     ds.release()
     # later stages read the written table, not the feature plan
     stored = Dataset(spark.read.parquet(f"{out_root}/dataset"), ds.spec)
-    balance = stored.df.agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("is_asd") == 1, 1)).alias("asd")
-    ).first()
-    comment = {
-        "dataset_length": balance["n"],
-        "asd": balance["asd"],
-        "non_asd": balance["n"] - balance["asd"],
-        "duration": f"{time.time() - start:.1f}s",
-    }
-    sinks.append_run_log(spark, f"{out_root}/runlog", "lookalike", "collect_dataset", comment)
+    duration = f"{time.time() - start:.1f}s"
+    row = sinks.balance_log_row(stored.df, "lookalike", "collect_dataset", duration=duration)
+    sinks.append_run_log(row, f"{out_root}/runlog")
     return stored
 
 
@@ -57,9 +50,10 @@ def get_recommendations(
     last = spark.read.parquet(f"{out_root}/rec_last")
     sinks.append_history(last, f"{out_root}/recommendations", today)
     log = dict(rec.log)
-    log["recomends"] = dict(log["recomends"], recomended=last.count())
+    log["selection"] = dict(log["selection"], stored=last.count())
     log["duration"] = f"{time.time() - start:.1f}s"
-    sinks.append_run_log(spark, f"{out_root}/runlog", "lookalike", "get_recommendations", log)
+    sinks.append_run_log(sinks.dict_log_row(spark, "lookalike", "get_recommendations", log), f"{out_root}/runlog")
+    rec.release()
     return last, log
 
 

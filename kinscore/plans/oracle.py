@@ -1,8 +1,9 @@
-"""DuckDB oracle SQL for the registered queries.
+"""DuckDB statements for the registered queries, written from the definitions in SURVEY §2.12.
 
-Each string inlines the driver adapters (FIXTURES.md §2) as CTEs and restates the
-original job's SQL on them, so the Spark plan and the oracle share only the mapping,
-not the code path. Generated from the same ``JobConfig`` as the Spark side.
+One relation per fact (the driver mapping of FIXTURES.md §2 applied once) and conditional
+aggregates over it: every feature of a family is a ``FILTER`` of one grouped scan. The
+assembled dataset is checked in long form, one row per (user, feature), because its
+columns follow the data. All statements are self-contained SELECTs that can be stored as views.
 """
 
 from __future__ import annotations
@@ -13,543 +14,298 @@ from ..config import JobConfig, OrRule, driver_config
 from ..functions.text import CYRILLIC, KEEP_CLASS, LATIN, underscore_spaces
 from ..sources.adapters import DRIVER_CATEGORIES
 from ..sources.catalog import DRIVER_EVENT_TYPES
+from .scoring_checks import (
+    FIXTURE_N_REC,
+    FIXTURE_SCALE,
+    FIXTURE_THRESHOLDS,
+    HISTORY_DAYS,
+    HISTORY_TODAY,
+    ROUND_DIGITS,
+)
 
 
-def _d(day: dt.date) -> str:
-    return f"DATE '{day.isoformat()}'"
+def _text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
 
 
-def _minus(day: dt.date, n: int) -> str:
-    return _d(day - dt.timedelta(days=n))
+def _among(values) -> str:
+    return "(" + ", ".join(_text(v) if isinstance(v, str) else str(v) for v in values) + ")"
 
 
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+def _since(column: str, last: dt.date, days: int) -> str:
+    """``column`` lies in the closed window of ``days`` days up to ``last``."""
+    return f"{column} BETWEEN DATE '{last - dt.timedelta(days=days)}' AND DATE '{last}'"
 
 
 def slug_sql(x: str) -> str:
-    kept = f"regexp_replace(lower({x}), {_q(KEEP_CLASS)}, '', 'g')"
-    return f"regexp_replace(translate({kept}, {_q(CYRILLIC)}, {_q(LATIN)}), ' +', '_', 'g')"
-
+    letters = f"regexp_replace(lower({x}), {_text(KEEP_CLASS)}, '', 'g')"
+    return f"regexp_replace(translate({letters}, {_text(CYRILLIC)}, {_text(LATIN)}), ' +', '_', 'g')"
 
-def _eid_py(name: str) -> int:
-    return ord(name[0]) * 100 + len(name)
 
-
-def adapters_sql(cfg: JobConfig) -> str:
-    cats = ", ".join(f"({a}, {_q(b)}, {_q(c)}, {d})" for a, b, c, d in DRIVER_CATEGORIES)
-    catalog = ", ".join(
-        f"({_q(n.capitalize())}, {_q('driver events / ' + n)}, {i + 1}, {_eid_py(n)})"
-        for i, n in enumerate(DRIVER_EVENT_TYPES)
-    )
-    op_id = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)"
-    return f"""
-a_users AS (
-  SELECT c_custkey AS user_id, c_custkey + 1000000 AS external_id, c_acctbal < -500 AS is_test FROM customer),
-a_items AS (
-  SELECT o_orderkey AS item_id, o_custkey AS user_id,
-         CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS category_id,
-         o_orderstatus = 'F' AS is_dead, o_orderpriority AS attr1,
-         nullif(o_orderpriority, '4-NOT SPECIFIED') AS attr2
-  FROM orders),
-a_categories AS (
-  SELECT * FROM (VALUES {cats}) v(category_id, vertical, slug, cat_id)),
-a_payment_events AS (
-  SELECT l_orderkey AS item_id, l_shipdate AS event_time, l_linestatus = 'O' AS is_revenue,
-         p_type AS subtype, {op_id} AS operation_id
-  FROM lineitem JOIN part ON l_partkey = p_partkey),
-a_payments AS (
-  SELECT i.user_id, CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4)) AS amount_net,
-         l_shipdate AS event_time, l_linestatus = 'O' AS is_revenue, i.is_dead, u.is_test,
-         c.cat_id, l_returnflag AS tx_type, p_type AS subtype, {op_id} AS fact_id
-  FROM lineitem JOIN part ON l_partkey = p_partkey
-  JOIN a_items i ON i.item_id = l_orderkey
-  LEFT JOIN a_users u ON u.user_id = i.user_id
-  LEFT JOIN a_categories c ON c.category_id = i.category_id),
-a_activations AS (
-  SELECT l_orderkey AS item_id, l_shipdate AS activation_time, p_type AS activation_type
-  FROM lineitem JOIN part ON l_partkey = p_partkey),
-a_item_days AS (
-  SELECT DISTINCT l_orderkey AS item_id, CAST(l_shipdate AS DATE) AS event_date FROM lineitem),
-a_manager_days AS (
-  SELECT o_custkey AS user_id, last_day(CAST(o_orderdate AS DATE)) AS event_date, r_name AS team
-  FROM orders JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-a_event_catalog AS (
-  SELECT * FROM (VALUES {catalog}) v(name, description, sort_key, eid)),
-a_clicks AS (
-  SELECT user_id, CAST(ascii(event_type) * 100 + length(event_type) AS INTEGER) AS eid,
-         CAST(ts AS DATE) AS event_date FROM events),
-jobs_categories AS (
-  SELECT DISTINCT category_id FROM a_categories
-  WHERE vertical = {_q(cfg.jobs_vertical)} AND slug = {_q(cfg.jobs_slug)}),
-population AS (
-  SELECT DISTINCT cu.user_id, cu.external_id
-  FROM a_users cu
-  JOIN a_items ci ON cu.user_id = ci.user_id
-  JOIN a_payment_events cpe ON cpe.item_id = ci.item_id
-  WHERE ci.category_id IN (SELECT category_id FROM jobs_categories)
-    AND cpe.event_time >= {_minus(cfg.as_of, cfg.population_days)}
-    AND cpe.event_time <= {_d(cfg.as_of)}
-    AND cpe.is_revenue = true
-    AND cu.user_id NOT IN (SELECT user_id FROM a_users WHERE is_test)
-    AND ci.is_dead = false)"""
-
-
-def with_adapters(cfg: JobConfig, *ctes: str, body: str) -> str:
-    parts = [adapters_sql(cfg).strip()] + [c.strip() for c in ctes]
-    return "WITH " + ",\n".join(parts) + "\n" + body
-
-
-def _rule_sql(rule: OrRule) -> str:
+def _rule(rule: OrRule) -> str:
     return (
-        f"((cat_id = {rule.main_cat_id}) OR (cat_id = {rule.second_cat_id} AND tx_type = {_q(rule.second_tx_type)})"
-        f" OR (subtype ILIKE {_q(rule.subtype_pattern)}))"
-    )
-
-
-def _pe_join(cfg: JobConfig, revenue: bool = True) -> str:
-    """FROM/WHERE of the payment-event family (users ⋈ items ⋈ payment events, 180 days)."""
-    rev = "AND cpe.is_revenue = true" if revenue else ""
-    return f"""
-  FROM a_users cu
-  JOIN a_items ci ON cu.user_id = ci.user_id
-  JOIN a_payment_events cpe ON cpe.item_id = ci.item_id
-  WHERE ci.category_id IN (SELECT category_id FROM jobs_categories)
-    AND cpe.event_time >= {_minus(cfg.as_of, cfg.long_days)}
-    AND cpe.event_time <= {_d(cfg.as_of)}
-    {rev}
-    AND cu.user_id NOT IN (SELECT user_id FROM a_users WHERE is_test)
-    AND cu.user_id IN (SELECT user_id FROM population)
-    AND ci.is_dead = false"""
-
-
-# ---------------------------------------------------------------------------------------
-# per-feature queries (the staging tables of the original job)
-
-
-def q_population(cfg):
-    return with_adapters(cfg, body="SELECT user_id, external_id FROM population")
-
-
-def q_flag_on_date(cfg):
-    return with_adapters(
-        cfg,
-        body=f"""SELECT DISTINCT user_id, CAST(1 AS DOUBLE) AS is_asd FROM a_manager_days
-WHERE team ILIKE {_q(cfg.team_pattern)} AND event_date = {_d(cfg.as_of)} AND user_id IS NOT NULL""",
+        f"(coalesce(cat_id = {rule.main_cat_id}, false)"
+        f" OR coalesce(cat_id = {rule.second_cat_id} AND tx = {_text(rule.second_tx_type)}, false)"
+        f" OR coalesce(kind ILIKE {_text(rule.subtype_pattern)}, false))"
     )
 
 
-def q_flag_ever(cfg):
-    return with_adapters(
-        cfg,
-        body=f"""SELECT DISTINCT user_id, CAST(1 AS DOUBLE) AS was_asd FROM a_manager_days
-WHERE team ILIKE {_q(cfg.team_pattern)} AND user_id IS NOT NULL""",
-    )
-
-
-def q_flag_others(cfg):
-    return with_adapters(
-        cfg,
-        body=f"""SELECT DISTINCT user_id, CAST(1 AS DOUBLE) AS asd_others FROM a_manager_days
-WHERE team NOT ILIKE {_q(cfg.team_pattern)} AND event_date >= {_d(cfg.as_of)}
-  AND user_id IN (SELECT user_id FROM population)""",
+def _relations(cfg: JobConfig) -> dict[str, str]:
+    """The shared relations, each built on those before it."""
+    categories = ", ".join(f"({a}, {_text(v)}, {_text(s)}, {c})" for a, v, s, c in DRIVER_CATEGORIES)
+    catalog = ", ".join(f"({_text(n)}, {ord(n[0]) * 100 + len(n)})" for n in DRIVER_EVENT_TYPES)
+    return {
+        "category": f"SELECT * FROM (VALUES {categories}) AS c(category, vertical, slug, cat_id)",
+        "person": """SELECT c_custkey AS person, c_custkey + 1000000 AS ext, bool_or(c_acctbal < -500) AS test
+            FROM customer GROUP BY ALL""",
+        # a line of an order with its item's and its category's columns
+        "line": """SELECT o_custkey AS person, o_orderkey AS item, l_shipdate AS moment, CAST(l_shipdate AS DATE) AS day,
+            l_linestatus = 'O' AS paid, p_type AS kind, concat(l_orderkey, '-', l_linenumber) AS operation,
+            CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4)) AS amount, l_returnflag AS tx,
+            o_orderstatus = 'F' AS dead, o_orderpriority AS attr1, nullif(o_orderpriority, '4-NOT SPECIFIED') AS attr2,
+            vertical, slug, cat_id
+            FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
+            LEFT JOIN category ON category = CAST(left(o_orderpriority, 1) AS BIGINT)""",
+        "jobs_line": f"""SELECT * FROM line
+            WHERE NOT dead AND vertical = {_text(cfg.jobs_vertical)} AND slug = {_text(cfg.jobs_slug)}""",
+        "active": f"""SELECT person, ext FROM person
+            WHERE person NOT IN (SELECT person FROM person WHERE test)
+            AND person IN (SELECT person FROM jobs_line WHERE paid AND {_since("moment", cfg.as_of, cfg.population_days)})""",
+        "sighting": """SELECT o_custkey AS person, last_day(CAST(o_orderdate AS DATE)) AS day, r_name AS team
+            FROM orders, customer, nation, region
+            WHERE c_custkey = o_custkey AND n_nationkey = c_nationkey AND r_regionkey = n_regionkey""",
+        "flag": f"""SELECT person,
+            bool_or(team ILIKE {_text(cfg.team_pattern)} AND day = DATE '{cfg.as_of}') AS is_asd,
+            bool_or(team ILIKE {_text(cfg.team_pattern)}) AS was_asd,
+            bool_or(NOT team ILIKE {_text(cfg.team_pattern)} AND day >= DATE '{cfg.as_of}') AS asd_others
+            FROM sighting WHERE person IS NOT NULL GROUP BY person""",
+        "jobs_count": "SELECT person, " + ", ".join([
+            "count(DISTINCT item) AS count_items_180",
+            "count(DISTINCT operation) FILTER (WHERE paid) AS count_payments_180",
+            *(f"count(DISTINCT operation) FILTER (WHERE paid AND kind = {_text(s)}) AS service_{i}"
+              for i, s in enumerate(cfg.services)),
+        ]) + f" FROM jobs_line SEMI JOIN active USING (person) WHERE {_since('moment', cfg.as_of, cfg.long_days)} GROUP BY person",
+        "money": "SELECT person, " + ", ".join([
+            f"sum(amount) FILTER (WHERE paid AND NOT dead AND {_since('moment', cfg.as_of, 90)}) AS all_revenue_90",
+            f"sum(amount) FILTER (WHERE paid AND NOT dead AND {_since('moment', cfg.as_of, 30)}) AS all_revenue_30",
+            f"sum(amount) FILTER (WHERE paid AND NOT dead AND {_since('moment', cfg.as_of, cfg.long_days)}"
+            f" AND {_rule(cfg.revenue_rule)}) AS revenue_180",
+            *(f"count(DISTINCT operation) FILTER (WHERE paid AND dead IS NOT TRUE AND {_since('moment', cfg.as_of, cfg.long_days)}"
+              f" AND {_rule(cfg.tariff_rule)} AND kind = {_text(s)}) AS tariff_{i}" for i, s in enumerate(cfg.tariffs)),
+        ]) + " FROM line SEMI JOIN active USING (person) GROUP BY person",
+        "activity": f"""SELECT person,
+            count(item) FILTER (WHERE started AND {_since("day", cfg.as_of, 30)}) AS activations_30,
+            count(item) FILTER (WHERE started AND {_since("day", cfg.as_of - dt.timedelta(days=31), 29)}) AS activations_30_60,
+            count(item) FILTER (WHERE started AND {_since("day", cfg.as_of - dt.timedelta(days=61), 29)}) AS activations_60_90,
+            count(DISTINCT item) FILTER (WHERE day = DATE '{cfg.as_of}'
+                AND (cat_id IS NULL OR cat_id NOT IN {_among(cfg.excluded_snapshot_cat_ids)})) AS other_vertical_items_end_date
+            FROM (SELECT *, kind IN {_among(cfg.paid_activation_types)} AND cat_id = {cfg.activation_cat_id} AS started FROM line)
+            SEMI JOIN active USING (person) GROUP BY person""",
+        "click": f"""SELECT user_id AS person, {slug_sql("name")} || {_text(cfg.click_suffix)} AS feature, count(*) AS n
+            FROM events JOIN (VALUES {catalog}) AS k(name, eid)
+              ON eid = ascii(event_type) * 100 + length(event_type)
+            SEMI JOIN active ON person = user_id
+            WHERE {_since("CAST(ts AS DATE)", cfg.click_as_of, cfg.click_days)} GROUP BY ALL""",
+    }
+
+
+def _select(cfg: JobConfig, body: str, **more: str) -> str:
+    parts = {**_relations(cfg), **more}
+    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in parts.items()) + "\n" + body
+
+
+def _numbers(relation: str, columns: dict[str, str]) -> str:
+    """(person, feature, value) out of wide columns; what a user has no rows for is left out."""
+    return "\nUNION ALL ".join(
+        f"SELECT person, {_text(name)} AS feature, CAST({col} AS DOUBLE) AS value FROM {relation} WHERE {col} <> 0"
+        for col, name in columns.items()
     )
 
 
-def _revenue_sql(cfg, days, name):
-    return f"""SELECT user_id, CAST(sum(amount_net) AS DOUBLE) AS {name}
-FROM a_payments cp
-WHERE user_id IN (SELECT user_id FROM population)
-  AND is_revenue AND is_dead = false
-  AND cp.event_time >= {_minus(cfg.as_of, days)} AND cp.event_time <= {_d(cfg.as_of)}
-GROUP BY user_id"""
+def _services(cfg):
+    return {f"service_{i}": underscore_spaces(s) for i, s in enumerate(cfg.services)}
 
 
-def q_revenue_90(cfg):
-    return with_adapters(cfg, body=_revenue_sql(cfg, 90, "all_revenue_90"))
+def _tariffs(cfg):
+    return {f"tariff_{i}": underscore_spaces(s) for i, s in enumerate(cfg.tariffs)}
 
 
-def q_revenue_30(cfg):
-    return with_adapters(cfg, body=_revenue_sql(cfg, 30, "all_revenue_30"))
+ACTIVITY = ("activations_30", "activations_30_60", "activations_60_90")
 
 
-def _activation_sql(cfg, name, lo_days, hi_days, closed):
-    types = ", ".join(_q(x) for x in cfg.paid_activation_types)
-    upper = (
-        f"CAST(activation_time AS DATE) <= {_d(cfg.as_of)}"
-        if closed
-        else f"CAST(activation_time AS DATE) < {_minus(cfg.as_of, lo_days)}"
-    )
-    return f"""SELECT ci.user_id, {_q(name)} AS feature, CAST(count(ci.item_id) AS DOUBLE) AS cnt
-FROM a_activations ia JOIN a_items ci ON ia.item_id = ci.item_id
-WHERE CAST(activation_time AS DATE) >= {_minus(cfg.as_of, hi_days)} AND {upper}
-  AND activation_type IN ({types})
-  AND ci.user_id IN (SELECT user_id FROM population)
-  AND ci.category_id IN (SELECT DISTINCT category_id FROM a_categories WHERE cat_id = {cfg.activation_cat_id})
-GROUP BY ci.user_id"""
-
-
-def q_activation_buckets(cfg):
-    parts = [
-        _activation_sql(cfg, "activations_30", 0, 30, True),
-        _activation_sql(cfg, "activations_30_60", 30, 60, False),
-        _activation_sql(cfg, "activations_60_90", 60, 90, False),
-    ]
-    return with_adapters(cfg, body="\nUNION ALL\n".join(parts))
-
-
-def q_snapshot_other(cfg):
-    cats = ", ".join(str(c) for c in cfg.excluded_snapshot_cat_ids)
-    return with_adapters(
-        cfg,
-        body=f"""SELECT ci.user_id, CAST(count(id.item_id) AS DOUBLE) AS other_vertical_items_end_date
-FROM a_item_days id JOIN a_items ci ON id.item_id = ci.item_id
-WHERE CAST(id.event_date AS DATE) = {_d(cfg.as_of)}
-  AND ci.user_id IN (SELECT user_id FROM population)
-  AND ci.category_id NOT IN (SELECT DISTINCT category_id FROM a_categories WHERE cat_id IN ({cats}))
-GROUP BY ci.user_id""",
-    )
-
-
-def q_revenue_180(cfg):
-    return with_adapters(
-        cfg,
-        body=f"""SELECT user_id, CAST(sum(amount_net) AS DOUBLE) AS revenue_180
-FROM a_payments cp
-WHERE user_id IN (SELECT user_id FROM population)
-  AND is_revenue
-  AND {_rule_sql(cfg.revenue_rule)}
-  AND is_dead = false
-  AND cp.event_time >= {_minus(cfg.as_of, cfg.long_days)} AND cp.event_time <= {_d(cfg.as_of)}
-  AND cp.user_id NOT IN (SELECT user_id FROM a_users WHERE is_test)
-GROUP BY user_id""",
-    )
-
-
-def q_distinct_items(cfg):
-    return with_adapters(
-        cfg,
-        body=f"""SELECT cu.user_id, CAST(count(DISTINCT ci.item_id) AS DOUBLE) AS count_items_180
-{_pe_join(cfg, revenue=False)}
-GROUP BY cu.user_id""",
-    )
+def _attribute(cfg: JobConfig, attr: str) -> str:
+    prefix = getattr(cfg, f"{attr}_prefix")
+    return f"""SELECT person, {_text(prefix)} || {slug_sql(attr)} AS feature, CAST(count(*) AS DOUBLE) AS value
+        FROM jobs_line SEMI JOIN active USING (person)
+        WHERE paid AND {attr} <> '' AND {_since("moment", cfg.as_of, cfg.long_days)} GROUP BY ALL"""
 
 
-def q_distinct_payments(cfg):
-    return with_adapters(
+def _one(cfg, relation, column, name=None):
+    return _select(
         cfg,
-        body=f"""SELECT cu.user_id, CAST(count(DISTINCT cpe.operation_id) AS DOUBLE) AS count_payments_180
-{_pe_join(cfg)}
-GROUP BY cu.user_id""",
+        f"SELECT person AS user_id, CAST({column} AS DOUBLE) AS {name or column} FROM {relation} "
+        f"WHERE {column} IS NOT NULL AND {column} <> 0",
     )
 
 
-def q_service_counts(cfg):
-    parts = [
-        f"""SELECT cu.user_id, {_q(underscore_spaces(s))} AS feature, CAST(count(DISTINCT cpe.operation_id) AS DOUBLE) AS cnt
-{_pe_join(cfg)}
-    AND cpe.subtype = {_q(s)}
-GROUP BY cu.user_id"""
-        for s in cfg.services
-    ]
-    return with_adapters(cfg, body="\nUNION ALL\n".join(parts))
-
-
-def q_tariff_counts(cfg):
-    parts = [
-        f"""SELECT cp.user_id, {_q(underscore_spaces(s))} AS feature, CAST(count(DISTINCT cp.fact_id) AS DOUBLE) AS cnt
-FROM a_payments cp
-WHERE true
-  AND cp.is_revenue
-  AND (NOT is_test OR is_test IS NULL)
-  AND (NOT is_dead OR is_dead IS NULL)
-  AND cp.event_time >= {_minus(cfg.as_of, cfg.long_days)} AND cp.event_time <= {_d(cfg.as_of)}
-  AND {_rule_sql(cfg.tariff_rule)}
-  AND subtype = {_q(s)}
-  AND cp.user_id IN (SELECT user_id FROM population)
-GROUP BY cp.user_id"""
-        for s in cfg.tariffs
-    ]
-    return with_adapters(cfg, body="\nUNION ALL\n".join(parts))
-
-
-def _attr_long(cfg, attr, prefix, skip_empty):
-    empty = f"AND ci.{attr} <> ''" if skip_empty else ""
-    return f"""SELECT cu.user_id, {_q(prefix)} || {slug_sql('ci.' + attr)} AS feature, CAST(count(ci.{attr}) AS DOUBLE) AS cnt
-{_pe_join(cfg)}
-    AND ci.{attr} IS NOT NULL {empty}
-GROUP BY cu.user_id, ci.{attr}"""
-
-
-def q_attr1_counts(cfg):
-    return with_adapters(cfg, body=_attr_long(cfg, "attr1", cfg.attr1_prefix, False))
-
-
-def q_attr2_counts(cfg):
-    return with_adapters(cfg, body=_attr_long(cfg, "attr2", cfg.attr2_prefix, True))
-
-
-def q_slug(cfg):
-    return f"SELECT p_partkey, {slug_sql('p_name')} AS name_slug FROM part"
-
+def _flag(cfg, name, restricted=False):
+    semi = " SEMI JOIN active USING (person)" if restricted else ""
+    return _select(cfg, f"SELECT person AS user_id, CAST(1 AS DOUBLE) AS {name} FROM flag{semi} WHERE {name}")
 
-def _click_long(cfg):
-    return f"""SELECT c.user_id, {slug_sql('k.name')} || {_q(cfg.click_suffix)} AS feature, CAST(count(*) AS DOUBLE) AS cnt
-FROM a_clicks c JOIN a_event_catalog k ON c.eid = k.eid
-WHERE c.user_id IN (SELECT user_id FROM population)
-  AND c.event_date >= {_minus(cfg.click_as_of, cfg.click_days)} AND c.event_date <= {_d(cfg.click_as_of)}
-GROUP BY c.user_id, k.name"""
 
+def _long(cfg, sql, value="cnt"):
+    return _select(cfg, f"SELECT person AS user_id, feature, value AS {value} FROM ({sql})")
 
-def q_click_counts(cfg):
-    return with_adapters(cfg, body=_click_long(cfg))
 
+def dataset_relations(cfg: JobConfig) -> dict[str, str]:
+    """``dataset(user_id, external_id, feature, value, click)``: every active user with every
+    feature name, zero where nothing was counted. Attribute and click names come from the data."""
+    flags = {n: n for n in ("is_asd", "was_asd", "asd_others")}
+    wide = {
+        "money": {n: n for n in ("all_revenue_90", "all_revenue_30", "revenue_180")} | _tariffs(cfg),
+        "activity": {n: n for n in (*ACTIVITY, "other_vertical_items_end_date")},
+        "jobs_count": {n: n for n in ("count_items_180", "count_payments_180")} | _services(cfg),
+    }
+    parts = [_numbers(relation, columns) for relation, columns in wide.items()]
+    parts += [f"SELECT person, {_text(n)}, 1.0 FROM flag WHERE {n}" for n in flags]
+    attrs = [f"SELECT * FROM ({_attribute(cfg, a)})" for a in ("attr1", "attr2")]
+    clicks = "SELECT person, feature, CAST(n AS DOUBLE) FROM click"
+    fixed = [n for columns in (flags, *wide.values()) for n in columns.values()]
+    return {
+        "counted": "\nUNION ALL ".join([*parts, *attrs, clicks]),
+        "named": f"""SELECT feature, false AS click FROM (VALUES {", ".join(f"({_text(n)})" for n in fixed)}) AS t(feature)
+            UNION SELECT feature, false FROM ({attrs[0]} UNION ALL {attrs[1]})
+            UNION SELECT feature, true FROM click""",
+        "dataset": """SELECT person AS user_id, ext AS external_id, feature, coalesce(value, 0) AS value, click
+            FROM active CROSS JOIN named LEFT JOIN counted USING (person, feature)""",
+    }
 
-def q_click_pivot(cfg):
-    # a dynamic PIVOT cannot read an outer CTE, so its source is a self-contained query
-    source = with_adapters(cfg, body=_click_long(cfg))
-    return f"PIVOT ({source}) ON feature USING sum(cnt) GROUP BY user_id"
 
+def _dataset(cfg, body):
+    return _select(cfg, body, **dataset_relations(cfg))
 
-# ---------------------------------------------------------------------------------------
-# the assembled dataset
-
-
-def dataset_ctes(cfg: JobConfig) -> list[str]:
-    """CTEs ending in ``dataset``: population ⟕ every feature, zero filled."""
-    fixed = [
-        ("f_is_asd", q_flag_on_date(cfg), "is_asd"),
-        ("f_was_asd", q_flag_ever(cfg), "was_asd"),
-        ("f_others", q_flag_others(cfg), "asd_others"),
-        ("f_rev90", q_revenue_90(cfg), "all_revenue_90"),
-        ("f_rev30", q_revenue_30(cfg), "all_revenue_30"),
-        ("f_snap", q_snapshot_other(cfg), "other_vertical_items_end_date"),
-        ("f_rev180", q_revenue_180(cfg), "revenue_180"),
-        ("f_items", q_distinct_items(cfg), "count_items_180"),
-        ("f_pays", q_distinct_payments(cfg), "count_payments_180"),
-    ]
-
-    def strip(sql: str) -> str:
-        # drop the shared WITH prefix: the bodies reuse the adapter CTEs of the outer query
-        head = adapters_sql(cfg).strip()
-        return sql.split(head, 1)[1].lstrip("\n")
-
-    ctes = [f"{name} AS ({strip(sql)})" for name, sql, _ in fixed]
-    act = strip(q_activation_buckets(cfg))
-    svc = strip(q_service_counts(cfg)) if cfg.services else None
-    tar = strip(q_tariff_counts(cfg)) if cfg.tariffs else None
-    longs = [
-        f"l_act AS ({act})",
-        f"l_svc AS ({svc})" if svc else "l_svc AS (SELECT NULL::BIGINT AS user_id, NULL::VARCHAR AS feature, NULL::DOUBLE AS cnt WHERE false)",
-        f"l_tar AS ({tar})" if tar else "l_tar AS (SELECT NULL::BIGINT AS user_id, NULL::VARCHAR AS feature, NULL::DOUBLE AS cnt WHERE false)",
-        f"l_a1 AS ({strip(q_attr1_counts(cfg))})",
-        f"l_a2 AS ({strip(q_attr2_counts(cfg))})",
-        f"l_clk AS ({_click_long(cfg)})",
-        "l_all AS (SELECT * FROM l_svc UNION ALL SELECT * FROM l_tar UNION ALL SELECT * FROM l_a1 "
-        "UNION ALL SELECT * FROM l_a2 UNION ALL SELECT * FROM l_clk UNION ALL SELECT * FROM l_act)",
-    ]
-    # a dynamic PIVOT cannot read an outer CTE, so its source is a self-contained query
-    source = with_adapters(cfg, *longs, body="SELECT * FROM l_all")
-    longs = [f"l_wide AS (PIVOT ({source}) ON feature USING sum(cnt) GROUP BY user_id)"]
-    joins = "\n".join(f"  LEFT JOIN {name} USING (user_id)" for name, _, _ in fixed)
-    fixed_cols = ", ".join(f"coalesce({col}, 0)::DOUBLE AS {col}" for _, _, col in fixed)
-    dataset = f"""dataset AS (
-  SELECT p.user_id, p.external_id, {fixed_cols},
-         coalesce(columns(w.* EXCLUDE (user_id)), 0)::DOUBLE
-  FROM population p
-{joins}
-  LEFT JOIN l_wide w USING (user_id))"""
-    return [*ctes, *longs, dataset]
-
-
-def q_dataset(cfg):
-    return with_adapters(cfg, *dataset_ctes(cfg), body="SELECT * FROM dataset")
-
-
-def q_label_balance(cfg):
-    return with_adapters(
-        cfg,
-        *dataset_ctes(cfg),
-        body="""SELECT count(*) AS dataset_length,
-       count(*) FILTER (WHERE is_asd = 1) AS asd,
-       count(*) FILTER (WHERE is_asd = 0) AS non_asd
-FROM dataset""",
-    )
 
-
-def q_run_log_comment(cfg):
-    return with_adapters(
-        cfg,
-        *dataset_ctes(cfg),
-        body="""SELECT 'lookalike' AS task, 'collect_dataset' AS operation,
-       CAST(json_object('dataset_length', count(*),
-                        'asd', count(*) FILTER (WHERE is_asd = 1),
-                        'non_asd', count(*) FILTER (WHERE is_asd = 0)) AS VARCHAR) AS comment
-FROM dataset""",
-    )
+LABELS = "('is_asd', 'was_asd', 'asd_others')"
 
 
-def q_class_weights(cfg):
-    return with_adapters(
-        cfg,
-        *dataset_ctes(cfg),
-        body="""SELECT CAST(is_asd AS INTEGER) AS label, count(*) AS n,
-       CAST((SELECT count(*) FROM dataset) AS DOUBLE) / (2.0 * count(*)) AS balanced_weight,
-       CASE WHEN is_asd = 1 THEN 10.0 ELSE 1.0 END::DOUBLE AS ten_to_one_weight
-FROM dataset GROUP BY is_asd""",
+def feature_oracles(cfg: JobConfig) -> dict[str, str]:
+    # the label of every active user; the other flags and features do not matter here
+    balance = "(SELECT coalesce(is_asd, false) AS served FROM active LEFT JOIN flag USING (person))"
+    counts = f"SELECT count(*) AS n, count_if(served) AS yes, count_if(NOT served) AS no FROM {balance}"
+    pivot = ", ".join(
+        f"CAST(sum(n) FILTER (WHERE feature = {_text(e + cfg.click_suffix)}) AS DOUBLE) AS {e}{cfg.click_suffix}"
+        for e in DRIVER_EVENT_TYPES
     )
-
-
-def all_oracle_sql(cfg: JobConfig | None = None) -> dict[str, str]:
-    cfg = cfg or driver_config()
+    deviation = "coalesce(nullif(stddev_pop(value) OVER (PARTITION BY feature), 0), 1)"
     return {
-        "active_population": q_population(cfg),
-        "flag_managed_on_date": q_flag_on_date(cfg),
-        "flag_managed_ever": q_flag_ever(cfg),
-        "flag_managed_by_others": q_flag_others(cfg),
-        "revenue_90": q_revenue_90(cfg),
-        "revenue_30": q_revenue_30(cfg),
-        "activation_buckets": q_activation_buckets(cfg),
-        "snapshot_items_other": q_snapshot_other(cfg),
-        "revenue_180_rule": q_revenue_180(cfg),
-        "distinct_items_180": q_distinct_items(cfg),
-        "distinct_payments_180": q_distinct_payments(cfg),
-        "service_counts": q_service_counts(cfg),
-        "tariff_counts": q_tariff_counts(cfg),
-        "attr1_counts": q_attr1_counts(cfg),
-        "attr2_counts": q_attr2_counts(cfg),
-        "slug": q_slug(cfg),
-        "click_counts": q_click_counts(cfg),
-        "click_pivot": q_click_pivot(cfg),
-        "feature_assembly": q_dataset(cfg),
-        "label_balance": q_label_balance(cfg),
-        "class_weights": q_class_weights(cfg),
-        "run_log_comment": q_run_log_comment(cfg),
+        "active_population": _select(cfg, "SELECT person AS user_id, ext AS external_id FROM active"),
+        "flag_managed_on_date": _flag(cfg, "is_asd"),
+        "flag_managed_ever": _flag(cfg, "was_asd"),
+        "flag_managed_by_others": _flag(cfg, "asd_others", restricted=True),
+        "revenue_90": _one(cfg, "money", "all_revenue_90"),
+        "revenue_30": _one(cfg, "money", "all_revenue_30"),
+        "revenue_180_rule": _one(cfg, "money", "revenue_180"),
+        "activation_buckets": _long(cfg, _numbers("activity", {n: n for n in ACTIVITY})),
+        "snapshot_items_other": _one(cfg, "activity", "other_vertical_items_end_date"),
+        "distinct_items_180": _one(cfg, "jobs_count", "count_items_180"),
+        "distinct_payments_180": _one(cfg, "jobs_count", "count_payments_180"),
+        "service_counts": _long(cfg, _numbers("jobs_count", _services(cfg))),
+        "tariff_counts": _long(cfg, _numbers("money", _tariffs(cfg))),
+        "attr1_counts": _long(cfg, _attribute(cfg, "attr1")),
+        "attr2_counts": _long(cfg, _attribute(cfg, "attr2")),
+        "slug": f"SELECT p_partkey, {slug_sql('p_name')} AS name_slug FROM part",
+        "click_counts": _long(cfg, "SELECT person, feature, CAST(n AS DOUBLE) AS value FROM click"),
+        "click_pivot": _select(cfg, f"SELECT person AS user_id, {pivot} FROM click GROUP BY person"),
+        "feature_assembly": _dataset(cfg, "SELECT user_id, external_id, feature, value FROM dataset"),
+        "label_balance": _select(
+            cfg, f"SELECT n AS dataset_length, CAST(yes AS BIGINT) AS asd, CAST(no AS BIGINT) AS non_asd FROM ({counts})"
+        ),
+        "run_log_comment": _select(
+            cfg,
+            f"""SELECT 'lookalike' AS task, 'collect_dataset' AS operation,
+            concat('{{"dataset_length":', n, ',"asd":', yes, ',"non_asd":', no, '}}') AS comment FROM ({counts})""",
+        ),
+        "class_weights": _select(
+            cfg,
+            f"""SELECT CAST(served AS INTEGER) AS label, count(*) AS n,
+            (sum(count(*)) OVER ()) / (2.0 * count(*))::DOUBLE AS balanced_weight,
+            CASE WHEN served THEN 10.0 ELSE 1.0 END::DOUBLE AS ten_to_one_weight FROM {balance} GROUP BY served""",
+        ),
+        "log_features": _dataset(
+            cfg,
+            f"""SELECT user_id, feature, CASE WHEN feature IN {LABELS} THEN value WHEN value > -1
+            THEN round(log10(1 + value), {ROUND_DIGITS}) ELSE 0 END AS value FROM dataset""",
+        ),
+        "standardize": _dataset(
+            cfg,
+            f"""SELECT user_id, feature,
+            round((value - avg(value) OVER (PARTITION BY feature)) / {deviation}, {ROUND_DIGITS}) + 0.0 AS value
+            FROM dataset WHERE feature NOT IN {LABELS} AND NOT click""",
+        ),
+        "exclude_recent": _select(
+            cfg,
+            f"""SELECT person AS user_id, ext AS external_id FROM active
+            WHERE person NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL
+                AND CAST(ts AS DATE) > DATE '{HISTORY_TODAY - dt.timedelta(days=HISTORY_DAYS)}')""",
+        ),
     }
 
 
 # ---------------------------------------------------------------------------------------
-# scoring and selection operators (fixture scores derived from `embeddings`)
-
-_L1 = "list_reduce(list_transform(list_zip(c.v, p.v), lambda x: abs(x[1] - x[2])), lambda a, b: a + b)"
-
-
-def _embedding_ctes(scale: float | None) -> list[str]:
-    v = "CAST(embedding AS DOUBLE[])"
-    if scale is not None:
-        v = f"list_transform({v}, lambda x: x * CAST({scale!r} AS DOUBLE))"
-    return [
-        f"e AS (SELECT vec_id AS user_id, {v} AS v, label FROM embeddings)",
-        f"""knn AS (SELECT c.user_id, min({_L1}) AS knn_dist, 1 - min({_L1}) AS knn_score
-  FROM (SELECT * FROM e WHERE label <> 0) c, (SELECT * FROM e WHERE label = 0) p GROUP BY c.user_id)""",
-    ]
-
-
-def q_nearest_l1(cfg):
-    ctes = ",\n".join(_embedding_ctes(None))
-    return f"WITH {ctes}\nSELECT user_id AS vec_id, knn_dist, knn_score FROM knn"
-
-
-def _scores_ctes(scale, n_rec, thresholds) -> list[str]:
-    ctes = _embedding_ctes(scale)
-    ctes.append(
-        """scores AS (SELECT e.user_id, coalesce(knn.knn_score, -10.0)::DOUBLE AS knn_score,
-  e.v[1] * CAST(5.0 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS logreg_score,
-  e.v[2] * CAST(5.0 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS xgb_score
-  FROM e LEFT JOIN knn USING (user_id))"""
-    )
-    tops = []
-    for m in ("knn", "logreg", "xgb"):
-        tops.append(
-            f"""SELECT user_id, '{m}' AS model FROM (
-    SELECT user_id, row_number() OVER (ORDER BY {m}_score DESC, user_id) AS rn
-    FROM scores WHERE {m}_score > {float(thresholds[m])!r}) WHERE rn <= {n_rec}"""
-        )
-    ctes.append("tagged AS (" + "\n  UNION ALL\n  ".join(tops) + ")")
-    ctes.append("voted AS (SELECT user_id FROM tagged GROUP BY user_id HAVING count(DISTINCT model) >= 2)")
-    ctes.append(
-        f"quota AS (SELECT greatest(0, CAST(trunc(({n_rec} - (SELECT count(*) FROM voted)) / 3.0) AS BIGINT)) AS k)"
-    )
-    fills = []
-    for m in ("knn", "logreg", "xgb"):
-        fills.append(
-            f"""SELECT user_id FROM (
-    SELECT user_id, row_number() OVER (ORDER BY {m}_score DESC, user_id) AS rn
-    FROM scores WHERE {m}_score > {float(thresholds[m])!r} AND user_id NOT IN (SELECT user_id FROM voted))
-    WHERE rn <= (SELECT k FROM quota)"""
-        )
-    ctes.append("fills AS (" + "\n  UNION ALL\n  ".join(fills) + ")")
-    return ctes
+# scoring and selection operators (scores that both sides derive from `embeddings`)
 
+# summed in the order of the dimensions, as in numpy
+_L1 = "list_reduce([abs(x[1] - x[2]) FOR x IN list_zip(c.v, p.v)], lambda a, b: a + b)"
 
-def q_top_k(cfg):
-    from .scoring_checks import FIXTURE_N_REC, FIXTURE_SCALE, FIXTURE_THRESHOLDS
 
-    ctes = ",\n".join(_scores_ctes(FIXTURE_SCALE, FIXTURE_N_REC, FIXTURE_THRESHOLDS))
-    return f"WITH {ctes}\nSELECT user_id, model FROM tagged"
-
-
-def q_vote(cfg):
-    from .scoring_checks import FIXTURE_N_REC, FIXTURE_SCALE, FIXTURE_THRESHOLDS
-
-    ctes = ",\n".join(_scores_ctes(FIXTURE_SCALE, FIXTURE_N_REC, FIXTURE_THRESHOLDS))
-    return f"WITH {ctes}\nSELECT user_id FROM voted"
-
-
-def q_quota_fill(cfg):
-    from .scoring_checks import FIXTURE_N_REC, FIXTURE_SCALE, FIXTURE_THRESHOLDS
-
-    ctes = ",\n".join(_scores_ctes(FIXTURE_SCALE, FIXTURE_N_REC, FIXTURE_THRESHOLDS))
-    return f"WITH {ctes}\nSELECT user_id FROM voted UNION SELECT user_id FROM fills"
-
-
-def q_exclude_recent(cfg):
-    from .scoring_checks import HISTORY_DAYS, HISTORY_TODAY
-
-    return with_adapters(
-        cfg,
-        f"""history AS (SELECT user_id, CAST(ts AS DATE) AS date_rec FROM events WHERE event_type = 'purchase')""",
-        body=f"""SELECT user_id, external_id FROM population
-WHERE user_id NOT IN (SELECT user_id FROM history
-                      WHERE date_rec > {_minus(HISTORY_TODAY, HISTORY_DAYS)} AND user_id IS NOT NULL)""",
-    )
+def _nearest(scale: float) -> dict[str, str]:
+    return {
+        "vec": f"SELECT vec_id, [x * CAST({scale!r} AS DOUBLE) FOR x IN CAST(embedding AS DOUBLE[])] AS v, label FROM embeddings",
+        "near": f"""SELECT c.vec_id, min({_L1}) AS knn_dist FROM vec c JOIN vec p ON p.label = 0
+            WHERE c.label <> 0 GROUP BY c.vec_id""",
+    }
 
 
-def q_log_features(cfg):
-    # the dataset's column list is data-driven; apply the formula through COLUMNS(*)
-    feats = "COLUMNS(* EXCLUDE (user_id, external_id, is_asd, was_asd, asd_others))"
-    return with_adapters(
-        cfg,
-        *dataset_ctes(cfg),
-        body=f"""SELECT user_id, external_id, is_asd, was_asd, asd_others,
-       CASE WHEN {feats} > -1 THEN log10(1 + {feats}) ELSE 0 END
-FROM dataset""",
+def _ranked() -> dict[str, str]:
+    """``listed``: each model's best users by score; ``voted``; ``filled``: the even fill."""
+    models = {"knn": "knn", "logreg": "logreg", "xgb": "xgb"}
+    passing = " UNION ALL ".join(
+        f"SELECT user_id, '{m}' AS model, {m}_score AS score FROM score WHERE {m}_score > {float(FIXTURE_THRESHOLDS[m])!r}"
+        for m in models
     )
+    place = "row_number() OVER (PARTITION BY model ORDER BY score DESC, user_id)"
+    return {
+        **_nearest(FIXTURE_SCALE),
+        "score": """SELECT vec_id AS user_id, coalesce(1 - knn_dist, -10.0)::DOUBLE AS knn_score,
+            v[1] * CAST(5 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS logreg_score,
+            v[2] * CAST(5 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS xgb_score FROM vec LEFT JOIN near USING (vec_id)""",
+        "passing": passing,
+        "listed": f"SELECT user_id, model FROM passing QUALIFY {place} <= {FIXTURE_N_REC}",
+        "voted": "SELECT user_id FROM listed GROUP BY user_id HAVING count(*) > 1",
+        "filled": f"""SELECT user_id FROM passing ANTI JOIN voted USING (user_id)
+            QUALIFY {place} <= (SELECT greatest(0, {FIXTURE_N_REC} - count(*)) // 3 FROM voted)""",
+    }
 
 
-def q_standardize(cfg):
-    labels = "'user_id', 'external_id', 'is_asd', 'was_asd', 'asd_others'"
-    inner = with_adapters(
-        cfg,
-        *dataset_ctes(cfg),
-        f"""picked AS (SELECT user_id, COLUMNS(lambda c: c NOT IN ({labels}) AND NOT c LIKE '%{cfg.click_suffix}')
-  FROM dataset)""",
-        "long AS (UNPIVOT picked ON COLUMNS(* EXCLUDE (user_id)) INTO NAME feature VALUE x)",
-        "st AS (SELECT feature, avg(x) AS m, stddev_pop(x) AS s FROM long GROUP BY feature)",
-        body="SELECT user_id, feature, (x - m) / coalesce(nullif(s, 0), 1) AS z FROM long JOIN st USING (feature)",
-    )
-    return f"PIVOT ({inner}) ON feature USING first(z) GROUP BY user_id"
-
+def scoring_oracles() -> dict[str, str]:
+    def select(body: str, parts: dict[str, str]) -> str:
+        return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in parts.items()) + "\n" + body
 
-def scoring_oracle_sql(cfg: JobConfig | None = None) -> dict[str, str]:
-    cfg = cfg or driver_config()
     return {
-        "nearest_l1": q_nearest_l1(cfg),
-        "top_k_per_score": q_top_k(cfg),
-        "vote_two_of_three": q_vote(cfg),
-        "quota_fill": q_quota_fill(cfg),
-        "exclude_recent": q_exclude_recent(cfg),
-        "log_features": q_log_features(cfg),
-        "standardize": q_standardize(cfg),
+        "nearest_l1": select("SELECT vec_id, knn_dist, 1 - knn_dist AS knn_score FROM near", _nearest(1.0)),
+        "top_k_per_score": select("SELECT user_id, model FROM listed", _ranked()),
+        "vote_two_of_three": select("SELECT user_id FROM voted", _ranked()),
+        "quota_fill": select("SELECT user_id FROM voted UNION SELECT user_id FROM filled", _ranked()),
+        "f1_scores": select(
+            """SELECT model, CASE WHEN tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END::DOUBLE AS f1
+            FROM (SELECT model, count_if(p AND y) AS tp, count_if(p AND NOT y) AS fp, count_if(NOT p AND y) AS fn
+                FROM (SELECT 'logreg' AS model, logreg_score > 0.5 AS p, label = 0 AS y FROM score JOIN vec ON vec_id = user_id
+                    UNION ALL SELECT 'xgb', xgb_score > 0.5, label = 0 FROM score JOIN vec ON vec_id = user_id)
+                GROUP BY model)""",
+            _ranked(),
+        ),
     }
+
+
+def all_oracle_sql(cfg: JobConfig | None = None) -> dict[str, str]:
+    return {**feature_oracles(cfg or driver_config()), **scoring_oracles()}

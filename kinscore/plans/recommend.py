@@ -23,13 +23,14 @@ from pyspark.sql import functions as F
 from ..config import JobConfig
 from ..operators import models as M
 from ..operators.nearest import nearest_positive, vector_of
-from ..operators.selection import exclude_recent, output_rows, select_users
-from ..operators.transform import log_features, standardize
+from ..operators.selection import Selection, exclude_recent, output_rows, select_users
+from ..operators.transform import log_domain_violations, log_features, standardize
 from ..session import ensure_checkpoint_dir
 from .dataset import Dataset
 
 
-TRAIN_ROWS_PER_PARTITION = 50_000
+# cells (rows x features) of the training frame per partition: about 160 MB of doubles
+TRAIN_CELLS_PER_PARTITION = 20_000_000
 
 
 @dataclass
@@ -37,25 +38,30 @@ class Recommendation:
     rows: DataFrame  # the 14 output columns
     scored: DataFrame  # every user with the three scores
     log: dict = field(default_factory=dict)
+    selection: Selection | None = None
 
+    def release(self) -> None:
+        """Unpersist the selection's frames once ``rows`` has been written."""
+        if self.selection is not None:
+            self.selection.release()
 
-def training_frame(ds: Dataset, cfg: JobConfig) -> tuple[DataFrame, dict, list[str]]:
+
+def training_frame(ds: Dataset, cfg: JobConfig) -> tuple[DataFrame, list[str]]:
+    """(user_id, label, features, half, fold, class weights) behind a checkpoint.
+
+    The feature plan runs once, into the checkpoint; the row count that sizes the partitions
+    reads it back. Every fit runs one task per partition and iteration, so small
+    frames are coalesced (no shuffle) and large ones dealt out again."""
     feats = ds.spec.model_features(cfg.exclude_features)
     logged = log_features(ds.df.select("user_id", "is_asd", *[F.col(f"`{c}`") for c in feats]), feats)
     assembler = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-    vec = assembler.transform(logged).select(
-        "user_id", F.col("is_asd").cast("double").alias("label"), "features"
-    )
+    vec = assembler.transform(logged).select("user_id", F.col("is_asd").cast("double").alias("label"), "features")
+    ensure_checkpoint_dir(vec.sparkSession)
+    vec = vec.checkpoint(eager=True)
+    parts = max(1, math.ceil(vec.count() * max(1, len(feats)) / TRAIN_CELLS_PER_PARTITION))
     split = M.add_split_columns(vec, "user_id", cfg.seed, cfg.cv_folds)
-    weighted, totals = M.add_weight_columns(split)
-    # every fit iterates over this frame (one task per partition per iteration), so it gets
-    # about TRAIN_ROWS_PER_PARTITION rows per partition. A repartition (one shuffle of a
-    # frame with one row per user) rather than coalesce, which would pull the reduced
-    # parallelism into the upstream join stage.
-    parts = max(1, math.ceil(totals["none"] / TRAIN_ROWS_PER_PARTITION))
-    # cut its lineage once in the reliable checkpoint dir
-    ensure_checkpoint_dir(weighted.sparkSession)
-    return weighted.repartition(parts, "user_id").checkpoint(eager=True), totals, feats
+    split = split.withColumn("w_none", F.lit(1.0)).withColumn("w_ten_to_one", F.when(F.col("label") == 1, 10.0).otherwise(1.0))
+    return split.repartition(parts, "user_id").checkpoint(eager=True), feats
 
 
 def logistic_scores(train: DataFrame, cfg: JobConfig, parallelism: int = 9):
@@ -66,10 +72,13 @@ def logistic_scores(train: DataFrame, cfg: JobConfig, parallelism: int = 9):
     return grid, fit
 
 
-def tree_scores(train: DataFrame, cfg: JobConfig, with_cv: bool = True):
-    cv = M.cv_f1(train, lambda: M.gbt(cfg.gbt_params, cfg.seed), cfg.cv_folds) if with_cv else None
-    fit = M.cross_fit(train, lambda half: M.gbt(cfg.gbt_params, cfg.seed).fit(half), "xgb_score")
-    return cv, fit
+def tree_cv(train: DataFrame, cfg: JobConfig) -> list[float]:
+    """F1 of the one tree setting on each fold."""
+    return M.cv_f1(train, lambda: M.gbt(cfg.gbt_params, cfg.seed), cfg.cv_folds)
+
+
+def tree_fit(train: DataFrame, cfg: JobConfig) -> M.CrossFit:
+    return M.cross_fit(train, lambda half: M.gbt(cfg.gbt_params, cfg.seed).fit(half), "xgb_score")
 
 
 def knn_scores(ds: Dataset, cfg: JobConfig) -> DataFrame:
@@ -88,15 +97,15 @@ def recommend(
     cfg: JobConfig,
     history: DataFrame | None = None,
     today: dt.date | None = None,
-    with_tree_cv: bool = True,
     parallelism: int = 9,
 ) -> Recommendation:
     today = today or dt.date.today()
-    train, totals, feats = training_frame(ds, cfg)
+    train, feats = training_frame(ds, cfg)
     # scorers run one after the other: each already submits concurrent fits (grid
     # parallelism, the two cross-fit halves); stacking more threads measured slower
     grid, lr_fit = logistic_scores(train, cfg, parallelism)
-    tree_cv, gbt_fit = tree_scores(train, cfg, with_tree_cv)
+    tree_f1 = tree_cv(train, cfg)
+    gbt_fit = tree_fit(train, cfg)
     knn = knn_scores(ds, cfg)
 
     scored = (
@@ -113,18 +122,13 @@ def recommend(
     rows = output_rows(eligible, sel.ids)
     log = {
         "logreg": {
-            "logreg_best_score_f1": grid.best_f1,
+            "cv_f1": grid.best_f1,
             "best_params": {"C": grid.best_c, "class_weight": grid.best_weighting},
-            "lr1_f1": lr_fit.f1_first,
-            "lr2_f1": lr_fit.f1_second,
-        },
-        "xgb": {"xgb_best_score_f1": tree_cv, "xb1_f1": gbt_fit.f1_first, "xb2_f1": gbt_fit.f1_second},
-        "knn": {},
-        "recomends": {
-            "thresholds": cfg.thresholds,
-            "top_users": sel.voted,
-            "per_model_quota": sel.per_model_quota,
+            "f1_by_half": [lr_fit.f1_first, lr_fit.f1_second],
         },
+        "trees": {"cv_f1": sum(tree_f1) / len(tree_f1), "f1_by_half": [gbt_fit.f1_first, gbt_fit.f1_second]},
+        "selection": {"thresholds": cfg.thresholds, "per_model_quota": sel.per_model_quota, **sel.counts},
         "n_features": len(feats),
+        "rows_below_minus_one": log_domain_violations(ds.df, feats).first()[0],
     }
-    return Recommendation(rows=rows, scored=scored, log=log)
+    return Recommendation(rows, scored, log, sel)

@@ -1,8 +1,9 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Every query reads the driver tables at ``sf_dir`` through the adapters and runs over the
-whole tables. Feature queries return the per-feature rows exactly as the original job's
-staging tables held them; ``feature_assembly`` returns the whole wide dataset.
+Every query reads the driver tables at ``sf_dir`` through the adapters, runs over the whole
+tables, and runs the plans the job runs: the population is checkpointed and counted once,
+flags come from the one-pass ``manager_flags``, the run-log row from the job's builder. The
+assembled dataset is registered in long form (its columns follow the data).
 """
 
 from __future__ import annotations
@@ -10,109 +11,119 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import driver_config
+from ..config import JobConfig, driver_config
 from ..functions.text import slug
 from ..operators import activations as act
 from ..operators import clicks as clk
 from ..operators import flags
 from ..operators import payment_events as pev
 from ..operators import payments as pay
-from ..operators.population import active_population
+from ..operators.population import Population, active_population, materialize_population
 from ..sources.adapters import driver_tables
-from ..sources.tables import read_driver_table
-from .dataset import build_dataset
+from ..sources.tables import Tables, read_driver_table
+from .dataset import Dataset, build_dataset, long_form
 
 
-def _setup(spark: SparkSession, sf_dir: str):
+def setup(spark: SparkSession, sf_dir: str) -> tuple[Tables, JobConfig, Population]:
     cfg = driver_config()
     t = driver_tables(spark, sf_dir)
-    return t, cfg, active_population(t, cfg)
+    return t, cfg, materialize_population(active_population(t, cfg))
+
+
+def dataset(spark: SparkSession, sf_dir: str) -> tuple[Dataset, JobConfig]:
+    t, cfg, pop = setup(spark, sf_dir)
+    return build_dataset(t, cfg, pop), cfg
+
+
+def stored_dataset(spark: SparkSession, sf_dir: str) -> tuple[Dataset, JobConfig]:
+    """The dataset behind a checkpoint, as the job's later stages read it from its table."""
+    ds, cfg = dataset(spark, sf_dir)
+    stored = Dataset(ds.df.checkpoint(eager=True), ds.spec)
+    ds.release()
+    return stored, cfg
 
 
 def active_population_q(spark, sf_dir):
-    _, _, pop = _setup(spark, sf_dir)
-    return pop
+    return setup(spark, sf_dir)[2].df
 
 
 def flag_on_date_q(spark, sf_dir):
-    t, cfg, _ = _setup(spark, sf_dir)
-    return flags.managed_on_date(t, cfg)
+    t, cfg = driver_tables(spark, sf_dir), driver_config()
+    return flags.flagged(flags.manager_flags(t, cfg), "is_asd")
 
 
 def flag_ever_q(spark, sf_dir):
-    t, cfg, _ = _setup(spark, sf_dir)
-    return flags.managed_ever(t, cfg)
+    t, cfg = driver_tables(spark, sf_dir), driver_config()
+    return flags.flagged(flags.manager_flags(t, cfg), "was_asd")
 
 
 def flag_others_q(spark, sf_dir):
-    t, cfg, pop = _setup(spark, sf_dir)
-    return flags.managed_by_others(t, cfg, pop)
+    t, cfg, pop = setup(spark, sf_dir)
+    return flags.flagged(flags.manager_flags(t, cfg, pop), "asd_others")
 
 
 def _payments(spark, sf_dir):
-    t, cfg, pop = _setup(spark, sf_dir)
+    t, cfg, pop = setup(spark, sf_dir)
     return pay.payments_family(t, cfg, pop), cfg
 
 
+def _nonzero(df: DataFrame, name: str) -> DataFrame:
+    return df.where(F.col(name) != 0).select("user_id", F.col(name).cast("double").alias(name))
+
+
 def revenue_90_q(spark, sf_dir):
-    fam, _ = _payments(spark, sf_dir)
-    return pay.sum_feature(fam, "all_revenue_90")
+    return _nonzero(_payments(spark, sf_dir)[0], "all_revenue_90")
 
 
 def revenue_30_q(spark, sf_dir):
-    fam, _ = _payments(spark, sf_dir)
-    return pay.sum_feature(fam, "all_revenue_30")
+    return _nonzero(_payments(spark, sf_dir)[0], "all_revenue_30")
 
 
 def revenue_180_q(spark, sf_dir):
-    fam, _ = _payments(spark, sf_dir)
-    return pay.sum_feature(fam, "revenue_180")
+    return _nonzero(_payments(spark, sf_dir)[0], "revenue_180")
 
 
 def tariff_counts_q(spark, sf_dir):
     fam, cfg = _payments(spark, sf_dir)
-    return pay.tariff_counts_long(fam, cfg)
+    return pev.long_counts(fam, pay.tariff_columns(cfg))
 
 
 def activation_buckets_q(spark, sf_dir):
-    t, cfg, pop = _setup(spark, sf_dir)
+    t, cfg, pop = setup(spark, sf_dir)
     return act.activation_buckets_long(act.activation_family(t, cfg, pop))
 
 
 def snapshot_other_q(spark, sf_dir):
-    t, cfg, pop = _setup(spark, sf_dir)
+    t, cfg, pop = setup(spark, sf_dir)
     return act.snapshot_other_items(t, cfg, pop)
 
 
-def _pe(spark, sf_dir):
-    t, cfg, pop = _setup(spark, sf_dir)
-    fam, a1, a2 = pev.payment_event_family(t, cfg, pop)
-    return fam, cfg, a1, a2
-
-
 def distinct_items_q(spark, sf_dir):
-    fam, *_ = _pe(spark, sf_dir)
-    return pev.count_feature(fam, "count_items_180")
+    t, cfg, pop = setup(spark, sf_dir)
+    return _nonzero(pev.item_counts(pev.item_grain(t, cfg, pop)), "count_items_180")
 
 
 def distinct_payments_q(spark, sf_dir):
-    fam, *_ = _pe(spark, sf_dir)
-    return pev.count_feature(fam, "count_payments_180")
+    t, cfg, pop = setup(spark, sf_dir)
+    return _nonzero(pev.operation_branch(t, cfg, pop), "count_payments_180")
 
 
 def service_counts_q(spark, sf_dir):
-    fam, cfg, _, _ = _pe(spark, sf_dir)
-    return pev.long_counts(fam, pev.service_columns(cfg), "has_")
+    t, cfg, pop = setup(spark, sf_dir)
+    return pev.long_counts(pev.operation_branch(t, cfg, pop), pev.service_columns(cfg))
+
+
+def _attr_counts(spark, sf_dir, attr):
+    t, cfg, pop = setup(spark, sf_dir)
+    return pev.attr_counts(pev.item_grain(t, cfg, pop), cfg, attr).select("user_id", "feature", "cnt")
 
 
 def attr1_counts_q(spark, sf_dir):
-    fam, cfg, a1, a2 = _pe(spark, sf_dir)
-    return pev.long_counts(fam, pev.attr_columns(cfg, a1, a2)[0], None)
+    return _attr_counts(spark, sf_dir, "attr1")
 
 
 def attr2_counts_q(spark, sf_dir):
-    fam, cfg, a1, a2 = _pe(spark, sf_dir)
-    return pev.long_counts(fam, pev.attr_columns(cfg, a1, a2)[1], None)
+    return _attr_counts(spark, sf_dir, "attr2")
 
 
 def slug_q(spark, sf_dir):
@@ -121,57 +132,53 @@ def slug_q(spark, sf_dir):
 
 
 def click_counts_q(spark, sf_dir):
-    t, cfg, pop = _setup(spark, sf_dir)
+    t, cfg, pop = setup(spark, sf_dir)
     return clk.named_click_counts(t, cfg, pop)
 
 
 def click_pivot_q(spark, sf_dir):
-    t, cfg, pop = _setup(spark, sf_dir)
-    wide, _ = clk.click_pivot(t, cfg, pop)
-    return wide
+    """A9 with the fixed schema: one column per event of the catalog."""
+    t, cfg, pop = setup(spark, sf_dir)
+    return clk.click_pivot(t, cfg, pop, all_catalog=True)[0]
 
 
 def feature_assembly_q(spark, sf_dir):
-    t, cfg, pop = _setup(spark, sf_dir)
-    return build_dataset(t, cfg, pop).df
+    return long_form(dataset(spark, sf_dir)[0])
 
 
 def label_balance_q(spark, sf_dir):
-    ds = feature_assembly_q(spark, sf_dir)
-    return ds.agg(
-        F.count(F.lit(1)).alias("dataset_length"),
-        F.count(F.when(F.col("is_asd") == 1, 1)).alias("asd"),
-        F.count(F.when(F.col("is_asd") == 0, 1)).alias("non_asd"),
-    )
+    from ..sources.sinks import label_balance
+
+    return label_balance(dataset(spark, sf_dir)[0].df)
 
 
 def run_log_comment_q(spark, sf_dir):
-    """The dataset stage's run-log row (JSON built with ``to_json``)."""
+    """The dataset stage's run-log row, without the run's duration."""
     from ..sources.sinks import balance_log_row
 
-    return balance_log_row(feature_assembly_q(spark, sf_dir), "lookalike", "collect_dataset")
+    return balance_log_row(dataset(spark, sf_dir)[0].df, "lookalike", "collect_dataset")
 
 
 def class_weights_q(spark, sf_dir):
     from ..operators.models import class_weight_table
 
-    return class_weight_table(feature_assembly_q(spark, sf_dir), "is_asd")
+    return class_weight_table(dataset(spark, sf_dir)[0].df, "is_asd")
 
 
 def _training(spark, sf_dir):
     from .recommend import training_frame
 
-    t, cfg, pop = _setup(spark, sf_dir)
-    ds = build_dataset(t, cfg, pop)
-    train, totals, _ = training_frame(ds, cfg)
-    return ds, cfg, train, totals
+    ds, cfg = dataset(spark, sf_dir)
+    train, _ = training_frame(ds, cfg)
+    ds.release()
+    return cfg, train
 
 
 def grid_search_q(spark, sf_dir):
     """L4 (rows-only): mean cross-validated F1 per (C, weighting)."""
     from .recommend import logistic_scores
 
-    _, cfg, train, totals = _training(spark, sf_dir)
+    cfg, train = _training(spark, sf_dir)
     grid, _ = logistic_scores(train, cfg)
     return spark.createDataFrame(grid.rows, "C double, weighting string, f1 double")
 
@@ -180,26 +187,33 @@ def crossfit_logreg_q(spark, sf_dir):
     """L2 + L7 (rows-only): cross-fitted logistic score per user."""
     from .recommend import logistic_scores
 
-    _, cfg, train, totals = _training(spark, sf_dir)
-    _, fit = logistic_scores(train, cfg)
-    return fit.scores
+    cfg, train = _training(spark, sf_dir)
+    return logistic_scores(train, cfg)[1].scores
 
 
 def crossfit_trees_q(spark, sf_dir):
     """L5 + L7 (rows-only): cross-fitted boosted-tree score per user."""
-    from .recommend import tree_scores
+    from .recommend import tree_fit
+
+    cfg, train = _training(spark, sf_dir)
+    return tree_fit(train, cfg).scores
+
+
+def tree_cv_q(spark, sf_dir):
+    """L6 (rows-only): F1 of the tree setting on each fold."""
+    from .recommend import tree_cv
 
-    _, cfg, train, _ = _training(spark, sf_dir)
-    _, fit = tree_scores(train, cfg, with_cv=False)
-    return fit.scores
+    cfg, train = _training(spark, sf_dir)
+    folds = list(enumerate(tree_cv(train, cfg)))
+    return spark.createDataFrame([(k, float(f)) for k, f in folds], "fold int, f1 double")
 
 
 def recommend_list_q(spark, sf_dir):
     """The job's output list (rows-only): 14 columns, no history yet."""
     from .recommend import recommend
 
-    t, cfg, pop = _setup(spark, sf_dir)
-    return recommend(build_dataset(t, cfg, pop), cfg, with_tree_cv=False).rows
+    ds, cfg = stored_dataset(spark, sf_dir)
+    return recommend(ds, cfg).rows
 
 
 QUERIES = {
@@ -228,5 +242,6 @@ QUERIES = {
     "grid_search": grid_search_q,
     "crossfit_logreg": crossfit_logreg_q,
     "crossfit_trees": crossfit_trees_q,
+    "tree_cv": tree_cv_q,
     "recommend_list": recommend_list_q,
 }

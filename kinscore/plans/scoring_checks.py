@@ -15,10 +15,13 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.assemble import DatasetSpec
 from ..operators.nearest import nearest_positive
 from ..operators.selection import exclude_recent, select_users, tagged_top_lists, vote
 from ..operators.transform import log_features, standardize
 from ..sources.tables import read_driver_table
+from .dataset import Dataset, long_form
+from .registry import dataset, setup, stored_dataset
 
 # parameters of the selection fixture
 FIXTURE_SCALE = 0.13
@@ -26,6 +29,8 @@ FIXTURE_N_REC = 100
 FIXTURE_THRESHOLDS = {"knn": 0.0, "logreg": 0.5, "xgb": 0.5}
 HISTORY_TODAY = dt.date(2024, 1, 30)
 HISTORY_DAYS = 14
+# logarithms and scaled values are compared after rounding: sums depend on the order of the rows
+ROUND_DIGITS = 6
 
 
 def embedding_vectors(spark, sf_dir: str, scale: float | None = None) -> DataFrame:
@@ -69,32 +74,39 @@ def quota_fill_q(spark, sf_dir):
     return select_users(fixture_scores(spark, sf_dir), FIXTURE_THRESHOLDS, FIXTURE_N_REC).ids
 
 
-def exclude_recent_q(spark, sf_dir):
-    from .registry import _setup
+def f1_scores_q(spark, sf_dir):
+    """L8 on written predictions: F1 of the positive class of both model columns."""
+    from ..operators.models import PositiveF1
 
-    _, _, pop = _setup(spark, sf_dir)
-    ev = read_driver_table(spark, sf_dir, "events")
-    history = ev.where(F.col("event_type") == "purchase").select("user_id", F.to_date("ts").alias("date_rec"))
-    return exclude_recent(pop, history, HISTORY_TODAY, HISTORY_DAYS)
+    e = embedding_vectors(spark, sf_dir).select("user_id", (F.col("label") == 0).cast("double").alias("label"))
+    scored = fixture_scores(spark, sf_dir).join(e, "user_id")
+    ev = PositiveF1()
+    rows = []
+    for m in ("logreg", "xgb"):
+        predicted = (F.col(f"{m}_score") > FIXTURE_THRESHOLDS[m]).cast("double").alias("prediction")
+        rows.append((m, ev.evaluate(scored.select("label", predicted))))
+    return spark.createDataFrame(rows, "model string, f1 double")
 
 
-def log_features_q(spark, sf_dir):
-    from .registry import _setup
-    from .dataset import build_dataset
+def exclude_recent_q(spark, sf_dir):
+    pop = setup(spark, sf_dir)[2]
+    history = read_driver_table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("date_rec"))
+    return exclude_recent(pop.df, history, HISTORY_TODAY, HISTORY_DAYS)
 
-    t, cfg, pop = _setup(spark, sf_dir)
-    ds = build_dataset(t, cfg, pop)
-    return log_features(ds.df, ds.spec.features)
 
+def log_features_q(spark, sf_dir):
+    ds, _ = dataset(spark, sf_dir)
+    logged = Dataset(log_features(ds.df, ds.spec.features), ds.spec)
+    return long_form(logged).select("user_id", "feature", F.round("value", ROUND_DIGITS).alias("value"))
 
-def standardize_q(spark, sf_dir):
-    from .registry import _setup
-    from .dataset import build_dataset
 
-    t, cfg, pop = _setup(spark, sf_dir)
-    ds = build_dataset(t, cfg, pop)
+def standardize_q(spark, sf_dir):
+    ds, _ = stored_dataset(spark, sf_dir)
     cols = ds.spec.non_click_features
-    return standardize(ds.df.select("user_id", *cols), cols)
+    scaled = standardize(ds.df, cols)
+    spec = DatasetSpec(ds.spec.keys, [], cols, [])
+    rounded = (F.round("value", ROUND_DIGITS) + F.lit(0.0)).alias("value")
+    return long_form(Dataset(scaled, spec)).select("user_id", "feature", rounded)
 
 
 QUERIES = {
@@ -102,6 +114,7 @@ QUERIES = {
     "top_k_per_score": top_k_q,
     "vote_two_of_three": vote_q,
     "quota_fill": quota_fill_q,
+    "f1_scores": f1_scores_q,
     "exclude_recent": exclude_recent_q,
     "log_features": log_features_q,
     "standardize": standardize_q,

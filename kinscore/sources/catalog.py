@@ -43,22 +43,30 @@ def driver_event_catalog(spark: SparkSession) -> DataFrame:
     )
 
 
-def load_event_catalog(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def load_event_catalog(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """The catalog from a csv (with header), json-lines or parquet file; the format follows the
+    file's ending unless given. A catalog that breaks an invariant fails here."""
+    kind = fmt or path.rstrip("/").rsplit(".", 1)[-1].lower()
     reader = spark.read.schema(CATALOG_SCHEMA)
-    if fmt == "csv":
+    if kind == "csv":
         df = reader.option("header", True).csv(path)
-    elif fmt == "json":
+    elif kind in ("json", "jsonl"):
         df = reader.json(path)
-    else:
+    elif kind == "parquet":
         df = spark.read.parquet(path).select(*[F.col(f.name).cast(f.dataType) for f in CATALOG_SCHEMA])
+    else:
+        raise ValueError(f"catalog {path}: expected csv, json, jsonl or parquet")
+    problems = catalog_problems(df).limit(5).collect()
+    if problems:
+        raise ValueError("event catalog: " + ", ".join(f"{r['problem']} {r['value']}" for r in problems))
     return df
 
 
 def checked_catalog(catalog: DataFrame) -> DataFrame:
-    """The catalog is broadcast into the clickstream join: prove its size first."""
+    """Events become columns: prove the catalog's size before names are collected."""
     n = catalog.limit(MAX_CATALOG_ROWS + 1).count()
     if n > MAX_CATALOG_ROWS:
-        raise ValueError(f"event catalog has more than {MAX_CATALOG_ROWS} rows; too large to broadcast")
+        raise ValueError(f"event catalog has more than {MAX_CATALOG_ROWS} rows; too many for columns")
     return catalog
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +19,6 @@ RUN_LOG_SCHEMA = T.StructType(
         T.StructField("comment", T.StringType()),
     ]
 )
-COMMENT_LIMIT = 1000
 
 
 def write_dataset(df: DataFrame, path: str) -> None:
@@ -36,47 +36,49 @@ def append_history(df: DataFrame, path: str, date_rec: dt.date | None = None) ->
     180-day read prunes files; ``partitionOverwriteMode=dynamic`` makes a rerun of the same
     day replace that day's partition instead of duplicating it."""
     day = F.lit(date_rec) if date_rec else F.current_date()
-    out = df.withColumn("date_rec", day)
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").partitionBy("date_rec").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    writer = df.withColumn("date_rec", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date_rec").parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame | None:
+    """The history, or None when its folder does not exist yet (the first run). Any other
+    failure to read it fails the run: without the history nobody would be excluded."""
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first run: no history yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def run_log_row(spark: SparkSession, task: str, operation: str, comment: dict) -> DataFrame:
-    """One log row; the JSON comment must fit the 1000-character column."""
-    text = json.dumps(comment, default=str)
-    if len(text) > COMMENT_LIMIT:
-        raise ValueError(f"run-log comment has {len(text)} characters, limit {COMMENT_LIMIT}")
-    return spark.createDataFrame([(task, operation, text)], "task string, operation string, comment string").select(
-        F.current_timestamp().alias("date_time"), "task", "operation", "comment"
+def comment_row(values: DataFrame, task: str, operation: str) -> DataFrame:
+    """(task, operation, comment) with the one row of ``values`` as JSON."""
+    return values.select(
+        F.lit(task).alias("task"), F.lit(operation).alias("operation"), F.to_json(F.struct("*")).alias("comment")
     )
 
 
-def balance_log_row(dataset: DataFrame, task: str, operation: str) -> DataFrame:
-    """S8 for the dataset stage, computed in Spark: one row whose JSON comment holds the row
-    count and the label balance (A10, F15 ``to_json``); no driver round trip."""
-    counts = dataset.agg(
+def label_balance(dataset: DataFrame) -> DataFrame:
+    """A10: row count and the counts of both labels."""
+    return dataset.agg(
         F.count(F.lit(1)).alias("dataset_length"),
         F.count(F.when(F.col("is_asd") == 1, 1)).alias("asd"),
         F.count(F.when(F.col("is_asd") == 0, 1)).alias("non_asd"),
     )
-    return counts.select(
-        F.lit(task).alias("task"),
-        F.lit(operation).alias("operation"),
-        F.to_json(F.struct("dataset_length", "asd", "non_asd")).alias("comment"),
-    )
 
 
-def append_run_log(spark: SparkSession, path: str, task: str, operation: str, comment: dict) -> None:
-    run_log_row(spark, task, operation, comment).coalesce(1).write.mode("append").parquet(path)
+def balance_log_row(dataset: DataFrame, task: str, operation: str, **extra) -> DataFrame:
+    """S8 for the dataset stage: the label balance, and ``extra`` values."""
+    counts = label_balance(dataset).select("*", *[F.lit(v).alias(k) for k, v in extra.items()])
+    return comment_row(counts, task, operation)
+
+
+def dict_log_row(spark: SparkSession, task: str, operation: str, comment: dict) -> DataFrame:
+    """S8 for the scoring stage, whose metrics are driver-side numbers."""
+    row = [(task, operation, json.dumps(comment, default=str))]
+    return spark.createDataFrame(row, "task string, operation string, comment string")
+
+
+def append_run_log(row: DataFrame, path: str) -> None:
+    stamped = row.select(F.current_timestamp().alias("date_time"), "task", "operation", "comment")
+    stamped.coalesce(1).write.mode("append").parquet(path)

@@ -73,9 +73,12 @@ class Tables:
         return self
 
 
-def read_parquet_tables(spark: SparkSession, root: str) -> Tables:
-    """Read the nine logical tables stored as ``<root>/<name>`` parquet datasets."""
-    return Tables(**{name: spark.read.parquet(f"{root}/{name}") for name in SCHEMAS}).validate()
+def read_parquet_tables(spark: SparkSession, root: str, event_catalog: DataFrame | None = None) -> Tables:
+    """Read the logical tables stored as ``<root>/<name>`` parquet datasets; a given
+    ``event_catalog`` takes the place of ``<root>/event_catalog``."""
+    given = {} if event_catalog is None else {"event_catalog": event_catalog}
+    read = {name: spark.read.parquet(f"{root}/{name}") for name in SCHEMAS if name not in given}
+    return Tables(**read, **given).validate()
 
 
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -50,19 +50,55 @@ def test_population_rules(spark):
     assert got == [(1, 101), (3, 103)]
 
 
+def test_one_test_row_excludes_a_user(spark):
+    rows = _base_rows()
+    rows["users"] = rows["users"] + [(1, 101, True)]  # user 1 has a normal and a test row
+    assert [tuple(r) for r in active_population(make_tables(spark, **rows), CFG).collect()] == [(3, 103)]
+
+
+def test_many_attribute_values_and_a_hot_item(spark):
+    """No cap on values; an item with a third of the rows, under a sort-merge join."""
+    n = 5000
+    items = [(i, 1 + i % 7, 1, False, f"value {i}", "") for i in range(n)]
+    pe = [(i, ts(days_ago(5)), True, "PROMO", f"op{i}") for i in range(n)]
+    pe += [(0, ts(days_ago(i % 100)), i % 2 == 0, "ECONOMY", f"hot{i % 900}") for i in range(n // 2)]
+    t = make_tables(spark, users=[(u, u + 100, False) for u in range(1, 8)], items=items, payment_events=pe)
+    pop = Population(active_population(t, CFG))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        grain = pev.item_grain(t, CFG, pop)
+        counts = pev.attr_counts(grain, CFG, "attr1")
+        assert len(pev.attr_features(counts)) == n
+        got = {r["feature"]: r["cnt"] for r in counts.where("user_id = 1").collect()}
+        assert got["p1_value_0"] == 1 + n // 4 and got["p1_value_7"] == 1 and len(got) == len(range(0, n, 7))
+        ops = {r["user_id"]: r for r in pev.operation_branch(t, CFG, pop).collect()}
+        hot = len({f"hot{i % 900}" for i in range(0, n // 2, 2)})
+        assert ops[1]["ECONOMY"] == hot and ops[1]["PROMO"] == len(range(0, n, 7))
+        assert ops[1]["count_payments_180"] == hot + ops[1]["PROMO"]
+        plan = pev.operation_branch(t, CFG, pop)._jdf.queryExecution().executedPlan().toString()
+        # an exchange stands between the item join and the (user, operation) aggregate
+        assert plan.index("hashpartitioning(user_id") < plan.index("SortMergeJoin [item_id")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
 def test_event_family_distinct_counts(spark):
     t = make_tables(spark, **_base_rows())
     for pop in (Population(active_population(t, CFG)), Population(active_population(t, CFG), rows=2)):
-        fam, a1, a2 = pev.payment_event_family(t, CFG, pop)
-        rows = {r["user_id"]: r for r in fam.collect()}
+        frames, a1, a2 = pev.payment_event_family(t, CFG, pop)
+        joined = frames[0]
+        for f in frames[1:]:
+            joined = joined.join(f, "user_id", "left")
+        rows = {r["user_id"]: r for r in joined.collect()}
         # user 1: items 10 and 11 have events (op2 is outside by one second, so item 10 via op1)
         assert rows[1]["count_items_180"] == 2
         # revenue operations of user 1: op1 (twice, two items) → 1 distinct
         assert rows[1]["count_payments_180"] == 1
-        assert rows[1]["PROMO"] == 1 and rows[1]["has_STANDARD"] == 0
-        assert [v for v, _ in a1] == ["A", "B"]
+        assert rows[1]["PROMO"] == 1 and rows[1]["STANDARD"] == 0
+        assert a1 == ["p1_a", "p1_b"]
         # attr2: null skipped, empty string skipped
-        assert [v for v, _ in a2] == ["x", "y"]
+        assert a2 == ["p2_x", "p2_y"]
         # attr counts are row counts of revenue events: user 1 has two revenue rows (A, B)
         assert rows[1]["p1_a"] == 1 and rows[1]["p1_b"] == 1
 
@@ -86,7 +122,7 @@ def test_payment_family_nulls_and_rules(spark):
     assert u1["revenue_180"] == Decimal("17.5")  # cat 9 row fails the rule
     assert u1["LARGE"] == 2  # f1 (twice) and f3 (null-tolerant): 2 distinct facts
     assert fam[3]["MEDIUM"] == 1 and fam[3]["n_all_revenue_90"] == 1
-    long = {(r["user_id"], r["feature"]): r["cnt"] for r in pay.tariff_counts_long(pay.payments_family(t, CFG, pop), CFG).collect()}
+    long = {(r["user_id"], r["feature"]): r["cnt"] for r in pev.long_counts(pay.payments_family(t, CFG, pop), pay.tariff_columns(CFG)).collect()}
     assert long == {(1, "LARGE"): 2.0, (3, "MEDIUM"): 1.0}
 
 
@@ -116,8 +152,8 @@ def test_flags_null_team_and_case(spark):
     ]
     t = make_tables(spark, manager_days=md, **_base_rows())
     pop = active_population(t, CFG)
-    assert sorted(r[0] for r in flags.managed_on_date(t, CFG).collect()) == [1]
-    assert sorted(r[0] for r in flags.managed_by_others(t, CFG, pop).collect()) == [3]
+    assert [tuple(r) for r in flags.flagged(flags.manager_flags(t, CFG), "is_asd").collect()] == [(1, 1.0)]
+    assert [tuple(r) for r in flags.flagged(flags.manager_flags(t, CFG, pop), "asd_others").collect()] == [(3, 1.0)]
     merged = {r["user_id"]: (r["is_asd"], r["was_asd"], r["asd_others"]) for r in flags.manager_flags(t, CFG, pop).collect()}
     assert merged == {1: (1.0, 1.0, 0.0), 3: (0.0, 0.0, 1.0)}
 

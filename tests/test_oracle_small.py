@@ -24,7 +24,10 @@ FAST = [
     "attr2_counts",
     "slug",
     "click_counts",
+    "click_pivot",
     "feature_assembly",
+    "run_log_comment",
+    "standardize",
     "nearest_l1",
     "quota_fill",
 ]

@@ -46,6 +46,9 @@ def test_feature_hook(spark):
     bad = FeatureSpec("x", lambda tables, cfg, pop: tables.items.select("user_id"))
     with pytest.raises(ValueError):
         build_dataset(t, CFG, extra=[bad])
+    twice = FeatureSpec("x", lambda tables, cfg, pop: tables.items.select("user_id", F.lit(1.0).alias("x")))
+    with pytest.raises(ValueError, match="more than one row"):
+        build_dataset(t, CFG, extra=[twice])
 
 
 def test_catalog_problems(spark):

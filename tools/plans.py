@@ -50,11 +50,14 @@ def main():
         "payments family, population of unknown size (aggregate first, then semi join)": pay.payments_family(
             t, cfg, Population(pop_df)
         ),
-        "payment events, level-1 aggregate (persisted, read by discovery and both branches)": pev.level_one(
-            pev.events_of_population(t, cfg, counted), cfg
+        "payment events, operation grain (item join, then exchange, then two-level aggregate)": pev.operation_branch(
+            t, cfg, counted
+        ),
+        "payment events, attribute counts over the checkpointed item grain": pev.attr_counts(
+            pev.item_grain(t, cfg, counted), cfg, "attr1"
         ),
-        "nearest positive, one bounded block (arrays path)": nearest_positive(
-            e.where(F.col("label") != 0), e.where(F.col("label") == 0), method="arrays"
+        "nearest positive (candidates are read where they lie)": nearest_positive(
+            e.where(F.col("label") != 0), e.where(F.col("label") == 0)
         ),
         "top-k (TakeOrderedAndProject)": top_k(e.select("user_id", F.col("vec")[0].alias("s")), "s", 0.0, 100),
     }
