@@ -157,9 +157,14 @@ def learning_rows(docs: DataFrame) -> DataFrame:
     learns from."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").where("doc_id is not null and lang is not null")
     known = known.where(~held_out(F.col("doc_id"))).distinct()
-    order = [F.xxhash64("doc_id", F.lit(5)), "doc_id"]
-    known = known.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-    few = known.where(F.col("r") <= MAX_ROWS)
+    # of a large language only the part of the hash range that holds about 2 * MAX_ROWS ids is ranked
+    sizes = saved(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    sizes = F.broadcast(sizes) if sizes.count() <= 10_000 else sizes
+    hashed = known.withColumn("h", F.xxhash64("doc_id", F.lit(5))).join(sizes, "lang")
+    share = F.shiftrightunsigned("h", 11).cast("double") * F.lit(2.0**-53)
+    hashed = hashed.where(share * F.col("n") <= 2 * MAX_ROWS)
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 11), "doc_id")
+    few = hashed.withColumn("r", F.row_number().over(order)).where(F.col("r") <= MAX_ROWS)
     code = F.lower(F.substring_index("lang", "-", 1))
     name = F.coalesce(F.create_map(*[F.lit(x) for kv in _FAMILY_OF.items() for x in kv])[code], F.col("lang"))
     few = few.withColumn("family", name)
@@ -175,25 +180,19 @@ def train(docs: DataFrame) -> Model | None:
     chosen = F.broadcast(sample) if n_rows <= 200_000 else sample
     texts = texts.join(chosen, ["doc_id", "lang"])
 
-    def extract(batches):
-        for batch in slices(batches):
-            keep = pa.array([has_letter(t) for t in batch.column("text").to_pylist()])
-            batch = batch.filter(keep)
-            x = pa.array([features(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
-            names = ["doc_id", "lang", "family", "in_top"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, names), x], [*names, "x"])
-
-    rows = texts.mapInArrow(extract, "doc_id long, lang string, family string, in_top boolean, x binary")
     groups = F.when(F.col("in_top"), F.array(F.lit(""), "family")).otherwise(F.array("family"))
-    rows = rows.select("doc_id", "lang", "family", "x", F.explode(groups).alias("part"))
+    rows = texts.select("doc_id", "lang", "family", "text", F.explode(groups).alias("part"))
 
     def fit(key, t):
         part = key[0].as_py()
+        t = t.filter(pa.array([has_letter(x) for x in t.column("text").to_pylist()], pa.bool_()))
         t = t.sort_by([("lang", "ascending"), ("doc_id", "ascending")])
-        x = np.frombuffer(b"".join(t.column("x").to_pylist()), np.float32).reshape(-1, DIMS)
+        x = np.zeros((t.num_rows, DIMS), np.float32)
+        for i, text in enumerate(t.column("text").to_pylist()):
+            x[i] = features(text)
         marks = t.column("lang" if part else "family").to_pylist()
         classes = sorted(set(marks))
-        machines = pairwise(x, np.array([classes.index(m) for m in marks]), len(classes))
+        machines = pairwise(x, np.array([classes.index(m) for m in marks], int), len(classes))
         return pa.table({
             "part": pa.array([part]),
             "classes": pa.array([classes], pa.list_(pa.string())),
@@ -201,6 +200,7 @@ def train(docs: DataFrame) -> Model | None:
         })
 
     found = rows.groupBy("part").applyInArrow(fit, "part string, classes array<string>, machines binary").collect()
+    found = [r for r in found if r.classes]
     parts = {r.part: (r.classes, np.frombuffer(r.machines, np.float32).reshape(-1, DIMS + 1)) for r in found}
     return Model(parts) if parts else None
 
