@@ -94,31 +94,33 @@ def chosen_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     start = own.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.lit(1).alias("hops"), "score"
     )
-    # level k: the ancestor 2^k steps up (null above the root), messages passed, their score
-    levels = [saved(start)]
-    limit = max(1, levels[0].count()).bit_length() + 1
-    while levels[-1].where("up is not null").limit(1).count() and len(levels) <= limit:
-        low = levels[-1]
-        high = low.select("tree", F.col("node").alias("up"), F.col("up").alias("next"),
-                          F.col("hops").alias("more_hops"), F.col("score").alias("more"))
-        # nodes that reached the root have no partner
-        doubled = low.join(high, ["tree", "up"], "left").select(
-            "tree", "node", F.col("next").alias("up"),
-            (F.col("hops") + F.coalesce("more_hops", F.lit(0))).alias("hops"),
-            (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
+    # jumps[k]: the ancestor 2^k steps up, the messages passed and their score, of the messages that are
+    # deep enough to have one; ``done``: those that reached their root, with all they passed
+    first = saved(start)
+    jumps, done = [first.where("up is not null")], first.where("up is null")
+    limit = max(1, first.count()).bit_length() + 1
+    while len(jumps) <= limit and not jumps[-1].isEmpty():
+        low = jumps[-1]
+        high = done.unionByName(low).select("tree", F.col("node").alias("up"), F.col("up").alias("next"),
+                                            F.col("hops").alias("more_hops"), F.col("score").alias("more"))
+        doubled = low.join(high, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"), (F.col("hops") + F.col("more_hops")).alias("hops"),
+            (F.col("score") + F.col("more")).alias("score"),
         )
-        levels.append(saved(doubled))
-    # what still has an ancestor runs in a cycle; a leaf is nobody's parent
-    parents = levels[0].where("up is not null").select("tree", F.col("up").alias("node")).distinct()
-    leaves = levels[-1].where("up is null").join(parents, ["tree", "node"], "left_anti")
+        doubled = saved(doubled)
+        done = done.unionByName(doubled.where("up is null"))
+        jumps.append(doubled.where("up is not null"))
+    # what never gets done runs in a cycle; a leaf is nobody's parent
+    parents = jumps[0].select("tree", F.col("up").alias("node")).distinct()
+    leaves = done.join(parents, ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc(F.col("score") / F.col("hops")), "node")
     best = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     walk = best.select(
         "tree", F.col("node").alias("leaf"), "rank", (F.col("score") / F.col("hops")).alias("path_score"),
         (F.col("hops") - 1).alias("step"), "node",
     )
-    for k in range(len(levels) - 2, -1, -1):
-        jump = levels[k].where("up is not null").select("tree", "node", "up")
+    for k in range(len(jumps) - 1, -1, -1):
+        jump = jumps[k].select("tree", "node", "up")
         above = walk.join(jump, ["tree", "node"]).select(
             "tree", "leaf", "rank", "path_score", (F.col("step") - 2**k).alias("step"), F.col("up").alias("node")
         )
