@@ -51,8 +51,8 @@ def _tariff_base(cfg: JobConfig) -> Column:
 
 
 def payments_family(t: Tables, cfg: JobConfig, population) -> DataFrame:
-    """Per population user: the three sums (DECIMAL), ``n_<sum>`` row counts, one count per
-    tariff and ``has_<tariff>`` flags (a user has a feature row iff it had qualifying rows)."""
+    """Per population user: the three sums (DECIMAL), ``n_<sum>`` row counts and one count per
+    tariff (zero where the user had no qualifying row)."""
     pop = as_population(population)
     conds = _conditions(cfg)
     tariff_base = _tariff_base(cfg)
