@@ -63,7 +63,6 @@ def main():
     def dataset():
         ds = build_dataset(t, cfg, pop)
         state["ds"] = Dataset(ds.df.checkpoint(eager=True), ds.spec)
-        ds.release()
 
     timed("dataset", dataset)
     timed("payments", lambda: run(pay.payments_family(t, cfg, pop)))

@@ -6,18 +6,18 @@ clickstream), counted per (user, eid) with map-side partial aggregation, and onl
 given names and pivoted. The pivot gets its value list explicitly (no extra distinct job
 inside ``pivot``); by default the list is the events actually seen, as in the original job,
 and ``all_catalog=True`` fixes the schema to the whole catalog. The small per-(user, event)
-counts are persisted, so the discovery does not rescan the clickstream.
+counts are checkpointed, so the discovery does not rescan the clickstream.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..functions.predicates import closed_window
 from ..functions.text import assert_unique_names, slug
+from ..session import ensure_checkpoint_dir
 from ..sources.catalog import MAX_CATALOG_ROWS, checked_catalog
 from ..sources.tables import Tables
 from .population import as_population
@@ -66,14 +66,12 @@ def click_feature_names(t: Tables, cfg: JobConfig, counts: DataFrame | None = No
     return names
 
 
-def click_pivot(
-    t: Tables, cfg: JobConfig, population, all_catalog: bool = False, keep: list | None = None
-) -> tuple[DataFrame, list[str]]:
+def click_pivot(t: Tables, cfg: JobConfig, population, all_catalog: bool = False) -> tuple[DataFrame, list[str]]:
     """The counts per (user, event) are small (users × events seen) and read twice, by the
-    name discovery and by the pivot, so they are persisted instead of rescanning clicks."""
-    counts = click_counts(t, cfg, population).persist(StorageLevel.MEMORY_AND_DISK)
-    if keep is not None:
-        keep.append(counts)
+    name discovery and by the pivot, so they are checkpointed instead of rescanning clicks."""
+    counts = click_counts(t, cfg, population)
+    ensure_checkpoint_dir(counts.sparkSession)
+    counts = counts.checkpoint(eager=True)
     names = click_feature_names(t, cfg, None if all_catalog else counts)
     named = counts.join(catalog_names(t, cfg), "eid", "inner")
     wide = named.groupBy("user_id").pivot("feature", names).agg(F.sum("cnt"))

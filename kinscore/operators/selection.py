@@ -10,11 +10,13 @@ limit is the feature here (the list size), not a sample.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 SCORES = ("knn", "logreg", "xgb")
 
 
@@ -54,31 +56,26 @@ class Selection:
     voted: int
     per_model_quota: int
     counts: dict  # list sizes for the run log: voted users, and each model's fill
-    cached: list = field(default_factory=list)
-
-    def release(self) -> None:
-        for frame in self.cached:
-            frame.unpersist()
-        self.cached = []
 
 
 def select_users(df: DataFrame, thresholds: dict, n_rec: int, key: str = "user_id") -> Selection:
     """Vote, quota, per-model fill on the remaining users, union.
 
-    Six top-k passes read the key and the three scores, so only these four columns are persisted
-    (memory, spilling to disk; a lost block is recomputed from its lineage)."""
-    scores = df.select(key, *[f"{m}_score" for m in SCORES]).persist()
-    voted_ids = vote(tagged_top_lists(scores, thresholds, n_rec, key), key).persist()
+    Six top-k passes read the key and the three scores, so only these four columns are
+    checkpointed; the lists hold at most ``2 * n_rec`` rows."""
+    ensure_checkpoint_dir(df.sparkSession)
+    scores = df.select(key, *[f"{m}_score" for m in SCORES]).checkpoint(eager=True)
+    voted_ids = vote(tagged_top_lists(scores, thresholds, n_rec, key), key).checkpoint(eager=True)
     n_voted = voted_ids.count()
     k = quota(n_rec, n_voted)
     rest = scores.join(voted_ids, key, "left_anti")
     ids = voted_ids.withColumn("model", F.lit("voted"))
     for m in SCORES:
         ids = ids.unionByName(top_k(rest, f"{m}_score", thresholds[m], k, key).withColumn("model", F.lit(m)))
-    ids = ids.persist()  # at most 2 * n_rec rows
+    ids = ids.checkpoint(eager=True)
     sizes = {r["model"]: r["count"] for r in ids.groupBy("model").count().collect()}
     counts = {"top_users": n_voted} | {f"{m}_users": sizes.get(m, 0) for m in SCORES}
-    return Selection(ids.select(key).distinct(), n_voted, k, counts, [scores, voted_ids, ids])
+    return Selection(ids.select(key).distinct(), n_voted, k, counts)
 
 
 def recent_ids(history: DataFrame, today: dt.date, days: int, key: str = "user_id") -> DataFrame:

@@ -27,7 +27,6 @@ def collect_dataset(spark: SparkSession, t: Tables, cfg: JobConfig, out_root: st
     pop = materialize_population(active_population(t, cfg))
     ds = build_dataset(t, cfg, pop)
     sinks.write_dataset(ds.df, f"{out_root}/dataset")
-    ds.release()
     # later stages read the written table, not the feature plan
     stored = Dataset(spark.read.parquet(f"{out_root}/dataset"), ds.spec)
     duration = f"{time.time() - start:.1f}s"
@@ -53,7 +52,6 @@ def get_recommendations(
     log["selection"] = dict(log["selection"], stored=last.count())
     log["duration"] = f"{time.time() - start:.1f}s"
     sinks.append_run_log(sinks.dict_log_row(spark, "lookalike", "get_recommendations", log), f"{out_root}/runlog")
-    rec.release()
     return last, log
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..config import JobConfig
 from ..operators import models as M
 from ..operators.nearest import nearest_positive, vector_of
-from ..operators.selection import Selection, exclude_recent, output_rows, select_users
+from ..operators.selection import exclude_recent, output_rows, select_users
 from ..operators.transform import log_domain_violations, log_features, standardize
 from ..session import ensure_checkpoint_dir
 from .dataset import Dataset
@@ -38,12 +38,6 @@ class Recommendation:
     rows: DataFrame  # the 14 output columns
     scored: DataFrame  # every user with the three scores
     log: dict = field(default_factory=dict)
-    selection: Selection | None = None
-
-    def release(self) -> None:
-        """Unpersist the selection's frames once ``rows`` has been written."""
-        if self.selection is not None:
-            self.selection.release()
 
 
 def training_frame(ds: Dataset, cfg: JobConfig) -> tuple[DataFrame, list[str]]:
@@ -131,4 +125,4 @@ def recommend(
         "n_features": len(feats),
         "rows_below_minus_one": log_domain_violations(ds.df, feats).first()[0],
     }
-    return Recommendation(rows, scored, log, sel)
+    return Recommendation(rows, scored, log)

@@ -38,9 +38,7 @@ def dataset(spark: SparkSession, sf_dir: str) -> tuple[Dataset, JobConfig]:
 def stored_dataset(spark: SparkSession, sf_dir: str) -> tuple[Dataset, JobConfig]:
     """The dataset behind a checkpoint, as the job's later stages read it from its table."""
     ds, cfg = dataset(spark, sf_dir)
-    stored = Dataset(ds.df.checkpoint(eager=True), ds.spec)
-    ds.release()
-    return stored, cfg
+    return Dataset(ds.df.checkpoint(eager=True), ds.spec), cfg
 
 
 def active_population_q(spark, sf_dir):
@@ -169,9 +167,7 @@ def _training(spark, sf_dir):
     from .recommend import training_frame
 
     ds, cfg = dataset(spark, sf_dir)
-    train, _ = training_frame(ds, cfg)
-    ds.release()
-    return cfg, train
+    return cfg, training_frame(ds, cfg)[0]
 
 
 def grid_search_q(spark, sf_dir):
