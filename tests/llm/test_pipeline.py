@@ -7,14 +7,15 @@ from collections import Counter
 
 import pytest
 import sentencepiece
-from test_simhash_dedup import brute_components, brute_fingerprint
-from test_source_mixing import WORD, brute_targets
-from test_substring_dedup import brute as brute_substring
 
 import corpus_pipeline
 from kinscore.llm.quality_rules import judge
 from kinscore.llm.sentencepiece_codec import default_model
 
+from .test_simhash_dedup import brute_components, brute_fingerprint
+from .test_source_mixing import WORD, brute_targets
+from .test_substring_dedup import brute as brute_substring
+
 SMALL = "/root/testdata/sf0.001"
 
 
