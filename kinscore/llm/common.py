@@ -49,11 +49,12 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
     """Cut Arrow batches so that each piece holds about ``limit`` bytes of text at most (or a
     single longer row): memory in a task follows this limit, not the session's batch size."""
+    import pyarrow.compute as pc
+
     for batch in batches:
-        ends = batch.column(column)
         total, start = 0, 0
-        sizes = [len(x) if x is not None else 0 for x in ends.cast(pa.binary()).to_pylist()] if batch.num_rows else []
-        for i, n in enumerate(sizes):
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        for i, n in enumerate(sizes.to_pylist()):
             if total and total + n > limit:
                 yield batch.slice(start, i - start)
                 start, total = i, 0

@@ -32,13 +32,13 @@ exceeds ``SHARD_IDS``; extra columns are not read; an empty table gives no shard
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +50,10 @@ SHARD_IDS = 1 << 20
 ROUNDS = 6
 PAIRS_A_ROUND = 2048
 MIN_COUNT = 24
-#: chunks whose ids a Python worker keeps (about 200 bytes each)
-CACHE_CHUNKS = 600_000
+#: text encoded together: the longer, the fewer distinct words for each word
+SLICE_BYTES = 16 << 20
+#: words whose ids a Python worker keeps
+CACHE_WORDS = 3_000_000
 _HEAD = "<4sIIQQB"
 
 
@@ -61,16 +63,42 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class WordTable:
+    """Words and their ids in two Arrow arrays (some 30 bytes a word)."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
+
+    def make_room(self) -> None:
+        if len(self.words) > self.most:  # keep those that came first: the frequent ones
+            half = pa.array(np.arange(self.most // 2))
+            self.words, self.ids = self.words.take(half), self.ids.take(half)
+
+    def look_up(self, words: pa.Array, encode) -> pa.Array:
+        at = pc.index_in(words, value_set=self.words)
+        if not at.null_count:
+            return self.ids.take(at)
+        new = words.filter(pc.is_null(at))
+        found = pa.array(encode(new.to_pylist()), pa.binary())
+        out = at.to_numpy(zero_copy_only=False)
+        missing = np.isnan(out)
+        out[missing] = len(self.words) + np.arange(len(new))
+        out = pa.array(out.astype(np.int64))
+        self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, found])
+        return self.ids.take(out)
+
+
 class Encoder:
-    """ids by the tokenizers library, each distinct chunk encoded once per worker.
+    """ids by the tokenizers library, each distinct word encoded once per worker.
 
     The byte-level pre-tokeniser starts a new token at a single blank and at a single line feed, and
-    between letters and punctuation. So the ids of a text are those of its chunks, cut in
-    front of blanks and line feeds, and those of a chunk that ends in punctuation are the ids of its
-    letters and of its punctuation. Texts with other white space around blanks
-    or line feeds are encoded whole."""
+    between letters and punctuation. So the ids of a text are those of its words, each with
+    the blank in front of it (none at the start of a line), and those of a word that ends in
+    punctuation are the ids of its letters and of its punctuation. Texts with any
+    other white space, or runs of it, are encoded whole."""
 
-    def __init__(self, path: str, cache: int = CACHE_CHUNKS):
+    def __init__(self, path: str, cache: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -86,59 +114,89 @@ class Encoder:
             and self.library.post_processor is None
         )
         self.type = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.cache = cache
-        self.ids: dict[str, bytes] = {}
+        #: ids of words with a blank in front, and without
+        self.inner, self.bare = WordTable(cache), WordTable(cache)
+        self.ends: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.type).tobytes() for e in found]
-
-    def chunks(self, text: str) -> list[str] | None:
-        """The chunks of a text, or None if it must be encoded whole."""
-        if not self.cuts or not text or "  " in text:
-            return None
-        if _ODD_BLANKS.search(text):
-            return None
-        return _spaced(text).split("\0")
-
-    def _add(self, new: set[str]) -> None:
-        whole, composed = set(), []
-        for c in new:
-            stem = c.rstrip(_PUNCT)
-            if len(stem) < len(c) and stem[1 if stem[:1] == " " else 0 :].isalpha():
-                composed.append((c, stem, c[len(stem) :]))
-                whole.add(stem)
-                whole.add(c[len(stem) :])
-            else:
-                whole.add(c)
-        whole = list(whole - self.ids.keys())
-        for i in range(0, len(whole), 10_000):
-            self.ids.update(zip(whole[i : i + 10_000], self._library(whole[i : i + 10_000]), strict=True))
-        for c, stem, rest in composed:
-            self.ids[c] = self.ids[stem] + self.ids[rest]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian integers of ``self.type``."""
-        parts = [self.chunks(t) for t in texts]
-        needed = set(chain.from_iterable(p for p in parts if p))
-        new = needed - self.ids.keys()
-        if len(self.ids) + len(new) > self.cache:
-            self.ids.clear()
-            new = needed
-        self._add(new)
-        whole = iter(self._library([t for t, p in zip(texts, parts, strict=True) if p is None]))
-        get = self.ids.__getitem__
-        return [next(whole) if p is None else b"".join(map(get, p)) for p in parts]
+        code, out = "H" if self.type.itemsize == 2 else "I", []
+        for i in range(0, len(texts), 10_000):
+            found = self.library.encode_batch_fast(texts[i : i + 10_000], add_special_tokens=False)
+            out += [array(code, e.ids).tobytes() for e in found]
+        return out
+
+    def _ids(self, words: pa.Array, blank: str) -> pa.Array:
+        """The ids of distinct words, as binary values. A word of letters with punctuation behind it is
+        looked up by its letters; the punctuation has ids of its own."""
+        table = self.inner if blank else self.bare
+        stems = pc.utf8_rtrim(words, characters=_PUNCT)
+        behind = pc.subtract(pc.binary_length(words), pc.binary_length(stems)).to_numpy()
+        behind = np.where(pc.utf8_is_alpha(stems).to_numpy(zero_copy_only=False), behind, 0)
+        body = pc.if_else(pa.array(behind > 0), stems, words).dictionary_encode()
+        ids = table.look_up(body.dictionary, lambda new: self._library([blank + w for w in new])).take(body.indices)
+        if not behind.any():
+            return ids
+        rest = pa.array([b""] * len(words), pa.binary())
+        for n in np.unique(behind[behind > 0]).tolist():
+            mask = pa.array(behind == n)
+            ends = pc.utf8_slice_codeunits(words.filter(mask), -n).dictionary_encode()
+            for e in ends.dictionary.to_pylist():
+                if e not in self.ends:
+                    self.ends[e] = self._library([e])[0]
+            known = pa.array([self.ends[e] for e in ends.dictionary.to_pylist()], pa.binary())
+            rest = pc.replace_with_mask(rest, mask, known.take(ends.indices))
+        return pc.binary_join_element_wise(ids, rest, pa.scalar(b"", pa.binary()))
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one behind the other, ends of the texts), for texts that may be cut."""
+        # line feeds become words of their own; a word behind one, or at the start, has no blank
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
+        ends = np.cumsum(pc.list_value_length(parts).to_numpy())
+        coded = parts.flatten().dictionary_encode()
+        code, words = coded.indices.to_numpy(), coded.dictionary
+        line = pc.equal(words, "\n").to_numpy(zero_copy_only=False)
+        bare = np.zeros(len(code), bool)
+        bare[0] = True
+        bare[1:] = line[code[:-1]]
+        bare[ends[:-1]] = True
+        bare |= line[code]
+        key = code * 2 + bare
+        used = np.flatnonzero(np.bincount(key, minlength=2 * len(words)))
+        place = np.zeros(2 * len(words), np.int64)
+        found = []
+        for odd, blank in ((0, " "), (1, "")):
+            own = used[used % 2 == odd]
+            place[own] = np.arange(len(own)) + sum(map(len, found))
+            found.append(self._ids(words.take(pa.array(own // 2)), blank))
+        joined = pa.concat_arrays(found).take(pa.array(place[key]))
+        stop = np.frombuffer(joined.buffers()[1], np.int32, len(key) + 1) // self.type.itemsize
+        return np.frombuffer(joined.buffers()[2], self.type, int(stop[-1])), stop[ends]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text (no nulls) as integers of ``self.type``."""
+        self.inner.make_room()
+        self.bare.make_room()
+        words = np.zeros(len(texts), bool)
+        if self.cuts and len(texts):
+            odd = pc.or_(pc.match_substring_regex(texts, _ODD_BLANKS), pc.equal(pc.binary_length(texts), 0))
+            words = ~odd.to_numpy(zero_copy_only=False)
+        out: list = [None] * len(texts)
+        if words.any():
+            flat, ends = self._by_words(texts.filter(pa.array(words)))
+            for i, ids in zip(np.flatnonzero(words).tolist(), np.split(flat, ends[:-1]), strict=True):
+                out[i] = ids
+        rest = np.flatnonzero(~words).tolist()
+        for i, raw in zip(rest, self._library(texts.take(pa.array(rest, pa.int64())).to_pylist()), strict=True):
+            out[i] = np.frombuffer(raw, self.type)
+        return out
 
 
 _PUNCT = ".,!?;:"
-#: white space that does not stand alone between two other characters, or is no blank or line feed
-_ODD_BLANKS = re.compile(r"[^\S \n]|\A\s|\s\Z|\s\s|\0")
-
-
-def _spaced(text: str) -> str:
-    """NUL in front of every blank, and around every line feed."""
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+#: white space beside white space or at an end, and any but blanks and line feeds
+_ODD_BLANKS = (
+    r"[\x09\x0B-\x0D\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    r"|[ \n][ \n]|\A[ \n]|[ \n]\z"
+)
 
 
 def compress(symbols: np.ndarray, ends: np.ndarray, first: int, rounds: int = ROUNDS) -> tuple:
@@ -151,13 +209,20 @@ def compress(symbols: np.ndarray, ends: np.ndarray, first: int, rounds: int = RO
         if len(seq) < 2:
             break
         left, right = seq[:-1], seq[1:]
-        inside = np.ones(len(left), bool)
+        # pairs as one number: 32 bits hold two symbols while there are at most 2^16 of them
+        bits = 16 if first + len(rules) + PAIRS_A_ROUND <= 1 << 16 else 32
+        wide = np.uint32 if bits == 16 else np.uint64
+        keys = (left.astype(wide, copy=False) << wide(bits)) | right.astype(wide, copy=False)
         cuts = bounds[1:-1]
-        inside[cuts[(cuts > 0) & (cuts < len(seq))] - 1] = False
-        keys = ((left.astype(np.int64) << 32) | right)[inside]
+        cuts = np.unique(cuts[(cuts > 0) & (cuts < len(seq))] - 1)
+        across = keys[cuts]
         keys.sort()
-        edge = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
+        edge = np.flatnonzero(keys[1:] != keys[:-1])
+        edge = np.r_[0, edge + 1, len(keys)]
         counts = np.diff(edge)
+        # pairs across two documents were counted along: take them off again
+        pairs_across, times = np.unique(across, return_counts=True)
+        counts[np.searchsorted(keys[edge[:-1]], pairs_across)] -= times
         often = np.flatnonzero(counts >= MIN_COUNT)
         if len(often) > PAIRS_A_ROUND:
             often = often[np.argpartition(counts[often], -PAIRS_A_ROUND)[-PAIRS_A_ROUND:]]
@@ -167,7 +232,7 @@ def compress(symbols: np.ndarray, ends: np.ndarray, first: int, rounds: int = RO
         rights: dict[int, int] = {}
         taken = []
         for key in pairs[order].tolist():
-            a, b = key >> 32, key & 0xFFFFFFFF
+            a, b = key >> bits, key & ((1 << bits) - 1)
             if a != b and a not in rights and b not in lefts:
                 taken.append((lefts.setdefault(a, len(lefts)), rights.setdefault(b, len(rights))))
                 rules.append((a, b))
@@ -183,14 +248,14 @@ def compress(symbols: np.ndarray, ends: np.ndarray, first: int, rounds: int = RO
         at = np.array(taken) + 1
         made[at[:, 0], at[:, 1]] = np.arange(base, top)
         r, c = row[left], column[right]
-        maybe = np.flatnonzero((r > 0) & (c > 0) & inside)
+        r[cuts] = 0
+        maybe = np.flatnonzero((r > 0) & (c > 0))
         new = made[r[maybe], c[maybe]]
         hit, new = maybe[new > 0], new[new > 0]
         seq[hit] = new
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
-        gone = np.r_[0, np.cumsum(~keep)]
-        bounds = bounds - gone[bounds]
+        bounds = bounds - np.searchsorted(hit + 1, bounds)
         seq = seq[keep]
     return seq, bounds, rules
 
@@ -297,7 +362,7 @@ def write_shards(
 
         part = TaskContext.get().partitionId()
         encoder = worker_cache(f"encoder {file}", lambda: Encoder(file))
-        end = np.array([END_ID], encoder.type).tobytes()
+        end = np.array(END_ID, encoder.type)
         ids, texts, total, shard = [], [], 0, 0
 
         def out():
@@ -308,10 +373,10 @@ def write_shards(
                 ["part", "shard", "n_ids", "data"],
             )
 
-        for batch in slices(batches):
-            coded = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
-            for i, raw in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
-                own = np.frombuffer(raw + end, encoder.type)
+        for batch in slices(batches, limit=SLICE_BYTES):
+            coded = encoder.encode(pc.fill_null(batch.column("text"), ""))
+            for i, own in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
+                own = np.append(own, end)
                 if ids and total + len(own) > shard_ids:
                     yield out()
                     ids, texts, total, shard = [], [], 0, shard + 1

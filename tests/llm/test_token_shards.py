@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -61,7 +62,8 @@ def test_encoder_cuts():
 @given(st.text(alphabet=st.sampled_from("abÉß ,.!'\n\t12;:　\x85²ʰ"), max_size=30) | st.text(max_size=30))
 def test_ids_are_the_librarys(text):
     text = text.encode("utf-8", "ignore").decode()
-    assert np.frombuffer(ENCODER.encode([text])[0], ENCODER.type).tolist() == ids_of(text)
+    both = ENCODER.encode(pa.array([text, "next one", text]))
+    assert both[0].tolist() == both[2].tolist() == ids_of(text) and both[1].tolist() == ids_of("next one")
 
 
 def grammar(seed, n=6000, symbols=12):
