@@ -241,7 +241,7 @@ def compress(symbols: np.ndarray, ends: np.ndarray, first: int, rounds: int = RO
         base = first + len(rules) - len(taken)
         # symbol -> row or column of a small table of the accepted pairs; 0 means none
         top = first + len(rules)
-        row, column = np.zeros(top, np.int32), np.zeros(top, np.int32)
+        row, column = np.zeros(top, np.uint16), np.zeros(top, np.uint16)
         row[list(lefts)] = np.arange(1, len(lefts) + 1)
         column[list(rights)] = np.arange(1, len(rights) + 1)
         made = np.zeros((len(lefts) + 1, len(rights) + 1), np.uint32)
