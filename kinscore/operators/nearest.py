@@ -1,18 +1,23 @@
 """Nearest-positive score, ``1 - min L1 distance`` from each candidate to any positive.
 
-Exact nearest-neighbour search has to look at every (candidate, positive) pair. The pairs
-exist only inside numpy tiles; what moves is small:
-
-1. positives with a null or NaN component are left out (they have no distance), the rest are
-   counted and cut by a hash into blocks of at most about ``block_cells`` numbers;
-2. up to ``wave_blocks`` blocks at a time (a proven number of bytes) are sent to the executors as a
-   broadcast variable, and every Arrow batch of candidates, read where it lies, is folded
-   against them: ``min over p of Σ_d |c_d - p_d|``, summed in the order of the dimensions, in
-   tiles of at most ``TILE_CELLS`` distances (16 MB beside the batch);
-3. with more than one wave, one ``min`` per candidate over the waves' (key, distance) rows.
-
-Candidate vectors are never shuffled or copied, and all block counts run the same code. A
-candidate with a null or NaN component, or no positive to compare with, has a NULL distance.
+Exact nearest-neighbour search has to look at every (candidate, positive) pair. The pairs of
+vectors exist only inside numpy tiles; no vector reaches the driver:
+
+1. positives with a null or NaN component are left out (they have no distance); the distinct
+   others are counted, dealt over partitions of about ``wave_blocks`` blocks, packed into blocks
+   of at most ``block_cells`` numbers and kept in the shared checkpoint folder. Blocks are cut
+   by counting rows in the packing task, so copies or a common hash cannot make one larger;
+2. candidates are packed the same way into chunks, where they lie;
+3. the product of chunks and blocks (two packed rows a pair) runs in Spark: a task holds one
+   partition of blocks and folds it against its chunks: ``min over p of Σ_d |c_d - p_d|``,
+   summed in the order of the dimensions, in tiles of at most ``TILE_CELLS`` distances (16 MB);
+4. one ``min`` per candidate row over its (row, distance) results.
+
+The plan is the same for any number of positives; what grows is the number of partitions of
+blocks. With more than one, the packed chunks are kept in the checkpoint folder as well,
+because each such partition reads them again. A candidate with a null or NaN component, or no
+positive to compare with, has a NULL distance; vectors of another length than the positives'
+fail the run. Candidate rows with the same key stay rows of their own.
 """
 
 from __future__ import annotations
@@ -23,9 +28,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# numbers (vectors × dims) of one block: 4096 × 512 doubles = 16 MB
-BLOCK_CELLS = 4096 * 512
-WAVE_BLOCKS = 8
+from ..session import ensure_checkpoint_dir
+
+# numbers (vectors × dims) of one block or chunk: 4096 × 64 doubles = 2 MB
+BLOCK_CELLS = 4096 * 64
+# blocks that a task holds: 64 MB
+WAVE_BLOCKS = 32
 TILE_CELLS = 2_000_000
 
 
@@ -50,25 +58,97 @@ def fold_block(candidates: np.ndarray, block: np.ndarray, best: np.ndarray) -> N
         np.minimum(best[i : i + rows], dist.min(axis=1), out=best[i : i + rows])
 
 
-def _wave(candidates: DataFrame, blocks: list[np.ndarray], key: str, vec: str) -> DataFrame:
-    shared = candidates.sparkSession.sparkContext.broadcast(blocks)
+def _matrix(column, dims: int) -> np.ndarray:
+    """The rows of an Arrow list column; null becomes a row of NaN."""
+    import pyarrow as pa
+
+    out = np.full((len(column), dims), np.nan)
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    lists = column.filter(pa.array(there))
+    if any(n != dims for n in lists.value_lengths().unique().to_pylist()):
+        raise ValueError(f"nearest_positive: a vector has not {dims} components like the positives")
+    out[there] = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return out
+
+
+def _saved(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def positive_blocks(usable: DataFrame, vec: str, block_rows: int, dims: int, parts: int) -> DataFrame:
+    """(block): packed doubles of at most ``block_rows`` vectors a row, on ``parts`` partitions."""
+
+    def pack(batches):
+        import pyarrow as pa
+
+        held, n = [], 0
+        for batch in batches:
+            rows = _matrix(batch.column(0), dims)
+            while len(rows):
+                held.append(rows[: block_rows - n])
+                n += len(held[-1])
+                rows = rows[len(held[-1]) :]
+                if n == block_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(held).tobytes()], pa.binary())], ["block"])
+                    held, n = [], 0
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(held).tobytes()], pa.binary())], ["block"])
+
+    return _saved(usable.select(vec).repartition(parts).mapInArrow(pack, "block binary"))
+
+
+def candidate_chunks(candidates: DataFrame, key: str, vec: str, chunk_rows: int, dims: int) -> DataFrame:
+    """(first, keys, cells): consecutive candidates, the row number of the first one, packed doubles."""
+
+    def pack(batches):
+        import pyarrow as pa
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, chunk_rows):
+                batch = whole.slice(at, chunk_rows)
+                keys = batch.column("key")
+                cells = _matrix(batch.column("vec"), dims).tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("row").slice(0, 1),
+                        pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+                        pa.array([cells], pa.binary()),
+                    ],
+                    ["first", "keys", "cells"],
+                )
+
+    source = candidates.select(
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.when(_comparable(vec), F.col(vec)).alias("vec")
+    )
+    kind = candidates.schema[key].dataType.simpleString()
+    return source.mapInArrow(pack, f"first long, keys array<{kind}>, cells binary")
+
+
+def _fold(pairs: DataFrame, dims: int, kind: str) -> DataFrame:
+    """(row, key, knn_dist) per candidate and run of pairs with the same chunk."""
 
     def fold(batches):
-        import pandas as pd
+        import pyarrow as pa
+
+        def found():
+            rows = pa.array(np.arange(first, first + len(best)), pa.int64())
+            return pa.RecordBatch.from_arrays([rows, keys, pa.array(best, pa.float64())], ["row", "key", "knn_dist"])
 
-        for pdf in batches:
-            best = np.full(len(pdf), np.inf)
-            ok = pdf["ok"].to_numpy(dtype=bool)
-            if ok.any():
-                vectors = np.stack(pdf.loc[ok, vec].to_numpy()).astype(np.float64)
-                near = np.full(len(vectors), np.inf)
-                for block in shared.value:
-                    fold_block(vectors, block, near)
-                best[ok] = near
-            yield pd.DataFrame({key: pdf[key].to_numpy(), "knn_dist": best})
+        first = None
+        for batch in batches:
+            for i, at in enumerate(batch.column("first").to_pylist()):
+                if at != first:
+                    if first is not None:
+                        yield found()
+                    first, keys = at, batch.column("keys")[i].values
+                    cells = np.frombuffer(batch.column("cells")[i].as_buffer()).reshape(-1, dims)
+                    best = np.full(len(cells), np.inf)
+                fold_block(cells, np.frombuffer(batch.column("block")[i].as_buffer()).reshape(-1, dims), best)
+        if first is not None:
+            yield found()
 
-    source = candidates.select(key, vec, F.coalesce(_comparable(vec), F.lit(False)).alias("ok"))
-    return source.mapInPandas(fold, f"{key} {candidates.schema[key].dataType.simpleString()}, knn_dist double")
+    return pairs.mapInArrow(fold, f"row long, key {kind}, knn_dist double")
 
 
 def nearest_positive(
@@ -81,27 +161,23 @@ def nearest_positive(
 ) -> DataFrame:
     """(key, knn_dist, knn_score) for every candidate; both inputs carry ``vec`` as array<double>.
 
-    Distances are NULL where there is nothing to compare (the caller's fill decides the score)."""
-    usable = positives.where(_comparable(vec)).select(vec)
+    ``wave_blocks`` blocks make a partition. Distances are NULL where there is nothing to compare
+    (the caller's fill decides the score)."""
+    usable = _saved(positives.where(_comparable(vec)).select(vec).distinct())
     stats = usable.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("d")).first()
     n_pos, dims = stats["n"], stats["d"] or 0
     if n_pos == 0 or dims == 0:
         none = F.lit(None).cast("double")
         return candidates.select(key, none.alias("knn_dist"), none.alias("knn_score"))
-    n_blocks = math.ceil(n_pos / max(1, block_cells // dims))
-    placed = usable.withColumn("block", F.pmod(F.xxhash64(vec), F.lit(n_blocks)).cast("int"))
-    waves = []
-    for first in range(0, n_blocks, wave_blocks):
-        # at most wave_blocks × block_cells numbers reach the driver at once
-        rows = placed.where(F.col("block").between(first, first + wave_blocks - 1)).collect()
-        by_block: dict[int, list] = {}
-        for r in rows:
-            by_block.setdefault(r["block"], []).append(r[vec])
-        waves.append(_wave(candidates, [np.array(v, dtype=np.float64) for v in by_block.values()], key, vec))
-    found = waves[0]
-    for w in waves[1:]:
-        found = found.unionByName(w)
-    if len(waves) > 1:
-        found = found.groupBy(key).agg(F.min("knn_dist").alias("knn_dist"))
+    rows = max(1, block_cells // dims)
+    parts = math.ceil(n_pos / (rows * wave_blocks))
+    blocks = positive_blocks(usable, vec, rows, dims, parts)
+    chunks = candidate_chunks(candidates, key, vec, rows, dims)
+    if parts > 1:
+        chunks = _saved(chunks)
+    # the hint keeps Spark from broadcasting blocks by an estimate of their size
+    pairs = chunks.crossJoin(blocks.hint("shuffle_replicate_nl"))
+    found = _fold(pairs, dims, candidates.schema[key].dataType.simpleString())
+    found = found.groupBy("row").agg(F.first("key").alias(key), F.min("knn_dist").alias("knn_dist"))
     dist = F.when(F.col("knn_dist") < float("inf"), F.col("knn_dist"))
     return found.select(key, dist.alias("knn_dist"), (F.lit(1.0) - dist).alias("knn_score"))

@@ -55,6 +55,37 @@ def test_nearest_without_positives(spark):
     assert len(out) == 3 and all(r["knn_score"] is None for r in out)
 
 
+def test_nearest_keeps_vectors_off_the_driver(spark, monkeypatch):
+    """Copies of one positive make no block larger, nothing is broadcast, and the plan does not grow."""
+    sent = []
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value))
+    packed = []
+    make = nearest.positive_blocks
+    monkeypatch.setattr(nearest, "positive_blocks", lambda *a: packed.append(make(*a)) or packed[-1])
+    rng = np.random.default_rng(6)
+    pos = np.concatenate([np.tile(rng.normal(size=(1, 6)), (60, 1)), rng.normal(size=(40, 6))])
+    cand = rng.normal(size=(30, 6))
+    want = {i: np.abs(cand[i] - pos).sum(axis=1).min() for i in range(30)}
+    lines = []
+    for cells in (10**6, 18):
+        df = nearest_positive(_vectors(spark, cand).repartition(3), _vectors(spark, pos), block_cells=cells, wave_blocks=2)
+        assert {r["user_id"]: r["knn_dist"] for r in df.collect()} == pytest.approx(want, rel=1e-12)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        lines.append(sum(x in plan and plan.count(x) for x in ("Join", "MapInArrow", "Union")))
+    sizes = [len(r["block"]) for r in packed[1].collect()]
+    assert not sent and max(sizes) == 18 * 8 and sum(sizes) == 41 * 6 * 8
+    assert lines[1] <= lines[0]
+
+
+@pytest.mark.parametrize("block_cells", [10**6, 2])
+def test_nearest_keeps_rows_with_the_same_key(spark, block_cells):
+    schema = "user_id string, vec array<double>"
+    pos = spark.createDataFrame([("p", [0.0, 0.0]), ("q", [9.0, 0.0])], schema)
+    cand = spark.createDataFrame([("a", [1.0, 0.0]), ("a", [7.0, 0.0]), (None, [0.0, 3.0])], schema)
+    got = [(r["user_id"], r["knn_dist"]) for r in nearest_positive(cand, pos, block_cells=block_cells, wave_blocks=1).collect()]
+    assert sorted(got, key=repr) == [("a", 1.0), ("a", 2.0), (None, 3.0)]
+
+
 def test_quota_clamps_and_truncates():
     assert quota(1000, 10) == 330
     assert quota(1000, 999) == 0

@@ -56,7 +56,7 @@ def main():
         "payment events, attribute counts over the checkpointed item grain": pev.attr_counts(
             pev.item_grain(t, cfg, counted), cfg, "attr1"
         ),
-        "nearest positive (candidates are read where they lie)": nearest_positive(
+        "nearest positive (packed chunks of candidates × packed blocks of positives)": nearest_positive(
             e.where(F.col("label") != 0), e.where(F.col("label") == 0)
         ),
         "top-k (TakeOrderedAndProject)": top_k(e.select("user_id", F.col("vec")[0].alias("s")), "s", 0.0, 100),
