@@ -1,7 +1,9 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Learning sees confirmed toxic documents (P) and unlabelled ones (U), never confirmed clean ones. With
-the class prior p (the toxic share of U), the risk of a classifier g under loss l is
+Learning sees confirmed toxic documents (P) and a sample U whose labels it does not use: the rows
+without a label or, where these are fewer than ``MAX_UNLABELLED``, all learning rows whatever their
+label, toxic ones included, so that the toxic share of U is the class prior p either way (as far as labels
+are given regardless of the class). The risk of a classifier g under loss l is
 
     p * E_P[l(g)] + max(0, E_U[l(-g)] - p * E_P[l(-g)])
 
@@ -21,7 +23,7 @@ inexact prior from moving the bias; linear classifiers are trained in numpy.
 4. One map over all documents sums the weights of the features that a whole text holds.
 
 Without positive rows every score is 0. The prior is a parameter; by default it is the toxic share
-of the labelled learning rows.
+of the labelled learning rows, so of U itself where every document has a label.
 
 Cases: a null or empty text has no features and gets the bias's score; a null id is in the learning
 folds but never in the sample; repeated rows are scored row by row, and a document with several labels is
@@ -137,26 +139,43 @@ def fit_member(features: list[np.ndarray], positive: np.ndarray, prior: float) -
     return names[chosen], w, b
 
 
-def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, positive): the bounded sample; U is what has no label (or, where everything has
-    one, what is not confirmed toxic, as its prior is then the same)."""
+def marked_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) per document of the learning folds; toxic is null without a label."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
     ids = ids.where(~held_out(F.col("doc_id"))).distinct()
     marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    joined = ids.join(marks, "doc_id", "left")
+    return ids.join(marks, "doc_id", "left")
+
+
+def sample_rows(marked: DataFrame, unlabelled: int) -> DataFrame:
+    """(doc_id, positive): the bounded sample; a toxic document may be in P and in U."""
     order = F.xxhash64("doc_id", F.lit(2))
-    p = joined.where("toxic = 1").orderBy(order, "doc_id").limit(MAX_POSITIVE)
-    rest = joined.where("toxic is null or toxic <> 1")
-    u = rest.orderBy(F.col("toxic").isNotNull(), order, "doc_id").limit(MAX_UNLABELLED)
+    p = marked.where("toxic = 1").orderBy(order, "doc_id").limit(MAX_POSITIVE)
+    rest = marked if unlabelled < MAX_UNLABELLED else marked.where("toxic is null")
+    u = rest.orderBy(order, "doc_id").limit(MAX_UNLABELLED)
     return saved(p.select("doc_id", F.lit(1).alias("positive")).unionByName(u.select("doc_id", F.lit(0).alias("positive"))))
 
 
+def shares(marked: DataFrame) -> tuple[int, float]:
+    """The number of unlabelled learning rows and the toxic share of the labelled ones."""
+    r = marked.agg(
+        F.count_if(F.col("toxic").isNull()).alias("unlabelled"), F.avg((F.col("toxic") == 1).cast("double")).alias("toxic")
+    ).first()
+    return r.unlabelled, r.toxic or 0.0
+
+
+def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    marked = marked_rows(docs, labels)
+    return sample_rows(marked, shares(marked)[0])
+
+
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> tuple[dict[int, float], float] | None:
     """The averaged weights by feature and the bias; None without positive rows."""
+    marked = marked_rows(docs, labels)
+    unlabelled, toxic = shares(marked)
     if prior is None:
-        known = labels.where(~held_out(F.col("doc_id"))).agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
-        prior = min(max(known or 0.0, 1e-3), 0.999)
-    sample = learning_rows(docs, labels)
+        prior = min(max(toxic, 1e-3), 0.999)
+    sample = sample_rows(marked, unlabelled)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
 
     def features(batches):
@@ -175,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> tup
     copies = rows.select("*", member).where(part != F.col("member"))
 
     def fit(key, t):
-        t = t.sort_by("doc_id")
+        t = t.sort_by([("doc_id", "ascending"), ("positive", "ascending")])
         found = [np.asarray(x, np.int64) for x in t.column("features").to_pylist()]
         names, w, b = fit_member(found, t.column("positive").to_numpy(), prior)
         return pa.table({

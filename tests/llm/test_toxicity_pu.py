@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 
 from kinscore.llm.common import crc_fold
-from kinscore.llm.toxicity_pu import calibrate, learning_rows, nn_pu, text_features, toxicity
+from kinscore.llm import toxicity_pu
+from kinscore.llm.toxicity_pu import calibrate, learning_rows, marked_rows, nn_pu, shares, text_features, toxicity
 
 
 def test_risk_finds_positives_hidden_in_the_unlabelled():
@@ -75,6 +76,25 @@ def test_held_out_accuracy(spark, docs_of, corpus):
     assert ids and all(crc_fold(i) != 1 for i in ids)
 
 
+@pytest.mark.parametrize("labelled,enough", [(1.0, 10**4), (0.6, 10**4), (0.6, 10)])
+def test_unlabelled_sample_fits_the_prior(spark, docs_of, monkeypatch, labelled, enough):
+    """U is unlabelled rows only or, where these are too few, every learning row, toxic ones included."""
+    monkeypatch.setattr(toxicity_pu, "MAX_UNLABELLED", enough)
+    rng = random.Random(3)
+    known = {i: int(i % 4 == 0) for i in range(600) if rng.random() < labelled}
+    docs, marks = docs_of([(i, "a") for i in range(600)]), spark.createDataFrame(list(known.items()), "doc_id long, toxic int")
+    rows = learning_rows(docs, marks).collect()
+    learn = [i for i in range(600) if crc_fold(i) != 1]
+    p, u = sorted(r.doc_id for r in rows if r.positive), sorted(r.doc_id for r in rows if not r.positive)
+    assert p == [i for i in learn if known.get(i) == 1]
+    if enough == 10:
+        assert len(u) == 10 and not set(u) & set(known)
+    else:
+        assert u == learn
+    n, share = shares(marked_rows(docs, marks))
+    assert n == sum(i not in known for i in learn) and share == pytest.approx(np.mean([known[i] for i in learn if i in known]))
+
+
 def test_without_labels_or_rows(spark, docs_of):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in toxicity(docs_of([(1, "a b"), (2, None)]), none).collect()] == [0.0, 0.0]
