@@ -66,17 +66,23 @@ def fingerprint(text: bytes, size: int = SHINGLE_WORDS) -> int:
     return int(set_bits.view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) with the fingerprint's bits as a signed long."""
+def fingerprints(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, marked: bool = False
+) -> DataFrame:
+    """(doc_id, fp) with the fingerprint's bits as a signed long; ``marked`` adds a hash of the text."""
     require(docs, doc_id, text)
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    more = ["mark"] if marked else []
+    source = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *[F.xxhash64(text).alias(m) for m in more]
+    )
 
     def run(batches):
         for batch in slices(batches):
             fps = np.array([fingerprint(t, size) for t in texts_of(batch)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), pa.array(fps.view(np.int64)), *[batch.column(m) for m in more]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", *more])
 
-    return source.mapInArrow(run, "doc_id long, fp long")
+    return source.mapInArrow(run, "doc_id long, fp long" + ", mark long" * marked)
 
 
 def _embed(fp: np.ndarray) -> np.ndarray:
@@ -199,6 +205,18 @@ def links_between(nodes: DataFrame, bits: int = MAX_BITS, cell_rows: int = CELL_
     return dealt.mapInArrow(link, "u long, v long")
 
 
+def _with_components(fps: DataFrame, bits: int, cell_rows: int) -> DataFrame:
+    """``fps`` with the component's smallest fingerprint (root) and smallest id (component_id)."""
+    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    found = saved(components(links_between(nodes.select("fp"), bits, cell_rows)))
+    # smallest id of each component, then of each fingerprint
+    rooted = nodes.join(found, nodes.fp == found.node, "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    )
+    low = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return fps.join(rooted.join(low, "root").select("fp", "root", "component_id"), "fp")
+
+
 def simhash_components(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -208,25 +226,22 @@ def simhash_components(
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(doc_id, fp, fingerprint, component_id), one row per input row."""
-    fps = saved(fingerprints(docs, doc_id, text, size))
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    found = saved(components(links_between(nodes.select("fp"), bits, cell_rows)))
-    # smallest id of each component, then of each fingerprint
-    rooted = nodes.join(found, nodes.fp == found.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    low = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = rooted.join(low, "root").select("fp", "component_id")
-    return fps.join(of_fp, "fp").select(
-        "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    found = _with_components(saved(fingerprints(docs, doc_id, text, size)), bits, cell_rows)
+    return found.select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def first_of_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without near-duplicates: of each component the row with the smallest id
-    stays, once even when that row is repeated. Rows without an id cannot be named by a
-    component and stay."""
-    same = simhash_components(docs, doc_id, text)
-    stays = same.where("doc_id = component_id").select(F.col("doc_id").alias("__stays")).distinct()
-    kept = docs.join(stays, F.col(f"`{doc_id}`").cast("long") == F.col("__stays"), "left_semi")
-    return kept.dropDuplicates([doc_id]).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
+    """The documents without near-duplicates: of each component one row stays, that with the
+    smallest id. Where an id is repeated, each of its texts belongs to its own component; of several
+    in one component the one with the smallest (fingerprint, text hash) stays, and of rows with
+    the same id and text the one that sorts first by the other columns. Rows without an id cannot
+    be named by a component and stay."""
+    same = _with_components(saved(fingerprints(docs, doc_id, text, marked=True)), MAX_BITS, CELL_ROWS)
+    low = same.where("doc_id = component_id").groupBy("root", "doc_id").agg(F.min(F.struct("fp", "mark")).alias("low"))
+    stays = low.select(F.col("doc_id").alias("__id"), F.col("low.mark").alias("__mark"))
+    named = docs.select("*", F.col(f"`{doc_id}`").cast("long").alias("__id"), F.xxhash64(f"`{text}`").alias("__mark"))
+    kept = named.join(stays, ["__id", "__mark"], "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = [F.col(f"`{f.name}`") for f in docs.schema if f.name != text and f.dataType.typeName() not in ("map", "variant")]
+    first = kept.groupBy("__id", "__mark").agg(F.min_by(whole, F.struct(*order)).alias("__row"))
+    return first.select("__row.*").unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))

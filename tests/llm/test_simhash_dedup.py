@@ -107,6 +107,15 @@ def test_components_of_documents(docs_of):
     assert sorted(k for k in kept if k is not None) == sorted({*low.values()}) and kept.count(None) == 1
 
 
+def test_repeated_ids_with_different_texts(docs_of):
+    rng = random.Random(4)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(200)) for _ in range(3))
+    rows = [(1, a, "x"), (1, b, "x"), (2, a, "x"), (3, c, "x"), (4, b, "x"), (5, c, "x"), (3, a, "x"), (3, c, "a"), (3, c, None)]
+    for order in (rows, rows[::-1]):
+        got = first_of_group(docs_of(order).repartition(3)).select("doc_id", "text", "lang").collect()
+        assert sorted((tuple(r) for r in got), key=repr) == sorted([(1, a, "x"), (1, b, "x"), (3, c, None)], key=repr)
+
+
 def test_empty_table_and_extra_columns(docs_of):
     assert simhash_components(docs_of([])).count() == 0
     docs = docs_of([(1, "a b c", 7, 8)], "doc_id long, text string, fp long, component_id long")
