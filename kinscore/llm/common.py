@@ -8,6 +8,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinscore.session import ensure_checkpoint_dir
 
@@ -74,6 +75,31 @@ def worker_cache(name: str, make):
     return held.__dict__[name]
 
 
+def named(column: str) -> Column:
+    """A column by its exact name, which may hold dots and backquotes."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def passed_columns(df: DataFrame, results: list[str]) -> list[str]:
+    """The columns that no result column replaces; Spark tells names apart without their case."""
+    taken = {r.lower() for r in results}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+class Shelter:
+    """Plain names for the columns of a table on their way through Python: ``mapInArrow`` takes no name
+    with a dot. ``passed`` are the columns that no result column replaces; ``needed`` come along."""
+
+    def __init__(self, df: DataFrame, results: list[str], *needed: str):
+        self.passed = passed_columns(df, results)
+        self.names = {c: f"__in{i}" for i, c in enumerate(dict.fromkeys([*self.passed, *needed]))}
+        self.source = df.select(*(named(c).alias(s) for c, s in self.names.items()))
+        self.fields = [T.StructField(self.names[c], df.schema[c].dataType) for c in self.passed]
+
+    def restored(self) -> list[Column]:
+        return [F.col(self.names[c]).alias(c) for c in self.passed]
+
+
 def require(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -90,5 +116,5 @@ def with_text(df: DataFrame, like: DataFrame, new_text: Column, text: str = "tex
         elif f.name == "n_chars":
             cols.append(F.length(new_text).cast(f.dataType).alias("n_chars"))
         else:
-            cols.append(F.col(f"`{f.name}`"))
+            cols.append(named(f.name))
     return df.select(*cols, *more)

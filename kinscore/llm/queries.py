@@ -100,6 +100,35 @@ def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op11_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.wu_manber import decontaminate
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_ns_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.ns_kmeans import ns_kmeans
+
+    found = ns_kmeans(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
+
+
+def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinscore.llm.dialogue_repair import COUNTS, damaged, repair
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(" ")) for c in ("role", "text")})
+    name = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    found = repair(damaged(rows, F.crc32(name) % 20), gone="gone")
+    whole = F.concat_ws("\n", F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"])))
+    return found.select("conv_id", *COUNTS, "audit", F.sha2(whole, 256).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_trees, op2_toxicity_pu, op3_token_shards, op4_sentencepiece, op5_language_id, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup, op10_hnsw_search)
+    f.__name__: f for f in (op1_chat_trees, op2_toxicity_pu, op3_token_shards, op4_sentencepiece, op5_language_id, op6_substring_dedup, op7_quality_rules, op8_source_mixing, op9_simhash_dedup, op10_hnsw_search, op11_wu_manber, op12_ns_kmeans, op13_dialogue_repair)
 }
