@@ -2,10 +2,9 @@
 
 * L1 split and folds come from hashes of the user id, so they are stable across
   partitionings; the folds are stratified by label without a single-task window over a class.
-* L2 L1-penalised logistic regression: Spark minimises the weighted *mean* log-loss, so the
-  penalty of ``C·Σ w·loss + |β|₁`` becomes ``regParam = 1 / (C·Σw)``.
-* L4 grid search: 9 settings × 3 stratified folds as concurrent fits; balanced weights and the
-  penalty scale come from each training fold, as in the original's cross-validated search.
+* L2 L1-penalised logistic regression: ``operators/logistic.py``, many fits in shared passes.
+* L4 grid search: 9 settings × 3 stratified folds as one batch of fits; balanced weights come from each
+  training fold, as in the original's cross-validated search.
 * L5 boosted trees are ``GBTClassifier``; it has no L1 leaf penalty, counts rows instead of
   hessian for the child minimum and samples features per node (compare by F1, not score).
 * L7 cross-fit: each half is scored by the model trained on the other half.
@@ -16,12 +15,15 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .logistic import Problem, Rows, confusion, f1_of, fit_many, pack, unseen_scores
+from .logistic import class_counts as class_counts_of
+
 WEIGHTINGS = ("none", "ten_to_one", "balanced")
 
 
@@ -81,26 +83,6 @@ def weight_totals(n_pos: int, n_neg: int) -> tuple[tuple[float, float], dict[str
     return balanced, totals
 
 
-# solver limits of the original fit (its library defaults): 100 iterations, tolerance 1e-4
-LOGREG_MAX_ITER = 100
-LOGREG_TOL = 1e-4
-
-
-def logistic(c_value: float, weighting: str, total_weight: float, seed: int = 17) -> LogisticRegression:
-    """L2 with the penalty scaled to Spark's mean-loss objective."""
-    return LogisticRegression(
-        featuresCol="features",
-        labelCol="label",
-        weightCol=f"w_{weighting}",
-        elasticNetParam=1.0,
-        regParam=1.0 / (c_value * max(total_weight, 1e-12)),
-        standardization=False,
-        maxIter=LOGREG_MAX_ITER,
-        tol=LOGREG_TOL,
-        family="binomial",
-    )
-
-
 class PositiveF1(Evaluator):
     """F1 of the positive class, ``2·tp / (2·tp + fp + fn)`` from one aggregate.
 
@@ -127,52 +109,40 @@ def f1_evaluator() -> PositiveF1:
 
 @dataclass
 class GridResult:
-    rows: list[tuple[float, str, float]]  # (C, weighting, mean F1 over folds)
+    rows: list[tuple[float, str, float, float]]  # (C, weighting, mean F1 over folds, worst KKT residual)
     best_c: float
     best_weighting: str
     best_f1: float
+    passes: int  # over the data, shared by all fits
 
 
-def _fold_weights(train: DataFrame, folds: int) -> dict[int, tuple]:
-    """Per training fold k (rows with ``fold != k``): balanced weights and the total weight of
-    each weighting, from one small aggregate of (fold, label) counts."""
-    counts = {(int(r[0]), int(r[1])): r[2] for r in train.groupBy("fold", F.col("label").cast("int")).count().collect()}
-    return {
-        k: weight_totals(*(sum(n for (f, lab), n in counts.items() if f != k and lab == y) for y in (1, 0)))
-        for k in range(folds)
-    }
+def class_weight(weighting: str, balanced: tuple[float, float]) -> tuple[float, float]:
+    return {"none": (1.0, 1.0), "ten_to_one": (10.0, 1.0), "balanced": balanced}[weighting]
+
 
+def _balanced_by(rows: Rows, part: str, values, inside: bool) -> dict[int, tuple[float, float]]:
+    """Balanced class weights of the rows whose ``part`` is (or is not) each value, from one small aggregate."""
+    probes = [Problem(1.0, 1.0, 1.0, part, v, inside) for v in values]
+    return {v: weight_totals(*n)[0] for v, n in zip(values, class_counts_of(rows, probes), strict=True)}
 
-def grid_search_logreg(train: DataFrame, c_grid, weightings, folds: int, parallelism: int = 9) -> GridResult:
-    """L4: mean F1 over ``folds`` stratified folds for every (C, weighting), as a grid search with
-    3-fold cross-validation does it: the balanced weights and the penalty scale
-    ``1 / (C·Σw)`` come from each training fold's own labels. The ``len(grid) × folds`` fits
-    run as concurrent Spark jobs over one cached frame, of which each reads its fold's rows;
+
+def grid_search_logreg(train: DataFrame, c_grid, weightings, folds: int) -> GridResult:
+    """L4: mean F1 over ``folds`` stratified folds for every (C, weighting), as a grid search with 3-fold
+    cross-validation does it: the balanced weights come from each training fold's own labels. All
+    ``len(grid) x folds`` fits share every pass over the packed rows, and one pass scores them;
     ties keep the first setting in grid order (C outer)."""
-    per_fold = _fold_weights(train, folds)
+    rows = pack(train)
+    balanced = _balanced_by(rows, "fold", range(folds), inside=False)
     settings = [(c, w) for c in c_grid for w in weightings]
-    ev = f1_evaluator()
-    cached = train.persist()
-
-    def run(task):
-        (c, w), k = task
-        (pos, neg), totals = per_fold[k]
-        part = cached.where(F.col("fold") != k).withColumn("w_balanced", F.when(F.col("label") == 1, pos).otherwise(neg))
-        model = logistic(c, w, totals[w]).fit(part)
-        return (c, w), ev.evaluate(model.transform(cached.where(F.col("fold") == k)))
-
-    tasks = [(s, k) for k in range(folds) for s in settings]
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            results = list(pool.map(run, tasks))
-    finally:
-        cached.unpersist()
-    scores: dict = {}
-    for key, f1 in results:
-        scores.setdefault(key, []).append(f1)
-    rows = [(c, w, float(sum(scores[(c, w)]) / folds)) for c, w in settings]
-    best = max(range(len(rows)), key=lambda i: (rows[i][2], -i))
-    return GridResult(rows, rows[best][0], rows[best][1], rows[best][2])
+    problems = [Problem(c, *class_weight(w, balanced[k]), "fold", k, False) for c, w in settings for k in range(folds)]
+    fits = fit_many(rows, problems)
+    f1 = [f1_of(*n) for n in confusion(rows, problems, fits)]
+    found = [
+        (c, w, sum(f1[i * folds : (i + 1) * folds]) / folds, max(f.kkt for f in fits[i * folds : (i + 1) * folds]))
+        for i, (c, w) in enumerate(settings)
+    ]
+    best = max(range(len(found)), key=lambda i: (found[i][2], -i))
+    return GridResult(found, *found[best][:3], max(f.passes for f in fits))
 
 
 def gbt(params: dict, seed: int = 17) -> GBTClassifier:
@@ -203,11 +173,15 @@ class CrossFit:
     f1_second: float  # model of half 1 on half 0
 
 
-def fit_logistic_on(df: DataFrame, c_value: float, weighting: str):
-    """Fit L2 on ``df`` with balanced weights and Σw taken from ``df``'s own labels."""
-    (pos, neg), totals = weight_totals(*class_counts(df))
-    fitted = df.withColumn("w_balanced", F.when(F.col("label") == 1, pos).otherwise(neg))
-    return logistic(c_value, weighting, totals[weighting]).fit(fitted)
+def cross_fit_logreg(train: DataFrame, c_value: float, weighting: str, name: str) -> CrossFit:
+    """L7 for the logistic model: the fits of both halves share their passes, with balanced weights from each
+    half's own labels; every row is scored by the fit that did not see it."""
+    rows = pack(train)
+    balanced = _balanced_by(rows, "half", (0, 1), inside=True)
+    problems = [Problem(c_value, *class_weight(weighting, balanced[h]), "half", h, True) for h in (0, 1)]
+    fits = fit_many(rows, problems)
+    f1 = [f1_of(*n) for n in confusion(rows, problems, fits)]
+    return CrossFit(unseen_scores(rows, problems, fits, "user_id", name), *f1)
 
 
 def cross_fit(train: DataFrame, fit_half, name: str) -> CrossFit:

@@ -58,12 +58,9 @@ def training_frame(ds: Dataset, cfg: JobConfig) -> tuple[DataFrame, list[str]]:
     return split.repartition(parts, "user_id").checkpoint(eager=True), feats
 
 
-def logistic_scores(train: DataFrame, cfg: JobConfig, parallelism: int = 9):
-    grid = M.grid_search_logreg(train, cfg.logreg_c_grid, cfg.logreg_weightings, cfg.cv_folds, parallelism)
-    fit = M.cross_fit(
-        train, lambda half: M.fit_logistic_on(half, grid.best_c, grid.best_weighting), "logreg_score"
-    )
-    return grid, fit
+def logistic_scores(train: DataFrame, cfg: JobConfig):
+    grid = M.grid_search_logreg(train, cfg.logreg_c_grid, cfg.logreg_weightings, cfg.cv_folds)
+    return grid, M.cross_fit_logreg(train, grid.best_c, grid.best_weighting, "logreg_score")
 
 
 def tree_cv(train: DataFrame, cfg: JobConfig) -> list[float]:
@@ -91,13 +88,11 @@ def recommend(
     cfg: JobConfig,
     history: DataFrame | None = None,
     today: dt.date | None = None,
-    parallelism: int = 9,
 ) -> Recommendation:
     today = today or dt.date.today()
     train, feats = training_frame(ds, cfg)
-    # scorers run one after the other: each already submits concurrent fits (grid
-    # parallelism, the two cross-fit halves); stacking more threads measured slower
-    grid, lr_fit = logistic_scores(train, cfg, parallelism)
+    # scorers run one after the other: the logistic fits share their passes, the tree fits run concurrently
+    grid, lr_fit = logistic_scores(train, cfg)
     tree_f1 = tree_cv(train, cfg)
     gbt_fit = tree_fit(train, cfg)
     knn = knn_scores(ds, cfg)
@@ -117,6 +112,8 @@ def recommend(
     log = {
         "logreg": {
             "cv_f1": grid.best_f1,
+            "kkt_residual": max(r[3] for r in grid.rows),
+            "passes": grid.passes,
             "best_params": {"C": grid.best_c, "class_weight": grid.best_weighting},
             "f1_by_half": [lr_fit.f1_first, lr_fit.f1_second],
         },

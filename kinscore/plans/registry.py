@@ -171,12 +171,12 @@ def _training(spark, sf_dir):
 
 
 def grid_search_q(spark, sf_dir):
-    """L4 (rows-only): mean cross-validated F1 per (C, weighting)."""
+    """L4 (rows-only): mean cross-validated F1 per (C, weighting), with the worst KKT residual of its fits."""
     from .recommend import logistic_scores
 
     cfg, train = _training(spark, sf_dir)
     grid, _ = logistic_scores(train, cfg)
-    return spark.createDataFrame(grid.rows, "C double, weighting string, f1 double")
+    return spark.createDataFrame(grid.rows, "C double, weighting string, f1 double, kkt double")
 
 
 def crossfit_logreg_q(spark, sf_dir):

@@ -49,13 +49,13 @@ def test_weights(train):
 
 def test_grid_and_cross_fit(spark, train):
     df = train
-    grid = M.grid_search_logreg(df, (0.1, 1.0), ("none", "balanced"), 3, parallelism=4)
+    grid = M.grid_search_logreg(df, (0.1, 1.0), ("none", "balanced"), 3)
     assert len(grid.rows) == 4 and grid.best_f1 > 0.5  # majority baseline F1 of class 1 is 0
-    fit = M.cross_fit(df, lambda half: M.fit_logistic_on(half, grid.best_c, grid.best_weighting), "s")
+    assert all(kkt <= 1e-6 for *_, kkt in grid.rows)
+    fit = M.cross_fit_logreg(df, grid.best_c, grid.best_weighting, "s")
     scores = fit.scores
     assert scores.count() == 240 and scores.select("user_id").distinct().count() == 240
     assert fit.f1_first > 0.5 and fit.f1_second > 0.5
-    # each row scored by the model of the other half: refit on half 0 must not reproduce half-0 scores
     s = scores.join(df.select("user_id", "half"), "user_id")
     assert s.where(F.col("s").isNull()).count() == 0
 
