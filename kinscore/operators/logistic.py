@@ -131,27 +131,37 @@ class Block:
         return [slice(i, i + step) for i in range(0, len(self.values), step)]
 
 
-def pack(train: DataFrame, key: str = "user_id") -> Rows:
-    """Blocks of (key, label, features, half, fold), a vector column ``features``."""
-    kind = train.schema[key].dataType.simpleString()
+def pack(train: DataFrame, key: str = "user_id", n_features: int | None = None) -> Rows:
+    """Blocks of (key, label, half, fold) and the features: a vector column ``features``, or sparse rows in
+    the arrays ``indices`` and ``values`` of ``n_features`` numbers."""
+    kind, sparse = train.schema[key].dataType.simpleString(), "indices" in train.columns
+    own = (F.col("indices"), F.col("values")) if sparse else (vector_to_array("features").alias("values"),)
     plain = train.select(
         F.col(key).alias("id"), F.col("label").cast("double").alias("label"), F.col("fold").cast("int").alias("fold"),
-        F.col("half").cast("int").alias("half"), vector_to_array("features").alias("x"),
+        F.col("half").cast("int").alias("half"), *own,
     )
 
+    def numbers(x: pa.Array) -> np.ndarray:
+        return x.flatten().to_numpy(zero_copy_only=False)
+
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK_ROWS):
                 batch = whole.slice(at, BLOCK_ROWS)
-                x = batch.column("x")
-                values = x.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                rows, columns = np.nonzero(values)
+                values = numbers(batch.column("values"))
+                if sparse:
+                    sizes = batch.column("values").value_lengths().to_numpy()
+                    rows, columns = np.repeat(np.arange(batch.num_rows), sizes), numbers(batch.column("indices"))
+                else:
+                    values = values.reshape(batch.num_rows, -1)
+                    rows, columns = np.nonzero(values)
+                    values = values[rows, columns]
                 ids = pa.concat_arrays([batch.column("id")])
                 cols = [
                     pa.array([batch.num_rows], pa.int32()),
                     pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                     *(pa.array([batch.column(c).to_numpy(zero_copy_only=False).astype(t).tobytes()], pa.binary()) for c, t in (("label", np.float64), ("fold", np.int32), ("half", np.int32))),
-                    *(pa.array([v.tobytes()], pa.binary()) for v in (rows.astype(np.int32), columns.astype(np.int32), values[rows, columns])),
+                    *(pa.array([v.tobytes()], pa.binary()) for v in (rows.astype(np.int32), columns.astype(np.int32), values.astype(np.float64))),
                 ]
                 yield pa.RecordBatch.from_arrays(
                     cols, ["n", "ids", "label", "fold", "half", "rows", "columns", "values"]
@@ -159,8 +169,12 @@ def pack(train: DataFrame, key: str = "user_id") -> Rows:
 
     ensure_checkpoint_dir(train.sparkSession)
     blocks = plain.mapInArrow(run, BLOCKS.format(kind)).checkpoint(eager=True)
-    width = plain.select(F.size("x").alias("n")).limit(1).collect()
-    return Rows(blocks, width[0].n if width else 0, blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    if n_features is None:
+        if sparse:
+            raise ValueError("sparse rows need n_features")
+        width = plain.select(F.size("values").alias("n")).limit(1).collect()
+        n_features = width[0].n if width else 0
+    return Rows(blocks, n_features, blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
 
 
 def _blocks(batches):

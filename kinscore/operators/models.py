@@ -126,12 +126,12 @@ def _balanced_by(rows: Rows, part: str, values, inside: bool) -> dict[int, tuple
     return {v: weight_totals(*n)[0] for v, n in zip(values, class_counts_of(rows, probes), strict=True)}
 
 
-def grid_search_logreg(train: DataFrame, c_grid, weightings, folds: int) -> GridResult:
+def grid_search_logreg(train: DataFrame, c_grid, weightings, folds: int, n_features: int | None = None) -> GridResult:
     """L4: mean F1 over ``folds`` stratified folds for every (C, weighting), as a grid search with 3-fold
     cross-validation does it: the balanced weights come from each training fold's own labels. All
     ``len(grid) x folds`` fits share every pass over the packed rows, and one pass scores them;
     ties keep the first setting in grid order (C outer)."""
-    rows = pack(train)
+    rows = pack(train, n_features=n_features)
     balanced = _balanced_by(rows, "fold", range(folds), inside=False)
     settings = [(c, w) for c in c_grid for w in weightings]
     problems = [Problem(c, *class_weight(w, balanced[k]), "fold", k, False) for c, w in settings for k in range(folds)]
@@ -173,10 +173,12 @@ class CrossFit:
     f1_second: float  # model of half 1 on half 0
 
 
-def cross_fit_logreg(train: DataFrame, c_value: float, weighting: str, name: str) -> CrossFit:
+def cross_fit_logreg(
+    train: DataFrame, c_value: float, weighting: str, name: str, n_features: int | None = None
+) -> CrossFit:
     """L7 for the logistic model: the fits of both halves share their passes, with balanced weights from each
     half's own labels; every row is scored by the fit that did not see it."""
-    rows = pack(train)
+    rows = pack(train, n_features=n_features)
     balanced = _balanced_by(rows, "half", (0, 1), inside=True)
     problems = [Problem(c_value, *class_weight(weighting, balanced[h]), "half", h, True) for h in (0, 1)]
     fits = fit_many(rows, problems)

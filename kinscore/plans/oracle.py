@@ -176,11 +176,21 @@ def dataset_relations(cfg: JobConfig) -> dict[str, str]:
         "named": f"""SELECT feature, false AS click FROM (VALUES {", ".join(f"({_text(n)})" for n in fixed)}) AS t(feature)
             UNION SELECT feature, false FROM ({attrs[0]} UNION ALL {attrs[1]})
             UNION SELECT feature, true FROM click""",
+        # a feature's index: its rank by family, then by its place in the dataset (fixed ones) or its name
+        "ranked": f"""SELECT feature, CAST(row_number() OVER (ORDER BY family, place, feature) - 1 AS INTEGER) AS index FROM (
+            SELECT 0 AS family, place, feature FROM (VALUES {", ".join(f"({i}, {_text(n)})" for i, n in enumerate(_fixed_order(cfg)))}) AS t(place, feature)
+            UNION SELECT 1, 0, feature FROM ({attrs[0]}) UNION SELECT 2, 0, feature FROM ({attrs[1]})
+            UNION SELECT 3, 0, feature FROM click)""",
         "dataset": """SELECT person AS user_id, ext AS external_id, feature, coalesce(value, 0) AS value, click
             FROM active CROSS JOIN named LEFT JOIN counted USING (person, feature)""",
     }
 
 
+def _fixed_order(cfg: JobConfig) -> list[str]:
+    head = ["all_revenue_90", "all_revenue_30", *ACTIVITY, "other_vertical_items_end_date", "revenue_180"]
+    return [*head, "count_items_180", "count_payments_180", *_services(cfg).values(), *_tariffs(cfg).values()]
+
+
 def _dataset(cfg, body):
     return _select(cfg, body, **dataset_relations(cfg))
 
@@ -217,6 +227,19 @@ def feature_oracles(cfg: JobConfig) -> dict[str, str]:
         "click_counts": _long(cfg, "SELECT person, feature, CAST(n AS DOUBLE) AS value FROM click"),
         "click_pivot": _select(cfg, f"SELECT person AS user_id, {pivot} FROM click GROUP BY person"),
         "feature_assembly": _dataset(cfg, "SELECT user_id, external_id, feature, value FROM dataset"),
+        "sparse_features": _dataset(
+            cfg, "SELECT user_id, index, feature, value FROM dataset JOIN ranked USING (feature) WHERE value <> 0"
+        ),
+        "sparse_log_features": _dataset(
+            cfg,
+            f"""SELECT user_id, index, feature, round(log10(1 + value), {ROUND_DIGITS}) AS value
+            FROM dataset JOIN ranked USING (feature) WHERE value <> 0 AND value > -1""",
+        ),
+        "sparse_moments": _dataset(
+            cfg,
+            f"""SELECT index, feature, round(avg(value), {ROUND_DIGITS}) AS mean, round(stddev_pop(value), {ROUND_DIGITS}) AS std
+            FROM dataset JOIN ranked USING (feature) GROUP BY index, feature""",
+        ),
         "label_balance": _select(
             cfg, f"SELECT n AS dataset_length, CAST(yes AS BIGINT) AS asd, CAST(no AS BIGINT) AS non_asd FROM ({counts})"
         ),

@@ -144,6 +144,38 @@ def feature_assembly_q(spark, sf_dir):
     return long_form(dataset(spark, sf_dir)[0])
 
 
+def _sparse(spark, sf_dir):
+    from ..operators.sparse import build_sparse
+
+    return build_sparse(*setup(spark, sf_dir))
+
+
+def sparse_features_q(spark, sf_dir):
+    """FE0-FE17 as sparse vectors: every non-zero with its index in the feature dictionary."""
+    return _sparse(spark, sf_dir).named()
+
+
+def sparse_log_features_q(spark, sf_dir):
+    return _sparse(spark, sf_dir).logged().named().withColumn("value", F.round("value", 6))
+
+
+def sparse_moments_q(spark, sf_dir):
+    moments = _sparse(spark, sf_dir).moments()
+    return moments.select("index", "feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+def sparse_crossfit_q(spark, sf_dir):
+    """L4 + L7 on sparse vectors (rows-only): the logistic score of every user, no feature a column."""
+    from ..operators.models import cross_fit_logreg, grid_search_logreg
+    from ..operators.sparse import build_sparse, sparse_training_frame
+
+    t, cfg, pop = setup(spark, sf_dir)
+    ds = build_sparse(t, cfg, pop)
+    train = sparse_training_frame(ds, cfg)
+    grid = grid_search_logreg(train, cfg.logreg_c_grid, cfg.logreg_weightings, cfg.cv_folds, ds.n_features)
+    return cross_fit_logreg(train, grid.best_c, grid.best_weighting, "logreg_score", ds.n_features).scores
+
+
 def label_balance_q(spark, sf_dir):
     from ..sources.sinks import label_balance
 
@@ -232,6 +264,10 @@ QUERIES = {
     "click_counts": click_counts_q,
     "click_pivot": click_pivot_q,
     "feature_assembly": feature_assembly_q,
+    "sparse_features": sparse_features_q,
+    "sparse_log_features": sparse_log_features_q,
+    "sparse_moments": sparse_moments_q,
+    "sparse_crossfit": sparse_crossfit_q,
     "label_balance": label_balance_q,
     "class_weights": class_weights_q,
     "run_log_comment": run_log_comment_q,
