@@ -6,6 +6,9 @@
 2. Nodes are dealt to shards of about ``SHARD_ROWS`` by a hash. Each shard's graph is built by one
    task and stored as flat arrays: per layer the node numbers and a (nodes x links)
    array of neighbours, -1 where there is none.
+   A shard measures its recall against an exact search of a sample of ``SAMPLE`` queries and doubles its beam from
+   ``EF_SEARCH`` until it finds ``TARGET_RECALL`` of their nearest: inner products of vectors of
+   very different lengths need wider beams than those of unit vectors.
 3. Blocks of at most ``QUERY_BLOCK`` queries meet every shard by an equi-join on the shard's number;
    a block descends the layers and runs its beam search for all of its queries at once,
    in numpy. The candidates' scores are computed again in double precision on the original vectors.
@@ -20,8 +23,7 @@ diverse choice of them, and the chosen ones link back and keep a diverse choice
 All nodes of a shard are indexed. Recall against brute force is measured in the tests (at least 0.9).
 
 Cases: rows without an id are not named by any result; a repeated id counts once for each of its
-different vectors; vectors of another length than the most common one
-take no part; queries with fewer candidates than k get them all; shards with
+different vectors; vectors are compared with those of as many components only; queries with fewer candidates than k get them all; shards with
 few nodes are searched whole; extra columns are not read; an empty table gives no rows.
 """
 
@@ -41,6 +43,8 @@ QUERY_BLOCK = 1024
 LINKS, BASE_LINKS = 16, 32
 #: beam width while building, and while searching
 EF_BUILD, EF_SEARCH = 64, 96
+#: queries on which every shard measures its recall (at most), and the recall that its beam has to reach there
+SAMPLE, TARGET_RECALL = 64, 0.95
 #: nodes that searches of a layer start from while it is built
 ENTRIES = 8
 SEED = 10
@@ -214,6 +218,22 @@ def search_graph(vectors: np.ndarray, layers: list, queries: np.ndarray, k: int,
     return np.take_along_axis(exact, best, 1), np.take_along_axis(nodes, best, 1)
 
 
+def fitted_beam(vectors: np.ndarray, layers: list, sample: np.ndarray, k: int, ef: int, target: float):
+    """(beam, recall): the narrowest beam, doubled from ``ef``, that finds ``target`` of the true k nearest of the
+    sample of queries; a graph where none does is searched whole."""
+    if not len(sample) or len(vectors) <= 2 * max(ef, 2 * k):
+        return ef, 1.0
+    exact = sample @ vectors.T
+    least = -np.partition(-exact, min(k, len(vectors)) - 1, axis=1)[:, min(k, len(vectors)) - 1]
+    while len(vectors) > 2 * max(ef, 2 * k):
+        score, _ = search_graph(vectors, layers, sample, k, ef)
+        recall = float((score >= least[:, None]).mean())
+        if recall >= target:
+            return ef, recall
+        ef *= 2
+    return ef, 1.0
+
+
 def _usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     v = F.col(vector).cast("array<double>")
     own = df.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"))
@@ -234,54 +254,68 @@ def nearest(
     k: int = K,
     shard_rows: int = SHARD_ROWS,
     ef: int = EF_SEARCH,
+    target: float = TARGET_RECALL,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found among ``vectors`` for each row of
-    ``queries`` (same columns), the row of the same id left out."""
+    """(query_id, rank, vec_id, score, measured_recall): the ``k`` nearest found among ``vectors`` for each row of
+    ``queries`` (same columns), the row of the same id left out. ``measured_recall`` is the least recall that a
+    shard measured on the sample of queries."""
     require(vectors, vec_id, vector)
     known = _usable(vectors, vec_id, vector)
-    size = F.size("v")
-    length = known.groupBy(size.alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dim = length[0].d if length else 0
     # classes of equal vectors with their smallest ids: a ranking that keeps k + 1 rows a class, so that
     # Spark cuts large classes before they are shuffled
     by_vector = Window.partitionBy("v").orderBy("vec_id")
-    few = known.where(size == dim).withColumn("r", F.dense_rank().over(by_vector)).where(F.col("r") <= k + 1)
+    few = known.withColumn("r", F.dense_rank().over(by_vector)).where(F.col("r") <= k + 1)
     classes = few.groupBy("v").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))
     classes = saved(classes)
-    n_shards = max(1, -(-classes.count() // shard_rows))
-    shard = F.pmod(F.xxhash64("v"), F.lit(n_shards)).cast("int")
+    # vectors are compared with those of their own length; a length has shards of its own
+    size = F.size("v").alias("dim")
+    sizes = classes.groupBy(size).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias("shards"))
+    shard = F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")
+    asked = saved(_usable(queries, vec_id, vector).distinct())
+    few = asked.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(SAMPLE).select("v").collect()
+    sample: dict[int, list] = {}
+    for r in few:
+        sample.setdefault(len(r.v), []).append(r.v)
 
     def build(key, t):
         t = t.sort_by("h")
         v = _matrix(t.column("v").combine_chunks())
         layers = build_graph(v)
+        own = np.array(sample.get(v.shape[1], []), np.float64).reshape(-1, v.shape[1])
+        beam, recall = fitted_beam(v, layers, own, k + 1, ef, target)
         return pa.table({
-            "shard": pa.array([key[0].as_py()], pa.int32()),
+            "dim": pa.array([v.shape[1]], pa.int32()),
+            "shard": pa.array([key[1].as_py()], pa.int32()),
+            "ef": pa.array([beam], pa.int32()),
+            "recall": pa.array([recall], pa.float64()),
             "v": pa.array([v.tobytes()], pa.binary()),
             "ids": pa.array([t.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64()))),
             "members": pa.array([[m.astype(np.int32).tobytes() for m, _ in layers]], pa.list_(pa.binary())),
             "links": pa.array([[g[m].tobytes() for m, g in layers]], pa.list_(pa.binary())),
         })
 
+    kind = "dim int, shard int, ef int, recall double, v binary, ids array<array<long>>, members array<binary>, links array<binary>"
+    dealt = classes.withColumn("dim", size).join(sizes, "dim")
     graphs = saved(
-        classes.select(shard.alias("shard"), F.xxhash64("v").alias("h"), "v", "ids")
-        .groupBy("shard")
-        .applyInArrow(build, "shard int, v binary, ids array<array<long>>, members array<binary>, links array<binary>")
+        dealt.select("dim", shard.alias("shard"), F.xxhash64("v").alias("h"), "v", "ids")
+        .groupBy("dim", "shard")
+        .applyInArrow(build, kind)
     )
-    asked = _usable(queries, vec_id, vector).where(size == dim).distinct()
-    asked = saved(asked)
+    worst = graphs.agg(F.min("recall")).first()[0]
     n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int").alias("block")
-    shards = F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard")
-    blocks = asked.select(block, shards, "vec_id", "v").groupBy("shard", "block").agg(
+    shards = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
+    placed = asked.withColumn("dim", size).join(sizes, "dim").select("dim", block, shards, "vec_id", "v")
+    blocks = placed.groupBy("dim", "shard", "block").agg(
         F.collect_list("vec_id").alias("q_ids"), F.collect_list("v").alias("q")
     )
     # every (shard, block) pair is one row: a graph and at most about QUERY_BLOCK queries
-    pairs = blocks.join(graphs, "shard").repartition("shard", "block")
+    pairs = blocks.join(graphs, ["dim", "shard"]).repartition("dim", "shard", "block")
 
     def search(batches):
         for batch in batches:
             for row in range(batch.num_rows):
+                dim, beam = batch.column("dim")[row].as_py(), batch.column("ef")[row].as_py()
                 v = np.frombuffer(batch.column("v")[row].as_py(), np.float64).reshape(-1, dim)
                 ids = batch.column("ids")[row].as_py()
                 layers = []
@@ -294,7 +328,7 @@ def nearest(
                 q_ids = batch.column("q_ids")[row].as_py()
                 q = _matrix(batch.column("q")[row].values)
                 # one more class than asked for: the query's own may hold no other id
-                score, nodes = search_graph(v, layers, q, k + 1, ef)
+                score, nodes = search_graph(v, layers, q, k + 1, beam)
                 out = []
                 for i, q_id in enumerate(q_ids):
                     for s, node in zip(score[i].tolist(), nodes[i].tolist(), strict=True):
@@ -309,4 +343,6 @@ def nearest(
     found = pairs.mapInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return ranked.select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", F.lit(worst).cast("double").alias("measured_recall")
+    )

@@ -18,7 +18,8 @@ state beyond one document.
 Cases: a null or empty text has no lines, fails the base check (fewer than 50 words) and its
 cleaned text is the text itself (null stays null); repeated rows and ties are judged row by row;
 a very long text takes memory in proportion to itself only; extra columns pass through
-untouched, and result columns that clash with input columns replace them.
+untouched, and result columns that clash with input columns (in any letter case) replace them; an empty table
+gives none.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinscore.llm.common import require, slices, with_text
+from kinscore.llm.common import Shelter, require, slices, with_text
 
 #: words of page furniture, lower case
 NAV_WORDS = frozenset(
@@ -145,23 +146,23 @@ def quality_rules(docs: DataFrame, text: str = "text", keep_clean: bool = True,
     their names led by ``prefix``."""
     require(docs, text)
     fields = [T.StructField(prefix + f.name, f.dataType) for f in (_FIELDS if keep_clean else _FIELDS[:-1])]
-    names = {f.name for f in fields}
-    passed = [c for c in docs.columns if c not in names]
-    source = docs.select(*{text: None, **dict.fromkeys(passed)})
-    schema = T.StructType([docs.schema[c] for c in passed] + fields)
+    shelter = Shelter(docs, [f.name for f in fields], text)
+    own_text, passed = shelter.names[text], [f.name for f in shelter.fields]
+    schema = T.StructType(shelter.fields + fields)
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         out = to_arrow_schema(schema)
-        for batch in slices(batches, text):
-            found = list(zip(*map(judge, batch.column(text).to_pylist()), strict=True))
+        for batch in slices(batches, own_text):
+            found = list(zip(*map(judge, batch.column(own_text).to_pylist()), strict=True))
             own = [pa.array(v, out.field(f.name).type) for f, v in zip(fields, found, strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).cast(out.field(c).type) for c in passed] + own, schema=out
             )
 
-    return source.mapInArrow(run, schema)
+    judged = shelter.source.mapInArrow(run, schema)
+    return judged.select(*shelter.restored(), *(f.name for f in fields))
 
 
 def accepted(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ The condition is checked against the model's pieces when a task starts; a model
 Cases: a null or empty text is the end id alone and decodes to the empty string; literal markers
 count as blanks, as in the library; repeated rows are encoded row by row; a very long text takes
 memory in proportion to itself; extra columns pass through, result columns replace
-those that clash; an empty table gives none.
+those that clash (in any letter case); an empty table gives none.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinscore.llm.common import require, slices, with_text
+from kinscore.llm.common import Shelter, named, passed_columns, require, slices, with_text
 
 MARK = "▁"
 #: words a task's table holds before it starts anew
@@ -121,8 +121,9 @@ def sentencepiece_codec(
     path = model or default_model()
     chosen = [f for f in _FIELDS if fields is None or f.name in fields]
     own = [T.StructField(prefix + f.name, f.dataType) for f in chosen]
-    passed = [c for c in docs.columns if c not in {f.name for f in own}]
-    schema = T.StructType([docs.schema[c] for c in passed] + own)
+    shelter = Shelter(docs, [f.name for f in own], text)
+    own_text, passed = shelter.names[text], [f.name for f in shelter.fields]
+    schema = T.StructType(shelter.fields + own)
     want = {f.name for f in chosen}
 
     def run(batches):
@@ -131,8 +132,8 @@ def sentencepiece_codec(
         out = to_arrow_schema(schema)
         table = ChunkTable(path)
         decimal = list(map(str, range(table.sp.get_piece_size())))
-        for batch in slices(batches, text, limit=1 << 20):
-            coded = table.encode([t or "" for t in batch.column(text).to_pylist()])
+        for batch in slices(batches, own_text, limit=1 << 20):
+            coded = table.encode([t or "" for t in batch.column(own_text).to_pylist()])
             plain = table.sp.decode(coded) if want & {"decoded", "decoded_sha256"} else []
             found = {}
             if "n_tokens" in want:
@@ -152,12 +153,13 @@ def sentencepiece_codec(
                 [batch.column(c).cast(out.field(c).type) for c in passed] + cols, schema=out
             )
 
-    return docs.select(*dict.fromkeys([*passed, text])).mapInArrow(run, schema)
+    found = shelter.source.mapInArrow(run, schema)
+    return found.select(*shelter.restored(), *(f.name for f in own))
 
 
 def encoded(docs: DataFrame, text: str = "text", model: str | None = None) -> DataFrame:
     """The columns of ``docs`` with the decoded text, plus ``ids`` and ``n_tokens``."""
-    kept = docs.drop("ids", "n_tokens")
+    kept = docs.select(*map(named, passed_columns(docs, ["ids", "n_tokens"])))
     found = sentencepiece_codec(kept, text, model, fields=("n_tokens", "ids", "decoded"), prefix="__sp_")
     n, ids = F.col("__sp_n_tokens").alias("n_tokens"), F.col("__sp_ids").alias("ids")
     return with_text(found, kept, F.col("__sp_decoded"), text, n, ids)

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinscore.llm.common import require, scratch_path, slices, texts_of, with_text
+from kinscore.llm.common import Shelter, named, require, scratch_path, slices, texts_of, with_text
 
 WINDOW = 13
 GRAM = 5
@@ -302,35 +302,35 @@ def substring_dedup(
     """All columns of ``docs`` plus n_words, n_removed, kept_sha256 (kept words joined by one
     space) and ``clean_text``; names led by ``prefix``, which replace columns that clash."""
     require(docs, doc_id, text)
-    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    plain = docs.select(named(doc_id).cast("long").alias("doc_id"), named(text).alias("text"))
     found = duplicate_windows(plain, window, gram, look, crowd)
     by_doc = found.groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_list("at").alias("__at"), F.collect_list("bits").alias("__bits")
     )
     fields = [T.StructField(prefix + f.name, f.dataType) for f in (_FIELDS if keep_clean else _FIELDS[:-1])]
-    names = {f.name for f in fields}
-    passed = [c for c in docs.columns if c not in names]
-    needed = docs.select(*dict.fromkeys([*passed, doc_id, text]))
+    shelter = Shelter(docs, [f.name for f in fields], doc_id, text)
+    needed, own_id, own_text = shelter.source, shelter.names[doc_id], shelter.names[text]
+    passed = [f.name for f in shelter.fields]
     # the text crosses the exchange of the join compressed
-    slim = T.StructType([T.StructField("__text", T.BinaryType()), *(f for f in needed.schema if f.name != text)])
+    slim = T.StructType([T.StructField("__text", T.BinaryType()), *(f for f in needed.schema if f.name != own_text)])
 
     def shrink(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         out = to_arrow_schema(slim)
         pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in slices(batches, text):
-            raw = batch.column(text).cast(pa.binary()).to_pylist()
+        for batch in slices(batches, own_text):
+            raw = batch.column(own_text).cast(pa.binary()).to_pylist()
             own = pa.array([None if t is None else pack(t) for t in raw], pa.binary())
             rest = [batch.column(f.name).cast(f.type) for f in out if f.name != "__text"]
             yield pa.RecordBatch.from_arrays([own, *rest], schema=out)
 
     joined = (
         needed.mapInArrow(shrink, slim)
-        .join(by_doc, F.col(f"`{doc_id}`").cast("long") == F.col("__id"), "left")
+        .join(by_doc, F.col(own_id).cast("long") == F.col("__id"), "left")
         .drop("__id")
     )
-    schema = T.StructType([docs.schema[c] for c in passed] + fields)
+    schema = T.StructType(shelter.fields + fields)
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -355,12 +355,12 @@ def substring_dedup(
             own = {f.name: pa.array(own[f.name], out.field(f.name).type) for f in fields[:3]}
             if keep_clean:
                 own[fields[3].name] = pa.array([c for _, c in texts], pa.binary()).cast(pa.string())
-            if text in passed:
-                own[text] = pa.array([t for t, _ in texts], pa.binary()).cast(pa.string())
+            if own_text in passed:
+                own[own_text] = pa.array([t for t, _ in texts], pa.binary()).cast(pa.string())
             cols = [own[f.name] if f.name in own else batch.column(f.name) for f in out]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, out, strict=True)], schema=out)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).select(*shelter.restored(), *(f.name for f in fields))
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

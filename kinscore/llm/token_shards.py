@@ -2,11 +2,12 @@
 
 Writing: documents are dealt by ranges of their id, sorted, encoded and packed into shards of
 about ``SHARD_IDS`` ids. In each shard frequent pairs of adjacent symbols are replaced by new
-symbols, again and again. One round counts all pairs and accepts pairs from the most frequent
-down as long as no symbol is the right part of one accepted pair and the left part of another:
-accepted pairs then never overlap and all are replaced at once, which gives
-what one replacement after the other would give in that order. A pair never spans two
-documents, so every document is a run of whole symbols.
+symbols, round after round, until no pair occurs ``MIN_COUNT`` times. One round counts all pairs (in a run
+of one symbol those that do not overlap) and accepts pairs from the most frequent down as long as no symbol is the right part of one accepted
+pair and the left part of another: accepted pairs then never overlap and all are replaced at once.
+Counts are renewed between rounds only. A round looks at its ``PAIRS_A_ROUND`` most frequent pairs; the others
+wait for later rounds, so this bounds a round's tables, not the result. A pair never spans two documents, so every
+document is a run of whole symbols.
 
 A shard is one binary value in a Parquet table, beside its number
 of ids and its place; Parquet is the container because any store that Spark reaches can hold
@@ -35,6 +36,7 @@ import os
 import struct
 import zlib
 from array import array
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +48,7 @@ from kinscore.llm.common import require, scratch_path, slices, worker_cache
 
 END_ID = 0
 SHARD_IDS = 1 << 20
-#: rounds of replacement, pairs looked at in a round, and the count a pair needs
-ROUNDS = 6
+#: pairs looked at in a round (the others wait for the next), and the count a pair needs
 PAIRS_A_ROUND = 2048
 MIN_COUNT = 24
 #: text encoded together: the longer, the fewer distinct words for each word
@@ -199,13 +200,14 @@ _ODD_BLANKS = (
 )
 
 
-def compress(symbols: np.ndarray, ends: np.ndarray, first: int, rounds: int = ROUNDS) -> tuple:
-    """Re-Pair: (symbols, starts, rules). ``ends`` are the ends of the documents in ``symbols``;
-    no rule spans two of them. ``first`` is the first nonterminal."""
+def compress(symbols: np.ndarray, ends: np.ndarray, first: int, rounds: int | None = None) -> tuple:
+    """Re-Pair until no pair occurs ``MIN_COUNT`` times (or for some rounds): (symbols, starts, rules).
+    ``ends`` are the ends of the documents in ``symbols``; no rule spans two of them. ``first`` is the
+    first nonterminal."""
     seq = symbols.astype(np.uint32)
     bounds = np.r_[0, ends].astype(np.int64)
     rules: list[tuple[int, int]] = []
-    for _ in range(rounds):
+    for _ in range(rounds) if rounds is not None else count():
         if len(seq) < 2:
             break
         left, right = seq[:-1], seq[1:]
@@ -215,6 +217,12 @@ def compress(symbols: np.ndarray, ends: np.ndarray, first: int, rounds: int = RO
         keys = (left.astype(wide, copy=False) << wide(bits)) | right.astype(wide, copy=False)
         cuts = bounds[1:-1]
         cuts = np.unique(cuts[(cuts > 0) & (cuts < len(seq))] - 1)
+        # in a run of one symbol every other pair overlaps the one before: such pairs do not count, as those across cuts
+        same = np.flatnonzero(left == right)
+        if len(same):
+            same = same[~np.isin(same, cuts, assume_unique=True)]
+            start = np.maximum.accumulate(np.where(np.r_[True, np.diff(same) > 1], same, 0)) if len(same) else same
+            cuts = np.union1d(cuts, same[(same - start) % 2 == 1])
         across = keys[cuts]
         keys.sort()
         edge = np.flatnonzero(keys[1:] != keys[:-1])
@@ -233,7 +241,7 @@ def compress(symbols: np.ndarray, ends: np.ndarray, first: int, rounds: int = RO
         taken = []
         for key in pairs[order].tolist():
             a, b = key >> bits, key & ((1 << bits) - 1)
-            if a != b and a not in rights and b not in lefts:
+            if a not in rights and b not in lefts and (a != b or a not in lefts and a not in rights):
                 taken.append((lefts.setdefault(a, len(lefts)), rights.setdefault(b, len(rights))))
                 rules.append((a, b))
         if not taken:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from kinscore.llm.hnsw_search import build_graph, nearest, search_graph
+from kinscore.llm.hnsw_search import EF_SEARCH, SHARD_ROWS, TARGET_RECALL, build_graph, fitted_beam, nearest, search_graph
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rank string, v int, shard int"
 
@@ -29,6 +29,21 @@ def test_recall_of_one_graph(normed):
     assert np.allclose(score, np.take_along_axis(q @ v.T, found, 1)) and (np.diff(score, axis=1) <= 0).all()
 
 
+def test_beam_follows_the_recall_measured_on_vectors_of_all_lengths():
+    """One shard of production size, normal components, lengths as they come: a fixed beam finds 0.8."""
+    rng = np.random.default_rng(2)
+    v, sample = rng.normal(size=(SHARD_ROWS, 64)), rng.normal(size=(64, 64))
+    q = v[::20]
+    layers = build_graph(v)
+    beam, measured = fitted_beam(v, layers, sample, 21, EF_SEARCH, TARGET_RECALL)
+    assert beam > EF_SEARCH and measured >= TARGET_RECALL
+    exact = np.argsort(-(q @ v.T), axis=1)[:, :21]
+    _, found = search_graph(v, layers, q, 21, beam)
+    assert np.mean([len({*a} & {*b}) / 21 for a, b in zip(exact, found, strict=True)]) >= 0.93
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    assert fitted_beam(unit[:3000], build_graph(unit[:3000]), sample[:1], 21, 3000, 0.5)[1] == 1.0  # searched whole
+
+
 def brute(rows, k):
     good = []
     for r in rows:
@@ -78,3 +93,12 @@ def test_few_candidates_and_empty_tables(spark):
     got = run(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0]), (20, [1.0, 1.0]), (5, [1.0, 1.0, 1.0])])
     assert [x[1] for x in got[0]] == [1, 20] and [x[1] for x in got[20]] == [0, 1]
     assert run(spark, [(0, [1.0, 2.0])]) == {} and run(spark, []) == {}
+
+
+def test_every_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3 + i % 3).astype(np.float32).tolist()) for i in range(400)]
+    got, want = run(spark, rows, shard_rows=60), {}
+    for d in (3, 4, 5):
+        want |= brute([r for r in rows if len(r[1]) == d], 20)
+    assert got.keys() == want.keys() and all([x[1] for x in got[q]] == [i for i, _ in want[q]] for q in want)

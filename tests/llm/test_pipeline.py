@@ -106,3 +106,20 @@ def test_empty_and_odd_documents(spark, tmp_path):
         spark.createDataFrame(data, schema).write.parquet(f"{folder}/documents.parquet")
         got = corpus_pipeline.run(spark, folder).collect()
         assert {r.doc_id for r in got} <= {None, 2} and (n == 0) == (not got)
+
+
+def test_columns_with_dots_and_names_of_results_in_another_case(spark):
+    """Every stage, and the operators behind three of them."""
+    from kinscore.llm.quality_rules import quality_rules
+    from kinscore.llm.sentencepiece_codec import sentencepiece_codec
+    from kinscore.llm.substring_dedup import substring_dedup
+
+    text = " ".join(f"word{i}" for i in range(80)) + "."
+    rows = [(i, f"{i} {text}" if i else text, "en", "s", 9, "m", "x", "y") for i in range(3)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", "meta.k", "N_WORDS", "Ids"])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "unused")
+        assert out.count() and "meta.k" in out.columns, name
+    for found, gone in ((quality_rules(docs), "N_WORDS"), (substring_dedup(docs), "N_WORDS"), (sentencepiece_codec(docs), "Ids")):
+        assert "meta.k" in found.columns and gone not in found.columns
+        assert found.count() == 3

@@ -133,3 +133,54 @@ def test_whole_small_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = sorted(map(tuple, token_shards(docs).collect()), key=lambda r: r[1])
     assert got == brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def pair_counts(seq, bounds):
+    """Non-overlapping occurrences of every pair inside documents."""
+    found = {}
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        last = {}
+        for i in range(a, b - 1):
+            p = (int(seq[i]), int(seq[i + 1]))
+            if last.get(p, -2) != i - 1 or p[0] != p[1]:
+                found[p] = found.get(p, 0) + 1
+                last[p] = i
+    return found
+
+
+def naive(texts, first):
+    """Re-Pair one pair at a time, counts renewed each time."""
+    docs, rules = [t.tolist() for t in texts], []
+    while True:
+        flat, bounds = [x for d in docs for x in d], np.cumsum([0, *map(len, docs)])
+        counts = pair_counts(flat, bounds)
+        best = max(counts.items(), key=lambda x: (x[1], x[0]), default=(None, 0))
+        if best[1] < MIN_COUNT:
+            return sum(map(len, docs)), rules
+        rules.append(best[0])
+        for k, d in enumerate(docs):
+            out, i = [], 0
+            while i < len(d):
+                hit = tuple(d[i : i + 2]) == best[0]
+                out.append(first + len(rules) - 1 if hit else d[i])
+                i += 1 + hit
+            docs[k] = out
+
+
+@pytest.mark.parametrize("seed", [1, 5])
+def test_no_frequent_pair_is_left_and_sizes_are_those_of_naive_re_pair(seed):
+    texts = grammar(seed)
+    texts += [np.array([3] * n + [0], np.uint16) for n in (1, 2, 3, 8, 97)]
+    seq, bounds, rules = compress(np.concatenate(texts), np.cumsum([len(t) for t in texts]), 12)
+    assert max(pair_counts(seq.tolist(), bounds.tolist()).values()) < MIN_COUNT
+    size, own = naive(texts, 12)
+    assert len(seq) + 2 * len(rules) <= 1.03 * (size + 2 * len(own))
+    assert rules[0] == own[0]
+
+
+def test_a_run_of_one_id_becomes_few_symbols():
+    texts = [np.array([7] * 5000 + [0], np.uint16), np.array([7] * 4999 + [0], np.uint16)]
+    seq, bounds, rules = compress(np.concatenate(texts), np.cumsum([len(t) for t in texts]), 8)
+    assert len(seq) < 2 * MIN_COUNT + 40 and 8 <= len(rules) <= 20
+    shard = Shard(pack_shard([0, 1], texts, 8))
+    assert [shard.document(k).tolist() for k in range(2)] == [t.tolist() for t in texts]
