@@ -296,8 +296,10 @@ def nearest(
 
     kind = "dim int, shard int, ef int, recall double, v binary, ids array<array<long>>, members array<binary>, links array<binary>"
     dealt = classes.withColumn("dim", size).join(sizes, "dim")
+    n_shards = sizes.agg(F.coalesce(F.sum("shards"), F.lit(0))).first()[0]
     graphs = saved(
         dealt.select("dim", shard.alias("shard"), F.xxhash64("v").alias("h"), "v", "ids")
+        .repartition(max(1, 2 * n_shards), "dim", "shard")  # few bytes but much work: not to be coalesced
         .groupBy("dim", "shard")
         .applyInArrow(build, kind)
     )
