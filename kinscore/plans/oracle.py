@@ -20,6 +20,10 @@ from .scoring_checks import (
     FIXTURE_THRESHOLDS,
     HISTORY_DAYS,
     HISTORY_TODAY,
+    LIST_HISTORY_DAYS,
+    LIST_N_REC,
+    LIST_STEP,
+    LIST_THRESHOLDS,
     ROUND_DIGITS,
 )
 
@@ -330,5 +334,40 @@ def scoring_oracles() -> dict[str, str]:
     }
 
 
+def list_oracle(cfg: JobConfig) -> str:
+    """The 14 columns of the chosen users, from the score tables, the dataset and the history."""
+    from ..operators.selection import OUTPUT_COLUMNS, OUTPUT_TYPES
+
+    names = [c for c in OUTPUT_COLUMNS if c not in ("user_id", "external_id", "knn_score", "logreg_score", "xgb_score")]
+    columns = ", ".join(f"max(value) FILTER (WHERE feature = {_text(c)}) AS {c}" for c in names)
+    limits = {m: float(LIST_THRESHOLDS[m]) for m in ("knn", "logreg", "xgb")}
+    above = " UNION ALL ".join(
+        f"SELECT user_id, '{m}' AS model, {m}_score AS score FROM eligible WHERE {m}_score > {v!r}" for m, v in limits.items()
+    )
+    place = "row_number() OVER (PARTITION BY model ORDER BY score DESC, user_id)"
+    kinds = {"long": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+    out = ", ".join(f"CAST({c} AS {kinds[OUTPUT_TYPES.get(c, 'double')]}) AS {c}" for c in OUTPUT_COLUMNS)
+    score = _ranked()
+    parts = {
+        "vec": score["vec"], "near": score["near"],
+        "given": f"SELECT user_id * {LIST_STEP} + 1 AS user_id, knn_score, logreg_score, xgb_score FROM ({score['score']})",
+        "merged": f"""SELECT d.*, coalesce(k.knn_score, {cfg.knn_fill!r}) AS knn_score, l.logreg_score, x.xgb_score
+            FROM (SELECT user_id, external_id, {columns} FROM dataset GROUP BY user_id, external_id) d
+            LEFT JOIN (FROM given WHERE user_id % 5 <> 0) k USING (user_id)
+            LEFT JOIN (FROM given WHERE user_id % 7 <> 0) l USING (user_id)
+            LEFT JOIN (FROM given WHERE user_id % 11 <> 0) x USING (user_id)""",
+        "eligible": f"""SELECT * FROM merged WHERE asd_others = 0 AND is_asd = 0 AND user_id NOT IN (
+            SELECT user_id FROM events WHERE user_id IS NOT NULL
+            AND CAST(ts AS DATE) > DATE '{HISTORY_TODAY - dt.timedelta(days=LIST_HISTORY_DAYS)}')""",
+        "above": above,
+        "voters": f"SELECT user_id FROM (FROM above QUALIFY {place} <= {LIST_N_REC}) GROUP BY user_id HAVING count(*) > 1",
+        "fill": f"""SELECT user_id FROM above ANTI JOIN voters USING (user_id)
+            QUALIFY {place} <= (SELECT greatest(0, {LIST_N_REC} - count(*)) // 3 FROM voters)""",
+    }
+    body = f"SELECT {out} FROM eligible WHERE user_id IN (SELECT user_id FROM voters UNION SELECT user_id FROM fill)"
+    return _select(cfg, body, **dataset_relations(cfg), **parts)
+
+
 def all_oracle_sql(cfg: JobConfig | None = None) -> dict[str, str]:
-    return {**feature_oracles(cfg or driver_config()), **scoring_oracles()}
+    cfg = cfg or driver_config()
+    return {**feature_oracles(cfg), **scoring_oracles(), "list_from_scores": list_oracle(cfg)}

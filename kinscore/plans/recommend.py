@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..config import JobConfig
 from ..operators import models as M
 from ..operators.nearest import nearest_positive, vector_of
-from ..operators.selection import exclude_recent, output_rows, select_users
+from ..operators.selection import Selection, exclude_recent, output_rows, select_users
 from ..operators.transform import log_domain_violations, log_features, standardize
 from ..session import ensure_checkpoint_dir
 from .dataset import Dataset
@@ -83,6 +83,24 @@ def knn_scores(ds: Dataset, cfg: JobConfig) -> DataFrame:
     return nearest_positive(vec.where(F.col("is_asd") == 0), vec.where(F.col("is_asd") == 1), key="user_id")
 
 
+def merge_scores(users: DataFrame, knn: DataFrame, logreg: DataFrame, trees: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Every user with the three scores; users without a neighbour score get the fill value,
+    users without a model score keep null and pass no threshold."""
+    merged = users.join(knn.select("user_id", "knn_score"), "user_id", "left")
+    merged = merged.join(logreg, "user_id", "left").join(trees, "user_id", "left")
+    return merged.fillna(cfg.knn_fill, subset=["knn_score"])
+
+
+def choose(
+    scored: DataFrame, cfg: JobConfig, history: DataFrame | None, today: dt.date
+) -> tuple[DataFrame, Selection]:
+    """J9, P20, P21, the vote and fill, J10, P24: the 14 output columns of the chosen users."""
+    eligible = scored if history is None else exclude_recent(scored, history, today, cfg.history_days)
+    eligible = eligible.where((F.col("asd_others") == 0) & (F.col("is_asd") == 0))
+    sel = select_users(eligible, cfg.thresholds, cfg.n_rec)
+    return output_rows(eligible, sel.ids), sel
+
+
 def recommend(
     ds: Dataset,
     cfg: JobConfig,
@@ -97,18 +115,8 @@ def recommend(
     gbt_fit = tree_fit(train, cfg)
     knn = knn_scores(ds, cfg)
 
-    scored = (
-        ds.df.join(knn.select("user_id", "knn_score"), "user_id", "left")
-        .join(lr_fit.scores, "user_id", "left")
-        .join(gbt_fit.scores, "user_id", "left")
-        .fillna(cfg.knn_fill, subset=["knn_score"])
-    )
-    eligible = scored
-    if history is not None:
-        eligible = exclude_recent(eligible, history, today, cfg.history_days)
-    eligible = eligible.where((F.col("asd_others") == 0) & (F.col("is_asd") == 0))
-    sel = select_users(eligible, cfg.thresholds, cfg.n_rec)
-    rows = output_rows(eligible, sel.ids)
+    scored = merge_scores(ds.df, knn, lr_fit.scores, gbt_fit.scores, cfg)
+    rows, sel = choose(scored, cfg, history, today)
     log = {
         "logreg": {
             "cv_f1": grid.best_f1,

@@ -11,6 +11,7 @@ oracle SQL derives the same scores in DuckDB.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from ..operators.selection import exclude_recent, select_users, tagged_top_lists
 from ..operators.transform import log_features, standardize
 from ..sources.tables import read_driver_table
 from .dataset import Dataset, long_form
+from .recommend import choose, merge_scores
 from .registry import dataset, setup, stored_dataset
 
 # parameters of the selection fixture
@@ -29,6 +31,11 @@ FIXTURE_N_REC = 100
 FIXTURE_THRESHOLDS = {"knn": 0.0, "logreg": 0.5, "xgb": 0.5}
 HISTORY_TODAY = dt.date(2024, 1, 30)
 HISTORY_DAYS = 14
+# the whole list: vector v is user v * LIST_STEP + 1; a short list, so that vote and fill both work
+LIST_STEP = 3
+LIST_N_REC = 30
+LIST_THRESHOLDS = {"knn": 0.0, "logreg": 0.5, "xgb": 0.5}
+LIST_HISTORY_DAYS = 2
 # logarithms and scaled values are compared after rounding: sums depend on the order of the rows
 ROUND_DIGITS = 6
 
@@ -74,6 +81,27 @@ def quota_fill_q(spark, sf_dir):
     return select_users(fixture_scores(spark, sf_dir), FIXTURE_THRESHOLDS, FIXTURE_N_REC).ids
 
 
+def list_scores(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three score tables, each of some users only, from what Spark derives of the embeddings: the vectors stand for the
+    users whose id is theirs times ``LIST_STEP``, and each model leaves out other users."""
+    s = fixture_scores(spark, sf_dir).withColumn("user_id", F.col("user_id") * LIST_STEP + 1)
+    knn = s.where("user_id % 5 != 0").select("user_id", "knn_score")
+    logreg = s.where("user_id % 7 != 0").select("user_id", "logreg_score")
+    trees = s.where("user_id % 11 != 0").select("user_id", "xgb_score")
+    # written, as the models' scores are: the selection reads them several times
+    return tuple(x.checkpoint(eager=True) for x in (knn, logreg, trees))
+
+
+def list_from_scores_q(spark, sf_dir):
+    """The list from given scores: J8, L11, P16 (merge and fill), J9 (recent users), P20, P21 (eligible), vote and
+    fill, J10, P24 (14 columns). The history is the day of each user's events."""
+    ds, cfg = stored_dataset(spark, sf_dir)
+    cfg = replace(cfg, n_rec=LIST_N_REC, thresholds=LIST_THRESHOLDS, history_days=LIST_HISTORY_DAYS)
+    history = read_driver_table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("date_rec"))
+    scored = merge_scores(ds.df, *list_scores(spark, sf_dir), cfg)
+    return choose(scored, cfg, history, HISTORY_TODAY)[0]
+
+
 def f1_scores_q(spark, sf_dir):
     """L8 on written predictions: F1 of the positive class of both model columns."""
     from ..operators.models import PositiveF1
@@ -114,6 +142,7 @@ QUERIES = {
     "top_k_per_score": top_k_q,
     "vote_two_of_three": vote_q,
     "quota_fill": quota_fill_q,
+    "list_from_scores": list_from_scores_q,
     "f1_scores": f1_scores_q,
     "exclude_recent": exclude_recent_q,
     "log_features": log_features_q,
