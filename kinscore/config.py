@@ -79,6 +79,19 @@ class JobConfig:
             "minInstancesPerNode": 10,
         }
     )
+    # "spark_ml" (GBTClassifier, the settings above) or "second_order" (operators/boosting.py, the settings below)
+    tree_engine: str = "spark_ml"
+    tree_params: dict = field(
+        default_factory=lambda: {
+            "rounds": 100,
+            "depth": 10,
+            "learning_rate": 0.1,
+            "subsample": 0.7,
+            "columns": 0.5,
+            "l1": 0.5,
+            "min_hessian": 10.0,
+        }
+    )
     # features whose name is in this list are not given to the models (label leakage guard)
     exclude_features: tuple[str, ...] = ()
 

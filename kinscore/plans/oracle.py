@@ -368,6 +368,47 @@ def list_oracle(cfg: JobConfig) -> str:
     return _select(cfg, body, **dataset_relations(cfg), **parts)
 
 
+def tree_oracles(cfg: JobConfig) -> dict[str, str]:
+    """The first second-order tree on dense bins, one level after the other."""
+    from ..operators.boosting import CHECKED, LEAST_GAIN, LEVELS_PER_UNIT, TreeParams
+
+    p = TreeParams(**{**cfg.tree_params, **CHECKED})
+    score = lambda g, h: f"(greatest(abs({g}) - {p.l1!r}::DOUBLE, 0.0) * greatest(abs({g}) - {p.l1!r}::DOUBLE, 0.0) / ({h} + {p.l2!r}::DOUBLE))"
+    parts = {
+        "logged": """SELECT user_id, index, log10(1 + value) AS v FROM dataset JOIN ranked USING (feature)
+            WHERE value <> 0 AND value > -1""",
+        "lev": f"SELECT user_id, index, v > 0 AS up, CAST(floor(v * {LEVELS_PER_UNIT}) AS BIGINT) AS level FROM logged WHERE v <> 0",
+        "sizes": "SELECT index, up, level, count(*) AS n FROM lev GROUP BY ALL",
+        "bins": f"""SELECT index, up, level, n, CAST({p.bins} * (sum(n) OVER (PARTITION BY index ORDER BY level) - n)
+            // sum(n) OVER (PARTITION BY index) AS INTEGER) + CASE WHEN up THEN 2 ELSE 0 END AS bin FROM sizes""",
+        "zeros": f"""SELECT index, CAST({p.bins} * coalesce(sum(n) FILTER (WHERE NOT up), 0) // sum(n) AS INTEGER) + 1 AS zero
+            FROM sizes GROUP BY index""",
+        "cell": """SELECT u.user_id, z.index, coalesce(b.bin, z.zero) AS bin
+            FROM (SELECT DISTINCT user_id FROM dataset) u CROSS JOIN zeros z
+            LEFT JOIN (SELECT user_id, index, bin FROM lev JOIN bins USING (index, up, level)) b
+            ON b.user_id = u.user_id AND b.index = z.index""",
+        "s0": "SELECT user_id, 1 AS node, 0.5::DOUBLE - value AS g, 0.25::DOUBLE AS h FROM dataset WHERE feature = 'is_asd'",
+    }
+    root = "SELECT index, bin, count(*) AS n, sum(g) AS g, sum(h) AS h FROM cell JOIN s0 USING (user_id) GROUP BY index, bin"
+    out = {"tree_root_histogram": _select(cfg, root, **dataset_relations(cfg), **parts)}
+    for d in range(p.depth):
+        parts[f"h{d}"] = f"""SELECT node, index, bin, sum(g) AS g, sum(h) AS h FROM cell JOIN s{d} USING (user_id)
+            WHERE node >= {2**d} GROUP BY ALL"""
+        parts[f"c{d}"] = f"""SELECT node, index, bin AS cut, sum(g) OVER w AS gl, sum(h) OVER w AS hl,
+            sum(g) OVER a AS ga, sum(h) OVER a AS ha FROM h{d}
+            WINDOW a AS (PARTITION BY node, index), w AS (PARTITION BY node, index ORDER BY bin)"""
+        parts[f"b{d}"] = f"""SELECT node, index, cut, gl, hl, ga - gl AS gr, ha - hl AS hr,
+            {score("gl", "hl")} + {score("(ga - gl)", "(ha - hl)")} - {score("ga", "ha")} AS gain FROM c{d}
+            WHERE hl >= {p.min_hessian!r} AND ha - hl >= {p.min_hessian!r} AND gain > {LEAST_GAIN!r}
+            QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, index, cut) = 1"""
+        parts[f"s{d + 1}"] = f"""SELECT s.user_id, CASE WHEN b.node IS NULL THEN s.node
+            ELSE 2 * s.node + CAST(c.bin > b.cut AS INTEGER) END AS node, s.g, s.h FROM s{d} s LEFT JOIN b{d} b USING (node)
+            LEFT JOIN cell c ON c.user_id = s.user_id AND c.index = b.index"""
+    body = " UNION ALL ".join(f"SELECT node, index, cut, round(gain, 6) AS gain, gl, hl, gr, hr FROM b{d}" for d in range(p.depth))
+    out["tree_first_splits"] = _select(cfg, body, **dataset_relations(cfg), **parts)
+    return out
+
+
 def all_oracle_sql(cfg: JobConfig | None = None) -> dict[str, str]:
     cfg = cfg or driver_config()
-    return {**feature_oracles(cfg), **scoring_oracles(), "list_from_scores": list_oracle(cfg)}
+    return {**feature_oracles(cfg), **scoring_oracles(), "list_from_scores": list_oracle(cfg), **tree_oracles(cfg)}

@@ -17,11 +17,13 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..operators import models as M
+from ..operators.boosting import TreeParams, bin_rows, cross_fit_trees
 from ..operators.nearest import nearest_positive, vector_of
 from ..operators.selection import Selection, exclude_recent, output_rows, select_users
 from ..operators.transform import log_domain_violations, log_features, standardize
@@ -72,6 +74,17 @@ def tree_fit(train: DataFrame, cfg: JobConfig) -> M.CrossFit:
     return M.cross_fit(train, lambda half: M.gbt(cfg.gbt_params, cfg.seed).fit(half), "xgb_score")
 
 
+def second_order_scores(train: DataFrame, cfg: JobConfig) -> tuple[list[float], M.CrossFit]:
+    """L5-L7 by ``operators/boosting.py``: (F1 per fold, the cross-fit), all five fits in shared jobs."""
+    p = TreeParams(**cfg.tree_params, seed=cfg.seed)
+    values = vector_to_array("features")
+    sparse = F.filter(F.transform(values, lambda v, i: F.struct(i.cast("int").alias("i"), v.alias("v"))), lambda c: c["v"] != 0)
+    rows = train.select("user_id", "label", "half", "fold", sparse.alias("c"))
+    rows = rows.select("user_id", "label", "half", "fold", F.col("c.i").alias("indices"), F.col("c.v").alias("values"))
+    scores, halves, folds = cross_fit_trees(bin_rows(rows, p), p, cfg.cv_folds, "xgb_score")
+    return folds, M.CrossFit(scores, *halves)
+
+
 def knn_scores(ds: Dataset, cfg: JobConfig) -> DataFrame:
     """L9 + L10: standardise the raw non-click features, keep rows with scaled revenue above
     the floor or a positive label, score candidates by their nearest positive."""
@@ -111,8 +124,10 @@ def recommend(
     train, feats = training_frame(ds, cfg)
     # scorers run one after the other: the logistic fits share their passes, the tree fits run concurrently
     grid, lr_fit = logistic_scores(train, cfg)
-    tree_f1 = tree_cv(train, cfg)
-    gbt_fit = tree_fit(train, cfg)
+    if cfg.tree_engine == "second_order":
+        tree_f1, gbt_fit = second_order_scores(train, cfg)
+    else:
+        tree_f1, gbt_fit = tree_cv(train, cfg), tree_fit(train, cfg)
     knn = knn_scores(ds, cfg)
 
     scored = merge_scores(ds.df, knn, lr_fit.scores, gbt_fit.scores, cfg)

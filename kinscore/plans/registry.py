@@ -176,6 +176,33 @@ def sparse_crossfit_q(spark, sf_dir):
     return cross_fit_logreg(train, grid.best_c, grid.best_weighting, "logreg_score", ds.n_features).scores
 
 
+def _binned(spark, sf_dir):
+    """The training rows in bins, and the parameters of a first tree that takes all rows and features."""
+    from ..operators.boosting import CHECKED, TreeParams, bin_rows
+    from ..operators.sparse import build_sparse, sparse_training_frame
+
+    t, cfg, pop = setup(spark, sf_dir)
+    p = TreeParams(**{**cfg.tree_params, **CHECKED})
+    return bin_rows(sparse_training_frame(build_sparse(t, cfg, pop), cfg), p), p
+
+
+def tree_root_histogram_q(spark, sf_dir):
+    """Rows, gradients and hessians of the first tree's root per (feature, bin)."""
+    from ..operators.boosting import Part, first_histogram
+
+    data, p = _binned(spark, sf_dir)
+    return first_histogram(data, Part(), p).select("index", "bin", "n", "g", "h")
+
+
+def tree_first_splits_q(spark, sf_dir):
+    """Every split of the first tree on all rows and features, with its gain and what goes left and right."""
+    from ..operators.boosting import Part, fit_trees
+
+    data, p = _binned(spark, sf_dir)
+    rows = [(s[2], s[3], s[4], round(s[5], 6), *s[6:]) for s in fit_trees(data, [Part()], p).splits]
+    return spark.createDataFrame(rows, "node int, index int, cut int, gain double, gl double, hl double, gr double, hr double")
+
+
 def label_balance_q(spark, sf_dir):
     from ..sources.sinks import label_balance
 
@@ -268,6 +295,8 @@ QUERIES = {
     "sparse_log_features": sparse_log_features_q,
     "sparse_moments": sparse_moments_q,
     "sparse_crossfit": sparse_crossfit_q,
+    "tree_root_histogram": tree_root_histogram_q,
+    "tree_first_splits": tree_first_splits_q,
     "label_balance": label_balance_q,
     "class_weights": class_weights_q,
     "run_log_comment": run_log_comment_q,

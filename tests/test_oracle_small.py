@@ -30,6 +30,7 @@ FAST = [
     "standardize",
     "nearest_l1",
     "quota_fill",
+    "tree_root_histogram",
 ]
 
 
