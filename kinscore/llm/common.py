@@ -6,6 +6,7 @@ import uuid
 import zlib
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +65,22 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES):
             yield batch.slice(start)
 
 
+class SmallestText:
+    """One text an id, where rows repeat it: says whether a row's text has a smaller hash than those
+    of its key that a task has seen. Equal texts pass once. What passes is a few rows a key and task; the
+    smallest of them is the key's text, wherever its rows lie."""
+
+    def __init__(self):
+        self.seen: dict = {}
+
+    def passes(self, key, text: str | None) -> int | None:
+        own = xxhash.xxh64_intdigest(text or "") - 2**63
+        if own >= self.seen.get(key, 2**63):
+            return None
+        self.seen[key] = own
+        return own
+
+
 def worker_cache(name: str, make):
     """An object that outlives a task in a Python worker that Spark uses again."""
     import sys

@@ -7,8 +7,8 @@ machines that have seen nothing else. The languages are those of the learning ro
 
 Features are counts of hashed byte n-grams of the lower-cased letters (1 to 4 bytes, words set off by blanks), scaled
 to unit length after a square root. Machines are trained in numpy on a bounded sample of whole texts
-(``MAX_ROWS`` rows of each language with the smallest id hash; as many of each family for the
-first classifier), by dual coordinate descent on the squared hinge loss. The first
+(``MAX_ROWS`` ids of each language with the smallest id hash, one row each: of an id's texts the one with the
+smallest hash; as many of each family for the first classifier), by dual coordinate descent on the squared hinge loss. The first
 classifier and every family are fitted in tasks of their own. Prediction reads whole texts: one map over the documents, no exchange.
 
 The score of a prediction is the product of the family's share and the language's share, each a
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinscore.llm.common import held_out, require, saved, slices
+from kinscore.llm.common import SmallestText, held_out, require, saved, slices
 
 #: fixed values: families of language codes
 FAMILIES = {
@@ -172,13 +172,31 @@ def learning_rows(docs: DataFrame) -> DataFrame:
     return few.select("doc_id", "lang", "family", (rank <= MAX_ROWS).alias("in_top"))
 
 
-def train(docs: DataFrame) -> Model | None:
+def sample_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, lang, family, in_top, text): one row for each row of the sample, however often an id occurs."""
     sample = saved(learning_rows(docs))
     n_rows = sample.count()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
     # at most MAX_ROWS ids of each language: broadcast while that is a small table
     chosen = F.broadcast(sample) if n_rows <= 200_000 else sample
-    texts = texts.join(chosen, ["doc_id", "lang"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(chosen, ["doc_id", "lang"])
+
+    def once(batches):
+        smallest = SmallestText()
+        for batch in slices(batches):
+            keys = zip(batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist(), strict=True)
+            own = [smallest.passes(k, t) for k, t in zip(keys, batch.column("text").to_pylist(), strict=True)]
+            rows = [i for i, h in enumerate(own) if h is not None]
+            kept = batch.take(pa.array(rows, pa.int64()))
+            hashes = pa.array([own[i] for i in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays([*kept.columns, hashes], [*batch.schema.names, "own"])
+
+    columns = "doc_id long, lang string, family string, in_top boolean, text string"
+    few = texts.select("doc_id", "lang", "family", "in_top", "text").mapInArrow(once, columns + ", own long")
+    return few.groupBy("doc_id", "lang", "family", "in_top").agg(F.min_by("text", "own").alias("text"))
+
+
+def train(docs: DataFrame) -> Model | None:
+    texts = sample_texts(docs)
 
     groups = F.when(F.col("in_top"), F.array(F.lit(""), "family")).otherwise(F.array("family"))
     rows = texts.select("doc_id", "lang", "family", "text", F.explode(groups).alias("part"))

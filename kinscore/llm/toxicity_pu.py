@@ -1,8 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Learning sees confirmed toxic documents (P) and a sample U whose labels it does not use: the rows
-without a label or, where these are fewer than ``MAX_UNLABELLED``, all learning rows whatever their
-label, toxic ones included, so that the toxic share of U is the class prior p either way (as far as labels
+Learning sees confirmed toxic documents (P) and a sample U of all learning rows whose labels it does not
+use, toxic ones included, so that the toxic share of U is the class prior p (as far as labels
 are given regardless of the class). The risk of a classifier g under loss l is
 
     p * E_P[l(g)] + max(0, E_U[l(-g)] - p * E_P[l(-g)])
@@ -12,14 +11,16 @@ it below zero, the classifier has begun to fit U's toxic documents as clean, and
 other way (the non-negative estimator). The loss is the sigmoid loss, whose bound keeps an
 inexact prior from moving the bias; linear classifiers are trained in numpy.
 
-1. A bounded sample of the learning rows: the ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` rows with the
-   smallest id hash. The same rows come out at every run.
+1. A bounded sample of the learning rows: the ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` ids with the
+   smallest id hash, one row each: of an id's texts the one with the smallest hash. The same rows come out
+   at every run.
 2. Features: the distinct lower-case words of a text and their first ``PREFIX`` letters, as 64-bit
    hashes (no shared buckets, so a long text meets no false ones). Features kept: those
    ``MIN_RATIO`` times as frequent in P as in U, by ``MIN_DEVIATIONS`` standard deviations (fewer for
    small samples, which cannot show as many); copies of one text count once.
 3. ``MEMBERS`` classifiers, each without another part of the sample, are trained in parallel tasks;
-   their weights (at most ``MAX_FEATURES`` each) are averaged.
+   their weights (at most ``MAX_FEATURES`` each, the most telling features: rarer signs beyond these
+   score nothing) are averaged.
 4. One map over all documents sums the weights of the features that a whole text holds.
 
 Without positive rows every score is 0. The prior is a parameter; by default it is the toxic share
@@ -39,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinscore.llm.common import held_out, require, saved, slices
+from kinscore.llm.common import SmallestText, held_out, require, saved, slices
 
 MAX_POSITIVE, MAX_UNLABELLED = 3000, 9000
 PREFIX = 5
@@ -147,46 +148,54 @@ def marked_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return ids.join(marks, "doc_id", "left")
 
 
-def sample_rows(marked: DataFrame, unlabelled: int) -> DataFrame:
+def sample_rows(marked: DataFrame) -> DataFrame:
     """(doc_id, positive): the bounded sample; a toxic document may be in P and in U."""
     order = F.xxhash64("doc_id", F.lit(2))
     p = marked.where("toxic = 1").orderBy(order, "doc_id").limit(MAX_POSITIVE)
-    rest = marked if unlabelled < MAX_UNLABELLED else marked.where("toxic is null")
-    u = rest.orderBy(order, "doc_id").limit(MAX_UNLABELLED)
+    u = marked.orderBy(order, "doc_id").limit(MAX_UNLABELLED)
     return saved(p.select("doc_id", F.lit(1).alias("positive")).unionByName(u.select("doc_id", F.lit(0).alias("positive"))))
 
 
-def shares(marked: DataFrame) -> tuple[int, float]:
-    """The number of unlabelled learning rows and the toxic share of the labelled ones."""
-    r = marked.agg(
-        F.count_if(F.col("toxic").isNull()).alias("unlabelled"), F.avg((F.col("toxic") == 1).cast("double")).alias("toxic")
-    ).first()
-    return r.unlabelled, r.toxic or 0.0
+def toxic_share(marked: DataFrame) -> float:
+    """The toxic share of the labelled learning rows."""
+    return marked.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    marked = marked_rows(docs, labels)
-    return sample_rows(marked, shares(marked)[0])
+    return sample_rows(marked_rows(docs, labels))
 
 
-def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> tuple[dict[int, float], float] | None:
-    """The averaged weights by feature and the bias; None without positive rows."""
-    marked = marked_rows(docs, labels)
-    unlabelled, toxic = shares(marked)
-    if prior is None:
-        prior = min(max(toxic, 1e-3), 0.999)
-    sample = sample_rows(marked, unlabelled)
+def sample_features(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(doc_id, positive, features): one row for each row of the sample, however often an id occurs."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
 
     def features(batches):
+        smallest = SmallestText()
         for batch in slices(batches):
-            found = [text_features(t) for t in batch.column("text").to_pylist()]
+            rows, hashes, found = [], [], []
+            ids, marks = batch.column("doc_id").to_pylist(), batch.column("positive").to_pylist()
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                own = smallest.passes((ids[i], marks[i]), text)
+                if own is not None:
+                    rows.append(i)
+                    hashes.append(own)
+                    found.append(text_features(text))
+            kept = batch.select(["doc_id", "positive"]).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("positive"), pa.array(found, pa.list_(pa.int64()))],
-                ["doc_id", "positive", "features"],
+                [*kept.columns, pa.array(hashes, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                ["doc_id", "positive", "own", "features"],
             )
 
-    rows = saved(texts.mapInArrow(features, "doc_id long, positive int, features array<long>"))
+    rows = texts.mapInArrow(features, "doc_id long, positive int, own long, features array<long>")
+    return rows.groupBy("doc_id", "positive").agg(F.min_by("features", "own").alias("features"))
+
+
+def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> tuple[dict[int, float], float] | None:
+    """The averaged weights by feature and the bias; None without positive rows."""
+    marked = marked_rows(docs, labels)
+    if prior is None:
+        prior = min(max(toxic_share(marked), 1e-3), 0.999)
+    rows = saved(sample_features(docs, sample_rows(marked)))
     if rows.where("positive = 1").isEmpty():
         return None
     part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(MEMBERS)).cast("int")

@@ -76,3 +76,17 @@ def test_little_to_learn_from(docs_of):
     none = identify(docs_of([(ids[0], "hello", None), (ids[1], None, "en")])).collect()
     assert {r.lang_pred for r in none} == {"und"}
     assert identify(docs_of([])).count() == 0
+
+
+def test_a_repeated_id_is_one_learning_row(spark):
+    """20,000 rows under one id, of two texts: the sample holds the id once, with the same text at any layout."""
+    from pyspark.sql import functions as F
+
+    from kinscore.llm.language_id import sample_texts
+
+    hot = next(i for i in range(9) if crc_fold(i) != 1)
+    docs = spark.range(20_000).select(
+        F.lit(hot).cast("long").alias("doc_id"), F.concat(F.lit("the wing "), F.col("id") % 2).alias("text"), F.lit("en").alias("lang")
+    )
+    one, two = sample_texts(docs.repartition(6)).collect(), sample_texts(docs.repartition(3)).collect()
+    assert len(one) == 1 and one[0].text == two[0].text

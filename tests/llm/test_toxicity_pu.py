@@ -7,7 +7,7 @@ import pytest
 
 from kinscore.llm.common import crc_fold
 from kinscore.llm import toxicity_pu
-from kinscore.llm.toxicity_pu import calibrate, learning_rows, marked_rows, nn_pu, shares, text_features, toxicity
+from kinscore.llm.toxicity_pu import calibrate, learning_rows, marked_rows, nn_pu, sample_features, text_features, toxic_share, toxicity
 
 
 def test_risk_finds_positives_hidden_in_the_unlabelled():
@@ -78,7 +78,7 @@ def test_held_out_accuracy(spark, docs_of, corpus):
 
 @pytest.mark.parametrize("labelled,enough", [(1.0, 10**4), (0.6, 10**4), (0.6, 10)])
 def test_unlabelled_sample_fits_the_prior(spark, docs_of, monkeypatch, labelled, enough):
-    """U is unlabelled rows only or, where these are too few, every learning row, toxic ones included."""
+    """U is learning rows whatever their label, toxic ones included, at every size."""
     monkeypatch.setattr(toxicity_pu, "MAX_UNLABELLED", enough)
     rng = random.Random(3)
     known = {i: int(i % 4 == 0) for i in range(600) if rng.random() < labelled}
@@ -88,14 +88,47 @@ def test_unlabelled_sample_fits_the_prior(spark, docs_of, monkeypatch, labelled,
     p, u = sorted(r.doc_id for r in rows if r.positive), sorted(r.doc_id for r in rows if not r.positive)
     assert p == [i for i in learn if known.get(i) == 1]
     if enough == 10:
-        assert len(u) == 10 and not set(u) & set(known)
+        bare = learning_rows(docs, marks.where("false")).collect()
+        assert len(u) == 10 and set(u) <= set(learn) and u == sorted(r.doc_id for r in bare)
     else:
         assert u == learn
-    n, share = shares(marked_rows(docs, marks))
-    assert n == sum(i not in known for i in learn) and share == pytest.approx(np.mean([known[i] for i in learn if i in known]))
+    share = toxic_share(marked_rows(docs, marks))
+    assert share == pytest.approx(np.mean([known[i] for i in learn if i in known]))
 
 
 def test_without_labels_or_rows(spark, docs_of):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in toxicity(docs_of([(1, "a b"), (2, None)]), none).collect()] == [0.0, 0.0]
     assert toxicity(docs_of([]), none).count() == 0
+
+
+def test_a_repeated_id_is_one_learning_row(spark):
+    """20,000 rows under one toxic id, of two texts: one row in P and one in U, with the same text at any layout."""
+    from pyspark.sql import functions as F
+
+    hot = next(i for i in range(9) if crc_fold(i) != 1)
+    docs = spark.range(20_000).select(F.lit(hot).cast("long").alias("doc_id"), F.concat(F.lit("vile "), F.col("id") % 2).alias("text"))
+    marks = spark.createDataFrame([(hot, 1)], "doc_id long, toxic int")
+    one, two = (sample_features(docs.repartition(n), learning_rows(docs, marks)).collect() for n in (6, 3))
+    assert sorted(r.positive for r in one) == [0, 1] and len({tuple(r.features) for r in one + two}) == 1
+
+
+def test_risk_minimum_against_a_plain_optimiser():
+    """Without a step below zero the risk is smooth: many plain gradient steps find no lower value."""
+    rng = np.random.default_rng(5)
+    p = (rng.random((200, 4)) < [0.9, 0.2, 0.2, 0.1]).astype(float)
+    u = np.concatenate([(rng.random((100, 4)) < [0.9, 0.2, 0.2, 0.1]), (rng.random((300, 4)) < [0.05, 0.2, 0.2, 0.1])]).astype(float)
+    prior = 0.25
+
+    def risk(v):
+        loss = lambda z: 1 / (1 + np.exp(z))
+        gp, gu = p @ v[:-1] + v[-1], u @ v[:-1] + v[-1]
+        return prior * loss(gp).mean() + max(0.0, loss(-gu).mean() - prior * loss(-gp).mean())
+
+    w, b = nn_pu(p, u, prior)
+    v = np.r_[np.asarray(w, float), b]
+    best = np.zeros(5)
+    for _ in range(3000):
+        step = np.array([(risk(best + 1e-5 * e) - risk(best - 1e-5 * e)) / 2e-5 for e in np.eye(5)])
+        best -= 2.0 * step
+    assert risk(v) <= risk(best) + 0.01 and risk(v) < risk(np.zeros(5)) - 0.05
