@@ -135,3 +135,22 @@ def test_empty_tables_null_labels_and_no_features(spark):
     unknown = B.fit_trees(B.bin_rows(frame(spark, more, np.r_[y, [np.nan] * 5]), B.TreeParams(**vars(p))), [B.Part()], p)
     assert unknown.rows.where("label is null").count() == 5 and unknown.rows.where("margins[0] is null").count() == 0
     assert len(known.splits) > 0
+
+
+def test_the_job_reads_dense_vectors(spark):
+    """``tree_engine="second_order"``: the training frame's vectors give the same fits as sparse rows."""
+    from pyspark.ml.linalg import Vectors
+
+    from kinscore.config import driver_config
+    from kinscore.plans.recommend import second_order_scores
+
+    x, y = data(200)
+    rows = [(i, float(y[i]), i % 2, i % 3, Vectors.dense(v.tolist())) for i, v in enumerate(x)]
+    small = {"rounds": 2, "depth": 2, "min_hessian": 2.0, "learning_rate": 0.3}
+    cfg = driver_config(tree_engine="second_order", tree_params=small)
+    folds, fit = second_order_scores(spark.createDataFrame(rows, ["user_id", "label", "half", "fold", "features"]), cfg)
+    p = B.TreeParams(**small, seed=cfg.seed)
+    want, halves, want_folds = B.cross_fit_trees(B.bin_rows(frame(spark, x, y), p), p, cfg.cv_folds, "xgb_score")
+    got = {r.user_id: r.xgb_score for r in fit.scores.collect()}
+    assert len(got) == 200 and got == pytest.approx({r.user_id: r.xgb_score for r in want.collect()})
+    assert folds == want_folds and [fit.f1_first, fit.f1_second] == halves
