@@ -82,7 +82,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mix["size"] * F.size(mix["copies"])
     return plan.select(
         "doc_id", mix["size"].alias("size"), mix["source_size"].alias("source_size"),
-        mix["target"].alias("target"), taken.cast("long").alias("taken"),
+        mix["target"].alias("target"), taken.cast("long").alias("taken"), mix["copies"]["shard"].alias("shards"),
     )
 
 

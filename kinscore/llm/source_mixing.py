@@ -7,41 +7,52 @@ DataFrame expressions only: no Python function, pandas, Arrow or RDD code.
    excess is shared again by weight. The end of that resharing is the water level L with
    target = min(MAX_REPEATS * size, L * weight), found from running sums over the sources in
    the order of their caps per unit of weight.
-2. *Blocks*. A source is cut into blocks of about ``BLOCK_WORDS`` words by a hash of the id, so the
-   order of the blocks is a random permutation. Prefix sums over superblocks, blocks and
+2. *Blocks*. A source is cut into blocks of about ``BLOCK_WORDS`` words by a hash of the id and text,
+   so the order of the blocks is a random permutation. Prefix sums over superblocks, blocks and
    documents (windows that never hold more than a block, or 1024 blocks) place every
-   document on the source's line of words. The mix takes whole passes over the line and one
-   partial pass, up to the target: a document is taken once more when its midpoint lies
-   before the end.
-3. *Splitting tree*. The quota of a source is its number of (pass, block) units. The vector of
+   document on the source's line of words, which begins anew with every pass over the source.
+3. *Splitting tree*. The line is counted in units of a 4,096th of the source (``BLOCK_WORDS`` words at
+   most), and the quota of a source is the number of whole units in its target. The vector of
    quotas at the root covers all output shards; each node draws the quotas of its left half
-   of shards from the multivariate hypergeometric distribution (one conditional
-   hypergeometric draw per source, by inversion of the distribution function
-   around its mode) and leaves the rest to the right half. Leaves are shards: their sources' quotas
-   add up exactly. The tree works on counts only, a few numbers per (source, shard).
-4. *Draw*. Shard k takes the next quota units of each source's permuted line, so shards are
-   disjoint; inside a shard rows are shuffled by a hash.
+   of shards from the multivariate hypergeometric distribution and leaves the rest to the right half.
+   A draw goes over buckets of ``BUCKET`` sources and then over the sources of each bucket, one
+   conditional hypergeometric draw each (by inversion of the distribution function around its mode),
+   which is the same distribution. Leaves are shards: their sources' quotas add up exactly. The tree works
+   on counts only. The number of shards follows the words of the mix, ``SHARD_WORDS`` to a shard.
+4. *Draw*. The leaves of a source take its units in the order of shards: leaf k the next ``quota`` of them,
+   so leaves are disjoint. A document is taken once for every leaf stretch and pass that its midpoint lies
+   in, and by no other rule; inside a shard rows are shuffled by a hash. Leaves meet blocks in an equi-join
+   on cells of the line; a block carries only the leaves that overlap it.
 
 Every draw is a hash of (seed, tree node, source): reruns and lost executors give the same mix.
 
 Cases: a null or empty text has size 0 and is never cut short (it is taken with its block); a null
-source is a source of its own, the last; a null id is placed by its text; repeated rows are
-documents of their own; ties in the hash go by id and size; extra columns pass through; if all
-sizes are 0 every target is 0; an empty table gives no rows.
+source is a source of its own, the last; a null id is placed by its text; rows that repeat an id are
+documents of their own and lie in different blocks if their texts differ (wholly equal rows share a block
+and stream through one sorted window); ties in the hash go by id and size; a very long text is one document
+and is never cut; extra columns pass through; if all sizes are 0 every target is 0 and nothing is taken;
+an empty table gives no rows. One row per source passes through one task in ``targets``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinscore.llm.common import WORD, require, saved
+from kinscore.llm.common import WORD, named, require, saved
 
 MAX_REPEATS = 3
 BLOCK_WORDS = 65_536
-SHARDS = 64
+#: words of the mix in an output shard, some 50 MB of text
+SHARD_WORDS = 1 << 23
+#: units that a source's line is counted in, unless units would exceed a block
+GRAINS = 4096
+#: sources whose quotas are drawn together, in one array
+BUCKET = 1024
 SEED = 8
-#: sources (a few dozen bytes each, and 8 bytes a shard) up to which their table is broadcast
+#: sources (a few dozen bytes each) up to which their table is broadcast
 BROADCAST_SOURCES = 10_000
 _SUPER = 1024
 
@@ -138,66 +149,86 @@ def _hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Co
     return _let(bounds, n=total.cast("double"), k=good.cast("double"), m=draws.cast("double"), u=u)
 
 
-def splitting_tree(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def _drawn(quotas: Column, draws: Column, *key: Column) -> Column:
+    """How many of ``draws`` units each entry of ``quotas(name, quota)`` gives: an array of longs.
+
+    Entry i draws from what the entries from i on still hold."""
+    start = F.struct(
+        F.aggregate(quotas, F.lit(0).cast("long"), lambda a, x: a + x["quota"]).alias("left"),
+        draws.alias("draws"),
+        F.expr("cast(array() as array<bigint>)").alias("got"),
+    )
+
+    def step(a: Column, x: Column) -> Column:
+        got = _hypergeometric(a["left"], x["quota"], a["draws"], _unit(*key, x["name"]))
+        return F.struct(
+            (a["left"] - x["quota"]).alias("left"),
+            (a["draws"] - got).alias("draws"),
+            F.concat(a["got"], F.array(got)).alias("got"),
+        )
+
+    return F.aggregate(quotas, start, step, lambda a: a["got"])
+
+
+def splitting_tree(quotas: DataFrame, shards: int, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
     """``quotas(position, quota)`` -> (position, shard, quota): exact splits of every quota.
 
-    One level of the tree per round; a node is one group of (node, position) rows, and the
-    conditional draws of a node run over its sources in order. Within a node, source i draws
-    from what the sources from i on still hold, so the node's rows need running sums of
-    quotas and of earlier draws: an ``aggregate`` over the node's array of quotas."""
+    One level of the tree per round; a node is one row for each bucket of its sources. The node's units are
+    drawn over its buckets first, then over the sources of each bucket."""
     if shards < 1:
         raise ValueError("at least one shard")
-    node = quotas.agg(F.sort_array(F.collect_list(F.struct("position", "quota"))).alias("q")).select(
-        F.lit(0).alias("first"), F.lit(shards).alias("n"), "q"
+    entry = F.struct(F.col("position").cast("long").alias("name"), F.col("quota").cast("long").alias("quota"))
+    node = quotas.groupBy(F.floor(F.col("position") / bucket).alias("bucket")).agg(
+        F.sort_array(F.collect_list(entry)).alias("q")
     )
+    node = node.select(F.lit(0).alias("first"), F.lit(shards).alias("n"), "bucket", "q")
     size = 1
     while size < shards:
         size *= 2
         half = F.floor(F.col("n") / 2).cast("int")
-        whole = F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x["quota"])
-        start = F.struct(
-            whole.alias("left"),
-            F.floor(whole * half / F.greatest("n", F.lit(1))).cast("long").alias("draws"),
-            F.expr("cast(array() as array<bigint>)").alias("got"),
-        )
-
-        def step(a: Column, x: Column) -> Column:
-            u = _unit(F.lit(seed), F.col("first"), F.col("n"), x["position"])
-            got = _hypergeometric(a["left"], x["quota"], a["draws"], u)
-            return F.struct(
-                (a["left"] - x["quota"]).alias("left"),
-                (a["draws"] - got).alias("draws"),
-                F.concat(a["got"], F.array(got)).alias("got"),
-            )
-
-        got = F.aggregate("q", start, step, lambda a: a["got"])
-        drawn = node.withColumn("half", half).withColumn("got", got)
-        left = F.zip_with("q", "got", lambda x, g: F.struct(x["position"].alias("position"), g.alias("quota")))
-        right = F.zip_with(
-            "q", "got", lambda x, g: F.struct(x["position"].alias("position"), (x["quota"] - g).alias("quota"))
-        )
+        own = F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x["quota"])
+        held = F.struct(F.col("bucket").alias("name"), F.col("own").alias("quota"))
+        drawn = node.withColumn("half", half).withColumn("own", own)
+        drawn = drawn.withColumn("heads", F.sort_array(F.collect_list(held).over(Window.partitionBy("first"))))
+        whole = F.aggregate("heads", F.lit(0).cast("long"), lambda a, x: a + x["quota"])
+        wanted = F.floor(whole * F.col("half") / F.greatest("n", F.lit(1))).cast("long")
+        key = (F.lit(seed), F.col("first"), F.col("n"))
+        place = F.array_position(F.transform("heads", lambda h: h["name"]), F.col("bucket"))
+        share = F.element_at(_drawn(F.col("heads"), wanted, *key, F.lit("bucket")), place.cast("int"))
+        drawn = drawn.withColumn("share", share).withColumn("got", _drawn(F.col("q"), F.col("share"), *key))
+        left = F.zip_with("q", "got", lambda x, g: F.struct(x["name"].alias("name"), g.alias("quota")))
+        right = F.zip_with("q", "got", lambda x, g: F.struct(x["name"].alias("name"), (x["quota"] - g).alias("quota")))
+        first, n = F.col("first"), F.col("n")
         children = F.array(
-            F.struct(F.col("first").alias("first"), F.col("half").alias("n"), left.alias("q")),
+            F.struct(first.alias("first"), F.col("half").alias("n"), F.col("bucket").alias("bucket"), left.alias("q")),
             F.struct(
-                (F.col("first") + F.col("half")).alias("first"), (F.col("n") - F.col("half")).alias("n"), right.alias("q")
+                (first + F.col("half")).alias("first"), (n - F.col("half")).alias("n"),
+                F.col("bucket").alias("bucket"), right.alias("q"),
             ),
-        )
+        )
         node = saved(drawn.select(F.inline(children)).where("n > 0"))
-    return node.select(F.col("first").alias("shard"), F.inline("q")).select("position", "shard", "quota")
+    return node.select(F.col("first").alias("shard"), F.inline("q")).select(
+        F.col("name").cast("int").alias("position"), "shard", "quota"
+    )
+
 
+def plan_mix(docs: DataFrame, **options) -> DataFrame:
+    """All columns of ``docs`` plus ``__mix``: struct(size, source_size, target, copies), where
+    ``copies`` lists the (pass, shard) of every time the mix takes the document."""
+    return _planned(docs, **options)[0]
 
-def plan_mix(
+
+def _planned(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    shards: int = SHARDS,
+    shards: int | None = None,
     block_words: int = BLOCK_WORDS,
-    max_repeats: int = MAX_REPEATS,
+    max_repeats: float = MAX_REPEATS,
     seed: int = SEED,
-) -> DataFrame:
-    """All columns of ``docs`` plus ``__mix``: struct(size, source_size, target, copies), where
-    ``copies`` lists the (pass, shard) of every time the mix takes the document."""
+) -> tuple[DataFrame, int]:
+    """The plan and its number of shards, which follows the size of the mix if it is not given."""
     require(docs, doc_id, text, source)
     own = {c: f"__c{i}" for i, c in enumerate(docs.columns)}  # no name of the input meets one of ours
     key, body = F.col(own[doc_id]), F.col(own[text])
@@ -205,14 +236,19 @@ def plan_mix(
         "__source": F.col(own[source]),
         "__id": key,
         "__size": word_count(body),
-        "__hash": F.when(key.isNull(), F.xxhash64(body, F.lit(seed))).otherwise(F.xxhash64(key, F.lit(seed))),
+        "__hash": F.xxhash64(key, body, F.lit(seed)),
     })
     totals = saved(sized.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size")))
-    goal = targets(totals, max_repeats).withColumn(
-        "n_blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long")
-    )
+    unit = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("source_size") / GRAINS))).cast("long")
+    goal = targets(totals, max_repeats).withColumns({
+        "n_blocks": F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long"),
+        "unit": unit,
+        "quota": F.floor(F.col("target") / unit).cast("long"),  # never above max_repeats passes
+    })
     goal = saved(goal)
-    n_sources = goal.count()
+    n_sources, words = goal.agg(F.count(F.lit(1)), F.coalesce(F.sum("target"), F.lit(0.0))).first()
+    if shards is None:
+        shards = max(1, math.ceil(words / SHARD_WORDS))
 
     def per_source(df: DataFrame) -> DataFrame:
         """A table of one row per source, broadcast only if their counted number is small."""
@@ -237,47 +273,47 @@ def plan_mix(
         .select("position", "block", "words", (F.col("base") + F.col("own")).alias("start"))
     )
     starts = saved(starts)
-    # quota of a source: whole passes over its blocks, and the blocks that the last pass enters
-    passes = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
-    rest = F.col("target") - passes * F.col("source_size")
-    lines = goal.withColumn("passes", passes.cast("long")).withColumn("rest", rest)
-    entered = starts.join(per_source(lines.select("position", "rest")), "position").groupBy("position").agg(
-        F.max(F.when(F.col("start") < F.col("rest"), F.col("block") + 1).otherwise(0)).alias("entered")
-    )
-    lines = lines.join(entered, "position")
-    quotas = lines.select("position", (F.col("passes") * F.col("n_blocks") + F.col("entered")).alias("quota"))
-    split = splitting_tree(quotas, shards, seed)
-    # ends[k]: units of the source that shards 0..k take
-    ends = split.groupBy("position").agg(F.sort_array(F.collect_list(F.struct("shard", "quota"))).alias("s"))
-    ends = ends.select("position", F.expr(
-        "aggregate(s, cast(array() as array<bigint>), "
-        "(a, x) -> array_append(a, coalesce(try_element_at(a, -1), 0L) + x.quota))"
-    ).alias("ends"))
-    lines = saved(lines.join(ends, "position").select("position", "passes", "rest", "ends"))
-    where = starts.drop("words").join(per_source(lines), "position")
+    # leaves: the stretch [a, e) of a source's line, in words, that a shard takes
+    before_shard = Window.partitionBy("position").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    leaves = splitting_tree(goal.select("position", "quota"), shards, seed).where("quota > 0")
+    leaves = leaves.withColumn("end", F.sum("quota").over(before_shard))
+    leaves = leaves.join(per_source(goal.select("position", "unit")), "position").select(
+        "position", "shard", ((F.col("end") - F.col("quota")) * F.col("unit")).alias("a"),
+        (F.col("end") * F.col("unit")).alias("e"),
+    )
+    # leaves and blocks meet on cells of the line
+    cells = lambda lo, hi: F.sequence(F.floor(lo / block_words), F.floor(hi / block_words))
+    spread = leaves.withColumn("cell", F.explode(cells(F.col("a"), F.col("e") - 1)))
+    passes = F.sequence(F.lit(0), F.lit(max(0, math.ceil(max_repeats) - 1)))
+    lo = F.col("pass") * F.col("source_size") + F.col("start")
+    laid = starts.join(per_source(goal.select("position", "source_size")), "position")
+    laid = laid.withColumn("pass", F.explode(passes)).select("position", "block", lo.alias("lo"), (lo + F.col("words")).alias("hi"))
+    laid = laid.withColumn("cell", F.explode(cells(F.col("lo"), F.col("hi"))))
+    met = laid.join(spread, ["position", "cell"]).where("a <= hi and e > lo")
+    met = met.groupBy("position", "block").agg(F.collect_set(F.struct("a", "e", "shard")).alias("leaves"))
+    where = saved(starts.drop("words").join(met, ["position", "block"], "left"))
     order = Window.partitionBy("position", "block").orderBy("__hash", "__id", "__size")
     at = placed.withColumn(
         "__before", F.coalesce(F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).join(where, ["position", "block"])
-    middle = F.col("start") + F.col("__before") + F.col("__size") / 2
-    times = F.col("passes") + F.when(middle < F.col("rest"), 1).otherwise(0)
-    copies = F.transform(
-        F.when(times > 0, F.sequence(F.lit(0).cast("long"), times - 1)).otherwise(F.expr("cast(array() as array<bigint>)")),
-        lambda p: F.struct(
-            p.cast("int").alias("pass"),
-            F.size(F.filter("ends", lambda e: e <= p * F.col("n_blocks") + F.col("block"))).alias("shard"),
-        ),
-    )
+
+    def copy(p: Column) -> Column:
+        twice = 2 * (p * F.col("source_size") + F.col("start") + F.col("__before")) + F.col("__size")
+        own = F.filter("leaves", lambda x: (2 * x["a"] <= twice) & (twice < 2 * x["e"]))
+        return F.struct(p.cast("int").alias("pass"), F.try_element_at(own, F.lit(1))["shard"].alias("shard"))
+
+    copies = F.filter(F.transform(passes, copy), lambda c: c["shard"].isNotNull())
     mix = F.struct(F.col("__size").alias("size"), "source_size", "target", copies.alias("copies"))
     at = at.withColumn("__mix", mix).select(*own.values(), "__mix")
-    return at.toDF(*own, "__mix")
+    return at.toDF(*own, "__mix"), shards
 
 
-def mix_sources(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, **names) -> DataFrame:
+def mix_sources(docs: DataFrame, shards: int | None = None, seed: int = SEED, **names) -> DataFrame:
     """The mix itself, in the columns of ``docs``: one row for every time a document is taken,
-    one partition per shard and shuffled inside."""
-    key = F.col(f"`{names.get('doc_id', 'doc_id')}`")
-    drawn = plan_mix(docs, shards=shards, seed=seed, **names).withColumn("__copy", F.explode("__mix.copies"))
+    one partition per shard, shuffled inside."""
+    key = named(names.get("doc_id", "doc_id"))
+    plan, shards = _planned(docs, shards=shards, seed=seed, **names)
+    drawn = plan.withColumn("__copy", F.explode("__mix.copies"))
     drawn = drawn.withColumn("__order", F.xxhash64(key, F.col("__copy.pass"), F.lit(seed)))
-    dealt = drawn.repartition(shards, F.col("__copy.shard")).sortWithinPartitions("__copy.shard", "__order")
-    return dealt.select(*[F.col(f"`{c}`") for c in docs.columns])
+    dealt = drawn.repartitionById(shards, F.col("__copy.shard")).sortWithinPartitions("__order")
+    return dealt.select(*[named(c) for c in docs.columns])

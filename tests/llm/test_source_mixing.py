@@ -110,12 +110,73 @@ def test_mix_matches_targets(docs_of):
     assert mixed.schema == docs.schema and mixed.count() == sum(len(r.copies) for r in got)
 
 
-def test_shards_follow_the_tree(docs_of):
-    """Every shard takes of every source as many (pass, block) units as the tree gave it."""
-    docs = docs_of([(i, "w w w w", None, f"s{i % 3}", None) for i in range(900)])
-    plan = plan_mix(docs, block_words=40, shards=8).select("source", F.explode("__mix.copies").alias("c"))
-    per = plan.groupBy("c.shard").count().collect()
-    assert len(per) == 8 and max(r["count"] for r in per) < 2 * min(r["count"] for r in per)
+def shard_words(plan):
+    """Words of every (source, shard) of a mix."""
+    plan = plan.select("source", "__mix.size", F.explode("__mix.copies.shard").alias("shard"))
+    return {(r.source, r.shard): r.words for r in plan.groupBy("source", "shard").agg(F.sum("size").alias("words")).collect()}
+
+
+def tree_words(spark, sizes, shards):
+    """The same out of the tree alone, for sources counted in units of one word."""
+    want = brute_targets(sizes)
+    names = sorted(sizes)
+    rows = spark.createDataFrame([(i, math.floor(want[s] + 1e-9)) for i, s in enumerate(names)], "position int, quota long")
+    return {(names[r.position], r.shard): r.quota for r in splitting_tree(rows, shards).collect() if r.quota}
+
+
+def test_shards_take_the_quotas_of_the_leaves(spark, docs_of):
+    sizes = {"s0": 600, "s1": 120, "s2": 180}
+    docs = docs_of([(i, "w", None, s, None) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))])
+    got = shard_words(plan_mix(docs, block_words=40, shards=8))
+    assert got == tree_words(spark, sizes, 8) and len(got) == 24
+    other = shard_words(plan_mix(docs, block_words=40, shards=8, seed=9))
+    assert other != got and {s: sum(n for (t, _), n in other.items() if t == s) for s in sizes} == {
+        s: sum(n for (t, _), n in got.items() if t == s) for s in sizes
+    }
+
+
+def test_only_units_of_a_leaf_are_taken(spark, docs_of, monkeypatch):
+    """Without the quotas of some leaves the mix lacks just their documents."""
+    from kinscore.llm import source_mixing
+
+    docs = docs_of([(i, "w", None, f"s{i % 3}", None) for i in range(900)])
+    whole = shard_words(plan_mix(docs, block_words=40, shards=8))
+    monkeypatch.setattr(source_mixing, "splitting_tree", lambda *a, **k: splitting_tree(*a, **k).where("shard < 3"))
+    assert shard_words(plan_mix(docs, block_words=40, shards=8)) == {k: n for k, n in whole.items() if k[1] < 3}
+
+
+def test_tree_over_buckets_of_sources(spark):
+    """Buckets split exactly too, and the halves of a quota have the hypergeometric mean."""
+    quotas = {i: 40 + i for i in range(60)}
+    rows = spark.createDataFrame(list(quotas.items()), "position int, quota long")
+    got = splitting_tree(rows, 5, bucket=7).collect()
+    for p, q in quotas.items():
+        assert sum(r.quota for r in got if r.position == p) == q
+    per_shard = [sum(r.quota for r in got if r.shard == k) for k in range(5)]
+    assert all(r.quota >= 0 for r in got) and max(per_shard) - min(per_shard) <= 3
+    half = [
+        [r.quota for r in splitting_tree(rows, 2, seed, bucket=7).collect() if (r.shard, r.position) == (0, 20)][0]
+        for seed in range(4)
+    ]
+    assert len(set(half)) > 1 and abs(sum(half) / 4 - 30) < 9
+
+
+def test_one_partition_a_shard(docs_of):
+    docs = docs_of([(i, "w " * (1 + i % 9), None, f"s{i % 4}", None) for i in range(400)])
+    plan = plan_mix(docs, shards=6).select(F.explode("__mix.copies.shard").alias("s")).groupBy("s").count().collect()
+    sizes = mix_sources(docs, shards=6).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert {r.p: r["count"] for r in sizes} == {r.s: r["count"] for r in plan} and len(sizes) == 6
+
+
+def test_repeated_id_and_names_with_dots(docs_of):
+    schema = "doc_id long, text string, source string, `meta.k` string, `Block` int"
+    rows = [(7, f"a{i % 40} " * (i % 13), "hot", "m", i) for i in range(300)] + [(i, "b c", "s", None, i) for i in range(99)]
+    docs = docs_of(rows, schema)
+    plan = plan_mix(docs, block_words=50, shards=3)
+    assert plan.count() == len(rows) and plan.columns == [*docs.columns, "__mix"]
+    got = plan.groupBy("source").agg(F.sum(F.col("__mix.size") * F.size("__mix.copies")).alias("n"), F.max("__mix.target").alias("t"))
+    assert all(abs(r.n - r.t) <= 13 for r in got.collect())
+    assert mix_sources(docs, shards=3).schema == docs.schema
 
 
 def test_edges(docs_of):
