@@ -12,20 +12,21 @@ a document is parsed against the blocks of its anchors; no other block can match
 Neighbouring windows mostly share an anchor: there is about one anchor for five windows.
 
 1. One row per anchor of a document: the anchor's hash, the document, and its *snippet*, the
-   run of windows that name the anchor, each as ``KEY_BYTES`` bytes of its hash. One exchange by
-   anchor brings a block together.
+   run of windows that name the anchor, each as the 8 bytes of its hash. One exchange by
+   anchor brings a block together. A task sends rows that repeat an id and its text once.
 2. A block is streamed in the order of ids. Each snippet is factored against the index of the
    snippets before it (a factor grows while the windows go on as in the reference), then
-   its own new windows are indexed. Duplicate windows leave as one bit each.
-3. The bits are gathered by document, and the documents cut the covered words.
-
-An anchor in a large part of all documents would crowd one task. A look at one document in
-``LOOK`` finds such anchors; it decides only on how rows are dealt, never on
-the result. Windows of a crowded anchor become rows of their own, dealt by window and salt:
-of the documents in one salt all but the smallest have a smaller one beside them; the
-smallest of each salt (at most ``SALTS`` rows a window) are compared in a second, small exchange.
-
-Windows are compared by hash: the anchor's 64 bits and ``8 * KEY_BYTES`` bits of the window.
+   its own new windows are indexed. Duplicate windows leave as one bit each. A factor ends with its snippet;
+   factors that go on in the next snippet do so in the next block, and their bits meet in step 4.
+3. A block need not be whole in one task. A look at one row in ``LOOK`` finds the most crowded anchors,
+   whose rows are dealt to as many parts as they need (any other anchor has less than a
+   ``CROWDED_ANCHORS``-th of all rows), and a task starts a new part after ``PART_ROWS`` rows. Parts are factored as
+   blocks are. Where a block has several, the windows that no smaller id of their part has leave as rows, one for a
+   window and document; a second exchange compares them with the other parts. How rows are dealt decides
+   nothing about the result, and a task never holds more than a part.
+4. The bits are gathered by document, and the documents cut the covered words.
+
+Windows are equal if the 64 bits of their anchors and the 64 bits of their own hashes are.
 
 Cases: null, empty and short texts have no window and stay as they are; a null id is neither a
 reference nor cut; rows with the same id do not cut each other (no id is smaller) and are each
@@ -50,14 +51,17 @@ from kinscore.llm.common import Shelter, named, require, scratch_path, slices, t
 WINDOW = 13
 GRAM = 5
 #: bytes of a window's hash that travel beside the 8 bytes of its anchor
-KEY_BYTES = 5
-#: one document in LOOK is looked at for crowded anchors
+KEY_BYTES = 8
+#: one row in LOOK is looked at for crowded anchors
 LOOK = 8
-#: an anchor is crowded if so many of those documents have it
+#: an anchor is crowded if so many of those rows have it
 CROWD = 64
-#: anchors dealt by window at most, the most crowded first (8 bytes each, sent to every task)
+#: crowded anchors that are dealt to parts, the most crowded first (16 bytes each, sent to every task)
 CROWDED_ANCHORS = 100_000
-SALTS = 64
+#: snippets of a block that are factored together
+PART_ROWS = 16_384
+#: rows that a task remembers in order to send repeated ones once
+REMEMBERED = 100_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -123,17 +127,21 @@ def factor_bits(snippets: list[tuple[int, bytes]], size: int = KEY_BYTES) -> lis
     return found
 
 
-def crowded_anchors(known: DataFrame, window: int, gram: int, look: int, crowd: int) -> np.ndarray:
+def crowded_anchors(known: DataFrame, window: int, gram: int, look: int, crowd: int, part_rows: int):
+    """The crowded anchors in order, and the number of parts that each is dealt to."""
+
     def once(batches):
         for batch in slices(batches):
             found = [np.unique(anchors(t.split(), window, gram)[0]) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64())], ["anchor"])
 
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(look)) == 0).select("text")
+    sample = known.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(look)) == 0).select("text")
     hot = sample.mapInArrow(once, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     hot = hot.where(F.col("n") >= crowd)
-    rows = hot.orderBy(F.desc("n"), "anchor").limit(CROWDED_ANCHORS).collect()
-    return np.array(sorted(r.anchor for r in rows), np.int64)
+    rows = sorted((r.anchor, r.n) for r in hot.orderBy(F.desc("n"), "anchor").limit(CROWDED_ANCHORS).collect())
+    anchor, n = np.array(rows, np.int64).reshape(-1, 2).T
+    parts = 1 + n * look * 4 // part_rows  # a quarter of a part each, as far as the look can tell
+    return anchor[parts > 1], parts[parts > 1]
 
 
 def duplicate_windows(
@@ -142,6 +150,7 @@ def duplicate_windows(
     gram: int = GRAM,
     look: int = LOOK,
     crowd: int = CROWD,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """(doc_id, at, bits): the duplicate windows of each document that has any. ``at`` holds the
     32-bit hash of the row's text (which tells rows apart that repeat an id) above the number
@@ -149,100 +158,121 @@ def duplicate_windows(
     if window - gram >= 62:
         raise ValueError("a snippet's windows must fit the bits of a long")
     known = docs.where("doc_id is not null").select("doc_id", "text")
-    crowded = crowded_anchors(known, window, gram, look, crowd)
+    crowded, parts = crowded_anchors(known, window, gram, look, crowd, part_rows)
 
     def snippets(batches):
-        names = ["block", "doc_id", "at", "keys"]
+        names = ["block", "part", "doc_id", "at", "keys"]
+        seen = set()
         for batch in slices(batches):
-            block, ids, at, sizes, keys = [], [], [], [], []
+            block, part, ids, at, sizes, keys = [], [], [], [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
+                row = (doc, xxhash.xxh64_intdigest(text))
+                if row in seen:  # an equal row has the same windows
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(row)
                 key, start, stop, h = anchors(text.split(), window, gram)
                 if not len(key):
                     continue
-                row = np.uint64(xxhash.xxh32_intdigest(text) << 32).view(np.int64)
-                raw = h.view(np.uint8).reshape(-1, 8)
-                apart = np.isin(key, crowded) if len(crowded) else np.zeros(len(key), bool)
-                if apart.any():
-                    salt = np.uint64(xxhash.xxh32_intdigest(str(doc)) % SALTS)
-                    wins = np.concatenate([np.arange(a, b) for a, b in zip(start[apart], stop[apart], strict=True)])
-                    block.append(((h[wins] ^ (salt + np.uint64(1))) * _MULT).view(np.int64))
-                    at.append(row + wins)
-                    ids.append(np.full(len(wins), doc, np.int64))
-                    sizes.append(np.full(len(wins), 8, np.int64))
-                    keys.append(raw[wins].ravel())
-                    plain = np.repeat(~apart, stop - start)
-                    key, start, stop, raw = key[~apart], start[~apart], stop[~apart], raw[plain]
+                dealt = np.full(len(key), -1, np.int32)
+                if len(crowded):
+                    place = np.minimum(np.searchsorted(crowded, key), len(crowded) - 1)
+                    apart = np.flatnonzero(crowded[place] == key)
+                    dealt[apart] = xxhash.xxh32_intdigest(repr(row)) % parts[place[apart]]
                 block.append(key)
-                at.append(row + start)
+                part.append(dealt)
+                at.append(np.uint64(xxhash.xxh32_intdigest(text) << 32).view(np.int64) + start)
                 ids.append(np.full(len(key), doc, np.int64))
                 sizes.append((stop - start) * KEY_BYTES)
-                keys.append(raw[:, :KEY_BYTES].ravel())
+                keys.append(h)
             if not block:
                 continue
             ends = np.r_[0, np.cumsum(np.concatenate(sizes))].astype(np.int32)
-            body = np.ascontiguousarray(np.concatenate(keys))
+            body = np.concatenate(keys)
             packed = pa.Array.from_buffers(
                 pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(body.tobytes())]
             )
-            fixed = [pa.array(np.concatenate(x)) for x in (block, ids, at)]
+            fixed = [pa.array(np.concatenate(x)) for x in (block, part, ids, at)]
             yield pa.RecordBatch.from_arrays([*fixed, packed], names)
 
+    ats = T.ArrayType(T.LongType())
+    found = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "at", "bits", "block", "tie")])
+    found = found.add("ats", ats)
+
     def factor(batches):
-        import pyarrow.compute as pc
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out = to_arrow_schema(found)
+        held, n_held, several = [], 0, False  # the last block's rows since its last part; whether it had one
 
-        names = ["doc_id", "at", "bits", "tie"]
-        held, last, first = None, None, None  # rows of the block at hand; crowded window at hand, its first id
+        def change(t):
+            block, part = t.column("block").to_numpy(), t.column("part").to_numpy()
+            return np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (part[1:] != part[:-1])])
 
-        def parsed(t, complete: int):
-            """Rows of the blocks in the first ``complete`` rows that hold more than one document."""
-            block, ids = t.column("block").to_numpy()[:complete], t.column("doc_id").to_numpy()[:complete]
+        def parsed(t, several: bool = False):
+            """The duplicate windows of the blocks in ``t``, and what other parts of them must be asked for."""
+            block, part, ids = (t.column(c).to_numpy() for c in ("block", "part", "doc_id"))
             at, keys = t.column("at").to_numpy(), t.column("keys")
-            edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if complete else np.zeros(1, int)
-            out = []
-            for i in np.flatnonzero(ids[edge[:-1]] != ids[edge[1:] - 1]).tolist():
+            edge = np.r_[change(t), t.num_rows]
+            rows = []
+            work = (ids[edge[:-1]] != ids[edge[1:] - 1]) | (part[edge[:-1]] >= 0) | several
+            for i in np.flatnonzero(work).tolist():
                 x, y = int(edge[i]), int(edge[i + 1])
-                bits = factor_bits(list(zip(ids[x:y].tolist(), keys[x:y].to_pylist(), strict=True)))
-                out += [(d, a, m, None) for d, a, m in zip(ids[x:y].tolist(), at[x:y].tolist(), bits, strict=True) if m]
-            cols = zip(*out, strict=True) if out else ((),) * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+                docs, places, packed = ids[x:y].tolist(), at[x:y].tolist(), keys[x:y].to_pylist()
+                bits = factor_bits(list(zip(docs, packed, strict=True)))
+                rows += [(d, a, m, None, None, None) for d, a, m in zip(docs, places, bits, strict=True) if m]
+                if several or part[x] >= 0:
+                    open_: dict[tuple[int, int], list[int]] = {}
+                    for d, a, m, raw in zip(docs, places, bits, packed, strict=True):
+                        for j, w in enumerate(np.frombuffer(raw, np.int64).tolist()):
+                            if not m >> j & 1:
+                                open_.setdefault((w, d), []).append(a + j)
+                    rows += [(d, None, None, int(block[x]), w, where) for (w, d), where in open_.items()]
+            cols = zip(*rows, strict=True) if rows else ((),) * len(out)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, out, strict=True)], schema=out)
+
+        def whole():
+            return parsed(pa.concat_batches(held), several)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            single = pc.equal(pc.binary_length(batch.column("keys")), 8)
-            if pc.any(single).as_py():  # windows of crowded anchors: all but the first id have a smaller one
-                t = batch.filter(single)
-                block, ids = t.column("block").to_numpy(), t.column("doc_id").to_numpy()
-                edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-                least = ids[edge].copy()
-                if last == block[0]:
-                    least[0] = first
-                last, first = block[-1], least[-1]
-                tied = np.repeat(least, np.diff(np.r_[edge, len(block)])) == ids
-                window = np.frombuffer(b"".join(t.column("keys").to_pylist()), np.int64)
-                bits = pa.array(np.ones(len(ids), np.int64))
-                yield pa.RecordBatch.from_arrays([*(t.column(c) for c in names[:2]), bits, pa.array(window, mask=~tied)], names)
-                batch = batch.filter(pc.invert(single))
-            t = pa.concat_batches([held, batch]) if held is not None else batch
+            start, t = change(batch), batch
+            if held or several:
+                same = last == (batch.column("block")[0].as_py(), batch.column("part")[0].as_py())
+                more = 0 if not same else int(start[1]) if len(start) > 1 else batch.num_rows
+                if more:
+                    held.append(batch.slice(0, more))
+                    n_held += more
+                if more < batch.num_rows:
+                    if held:
+                        yield whole()
+                    held, n_held, several = [], 0, False
+                t = batch.slice(more)
             if t.num_rows:
-                block = t.column("block").to_numpy()
-                start = np.flatnonzero(block != block[-1])
-                cut = int(start[-1]) + 1 if len(start) else 0
-                yield parsed(t, cut)
-                held = t.slice(cut)
-        if held is not None:
-            yield parsed(held, held.num_rows)
-
-    placed = known.mapInArrow(snippets, "block long, doc_id long, at long, keys binary")
-    blocks = placed.repartition("block").sortWithinPartitions("block", "doc_id")
+                cut = int(start[-1]) - (batch.num_rows - t.num_rows)
+                if cut:
+                    yield parsed(t.slice(0, cut))
+                held, n_held = [t.slice(cut)], t.num_rows - cut
+                last = (t.column("block")[cut].as_py(), t.column("part")[cut].as_py())
+            if n_held >= part_rows:
+                several = True
+                yield whole()
+                held, n_held = [], 0
+        if held:
+            yield whole()
+
+    placed = known.mapInArrow(snippets, "block long, part int, doc_id long, at long, keys binary")
+    blocks = placed.repartition("block", "part").sortWithinPartitions("block", "part", "doc_id")
     path = scratch_path(docs.sparkSession, "substring-bits")
-    blocks.mapInArrow(factor, "doc_id long, at long, bits long, tie long").write.parquet(path)
+    blocks.mapInArrow(factor, found).write.parquet(path)
     bits = docs.sparkSession.read.parquet(path)
-    sure = bits.where("tie is null").drop("tie")
-    ties = bits.where("tie is not null")
-    first = ties.groupBy("tie").agg(F.min("doc_id").alias("first"))
-    lost = ties.join(first, "tie").where("doc_id > first").select("doc_id", "at", "bits")
-    return sure.unionByName(lost)
+    sure = bits.where("tie is null").select("doc_id", "at", "bits")
+    ties = bits.where("tie is not null").select("block", "tie", "doc_id", "ats")
+    first = ties.groupBy("block", "tie").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    lost = ties.join(first.where("first < last"), ["block", "tie"]).where("doc_id > first")
+    return sure.unionByName(lost.select("doc_id", F.explode("ats").alias("at"), F.lit(1).cast("long").alias("bits")))
 
 
 def _windows_of(at: np.ndarray, bits: np.ndarray, text: bytes, width: int) -> np.ndarray:
@@ -296,6 +326,7 @@ def substring_dedup(
     gram: int = GRAM,
     look: int = LOOK,
     crowd: int = CROWD,
+    part_rows: int = PART_ROWS,
     prefix: str = "",
     keep_clean: bool = True,
 ) -> DataFrame:
@@ -303,7 +334,7 @@ def substring_dedup(
     space) and ``clean_text``; names led by ``prefix``, which replace columns that clash."""
     require(docs, doc_id, text)
     plain = docs.select(named(doc_id).cast("long").alias("doc_id"), named(text).alias("text"))
-    found = duplicate_windows(plain, window, gram, look, crowd)
+    found = duplicate_windows(plain, window, gram, look, crowd, part_rows)
     by_doc = found.groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_list("at").alias("__at"), F.collect_list("bits").alias("__bits")
     )

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from kinscore.llm.substring_dedup import factor_bits, substring_dedup, without_repeats
+from kinscore.llm.substring_dedup import KEY_BYTES, duplicate_windows, factor_bits, substring_dedup, without_repeats
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -56,11 +56,11 @@ def corpus(seed=1, n=60):
     return rows
 
 
-@pytest.mark.parametrize("crowd", [16, 2])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_matches_brute_force(docs_of, crowd, seed):
+@pytest.mark.parametrize(("seed", "crowd", "part_rows"), [(1, 16, 16_384), (2, 2, 16), (1, 10**9, 3), (2, 4, 2)])
+def test_matches_brute_force(docs_of, seed, crowd, part_rows):
+    """Blocks whole, dealt to parts, and cut while they stream."""
     rows = corpus(seed)
-    got = substring_dedup(docs_of(rows), look=1, crowd=crowd).collect()
+    got = substring_dedup(docs_of(rows), look=1, crowd=crowd, part_rows=part_rows).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows)
     for r in got:  # the cleaned text holds exactly the kept words
         assert hashlib.sha256(" ".join(WORD.findall(r.clean_text or "")).encode()).hexdigest() == r.kept_sha256
@@ -71,13 +71,13 @@ def test_few_words_in_the_vocabulary(docs_of):
     """Many equal grams and anchors: runs, ties of the anchor hash and self-overlap."""
     rng = random.Random(9)
     rows = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(0, 60)))) for i in range(80)]
-    got = substring_dedup(docs_of(rows), look=2, crowd=4).collect()
+    got = substring_dedup(docs_of(rows), look=2, crowd=4, part_rows=12).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows)
 
 
 def test_factors_and_boundaries():
     def pack(text):
-        return b"".join(c.encode().ljust(5) for c in text)
+        return b"".join(c.encode().ljust(KEY_BYTES) for c in text)
 
     # letters are windows: 1 has a-h, 2 has p-w; 4 reads both, with windows between them that only
     # 3 has (the seam), so that factors meet without a gap
@@ -99,3 +99,20 @@ def test_very_long_text(docs_of):
     long = " ".join(f"word{i}" for i in range(200_000))
     got = {r.doc_id: r.n_removed for r in substring_dedup(docs_of([(1, long), (2, "x " + long)])).collect()}
     assert got == {1: 0, 2: 200_000}
+
+
+def test_hot_id_and_repeated_rows(docs_of):
+    """One id with many rows, equal and different, beside documents that share its passage."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(50, f"{rng.randrange(9)} {passage} {rng.randrange(10**6)}") for _ in range(60)]
+    rows += [(50, passage)] * 40 + [(i, f"x{i} {passage} y{i} {passage}") for i in (7, 60, 61)]
+    for part_rows in (4, 16_384):
+        got = substring_dedup(docs_of(rows), look=1, crowd=2, part_rows=part_rows).collect()
+        assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows)
+
+
+def test_equal_rows_cross_the_exchange_once_a_task(docs_of):
+    rows = [(1, " ".join(f"w{i}" for i in range(40)))] * 200 + [(2, " ".join(f"w{i}" for i in range(40)))]
+    found = duplicate_windows(docs_of(rows).coalesce(1)).groupBy("doc_id").count().collect()
+    assert [(r.doc_id, r["count"] < 40) for r in found] == [(2, True)]
