@@ -12,7 +12,7 @@ a document is parsed against the blocks of its anchors; no other block can match
 Neighbouring windows mostly share an anchor: there is about one anchor for five windows.
 
 1. One row per anchor of a document: the anchor's hash, the document, and its *snippet*, the
-   run of windows that name the anchor, each as the 8 bytes of its hash. One exchange by
+   run of windows that name the anchor, each as ``KEY_BYTES`` bytes of its hash. One exchange by
    anchor brings a block together. A task sends rows that repeat an id and its text once.
 2. A block is streamed in the order of ids. Each snippet is factored against the index of the
    snippets before it (a factor grows while the windows go on as in the reference), then
@@ -26,7 +26,7 @@ Neighbouring windows mostly share an anchor: there is about one anchor for five
    nothing about the result, and a task never holds more than a part.
 4. The bits are gathered by document, and the documents cut the covered words.
 
-Windows are equal if the 64 bits of their anchors and the 64 bits of their own hashes are.
+Windows are equal if the 64 bits of their anchors and 56 bits of their own hashes are.
 
 Cases: null, empty and short texts have no window and stay as they are; a null id is neither a
 reference nor cut; rows with the same id do not cut each other (no id is smaller) and are each
@@ -51,7 +51,7 @@ from kinscore.llm.common import Shelter, named, require, scratch_path, slices, t
 WINDOW = 13
 GRAM = 5
 #: bytes of a window's hash that travel beside the 8 bytes of its anchor
-KEY_BYTES = 8
+KEY_BYTES = 7
 #: one row in LOOK is looked at for crowded anchors
 LOOK = 8
 #: an anchor is crowded if so many of those rows have it
@@ -185,11 +185,11 @@ def duplicate_windows(
                 at.append(np.uint64(xxhash.xxh32_intdigest(text) << 32).view(np.int64) + start)
                 ids.append(np.full(len(key), doc, np.int64))
                 sizes.append((stop - start) * KEY_BYTES)
-                keys.append(h)
+                keys.append(h.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].ravel())
             if not block:
                 continue
             ends = np.r_[0, np.cumsum(np.concatenate(sizes))].astype(np.int32)
-            body = np.concatenate(keys)
+            body = np.ascontiguousarray(np.concatenate(keys))
             packed = pa.Array.from_buffers(
                 pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(body.tobytes())]
             )
@@ -225,8 +225,9 @@ def duplicate_windows(
                 if several or part[x] >= 0:
                     open_: dict[tuple[int, int], list[int]] = {}
                     for d, a, m, raw in zip(docs, places, bits, packed, strict=True):
-                        for j, w in enumerate(np.frombuffer(raw, np.int64).tolist()):
+                        for j in range(len(raw) // KEY_BYTES):
                             if not m >> j & 1:
+                                w = int.from_bytes(raw[j * KEY_BYTES : (j + 1) * KEY_BYTES], "little")
                                 open_.setdefault((w, d), []).append(a + j)
                     rows += [(d, None, None, int(block[x]), w, where) for (w, d), where in open_.items()]
             cols = zip(*rows, strict=True) if rows else ((),) * len(out)
