@@ -54,12 +54,14 @@ GRAM = 5
 KEY_BYTES = 7
 #: one row in LOOK is looked at for crowded anchors
 LOOK = 8
-#: an anchor is crowded if so many of those rows have it
+#: an anchor is crowded if those rows have so many snippets of it
 CROWD = 64
 #: crowded anchors that are dealt to parts, the most crowded first (16 bytes each, sent to every task)
 CROWDED_ANCHORS = 100_000
 #: snippets of a block that are factored together
 PART_ROWS = 16_384
+#: consecutive snippets of a row that are dealt to the same part
+TOGETHER = 64
 #: rows that a task remembers in order to send repeated ones once
 REMEMBERED = 100_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -132,7 +134,7 @@ def crowded_anchors(known: DataFrame, window: int, gram: int, look: int, crowd:
 
     def once(batches):
         for batch in slices(batches):
-            found = [np.unique(anchors(t.split(), window, gram)[0]) for t in texts_of(batch)]
+            found = [anchors(t.split(), window, gram)[0] for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int64())], ["anchor"])
 
     sample = known.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(look)) == 0).select("text")
@@ -179,7 +181,8 @@ def duplicate_windows(
                 if len(crowded):
                     place = np.minimum(np.searchsorted(crowded, key), len(crowded) - 1)
                     apart = np.flatnonzero(crowded[place] == key)
-                    dealt[apart] = xxhash.xxh32_intdigest(repr(row)) % parts[place[apart]]
+                    # neighbours stay together; a row that repeats an anchor goes on to further parts
+                    dealt[apart] = (xxhash.xxh32_intdigest(repr(row)) + apart // TOGETHER) % parts[place[apart]]
                 block.append(key)
                 part.append(dealt)
                 at.append(np.uint64(xxhash.xxh32_intdigest(text) << 32).view(np.int64) + start)

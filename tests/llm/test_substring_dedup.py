@@ -116,3 +116,11 @@ def test_equal_rows_cross_the_exchange_once_a_task(docs_of):
     rows = [(1, " ".join(f"w{i}" for i in range(40)))] * 200 + [(2, " ".join(f"w{i}" for i in range(40)))]
     found = duplicate_windows(docs_of(rows).coalesce(1)).groupBy("doc_id").count().collect()
     assert [(r.doc_id, r["count"] < 40) for r in found] == [(2, True)]
+
+
+def test_one_anchor_many_times_in_a_text(docs_of):
+    """A common line that documents repeat is dealt to parts inside one document, too."""
+    line = " ".join(f"l{i}" for i in range(16))
+    rows = [(i, f"a{i} " + f"{line} " * 90 + f"b{i} {line}") for i in range(4)]
+    got = substring_dedup(docs_of(rows), look=1, crowd=2, part_rows=40).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows)
