@@ -7,17 +7,20 @@ vectors exist only inside numpy tiles; no vector reaches the driver:
    others are counted, dealt over partitions of about ``wave_blocks`` blocks, packed into blocks
    of at most ``block_cells`` numbers and kept in the shared checkpoint folder. Blocks are cut
    by counting rows in the packing task, so copies or a common hash cannot make one larger;
-2. candidates are packed the same way into chunks, where they lie;
+2. candidates are packed the same way where they lie, into chunks of a quarter of a block, kept
+   in the checkpoint folder too and then dealt out, a task a chunk (at most ``MOST_TASKS``): how
+   many tasks share the pairs follows from the number of candidates, not from how their table is cut;
 3. the product of chunks and blocks (two packed rows a pair) runs in Spark: a task holds one
-   partition of blocks and folds it against its chunks: ``min over p of Σ_d |c_d - p_d|``,
-   summed in the order of the dimensions, in tiles of at most ``TILE_CELLS`` distances (16 MB);
+   partition of blocks and folds it against its chunks. Tiles of ``TILE_CELLS`` distances in single
+   precision (they stay in a core's cache) with a bound of their error leave the pairs that can be
+   nearest, a few a candidate; ``min over p of Σ_d |c_d - p_d|`` is taken of those, in double
+   precision, summed in the order of the dimensions;
 4. one ``min`` per candidate row over its (row, distance) results.
 
 The plan is the same for any number of positives; what grows is the number of partitions of
-blocks. With more than one, the packed chunks are kept in the checkpoint folder as well,
-because each such partition reads them again. A candidate with a null or NaN component, or no
-positive to compare with, has a NULL distance; vectors of another length than the positives'
-fail the run. Candidate rows with the same key stay rows of their own.
+blocks. A candidate with a null or NaN component, or no positive to compare with, has a NULL
+distance; vectors of another length than the positives' fail the run. Candidate rows with the
+same key stay rows of their own.
 """
 
 from __future__ import annotations
@@ -34,7 +37,15 @@ from ..session import ensure_checkpoint_dir
 BLOCK_CELLS = 4096 * 64
 # blocks that a task holds: 64 MB
 WAVE_BLOCKS = 32
-TILE_CELLS = 2_000_000
+# distances formed at once: 512 KB in single precision
+TILE_CELLS = 1 << 17
+# numbers of the pairs whose distances are taken exactly at once: 8 MB
+EXACT_CELLS = 1 << 20
+# of a tile's pairs, one in so many may be taken one by one; with more, the whole tile is formed in double precision
+MANY = 32
+# vectors with a larger component are compared in double precision only
+LARGEST_SINGLE = 1e30
+MOST_TASKS = 1024
 
 
 def vector_of(cols: list[str]) -> Column:
@@ -47,6 +58,54 @@ def _comparable(vec: str) -> Column:
 
 def fold_block(candidates: np.ndarray, block: np.ndarray, best: np.ndarray) -> None:
     """Lower ``best`` to each candidate's smallest L1 distance to the block's rows."""
+    largest = np.abs(candidates).max(axis=1)
+    if not np.abs(block).max() <= LARGEST_SINGLE:
+        _fold_plainly(candidates, block, best)
+        return
+    single = largest <= LARGEST_SINGLE
+    best[np.isnan(largest)] = np.nan
+    plain = np.flatnonzero(largest > LARGEST_SINGLE)
+    if len(plain):
+        lowered = best[plain]
+        _fold_plainly(candidates[plain], block, lowered)
+        best[plain] = lowered
+    own = np.flatnonzero(single)
+    dims, width = block.shape[1], len(block)
+    # a distance in single precision is off by less: roundings of the components, differences and sums, twice over
+    sums = np.abs(candidates[own]).sum(axis=1) + np.abs(block).sum(axis=1).max()
+    off = (dims + 8) * 2.0**-23 * sums + dims * 2.0**-140
+    cand, pos = candidates[own].T.astype(np.float32), np.ascontiguousarray(block.T, dtype=np.float32)
+    rows = max(1, TILE_CELLS // width)
+    dist = np.empty((min(rows, len(own)), width), np.float32)
+    step = np.empty_like(dist)
+    for i in range(0, len(own), rows):
+        tile, at = cand[:, i : i + rows, None], own[i : i + rows]
+        total, one = dist[: len(at)], step[: len(at)]
+        total.fill(0)
+        for d in range(dims):
+            np.subtract(tile[d], pos[d], out=one)
+            np.add(total, np.abs(one, out=one), out=total)
+        slack = off[i : i + rows]
+        limit = np.minimum(total.min(axis=1) + 2 * slack, best[at] + slack)
+        # the limit in single precision is rounded up, never below
+        limit = np.nextafter(limit.astype(np.float32), np.float32(np.inf))
+        can_be = total <= limit[:, None]
+        if np.count_nonzero(can_be) > can_be.size // MANY:  # ties, or components far larger than their differences
+            lowered = best[at]
+            _fold_plainly(candidates[at], block, lowered)
+            best[at] = lowered
+            continue
+        near, other = np.nonzero(can_be)
+        pairs = max(1, EXACT_CELLS // dims)
+        for j in range(0, len(near), pairs):
+            who, whom = at[near[j : j + pairs]], other[j : j + pairs]
+            # accumulate adds from left to right, as sum does not
+            exact = np.add.accumulate(np.abs(candidates[who] - block[whom]), axis=1)[:, -1]
+            np.minimum.at(best, who, exact)
+
+
+def _fold_plainly(candidates: np.ndarray, block: np.ndarray, best: np.ndarray) -> None:
+    """``fold_block`` without single precision."""
     rows = max(1, TILE_CELLS // max(1, len(block)))
     for i in range(0, len(candidates), rows):
         tile = candidates[i : i + rows]
@@ -172,9 +231,8 @@ def nearest_positive(
     rows = max(1, block_cells // dims)
     parts = math.ceil(n_pos / (rows * wave_blocks))
     blocks = positive_blocks(usable, vec, rows, dims, parts)
-    chunks = candidate_chunks(candidates, key, vec, rows, dims)
-    if parts > 1:
-        chunks = _saved(chunks)
+    chunks = _saved(candidate_chunks(candidates, key, vec, max(1, rows // 4), dims))
+    chunks = chunks.repartition(max(1, min(MOST_TASKS, chunks.count())))
     # the hint keeps Spark from broadcasting blocks by an estimate of their size
     pairs = chunks.crossJoin(blocks.hint("shuffle_replicate_nl"))
     found = _fold(pairs, dims, candidates.schema[key].dataType.simpleString())

@@ -20,6 +20,7 @@ from ..operators.assemble import DatasetSpec
 from ..operators.nearest import nearest_positive
 from ..operators.selection import exclude_recent, select_users, tagged_top_lists, vote
 from ..operators.transform import log_features, standardize
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_driver_table
 from .dataset import Dataset, long_form
 from .recommend import choose, merge_scores
@@ -56,8 +57,11 @@ def nearest_l1_q(spark, sf_dir):
 
 
 def fixture_scores(spark, sf_dir) -> DataFrame:
+    """The three scores of every vector, written as the models' scores are: every top list, evaluation and score table
+    reads them again, and the nearest positives are looked for once."""
     e = embedding_vectors(spark, sf_dir, FIXTURE_SCALE)
     knn = nearest_positive(e.where(F.col("label") != 0), e.where(F.col("label") == 0), key="user_id")
+    ensure_checkpoint_dir(spark)
     return (
         e.join(knn.select("user_id", "knn_score"), "user_id", "left")
         .select(
@@ -66,6 +70,7 @@ def fixture_scores(spark, sf_dir) -> DataFrame:
             (F.col("vec")[0] * F.lit(5.0) + F.lit(0.5)).alias("logreg_score"),
             (F.col("vec")[1] * F.lit(5.0) + F.lit(0.5)).alias("xgb_score"),
         )
+        .checkpoint(eager=True)
     )
 
 
