@@ -93,8 +93,7 @@ def list_scores(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     knn = s.where("user_id % 5 != 0").select("user_id", "knn_score")
     logreg = s.where("user_id % 7 != 0").select("user_id", "logreg_score")
     trees = s.where("user_id % 11 != 0").select("user_id", "xgb_score")
-    # written, as the models' scores are: the selection reads them several times
-    return tuple(x.checkpoint(eager=True) for x in (knn, logreg, trees))
+    return knn, logreg, trees
 
 
 def list_from_scores_q(spark, sf_dir):
