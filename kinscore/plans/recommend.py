@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
@@ -31,8 +32,9 @@ from ..session import ensure_checkpoint_dir
 from .dataset import Dataset
 
 
-# cells (rows x features) of the training frame per partition: about 160 MB of doubles
-TRAIN_CELLS_PER_PARTITION = 20_000_000
+# cells (rows x features) of the training frame per partition: every pass of the fits is a task a partition, and takes
+# longer over so many cells than it takes to start the task
+TRAIN_CELLS_PER_PARTITION = 400_000
 
 
 @dataclass
@@ -46,8 +48,8 @@ def training_frame(ds: Dataset, cfg: JobConfig) -> tuple[DataFrame, list[str]]:
     """(user_id, label, features, half, fold, class weights) behind a checkpoint.
 
     The feature plan runs once, into the checkpoint; the row count that sizes the partitions
-    reads it back. Every fit runs one task per partition and iteration, so small
-    frames are coalesced (no shuffle) and large ones dealt out again."""
+    reads it back. Every fit runs one task per partition and iteration: a small frame is one
+    partition, a larger one is dealt over as many as its cells ask for."""
     feats = ds.spec.model_features(cfg.exclude_features)
     logged = log_features(ds.df.select("user_id", "is_asd", *[F.col(f"`{c}`") for c in feats]), feats)
     assembler = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
@@ -127,10 +129,13 @@ def recommend(
     if cfg.tree_engine == "second_order":
         tree_f1, gbt_fit = second_order_scores(train, cfg)
     else:
-        tree_f1, gbt_fit = tree_cv(train, cfg), tree_fit(train, cfg)
-    knn = knn_scores(ds, cfg)
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            folds, halves = pool.submit(tree_cv, train, cfg), pool.submit(tree_fit, train, cfg)
+            tree_f1, gbt_fit = folds.result(), halves.result()
+    # written: the selection and the output rows read the scores again
+    written = [x.checkpoint(eager=True) for x in (knn_scores(ds, cfg), lr_fit.scores, gbt_fit.scores)]
 
-    scored = merge_scores(ds.df, knn, lr_fit.scores, gbt_fit.scores, cfg)
+    scored = merge_scores(ds.df, *written, cfg)
     rows, sel = choose(scored, cfg, history, today)
     log = {
         "logreg": {

@@ -256,3 +256,21 @@ def test_scores_are_made_once(spark, monkeypatch, tmp_path):
         before = folded.value
         query(spark, str(tmp_path)).collect()
         assert folded.value - before == 20
+
+
+def test_training_frame_deals_large_frames(spark):
+    """A fit is one task a partition: a frame of a million cells is not one task."""
+    from kinscore.config import driver_config
+    from kinscore.operators.assemble import DatasetSpec
+    from kinscore.plans.dataset import Dataset
+    from kinscore.plans.recommend import training_frame
+
+    feats = [f"f{i}" for i in range(20)]
+    values = [(F.col("id") % (i + 2)).cast("double").alias(f) for i, f in enumerate(feats)]
+    users = spark.range(50_000).select(F.col("id").alias("user_id"), (F.col("id") % 7 == 0).cast("int").alias("is_asd"), *values)
+    ds = Dataset(users, DatasetSpec(["user_id"], ["is_asd"], feats, []))
+    train, _ = training_frame(ds, driver_config())
+    sizes = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 50_000 and len(sizes) > 1 and max(sizes) < 40_000
+    small, _ = training_frame(Dataset(users.where("user_id < 1000"), ds.spec), driver_config())
+    assert small.rdd.getNumPartitions() == 1
