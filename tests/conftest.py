@@ -30,6 +30,13 @@ def spark():
     yield s
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_cached(spark):
+    """A module's cached frames end with it: others look at what is left in the executors' memory."""
+    yield
+    spark.catalog.clearCache()
+
+
 AS_OF = dt.date(2001, 6, 30)
 
 
